@@ -80,7 +80,7 @@ def contains_any(lower_text: Column, terms: Iterable[str]) -> Column:
 
 def terms_present(lower_text: Column, terms: Iterable[str]) -> Column:
     """The terms that occur as substrings, in list order."""
-    return F.filter(F.array(*[F.lit(t) for t in terms]), lambda x: F.locate(x, lower_text) > 0)
+    return F.filter(F.array(*[F.lit(t) for t in terms]), lambda x: lower_text.contains(x))
 
 
 def is_upper(c: Column | str) -> Column:

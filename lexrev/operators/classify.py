@@ -49,14 +49,14 @@ def _ft(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.withColumn("full_text", S.full_text_of(S.paragraph_array(F.col(text_col))))
 
 
-def _hits_array(lt: Column, rules) -> Column:
+def _hits_array(hits: Column, rules) -> Column:
     items = [
         F.struct(
             F.lit(r.type).alias("type"), F.lit(r.type_order).alias("type_order"), F.lit(r.kind).alias("kind"),
             F.lit(r.ord).alias("ord"), F.lit(r.term).alias("term"), F.lit(float(r.weight)).alias("weight"),
-            _hit(lt, r).alias("hit"),
+            hits[i].alias("hit"),
         )
-        for r in rules
+        for i, r in enumerate(rules)
     ]
     return F.filter(F.array(*items), lambda h: h["hit"])
 
@@ -65,28 +65,31 @@ def rule_hits(docs: DataFrame, type_rules: DataFrame | None = None, key: str = "
               text_col: str = "text") -> DataFrame:
     """One row per (document, rule) that fires."""
     rules = load_type_rules(type_rules, docs.sparkSession)
-    d = _ft(docs, text_col)
-    h = d.select(key, F.inline(_hits_array(F.lower(F.col("full_text")), rules)))
+    d = _staged_hits(_ft(docs, text_col), [key], rules)
+    h = d.select(key, F.inline(_hits_array(F.col("_hits"), rules)))
     return h.select(key, "type", F.col("type_order").cast("long").alias("type_order"), "kind",
                     F.col("ord").cast("long").alias("ord"), "term", "weight")
 
 
-def _score_array(ft: Column, rules) -> Column:
-    """Every type keeps a row, also with zero evidence."""
-    lt = F.lower(ft)
-    w = X.word_count(ft)
-    factor = F.when(w > 0, w.cast("double") / F.lit(1000.0)).otherwise(F.lit(1.0))
+def hit_flags(lt: Column, rules) -> Column:
+    """One boolean per rule (rule order), evaluated in a code-generated projection."""
+    return F.array(*[_hit(lt, r) for r in rules])
+
+
+def _score_array(hits: Column, words: Column, rules) -> Column:
+    """C2 from the rule hit flags: every type keeps an entry, also with zero evidence."""
+    factor = F.when(words > 0, words.cast("double") / F.lit(1000.0)).otherwise(F.lit(1.0))
     denom = F.greatest(factor, F.lit(0.1))
     structs = []
     for typ, t_ord in _types(rules).items():
-        mine = [r for r in rules if r.type == typ]
+        mine = [(i, r) for i, r in enumerate(rules) if r.type == typ]
         raw = F.lit(0.0)
-        for r in mine:
-            raw = raw + F.when(_hit(lt, r), F.lit(float(r.weight))).otherwise(F.lit(0.0))
+        for i, r in mine:
+            raw = raw + F.when(hits[i], F.lit(float(r.weight))).otherwise(F.lit(0.0))
         ev = {}
         for k in KINDS:
-            terms = [r for r in mine if r.kind == k]
-            ev[k] = F.filter(F.array(*[F.when(_hit(lt, r), F.lit(r.term)) for r in terms]), lambda x: x.isNotNull()) \
+            terms = [(i, r) for i, r in mine if r.kind == k]
+            ev[k] = F.filter(F.array(*[F.when(hits[i], F.lit(r.term)) for i, r in terms]), lambda x: x.isNotNull()) \
                 if terms else F.array().cast("array<string>")
         structs.append(F.struct(
             F.lit(typ).alias("type"), F.lit(t_ord).alias("type_order"), raw.alias("raw_score"),
@@ -96,6 +99,12 @@ def _score_array(ft: Column, rules) -> Column:
     return F.array(*structs)
 
 
+def _staged_hits(d: DataFrame, cols: list[str], rules, ft: str = "full_text") -> DataFrame:
+    """(cols, _w, _hits): lower-case once, then all rule tests in one code-generated projection."""
+    d1 = d.select(*cols, F.lower(F.col(ft)).alias("_lt"), X.word_count(F.col(ft)).alias("_w"))
+    return d1.select(*cols, "_w", hit_flags(F.col("_lt"), rules).alias("_hits"))
+
+
 def _by_score(a: Column, b: Column) -> Column:
     return (
         F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
@@ -107,22 +116,25 @@ def type_scores(docs: DataFrame, type_rules: DataFrame | None = None, key: str =
                 text_col: str = "text") -> DataFrame:
     """Raw and length-normalised score of every type for every document."""
     rules = load_type_rules(type_rules, docs.sparkSession)
-    d = _ft(docs, text_col)
-    s = d.select(key, F.inline(_score_array(F.col("full_text"), rules)))
+    d = _staged_hits(_ft(docs, text_col), [key], rules)
+    s = d.select(key, F.inline(_score_array(F.col("_hits"), F.col("_w"), rules)))
     return s.select(key, "type", F.col("type_order").cast("long").alias("type_order"), "raw_score",
                     X.round_half_up(F.col("score"), 3).alias("normalized_score"))
 
 
-def classification_columns(ft: Column, rules, method: str = "ensemble") -> list[Column]:
-    """C3-C6 as columns of the document row."""
-    types = _types(rules)
-    if not types:
+def sorted_scores(hits: Column, words: Column, rules) -> Column:
+    """All type scores of a document, best first (ties to the first declared type)."""
+    return F.array_sort(_score_array(hits, words, rules), _by_score)
+
+
+def columns_from_scores(scores: Column, n_types: int, method: str = "ensemble") -> list[Column]:
+    """C3-C6 from the sorted score array (computed once in the previous projection)."""
+    if n_types == 0:
         return [F.lit("unknown").alias("predicted_type"), F.lit(0.0).alias("confidence"),
                 F.lit("rule_based").alias("method_used")]
-    scores = F.array_sort(_score_array(ft, rules), _by_score)
     best = F.element_at(scores, 1)
     conf = F.least(F.lit(1.0), best["score"] / F.lit(15.0))
-    if len(types) > 1:
+    if n_types > 1:
         second = F.element_at(scores, 2)
         conf = conf + F.least(F.lit(0.4), (best["score"] - second["score"]) / F.lit(10.0))
     conf = X.round_half_up(F.least(F.lit(1.0), conf), 3)
@@ -137,7 +149,9 @@ def classification_columns(ft: Column, rules, method: str = "ensemble") -> list[
         )
         conf = X.round_half_up(boosted, 3)
     return [
-        best["type"].alias("predicted_type"),
+        # never null: keeps inferred IS NOT NULL filters (joins on the type) from being pushed
+        # into the scoring projection, which would inline and repeat the rule tests
+        F.coalesce(best["type"], F.lit("unknown")).alias("predicted_type"),
         conf.alias("confidence"),
         F.lit(method_used).alias("method_used"),
         F.map_from_arrays(
@@ -152,12 +166,24 @@ def classification_columns(ft: Column, rules, method: str = "ensemble") -> list[
     ]
 
 
+def with_classification(d: DataFrame, rules, method: str = "ensemble", passthrough: list[str] | None = None,
+                        ft: str = "full_text") -> DataFrame:
+    """Two projections: the score array once per row, then the result columns from it."""
+    cols = passthrough if passthrough is not None else d.columns
+    n = len(_types(rules))
+    if not n:
+        return d.select(*cols, *columns_from_scores(F.lit(None), 0, method))
+    staged = _staged_hits(d, cols, rules, ft)
+    staged = staged.select(*cols, sorted_scores(F.col("_hits"), F.col("_w"), rules).alias("_scores"))
+    return staged.select(*cols, *columns_from_scores(F.col("_scores"), n, method))
+
+
 def classify(docs: DataFrame, type_rules: DataFrame | None = None, method: str = "ensemble", key: str = "doc_id",
              text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``rule_based`` or ``ensemble``; ``ml`` (untrained) and unknown names fall back to rule_based."""
     rules = load_type_rules(type_rules, docs.sparkSession)
-    d = _ft(docs, text_col)
-    return d.select(key, *(keep or []), *classification_columns(F.col("full_text"), rules, method))
+    d = _ft(docs, text_col).select(key, *(keep or []), "full_text")
+    return with_classification(d, rules, method, [key, *(keep or [])])
 
 
 def explain_classification(classified: DataFrame, key: str = "doc_id") -> DataFrame:

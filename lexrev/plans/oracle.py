@@ -229,7 +229,7 @@ ORACLE_SQL["clause_suggestions"] = with_(*FLAG_BASE) + (
     f"FROM flags f JOIN {_CLAUSES} ON c.category = f.category"
 )
 
-ORACLE_SQL["annotations"] = with_(*FLAG_BASE, PARA_HITS) + (
+ORACLE_SQL["annotations"] = (with_(*FLAG_BASE, PARA_HITS) + (
     "cm AS (SELECT ph.doc_id, ph.idx, ph.text, ph.rule_id, nd.n_doc, "
     f"repeat({sq(RP.ANNOTATION_PREFIX)} || r.issue || ' - ' || r.suggestion || "
     f"CASE WHEN r.reference <> '' THEN {sq(RP.ANNOTATION_REFERENCE)} || r.reference ELSE '' END || ']', "
@@ -240,7 +240,7 @@ ORACLE_SQL["annotations"] = with_(*FLAG_BASE, PARA_HITS) + (
     "CAST(sum(n_doc) AS BIGINT) AS n_comments, "
     "CASE WHEN arg_max(sev, rule_id) IN ('high', 'medium', 'low') THEN arg_max(sev, rule_id) ELSE 'medium' END "
     "AS highlight FROM cm GROUP BY doc_id, idx, text"
-).replace(") cm AS", "), cm AS")
+)).replace(") cm AS", "), cm AS")
 
 # ------------------------------------------------------------------ segmentation
 ORACLE_SQL["paragraphs"] = with_(*BASE) + (
@@ -361,20 +361,20 @@ ORACLE_SQL["legal_elements"] = with_(*BASE) + (
 )
 
 _KP = (f"regexp_extract_all(full_text, {sq(RP.KEY_PHRASE_PATTERN)})")
-ORACLE_SQL["key_phrases"] = with_(*BASE) + (
+ORACLE_SQL["key_phrases"] = (with_(*BASE) + (
     "kp AS (SELECT ft.doc_id, u.p, u.i FROM ft, unnest(" + _KP + ") WITH ORDINALITY AS u(p, i)), "
     "kf AS (SELECT doc_id, p, min(i) AS i FROM kp GROUP BY doc_id, p), "
     "kr AS (SELECT doc_id, p, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r FROM kf) "
     "SELECT ft.doc_id, CAST(count(kr.p) AS BIGINT) AS n_phrases, coalesce(string_agg(kr.p, '|' ORDER BY kr.r), '') "
     "AS key_phrases FROM ft LEFT JOIN kr ON kr.doc_id = ft.doc_id AND kr.r <= 15 GROUP BY ft.doc_id"
-).replace(") kp AS", "), kp AS")
+)).replace(") kp AS", "), kp AS")
 
 ORACLE_SQL["organisations"] = with_(*BASE) + (
     "SELECT ft.doc_id, CAST(u.i - 1 AS BIGINT) AS pos, u.t AS text, 'ORGANIZATION' AS label FROM ft, "
     f"unnest(regexp_extract_all(full_text, {sq(RP.ORGANISATION_PATTERN)})) WITH ORDINALITY AS u(t, i) WHERE u.i <= 20"
 )
 
-ORACLE_SQL["features"] = with_(*BASE, SECS, TROWS, _NSEC, _NTAB) + (
+ORACLE_SQL["features"] = (with_(*BASE, SECS, TROWS, _NSEC, _NTAB) + (
     "nsx AS (SELECT doc_id, bool_or(regexp_matches(title, '^\\d+\\.')) AS numbered FROM secs GROUP BY doc_id), "
     "fp AS (SELECT doc_id, arg_min(is_header, idx) AS first_header FROM paras GROUP BY doc_id) "
     f"SELECT ft.doc_id, ft.full_text, {wc('ft.full_text')} AS word_count, CAST(ft.n_par AS BIGINT) AS paragraph_count, "
@@ -384,7 +384,7 @@ ORACLE_SQL["features"] = with_(*BASE, SECS, TROWS, _NSEC, _NTAB) + (
     f"AS legal_term_density, {share('ft.full_text', RP.FORMALITY_WORDS, 15.0)} AS formality_score "
     "FROM ft LEFT JOIN nsec ON nsec.doc_id = ft.doc_id LEFT JOIN ntab ON ntab.doc_id = ft.doc_id "
     "LEFT JOIN nsx ON nsx.doc_id = ft.doc_id LEFT JOIN fp ON fp.doc_id = ft.doc_id"
-).replace(") nsx AS", "), nsx AS")
+)).replace(") nsx AS", "), nsx AS")
 
 # ------------------------------------------------------------------ classification
 _TR = "(VALUES " + ", ".join(
@@ -398,11 +398,12 @@ HITS = (
     "WHERE CASE WHEN t.is_regex THEN regexp_matches(lower(ft.full_text), '(?i)' || t.term) "
     "ELSE contains(lower(ft.full_text), lower(t.term)) END), "
     "types AS (SELECT DISTINCT type, type_order FROM trules), "
+    f"ftw AS (SELECT doc_id, source, {wc('full_text')} AS w FROM ft), "
     "scores AS (SELECT ft.doc_id, ft.source, ty.type, ty.type_order, coalesce(sum(h.weight), 0.0::DOUBLE) AS raw_score, "
-    f"coalesce(sum(h.weight), 0.0::DOUBLE) / greatest(CASE WHEN {wc('ft.full_text')} > 0 THEN "
-    f"{wc('ft.full_text')}::DOUBLE / 1000.0::DOUBLE ELSE 1.0::DOUBLE END, 0.1::DOUBLE) AS score "
-    "FROM ft CROSS JOIN types ty LEFT JOIN hits h ON h.doc_id = ft.doc_id AND h.type = ty.type "
-    "GROUP BY ft.doc_id, ft.source, ty.type, ty.type_order), "
+    "coalesce(sum(h.weight), 0.0::DOUBLE) / greatest(CASE WHEN ft.w > 0 THEN "
+    "ft.w::DOUBLE / 1000.0::DOUBLE ELSE 1.0::DOUBLE END, 0.1::DOUBLE) AS score "
+    "FROM ftw ft CROSS JOIN types ty LEFT JOIN hits h ON h.doc_id = ft.doc_id AND h.type = ty.type "
+    "GROUP BY ft.doc_id, ft.source, ft.w, ty.type, ty.type_order), "
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, type_order) AS rn, "
     "lead(score) OVER (PARTITION BY doc_id ORDER BY score DESC, type_order) AS next_score FROM scores), "
     "ev AS (SELECT doc_id, type, "
@@ -564,7 +565,7 @@ ORACLE_SQL["summary_report"] = with_(*COMP_BASE, RULES, FLAGS, _NFLAGS, _COMPLIA
     "LEFT JOIN nmiss nm ON nm.source = s.source"
 )
 
-ORACLE_SQL["document_report"] = with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _NSEC, _FTX) + (
+ORACLE_SQL["document_report"] = (with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _NSEC, _FTX) + (
     "kp AS (SELECT ftx.doc_id, u.p, u.i FROM ftx, unnest(regexp_extract_all(full_text, "
     f"{sq(RP.KEY_PHRASE_PATTERN)})) WITH ORDINALITY AS u(p, i)), "
     "kf AS (SELECT doc_id, p, min(i) AS i FROM kp GROUP BY doc_id, p), "
@@ -586,7 +587,7 @@ ORACLE_SQL["document_report"] = with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _N
     f"array_to_string(regexp_extract_all(x.full_text, {sq(RP.ORGANISATION_PATTERN)})[1:5], '|') AS named_entities, "
     "CAST(coalesce(nf.n, 0) AS BIGINT) AS issues "
     "FROM cls c JOIN ftx x ON x.doc_id = c.doc_id LEFT JOIN nf ON nf.doc_id = c.doc_id LEFT JOIN kr ON kr.doc_id = c.doc_id"
-).replace(") kp AS", "), kp AS")
+)).replace(") kp AS", "), kp AS")
 
 ORACLE_SQL["quarantine"] = (
     "WITH d AS (SELECT doc_id, text, count(*) OVER (PARTITION BY doc_id) AS k FROM documents) "

@@ -29,13 +29,10 @@ def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame |
     d = S.with_structure(docs, text_col)
     ft = F.col("full_text")
     flags = FL._flag_struct_array(ft, frules)
-    sev = F.transform(flags, lambda f: FL._rule_meta(frules, f["rule_id"], "severity"))
-    return d.select(
-        key, *(keep or []), "paras", "full_text", "sections", "tables",
-        *C.classification_columns(ft, trules, method),
-        flags.alias("flags"),
-        sev.alias("flag_severities"),
-    )
+    d = d.select(key, *(keep or []), "paras", "full_text", "sections", "tables", flags.alias("flags"))
+    d = d.withColumn("flag_severities",
+                     F.transform(F.col("flags"), lambda f: FL._rule_meta(frules, f["rule_id"], "severity")))
+    return C.with_classification(d, trules, method)
 
 
 def type_distribution(rev: DataFrame, batch_col: str) -> DataFrame:
