@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
-from lexrev.session import broadcast_if_small
+from lexrev.session import broadcast_if_small, cut_lineage
 from lexrev.sources.rules import default_rulepack
 
 
@@ -84,10 +84,17 @@ def recommendations(missing: DataFrame, batch_col: str) -> DataFrame:
     )
 
 
-def compliance(classified: DataFrame, batch_col: str, process_rules: DataFrame | None = None,
-               requirements: DataFrame | None = None, type_col: str = "predicted_type") -> DataFrame:
-    """K2 (+K1, K3-K6 folded in): one row per batch."""
-    present = present_types(classified, batch_col, type_col)
+def compliance(classified: DataFrame | None, batch_col: str, process_rules: DataFrame | None = None,
+               requirements: DataFrame | None = None, type_col: str = "predicted_type",
+               present: DataFrame | None = None) -> DataFrame:
+    """K2 (+K1, K3-K6 folded in): one row per batch.
+
+    The (batch, type) counts are computed once and checkpointed: they are small, and every
+    branch below reads them, so the classification of the corpus runs a single time.
+    """
+    if present is None:
+        present = cut_lineage(present_types(classified, batch_col, type_col))
+    classified = classified if classified is not None else present
     process = determine_process(classified, batch_col, process_rules, type_col, present)
     req = _required(process, batch_col, requirements)
     n_req = req.groupBy(batch_col).agg(F.count(F.lit(1)).alias("total_required"))

@@ -17,6 +17,7 @@ from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.operators import measures as M
 from lexrev.operators import segment as S
+from lexrev.session import cut_lineage
 
 
 def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame | None = None,
@@ -74,31 +75,45 @@ def batch_summary(rev: DataFrame, batch_col: str) -> DataFrame:
     )
 
 
-def summary_report(rev: DataFrame, batch_col: str, classified_types: DataFrame | None = None) -> DataFrame:
-    """A5: the Markdown summary of each batch."""
-    summ = batch_summary(rev, batch_col)
-    sev = severity_counts(rev, batch_col).groupBy(batch_col).agg(
-        F.map_from_entries(F.collect_list(F.struct("severity", "issues"))).alias("sev"))
-    types = (
-        rev.groupBy(batch_col, "predicted_type")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(rev.columns[0]).alias("first_doc"))
-        .groupBy(batch_col)
-        .agg(F.sort_array(F.collect_list(F.struct("first_doc", "predicted_type", "n"))).alias("types"))
+def _equals(value: str):
+    return lambda x: x == F.lit(value)
+
+
+def batch_type_counts(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataFrame:
+    """(batch, type) rows with document, issue and severity counts: the one shuffle of the batch outputs."""
+    sev = F.col("flag_severities")
+    per_doc = rev.select(
+        batch_col, key, F.col("predicted_type").alias("doc_type"),
+        F.round(F.col("confidence") * 1000).cast("long").alias("conf_k"),
+        F.size("flags").cast("long").alias("n_flags"),
+        *[F.size(F.filter(sev, _equals(s))).cast("long").alias(f"n_{s}") for s in RP.SEVERITIES],
     )
-    comp = K.compliance(rev, batch_col)
-    j = summ.join(sev, batch_col).join(types, batch_col).join(comp, batch_col)
+    return per_doc.groupBy(batch_col, "doc_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("first_doc"), F.sum("conf_k").alias("conf_k"),
+        F.sum("n_flags").alias("n_flags"), *[F.sum(f"n_{s}").alias(f"n_{s}") for s in RP.SEVERITIES],
+    )
+
+
+def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataFrame:
+    """A5: the Markdown summary of each batch, from one checkpointed (batch, type) aggregate."""
+    bt = cut_lineage(batch_type_counts(rev, batch_col, key))
+    summ = bt.groupBy(batch_col).agg(
+        F.sum("n").cast("long").alias("documents"), F.sum("n_flags").cast("long").alias("total_issues"),
+        (F.sum("conf_k").cast("double") / F.sum("n").cast("double") / F.lit(1000.0)).alias("avg_confidence"),
+        *[F.sum(f"n_{s}").cast("long").alias(f"n_{s}") for s in RP.SEVERITIES],
+        F.sort_array(F.collect_list(F.struct("first_doc", "doc_type", "n"))).alias("types"),
+    )
+    comp = K.compliance(None, batch_col, present=bt.select(batch_col, "doc_type", "n", "first_doc"))
+    j = summ.join(comp, batch_col)
     type_lines = F.array_join(
         F.transform(F.col("types"), lambda t: F.format_string(
-            "- **%s**: %d document(s)\n", X.title_words(t["predicted_type"]), t["n"])), "")
+            "- **%s**: %d document(s)\n", X.title_words(t["doc_type"]), t["n"])), "")
     recs = F.col("recommendations")
     rec_block = F.when(F.size(recs) > 0, F.concat(
         F.lit("\n## Recommendations\n"),
         F.array_join(F.transform(F.slice(recs, 1, 3), lambda r: F.concat(F.lit("- "), r, F.lit("\n"))), ""),
     )).otherwise("")
 
-    def sev_n(s):
-        return F.coalesce(F.col("sev")[s], F.lit(0))
-
     report = F.concat(
         F.lit("# ADGM Document Analysis Summary\n\n## Overview\n"),
         F.format_string("- **Documents Processed**: %d\n", F.col("documents")),
@@ -108,9 +123,9 @@ def summary_report(rev: DataFrame, batch_col: str, classified_types: DataFrame |
         F.lit("\n## Document Types Identified\n"),
         type_lines,
         F.lit("\n## Issue Breakdown by Severity\n"),
-        F.format_string("- **High Severity**: %d issues\n", sev_n("High")),
-        F.format_string("- **Medium Severity**: %d issues  \n", sev_n("Medium")),
-        F.format_string("- **Low Severity**: %d issues\n", sev_n("Low")),
+        F.format_string("- **High Severity**: %d issues\n", F.col("n_High")),
+        F.format_string("- **Medium Severity**: %d issues  \n", F.col("n_Medium")),
+        F.format_string("- **Low Severity**: %d issues\n", F.col("n_Low")),
         F.lit("\n## Compliance Analysis\n"),
         F.concat(F.lit("- **Process**: "), X.title_words(F.col("process")), F.lit("\n")),
         F.concat(F.lit("- **Completeness**: "),
