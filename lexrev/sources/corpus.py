@@ -22,11 +22,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_reference_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.txt`` file (any case of the extension) in a folder, one row per file."""
-    df = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.[tT][xX][tT]")
-        .text(folder)
-    )
+    df = spark.read.text(folder, wholetext=True, pathGlobFilter="*.[tT][xX][tT]")
     return df.select(
         F.col("_metadata.file_name").alias("source_name"),
         F.col("value").alias("text"),
