@@ -21,6 +21,7 @@ from lexrev.operators import segment as S
 from lexrev.operators import textmodel as TM
 from lexrev.plans import review as RV
 from lexrev.sources.corpus import read_documents, read_table, split_quarantine
+from lexrev.sources.rules import default_rulepack
 from lexrev.sources.seeds import seeded_documents
 
 BATCH = "source"
@@ -149,6 +150,20 @@ def q_classification_rule_based(spark, sf):
     return _classified(spark, sf, "rule_based")
 
 
+def _wide_rules(spark):
+    return default_rulepack(spark, "type_rules", wide=True)
+
+
+def q_classification_wide(spark, sf):
+    """C3-C6 with the ten-type lexicon (more document types, so more filing processes are reachable)."""
+    c = C.classify(seeded(spark, sf), type_rules=_wide_rules(spark), method="ensemble")
+    ev = F.col("best_matches")
+    return c.select("doc_id", "predicted_type", "confidence", "method_used", "evidence_types", "has_evidence",
+                    "reasoning", _join(ev["primary"]).alias("primary_hits"),
+                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["pattern"]).alias("pattern_hits"),
+                    _join(ev["section"]).alias("section_hits"))
+
+
 def q_explanations(spark, sf):
     return C.explain_classification(C.classify(seeded(spark, sf), method="ensemble"))
 
@@ -176,6 +191,15 @@ def q_compliance(spark, sf):
                     _join(F.col("recommendations")).alias("recommendations"))
 
 
+def q_compliance_wide(spark, sf):
+    cls = C.classify(seeded(spark, sf), type_rules=_wide_rules(spark), method="ensemble", keep=[BATCH])
+    c = K.compliance(cls, BATCH)
+    return c.select(BATCH, "process", "status", "completeness_percentage", "total_required", "documents_provided",
+                    "documents_matched", _join(F.col("missing_documents")).alias("missing_documents"),
+                    _join(F.col("extra_documents")).alias("extra_documents"),
+                    _join(F.col("recommendations")).alias("recommendations"))
+
+
 def _proc_present(spark, sf):
     cls = _cls(spark, sf)
     present = K.present_types(cls, BATCH)
@@ -287,10 +311,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "type_scores": q_type_scores,
     "classification": q_classification,
     "classification_rule_based": q_classification_rule_based,
+    "classification_wide": q_classification_wide,
     "explanations": q_explanations,
     "text_model": q_text_model,
     "process": q_process,
     "compliance": q_compliance,
+    "compliance_wide": q_compliance_wide,
     "missing_documents": q_missing_documents,
     "extra_documents": q_extra_documents,
     "matched_documents": q_matched_documents,

@@ -387,13 +387,15 @@ ORACLE_SQL["features"] = (with_(*BASE, SECS, TROWS, _NSEC, _NTAB) + (
 )).replace(") nsx AS", "), nsx AS")
 
 # ------------------------------------------------------------------ classification
-_TR = "(VALUES " + ", ".join(
-    f"({sq(t)}, {o}, {sq(k)}, {ord_}, {sq(term)}, {w}::DOUBLE, {str(rx).lower()})"
-    for t, o, k, ord_, term, w, rx in type_rule_rows()
-) + ") AS tr(type, type_order, kind, ord, term, weight, is_regex)"
 _KIND_RANK = "CASE tr.kind WHEN 'primary' THEN 0 WHEN 'secondary' THEN 1 WHEN 'pattern' THEN 2 ELSE 3 END"
-HITS = (
-    f"trules AS (SELECT tr.*, {_KIND_RANK} AS kr FROM {_TR}), "
+def hits_ctes(rule_rows) -> str:
+    tr = "(VALUES " + ", ".join(
+        f"({sq(t)}, {o}, {sq(k)}, {ord_}, {sq(term)}, {w}::DOUBLE, {str(rx).lower()})"
+        for t, o, k, ord_, term, w, rx in rule_rows
+    ) + ") AS tr(type, type_order, kind, ord, term, weight, is_regex)"
+    return (
+
+    f"trules AS (SELECT tr.*, {_KIND_RANK} AS kr FROM {tr}), "
     "hits AS (SELECT ft.doc_id, ft.source, t.type, t.type_order, t.kind, t.kr, t.ord, t.term, t.weight FROM ft, trules t "
     "WHERE CASE WHEN t.is_regex THEN regexp_matches(lower(ft.full_text), '(?i)' || t.term) "
     "ELSE contains(lower(ft.full_text), lower(t.term)) END), "
@@ -425,8 +427,12 @@ HITS = (
     f"CASE WHEN kinds >= 3 THEN {rhu('least(1.0::DOUBLE, conf * 1.3::DOUBLE)', 3)} "
     f"WHEN kinds >= 2 THEN {rhu('least(1.0::DOUBLE, conf * 1.1::DOUBLE)', 3)} ELSE {rhu('conf', 3)} END AS conf_ens "
     "FROM best)"
-)
+    )
+
+
+HITS = hits_ctes(type_rule_rows())
 CLS_BASE = BASE + [HITS]
+CLS_BASE_WIDE = BASE + [hits_ctes(type_rule_rows(RP.WIDE_TYPE_LEXICON))]
 
 ORACLE_SQL["rule_hits"] = with_(*CLS_BASE) + (
     "SELECT doc_id, type, CAST(type_order AS BIGINT) AS type_order, kind, CAST(ord AS BIGINT) AS ord, term, weight "
@@ -636,3 +642,11 @@ ORACLE_SQL["related_passages"] = (
     "r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, chunk_id) AS rank FROM sc) "
     "SELECT doc_id, CAST(rank AS BIGINT) AS rank, chunk_id, score FROM r WHERE rank <= 3"
 )
+
+ORACLE_SQL["classification_wide"] = with_(*CLS_BASE_WIDE) + _cls_select("conf_ens", "ensemble")
+ORACLE_SQL["compliance_wide"] = with_(*CLS_BASE_WIDE, COMP, _COMPLIANCE_ROW) + (
+    "SELECT source, process, CASE WHEN tr - dm = 0 THEN 'Complete' ELSE 'Incomplete' END AS status, "
+    f"CASE WHEN tr > 0 THEN {rhu('dm::DOUBLE / tr::DOUBLE * 100.0::DOUBLE', 1)} ELSE 100.0::DOUBLE END "
+    "AS completeness_percentage, CAST(tr AS BIGINT) AS total_required, CAST(provided AS BIGINT) AS documents_provided, "
+    "CAST(dm AS BIGINT) AS documents_matched, missing_documents, extra_documents, recommendations FROM crow"
+)
