@@ -13,9 +13,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters Python's str.isspace() accepts (str.split()/str.strip() use them).
+PY_WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + \
+    "\u2028\u2029\u202f\u205f\u3000"
+# ... of which Java's ASCII \s does not know these; a text holding one takes the slower, exact path.
+EXOTIC_WS_CHARS = "".join(ch for ch in PY_WS_CHARS if ch not in " \t\n\x0b\x0c\r")
+EXOTIC_WS = "[\\x1C-\\x1F\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 WS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
-NON_WS_RUN = WS.replace("[", "[^", 1) + "+"
-_STRIP = f"^{WS}+|{WS}+$"
+
+
+def _ascii_ws(c: Column) -> Column:
+    """Map the whitespace Java's \\s lacks to a space, only for texts that hold some."""
+    return F.when(c.rlike(EXOTIC_WS), F.translate(c, EXOTIC_WS_CHARS, " " * len(EXOTIC_WS_CHARS))).otherwise(c)
+
 
 CASED_UPPER = "[\\p{Lu}\\p{Lt}]"
 CASED_LOWER = "\\p{Ll}"
@@ -32,18 +41,18 @@ def col_of(c: Column | str) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(col_of(c), _STRIP, "")
+    """``str.strip()``: remove leading/trailing Unicode whitespace (a character-set trim)."""
+    return F.btrim(col_of(c), F.lit(PY_WS_CHARS))
 
 
 def word_count(c: Column | str) -> Column:
     """``len(s.split())`` as BIGINT; 0 for null or blank."""
-    return F.coalesce(F.regexp_count(col_of(c), F.lit(NON_WS_RUN)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(_ascii_ws(col_of(c)), F.lit("\\S+")), F.lit(0)).cast("long")
 
 
 def words(c: Column | str) -> Column:
     """``s.split()`` as an array (empty for blank text)."""
-    return F.filter(F.split(F.coalesce(col_of(c), F.lit("")), WS + "+"), lambda w: w != "")
+    return F.filter(F.split(_ascii_ws(F.coalesce(col_of(c), F.lit(""))), "\\s+"), lambda w: w != "")
 
 
 def sentence_count(c: Column | str) -> Column:
@@ -53,7 +62,7 @@ def sentence_count(c: Column | str) -> Column:
 
 def non_ws_chars(c: Column | str) -> Column:
     """Sum of the lengths of the whitespace-separated words."""
-    return F.length(F.regexp_replace(col_of(c), WS, "")).cast("long")
+    return F.length(F.translate(col_of(c), PY_WS_CHARS, "")).cast("long")
 
 
 def round_half_up(c: Column, n: int) -> Column:

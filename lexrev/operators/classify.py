@@ -46,7 +46,7 @@ def _hit(lt: Column, r) -> Column:
 def _ft(docs: DataFrame, text_col: str) -> DataFrame:
     if "full_text" in docs.columns:
         return docs
-    return docs.withColumn("full_text", S.full_text_of(S.paragraph_array(F.col(text_col))))
+    return docs.withColumn("full_text", S.full_text_from_text(F.col(text_col)))
 
 
 def _hits_array(hits: Column, rules) -> Column:

@@ -101,7 +101,7 @@ def _rule_meta(rules: list[FlagRule], rule_id: Column, field: str) -> Column:
 def _with_full_text(docs: DataFrame, text_col: str) -> DataFrame:
     if "full_text" in docs.columns:
         return docs
-    return docs.withColumn("full_text", S.full_text_of(S.paragraph_array(F.col(text_col))))
+    return docs.withColumn("full_text", S.full_text_from_text(F.col(text_col)))
 
 
 def scan_flags(docs: DataFrame, flag_rules: DataFrame | None = None, key: str = "doc_id",

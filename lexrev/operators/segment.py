@@ -77,15 +77,20 @@ def section_importance(title: Column) -> Column:
 
 
 # ----------------------------------------------------------------- per-document arrays
+# Built in stages (separate projections): an array used by several later expressions is
+# materialised once, because higher-order functions evaluate their inputs without
+# common-subexpression elimination (an inline array would be recomputed per element access).
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def paragraph_array(text: Column) -> Column:
+def stripped_lines(text: Column) -> Column:
+    return F.transform(lines_of(text), lambda l: X.py_strip(l))
+
+
+def paragraphs_from_lines(lines: Column) -> Column:
     """P1 as an array: non-empty stripped lines with their line index (empties counted)."""
-    tagged = F.transform(
-        lines_of(text), lambda l, i: F.struct(i.alias("idx"), X.py_strip(l).alias("text"))
-    )
+    tagged = F.transform(lines, lambda l, i: F.struct(i.alias("idx"), l.alias("text")))
     kept = F.filter(tagged, lambda p: p["text"] != "")
     return F.transform(
         kept,
@@ -98,15 +103,28 @@ def paragraph_array(text: Column) -> Column:
     )
 
 
+def paragraph_array(text: Column) -> Column:
+    return paragraphs_from_lines(stripped_lines(text))
+
+
+def full_text_from_text(text: Column) -> Column:
+    """P10 straight from the raw text: non-empty stripped lines joined by one space."""
+    return F.array_join(F.filter(stripped_lines(text), lambda l: l != ""), " ")
+
+
 def full_text_of(paras: Column) -> Column:
     """P10: paragraphs joined by one space."""
     return F.array_join(F.transform(paras, lambda p: p["text"]), " ")
 
 
-def section_array(paras: Column) -> Column:
+def section_starts(paras: Column) -> Column:
+    """Positions (0-based) of the section openers."""
+    return F.filter(F.transform(paras, lambda p, i: F.when(p["opens_section"], i)), lambda x: x.isNotNull())
+
+
+def sections_from(paras: Column, starts: Column) -> Column:
     """An opener starts a section and is its first paragraph; earlier paragraphs belong to none."""
     n = F.size(paras)
-    starts = F.filter(F.transform(paras, lambda p, i: F.when(p["opens_section"], i)), lambda x: x.isNotNull())
 
     def one(s, k):
         nxt = F.coalesce(F.try_element_at(starts, k + 2), n)
@@ -120,25 +138,27 @@ def section_array(paras: Column) -> Column:
     return F.transform(starts, one)
 
 
-def table_array(text: Column, min_rows: int = 1) -> Column:
-    """Islands of adjacent lines holding ' | ' become tables of trimmed cells."""
-    lines = F.transform(lines_of(text), lambda l: X.py_strip(l))
-    flags = F.transform(lines, lambda l: F.locate(TABLE_ROW_MARK, l) > 0)
-    n = F.size(lines)
+def table_flags(lines: Column) -> Column:
+    return F.transform(lines, lambda l: F.locate(TABLE_ROW_MARK, l) > 0)
+
+
+def island_bounds(flags: Column) -> tuple[Column, Column]:
+    """First and last line index of every run of flagged lines."""
+    n = F.size(flags)
     starts = F.filter(
-        F.transform(
-            flags,
-            lambda f, i: F.when(f & F.when(i > 0, ~F.element_at(flags, i)).otherwise(F.lit(True)), i),
-        ),
+        F.transform(flags, lambda f, i: F.when(f & F.when(i > 0, ~F.element_at(flags, i)).otherwise(F.lit(True)), i)),
         lambda x: x.isNotNull(),
     )
     ends = F.filter(
-        F.transform(
-            flags,
-            lambda f, i: F.when(f & F.when(i < n - 1, ~F.element_at(flags, i + 2)).otherwise(F.lit(True)), i),
-        ),
+        F.transform(flags, lambda f, i: F.when(
+            f & F.when(i < n - 1, ~F.element_at(flags, i + 2)).otherwise(F.lit(True)), i)),
         lambda x: x.isNotNull(),
     )
+    return starts, ends
+
+
+def tables_from(lines: Column, starts: Column, ends: Column, min_rows: int = 1) -> Column:
+    """Islands of adjacent lines holding ' | ' become tables of trimmed cells."""
     islands = F.transform(
         starts,
         lambda s, k: F.struct(
@@ -152,22 +172,26 @@ def table_array(text: Column, min_rows: int = 1) -> Column:
     kept = F.filter(islands, lambda t: F.size(t["rows"]) >= min_rows)
     return F.transform(
         kept,
-        lambda t, k: F.struct(
-            k.alias("table_idx"),
-            t["first_line"].alias("first_line"),
-            t["rows"].alias("rows"),
-        ),
+        lambda t, k: F.struct(k.alias("table_idx"), t["first_line"].alias("first_line"), t["rows"].alias("rows")),
     )
 
 
-def with_structure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``paras``, ``full_text``, ``sections`` and ``tables`` arrays to each document row."""
-    return (
-        docs.withColumn("paras", paragraph_array(F.col(text_col)))
-        .withColumn("full_text", full_text_of(F.col("paras")))
-        .withColumn("sections", section_array(F.col("paras")))
-        .withColumn("tables", table_array(F.col(text_col)))
-    )
+def with_structure(docs: DataFrame, text_col: str = "text", min_table_rows: int = 1) -> DataFrame:
+    """Add ``paras``, ``full_text``, ``sections`` and ``tables`` arrays to each document row (map-only)."""
+    d = docs.withColumn("_lines", stripped_lines(F.col(text_col)))
+    d = d.withColumn("paras", paragraphs_from_lines(F.col("_lines"))).withColumn("_tflags", table_flags(F.col("_lines")))
+    ts, te = island_bounds(F.col("_tflags"))
+    d = (d.withColumn("full_text", full_text_of(F.col("paras")))
+         .withColumn("_sstarts", section_starts(F.col("paras")))
+         .withColumn("_tstarts", ts).withColumn("_tends", te))
+    d = (d.withColumn("sections", sections_from(F.col("paras"), F.col("_sstarts")))
+         .withColumn("tables", tables_from(F.col("_lines"), F.col("_tstarts"), F.col("_tends"), min_table_rows)))
+    return d.drop("_lines", "_tflags", "_sstarts", "_tstarts", "_tends")
+
+
+def section_array(paras: Column) -> Column:
+    """P7 from a paragraph array column (use ``with_structure`` for whole corpora)."""
+    return sections_from(paras, section_starts(paras))
 
 
 # ----------------------------------------------------------------- P1 rows
@@ -194,7 +218,7 @@ def paragraphs(docs: DataFrame, text_col: str = "text", key: str = "doc_id") ->
 # ----------------------------------------------------------------- P7-P10 rows
 def sections(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per section with type, importance, size and section text."""
-    s = docs.select(key, F.inline(section_array(paragraph_array(F.col(text_col)))))
+    s = with_structure(docs.select(key, text_col), text_col).select(key, F.inline("sections"))
     ptexts = F.transform(F.col("paragraphs"), lambda p: p["text"])
     return s.select(
         key,
@@ -236,7 +260,7 @@ def table_type(rows: Column) -> Column:
 
 
 def text_tables(docs: DataFrame, text_col: str = "text", key: str = "doc_id", min_rows: int = 1) -> DataFrame:
-    t = docs.select(key, F.inline(table_array(F.col(text_col), min_rows)))
+    t = with_structure(docs.select(key, text_col), text_col, min_rows).select(key, F.inline("tables"))
     rows = F.col("rows")
     return t.select(
         key,
@@ -272,6 +296,5 @@ def structure_columns(paras: Column, secs: Column) -> list[Column]:
 
 
 def document_structure(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    s = docs.select(key, paragraph_array(F.col(text_col)).alias("paras"))
-    s = s.select(key, "paras", section_array(F.col("paras")).alias("sections"))
+    s = with_structure(docs.select(key, text_col), text_col)
     return s.select(key, *structure_columns(F.col("paras"), F.col("sections")))
