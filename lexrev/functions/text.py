@@ -121,3 +121,19 @@ def title_words(c: Column) -> Column:
 def percent1(c: Column) -> Column:
     """Python ``f'{x:.1%}'`` with half-up rounding."""
     return F.concat(F.format_string("%.1f", round_half_up(c * F.lit(100.0), 1)), F.lit("%"))
+
+
+# Generators over computed arrays.  An inner explode/inline makes Catalyst infer
+# ``size(array) > 0`` and push that filter below the projection that builds the array,
+# where it is inlined and the array is computed twice.  The outer generators infer
+# nothing; the empty-array row they emit is dropped right after the generator.
+def inline_rows(df, keep: list, arr: Column, present: str):
+    """``inline`` of an array of structs; ``present`` is a field that is never null in an element."""
+    return df.select(*keep, F.inline_outer(arr)).where(F.col(present).isNotNull())
+
+
+def explode_rows(df, keep: list, arr: Column, name: str, pos: str | None = None):
+    """``explode`` (or ``posexplode`` when ``pos`` is given) of an array without null elements."""
+    if pos:
+        return df.select(*keep, F.posexplode_outer(arr).alias(pos, name)).where(F.col(name).isNotNull())
+    return df.select(*keep, F.explode_outer(arr).alias(name)).where(F.col(name).isNotNull())

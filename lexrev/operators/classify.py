@@ -40,7 +40,7 @@ def _hit(lt: Column, r) -> Column:
     """A rule fires once per document: substring of the lower-cased text, or a regex search (any case)."""
     if r.is_regex:
         return F.coalesce(lt.rlike(X.py_regex(r.term, ignore_case=True)), F.lit(False))
-    return F.locate(r.term.lower(), lt) > 0
+    return lt.contains(r.term.lower())
 
 
 def _ft(docs: DataFrame, text_col: str) -> DataFrame:
@@ -66,7 +66,7 @@ def rule_hits(docs: DataFrame, type_rules: DataFrame | None = None, key: str = "
     """One row per (document, rule) that fires."""
     rules = load_type_rules(type_rules, docs.sparkSession)
     d = _staged_hits(_ft(docs, text_col), [key], rules)
-    h = d.select(key, F.inline(_hits_array(F.col("_hits"), rules)))
+    h = X.inline_rows(d, [key], _hits_array(F.col("_hits"), rules), "type")
     return h.select(key, "type", F.col("type_order").cast("long").alias("type_order"), "kind",
                     F.col("ord").cast("long").alias("ord"), "term", "weight")
 
@@ -117,7 +117,7 @@ def type_scores(docs: DataFrame, type_rules: DataFrame | None = None, key: str =
     """Raw and length-normalised score of every type for every document."""
     rules = load_type_rules(type_rules, docs.sparkSession)
     d = _staged_hits(_ft(docs, text_col), [key], rules)
-    s = d.select(key, F.inline(_score_array(F.col("_hits"), F.col("_w"), rules)))
+    s = X.inline_rows(d, [key], _score_array(F.col("_hits"), F.col("_w"), rules), "type")
     return s.select(key, "type", F.col("type_order").cast("long").alias("type_order"), "raw_score",
                     X.round_half_up(F.col("score"), 3).alias("normalized_score"))
 

@@ -109,7 +109,7 @@ def scan_flags(docs: DataFrame, flag_rules: DataFrame | None = None, key: str =
     """every match of every rule in ``full_text`` (rule order, then position)."""
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = _with_full_text(docs, text_col)
-    f = d.select(key, F.inline(_flag_struct_array(F.col("full_text"), rules)))
+    f = X.inline_rows(d, [key], _flag_struct_array(F.col("full_text"), rules), "rule_id")
     rid = F.col("rule_id")
     return f.select(
         key,
@@ -171,7 +171,7 @@ def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode:
         raise ValueError("mode must be 'reference' or 'paragraph'")
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    c = d.select(key, F.inline(_comment_array(F.col("paras"), F.col("full_text"), rules, mode)))
+    c = X.inline_rows(d, [key], _comment_array(F.col("paras"), F.col("full_text"), rules, mode), "rule_id")
     return c.select(
         key,
         F.col("rule_id").cast("long").alias("rule_id"),
@@ -236,6 +236,6 @@ def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "
             F.when(F.size(mine) > 0, _style(F.element_at(mine, -1)["severity"])).alias("highlight"),
         )
 
-    out = d.select(key, F.inline(F.transform(F.col("paras"), per_para)))
+    out = X.inline_rows(d, [key], F.transform(F.col("paras"), per_para), "idx")
     return out.select(key, F.col("idx").cast("long").alias("idx"), "text", "annotated_text", "n_comments",
                       "highlight")

@@ -165,7 +165,7 @@ def key_phrase_table(docs: DataFrame, key: str = "doc_id", text_col: str = "text
 def organisations(docs: DataFrame, key: str = "doc_id", text_col: str = "text", n: int = 20) -> DataFrame:
     """One row per organisation mention (position kept), label ORGANIZATION."""
     d = structured(docs, text_col)
-    return d.select(key, F.posexplode(organisation_matches(F.col("full_text"), n)).alias("pos", "text")).select(
+    return X.explode_rows(d, [key], organisation_matches(F.col("full_text"), n), "text", "pos").select(
         key, F.col("pos").cast("long").alias("pos"), "text", F.lit("ORGANIZATION").alias("label")
     )
 

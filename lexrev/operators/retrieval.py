@@ -56,8 +56,8 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int = RP.RETRIEVE_K, qid: str
     qs = F.array(*[
         F.struct(F.lit(r[0]).alias("qid"), F.array(*[F.lit(float(x)) for x in r[1]]).alias("qv")) for r in rows
     ])
-    d = vectors.select(vid, F.inline(F.transform(
-        qs, lambda q: F.struct(q["qid"].alias(qid), squared_l2(q["qv"], F.col(vvec)).alias("distance")))))
+    d = X.inline_rows(vectors, [vid], F.transform(
+        qs, lambda q: F.struct(q["qid"].alias(qid), squared_l2(q["qv"], F.col(vvec)).alias("distance"))), qid)
     w = Window.partitionBy(qid).orderBy("distance", vid)
     return d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
         qid, F.col("rank").cast("long").alias("rank"), vid, "distance", F.lit("high").alias("relevance"))
@@ -74,7 +74,7 @@ def label_centroids(vectors: DataFrame, label: str = "label", vvec: str = "embed
 
 def _terms(df: DataFrame, key: str, text_col: str) -> DataFrame:
     toks = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(X.py_regex(TOKEN_REGEX)), 0)
-    return df.select(key, F.explode(toks).alias("term"))
+    return X.explode_rows(df, [key], toks, "term")
 
 
 def passage_vectors(passages: DataFrame, key: str = "chunk_id", text_col: str = "text") -> DataFrame:

@@ -139,7 +139,7 @@ def sections_from(paras: Column, starts: Column) -> Column:
 
 
 def table_flags(lines: Column) -> Column:
-    return F.transform(lines, lambda l: F.locate(TABLE_ROW_MARK, l) > 0)
+    return F.transform(lines, lambda l: l.contains(TABLE_ROW_MARK))
 
 
 def island_bounds(flags: Column) -> tuple[Column, Column]:
@@ -197,7 +197,7 @@ def section_array(paras: Column) -> Column:
 # ----------------------------------------------------------------- P1 rows
 def paragraphs(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per kept paragraph with its measures."""
-    p = docs.select(key, F.posexplode(lines_of(F.col(text_col))).alias("idx", "raw"))
+    p = X.explode_rows(docs, [key], lines_of(F.col(text_col)), "raw", "idx")
     p = p.select(key, F.col("idx").cast("long").alias("idx"), X.py_strip(F.col("raw")).alias("text")).where(
         F.col("text") != ""
     )
@@ -218,7 +218,7 @@ def paragraphs(docs: DataFrame, text_col: str = "text", key: str = "doc_id") ->
 # ----------------------------------------------------------------- P7-P10 rows
 def sections(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per section with type, importance, size and section text."""
-    s = with_structure(docs.select(key, text_col), text_col).select(key, F.inline("sections"))
+    s = X.inline_rows(with_structure(docs.select(key, text_col), text_col), [key], F.col("sections"), "sec")
     ptexts = F.transform(F.col("paragraphs"), lambda p: p["text"])
     return s.select(
         key,
@@ -260,7 +260,7 @@ def table_type(rows: Column) -> Column:
 
 
 def text_tables(docs: DataFrame, text_col: str = "text", key: str = "doc_id", min_rows: int = 1) -> DataFrame:
-    t = with_structure(docs.select(key, text_col), text_col, min_rows).select(key, F.inline("tables"))
+    t = X.inline_rows(with_structure(docs.select(key, text_col), text_col, min_rows), [key], F.col("tables"), "table_idx")
     rows = F.col("rows")
     return t.select(
         key,

@@ -59,7 +59,7 @@ def severity_counts(rev: DataFrame, batch_col: str) -> DataFrame:
         batch_col, F.explode(F.array(*[F.lit(s) for s in RP.SEVERITIES])).alias("severity"),
         F.lit(0).cast("long").alias("n"),
     )
-    hits = rev.select(batch_col, F.explode("flag_severities").alias("severity")).groupBy(batch_col, "severity").agg(
+    hits = X.explode_rows(rev, [batch_col], F.col("flag_severities"), "severity").groupBy(batch_col, "severity").agg(
         F.count(F.lit(1)).alias("n"))
     return zero.unionByName(hits).groupBy(batch_col, "severity").agg(F.sum("n").cast("long").alias("issues"))
 
