@@ -36,14 +36,23 @@ def review_uploads(spark: SparkSession, inbox: str, out_dir: str, name: str = "u
             .parquet(inbox))
 
     def per_upload(batch: DataFrame, batch_id: int) -> None:
+        # foreachBatch may replay a batch after a failure: each output goes to its own
+        # upload=<id> folder written with overwrite, so a replay replaces instead of duplicating.
+        def sink(df: DataFrame, table: str) -> None:
+            df.drop("upload").write.mode("overwrite").parquet(os.path.join(out_dir, table, f"upload={batch_id}"))
+
         b = batch.withColumn("upload", F.lit(batch_id).cast("long"))
-        rev = RV.reviewed(b, keep=["upload"])
-        per_doc = rev.select("upload", "doc_id", "predicted_type", "confidence",
-                             F.size("flags").cast("long").alias("issues"))
-        per_doc.write.mode("append").parquet(os.path.join(out_dir, "documents"))
-        RV.severity_counts(rev, "upload").write.mode("append").parquet(os.path.join(out_dir, "severity"))
-        comp = K.compliance(per_doc, "upload")
-        comp.write.mode("append").parquet(os.path.join(out_dir, "compliance"))
+        # the compact per-document result is reused by three outputs of this upload
+        rev = RV.reviewed(b, keep=["upload"]).select(
+            "upload", "doc_id", "predicted_type", "confidence", "flags", "flag_severities").persist()
+        try:
+            per_doc = rev.select("upload", "doc_id", "predicted_type", "confidence",
+                                 F.size("flags").cast("long").alias("issues"))
+            sink(per_doc, "documents")
+            sink(RV.severity_counts(rev, "upload"), "severity")
+            sink(K.compliance(per_doc, "upload"), "compliance")
+        finally:
+            rev.unpersist()
 
     writer = (docs.writeStream.foreachBatch(per_upload)
               .option("checkpointLocation", os.path.join(checkpoint_dir(spark), f"stream-{name}")))
