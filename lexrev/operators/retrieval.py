@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
-from lexrev.session import bounded_rows, broadcast_if_small
+from lexrev.session import bounded_rows, broadcast_if_small, cut_lineage
 
 TOKEN_REGEX = "[\\p{L}\\p{N}]+"
 
@@ -90,18 +90,22 @@ def passage_vectors(passages: DataFrame, key: str = "chunk_id", text_col: str =
 def related_passages(docs: DataFrame, passages: DataFrame, k: int = RP.RETRIEVE_K, key: str = "doc_id",
                      text_col: str = "text", pkey: str = "chunk_id", ptext: str = "text") -> DataFrame:
     """Top-k passages per document by TF-IDF cosine over the passage vocabulary."""
-    pv = passage_vectors(passages, pkey, ptext)
+    # the passage library is bounded and read three times (vocabulary, postings, norms):
+    # materialise its vectors once in the checkpoint folder
+    pv = cut_lineage(passage_vectors(passages, pkey, ptext))
     pnorm = pv.groupBy(pkey).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("pnorm"))
     vocab = broadcast_if_small(pv.select("term", "idf").distinct())
     dt = _terms(docs, key, text_col).join(vocab, "term").groupBy(key, "term", "idf").agg(
         F.count(F.lit(1)).alias("tf"))
-    dv = dt.select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    dnorm = dv.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dnorm"))
+    # one exchange on the document key; norms, dot products, their join and the top-k window
+    # below are all keyed by the document (or document + passage) and reuse this partitioning
+    dv = dt.select(key, "term", (F.col("tf") * F.col("idf")).alias("w")).repartition(key)
+    dv = dv.withColumn("dnorm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key))))
     dots = (
         dv.join(broadcast_if_small(pv.select(pkey, "term", F.col("w").alias("pw"))), "term")
-        .groupBy(key, pkey).agg(F.sum(F.col("w") * F.col("pw")).alias("dot"))
+        .groupBy(key, pkey).agg(F.sum(F.col("w") * F.col("pw")).alias("dot"), F.max("dnorm").alias("dnorm"))
     )
-    scored = dots.join(dnorm, key).join(broadcast_if_small(pnorm), pkey).select(
+    scored = dots.join(broadcast_if_small(pnorm), pkey).select(
         key, pkey, X.round_half_up(F.col("dot") / (F.col("dnorm") * F.col("pnorm")), 6).alias("score"))
     w = Window.partitionBy(key).orderBy(F.desc("score"), pkey)
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
