@@ -22,3 +22,20 @@ def test_quarantine(spark):
     assert sorted(r.doc_id for r in good.collect()) == [1]
     e = {(r.doc_id, r.error) for r in errors.collect()}
     assert e == {(2, "blank text"), (3, "missing text"), (4, "duplicate id"), (None, "missing id")}
+
+
+def test_rule_pack_from_json(spark):
+    import json
+
+    from lexrev.operators import flags as FL
+    from lexrev.sources.rules import read_rulepack
+
+    d = tempfile.mkdtemp(prefix="lexrev-rules-")
+    path = os.path.join(d, "flags.json")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(json.dumps({"rule_id": 0, "pattern": r"force\s+majeure", "issue": "Check", "severity": "Low",
+                            "suggestion": "Review", "reference": "", "category": "contract_terms"}) + "\n")
+    rules = read_rulepack(spark, path, "flag_rules")
+    docs = spark.createDataFrame([(1, "A Force  Majeure event.")], "doc_id long, text string")
+    f = FL.scan_flags(docs, rules).first()
+    assert (f.matched_text, f.start, f.end, f.severity) == ("Force  Majeure", 2, 16, "Low")
