@@ -18,7 +18,6 @@ PY_WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) f
 # ... of which Java's ASCII \s does not know these; a text holding one takes the slower, exact path.
 EXOTIC_WS_CHARS = "".join(ch for ch in PY_WS_CHARS if ch not in " \t\n\x0b\x0c\r")
 EXOTIC_WS = "[\\x1C-\\x1F\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
-WS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 
 
 def _ascii_ws(c: Column) -> Column:

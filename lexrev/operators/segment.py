@@ -103,10 +103,6 @@ def paragraphs_from_lines(lines: Column) -> Column:
     )
 
 
-def paragraph_array(text: Column) -> Column:
-    return paragraphs_from_lines(stripped_lines(text))
-
-
 def full_text_from_text(text: Column) -> Column:
     """P10 straight from the raw text: non-empty stripped lines joined by one space."""
     return F.array_join(F.filter(stripped_lines(text), lambda l: l != ""), " ")
@@ -189,11 +185,6 @@ def with_structure(docs: DataFrame, text_col: str = "text", min_table_rows: int
     return d.drop("_lines", "_tflags", "_sstarts", "_tstarts", "_tends")
 
 
-def section_array(paras: Column) -> Column:
-    """P7 from a paragraph array column (use ``with_structure`` for whole corpora)."""
-    return sections_from(paras, section_starts(paras))
-
-
 # ----------------------------------------------------------------- P1 rows
 def paragraphs(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per kept paragraph with its measures."""
