@@ -10,10 +10,26 @@ from lexrev.session import broadcast_if_small
 DOC_COLUMNS = ["doc_id", "text", "lang", "source"]
 
 
-def read_documents(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, columns: list[str] | None = None,
+                   spread: bool = True) -> DataFrame:
     """A corpus of documents (one row per document); only the needed columns are read."""
     df = spark.read.parquet(path)
-    return df.select(*(columns or [c for c in DOC_COLUMNS if c in df.columns]))
+    df = df.select(*(columns or [c for c in DOC_COLUMNS if c in df.columns]))
+    return spread_documents(df) if spread else df
+
+
+def spread_documents(df: DataFrame, key: str = "doc_id", per_core: int = 2) -> DataFrame:
+    """Spread documents over all cores when the scan yields fewer splits than there are cores.
+
+    The review is CPU-bound (regular expressions over whole texts, a few MB/s per core), so a
+    file written as one row group would otherwise be reviewed by a single task.  Hashing on the
+    document key costs one shuffle of the text, far less than the work it balances.  A large
+    corpus already has many splits and is left untouched (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * per_core, key)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
