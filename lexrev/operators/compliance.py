@@ -53,23 +53,23 @@ def _required(process: DataFrame, batch_col: str, requirements: DataFrame | None
 
 
 def missing_documents(process: DataFrame, present: DataFrame, batch_col: str,
-                      requirements: DataFrame | None = None) -> DataFrame:
+                      requirements: DataFrame | None = None, req: DataFrame | None = None) -> DataFrame:
     """K3: required types not present in the batch."""
-    req = _required(process, batch_col, requirements)
+    req = req if req is not None else _required(process, batch_col, requirements)
     return req.join(present.select(batch_col, "doc_type"), [batch_col, "doc_type"], "left_anti")
 
 
 def extra_documents(process: DataFrame, present: DataFrame, batch_col: str,
-                    requirements: DataFrame | None = None) -> DataFrame:
+                    requirements: DataFrame | None = None, req: DataFrame | None = None) -> DataFrame:
     """K4: present types the process does not require."""
-    req = _required(process, batch_col, requirements)
+    req = req if req is not None else _required(process, batch_col, requirements)
     return present.select(batch_col, "doc_type").join(req, [batch_col, "doc_type"], "left_anti")
 
 
 def matched_documents(process: DataFrame, present: DataFrame, batch_col: str,
-                      requirements: DataFrame | None = None) -> DataFrame:
+                      requirements: DataFrame | None = None, req: DataFrame | None = None) -> DataFrame:
     """K5: present types the process requires."""
-    req = _required(process, batch_col, requirements)
+    req = req if req is not None else _required(process, batch_col, requirements)
     return present.select(batch_col, "doc_type").join(req, [batch_col, "doc_type"], "left_semi")
 
 
@@ -98,17 +98,15 @@ def compliance(classified: DataFrame | None, batch_col: str, process_rules: Data
     process = determine_process(classified, batch_col, process_rules, type_col, present)
     req = _required(process, batch_col, requirements)
     n_req = req.groupBy(batch_col).agg(F.count(F.lit(1)).alias("total_required"))
-    matched = (
-        present.select(batch_col, "doc_type").join(req, [batch_col, "doc_type"], "left_semi")
-        .groupBy(batch_col).agg(F.count(F.lit(1)).alias("documents_matched"))
-    )
+    matched = matched_documents(process, present, batch_col, req=req).groupBy(batch_col).agg(
+        F.count(F.lit(1)).alias("documents_matched"))
     provided = present.groupBy(batch_col).agg(F.sum("n").alias("documents_provided"))
-    missing = missing_documents(process, present, batch_col, requirements)
+    missing = missing_documents(process, present, batch_col, req=req)
     recs = recommendations(missing, batch_col).groupBy(batch_col).agg(
         F.sort_array(F.collect_list("recommendation")).alias("recommendations"),
         F.sort_array(F.collect_list("doc_type")).alias("missing_documents"),
     )
-    extra = extra_documents(process, present, batch_col, requirements).groupBy(batch_col).agg(
+    extra = extra_documents(process, present, batch_col, req=req).groupBy(batch_col).agg(
         F.sort_array(F.collect_list("doc_type")).alias("extra_documents"))
     out = (
         process.join(n_req, batch_col, "left").join(matched, batch_col, "left").join(provided, batch_col, "left")

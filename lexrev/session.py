@@ -66,7 +66,26 @@ def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS, what: str = "ta
     return rows
 
 
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def known_size(df: DataFrame) -> int | None:
+    """The optimizer's size estimate in bytes, when it has one (local relations, file scans)."""
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - statistics are an optimisation only
+        return None
+    return None if size >= 2 ** 62 else size
+
+
 def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a measured size; otherwise leave the join to the planner (shuffle)."""
+    """Broadcast hint only behind a checked size; otherwise leave the join to the planner (shuffle).
+
+    A side whose estimated size is known and small is broadcast without running a job;
+    otherwise its rows are counted up to ``limit``.
+    """
+    size = known_size(df)
+    if size is not None and size <= MAX_BROADCAST_BYTES:
+        return F.broadcast(df)
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df

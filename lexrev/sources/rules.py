@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -88,7 +89,9 @@ def default_rulepack(spark: SparkSession, kind: str, wide: bool = False) -> Data
         rows = process_rule_rows()
     else:
         raise ValueError(f"unknown rule pack {kind!r}")
-    return spark.createDataFrame(rows, SCHEMAS[kind])
+    # from pandas: a local relation whose exact size the optimizer knows (no job to size it)
+    schema = SCHEMAS[kind]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=schema.fieldNames()), schema)
 
 
 def read_rulepack(spark: SparkSession, path: str, kind: str) -> DataFrame:
