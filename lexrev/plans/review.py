@@ -136,7 +136,8 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataF
     return j.select(batch_col, report.alias("report"))
 
 
-def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None = None) -> DataFrame:
+def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None = None,
+                    carry: list[str] | None = None) -> DataFrame:
     """The nested result record of each document (flat key columns + one struct)."""
     ft = F.col("full_text")
     score, level = M.readability(ft)
@@ -165,7 +166,7 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
         ).alias("content_analysis"),
         F.struct(flags.alias("red_flags"), F.size(flags).cast("long").alias("issues")).alias("review"),
     )
-    return rev.select(key, *([batch_col] if batch_col else []), record.alias("report"))
+    return rev.select(key, *([batch_col] if batch_col else []), record.alias("report"), *(carry or []))
 
 
 def processing_log(rev: DataFrame, key: str = "doc_id") -> DataFrame:
