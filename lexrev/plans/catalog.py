@@ -20,7 +20,7 @@ from lexrev.operators import retrieval as R
 from lexrev.operators import segment as S
 from lexrev.operators import textmodel as TM
 from lexrev.plans import review as RV
-from lexrev.sources.corpus import read_documents, read_table, split_quarantine
+from lexrev.sources.corpus import read_documents, read_table, split_quarantine, with_file_metadata
 from lexrev.sources.rules import default_rulepack
 from lexrev.sources.seeds import seeded_documents
 
@@ -267,6 +267,12 @@ def q_processing_log(spark, sf):
     return RV.processing_log(_reviewed(spark, sf))
 
 
+def q_file_metadata(spark, sf):
+    """S3: the file each document row was read from (name and size); rows-only check."""
+    d = with_file_metadata(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id"))
+    return d.select("doc_id", "filename", "file_size")
+
+
 def q_quarantine(spark, sf):
     good, errors = split_quarantine(documents(spark, sf))
     return errors
@@ -328,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_report": q_document_report,
     "processing_log": q_processing_log,
     "quarantine": q_quarantine,
+    "file_metadata": q_file_metadata,
     "chunks": q_chunks,
     "knn_centroids": q_knn_centroids,
     "related_passages": q_related_passages,

@@ -12,5 +12,5 @@ def test_entry_smoke(spark):
 def test_registry_names():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"text_model"}
+    assert set(q) - set(o) == {"text_model", "file_metadata"}
     assert not any(k.startswith("op") for k in q)
