@@ -136,3 +136,22 @@ def explode_rows(df, keep: list, arr: Column, name: str, pos: str | None = None)
     if pos:
         return df.select(*keep, F.posexplode_outer(arr).alias(pos, name)).where(F.col(name).isNotNull())
     return df.select(*keep, F.explode_outer(arr).alias(name)).where(F.col(name).isNotNull())
+
+
+def pinned(*arrays: Column) -> Column:
+    """Always true for non-null arrays; a second reference that keeps each array materialised.
+
+    Catalyst's CollapseProject inlines a producer that its consumer references only once --
+    also into a lambda, where it would then be recomputed for every element.  Guarding an
+    expression with ``F.when(pinned(a, b), ...)`` makes the arrays it reads inside lambdas
+    referenced twice, so they stay columns of the previous projection.
+    """
+    cond = F.lit(True)
+    for a in arrays:
+        cond = cond & (F.size(a) >= 0)
+    return cond
+
+
+def seq0(n: Column) -> Column:
+    """0 .. n-1 as an int array (empty when n <= 0)."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))

@@ -51,43 +51,61 @@ def load_flag_rules(flag_rules: DataFrame | None = None, spark=None) -> list[Fla
     ]
 
 
-def _match_spans(text: Column, regex: str) -> Column:
-    """All non-overlapping matches with [start, end) code-point offsets, in text order."""
-    m = F.regexp_extract_all(text, F.lit(regex), 0)
-    gaps = F.slice(F.split(text, regex, -1), 1, F.size(m))
-    pieces = F.zip_with(gaps, m, lambda g, x: F.struct(F.length(g).alias("gl"), x.alias("m")))
-    elem = F.struct(F.lit("").alias("matched_text"), F.lit(0).alias("start"), F.lit(0).alias("end"))
-    empty = F.filter(F.array(elem), lambda e: F.lit(False))
-    init = F.struct(F.lit(0).alias("pos"), empty.alias("out"))
-
-    def step(acc, p):
-        start = acc["pos"] + p["gl"]
-        end = start + F.length(p["m"])
-        item = F.struct(p["m"].alias("matched_text"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(item)).alias("out"))
-
-    spans = F.aggregate(pieces, init, step, lambda acc: acc["out"])
-    return F.when(text.rlike(regex), spans).otherwise(empty)
-
-
-def _tag_span(rule_id: int):
-    def tag(s, i):
-        return F.struct(
-            F.lit(rule_id).alias("rule_id"),
-            (i + 1).alias("occurrence"),
-            s["matched_text"].alias("matched_text"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-        )
-    return tag
+BLOCK = 64
 
 
-def _flag_struct_array(ft: Column, rules: list[FlagRule]) -> Column:
-    per_rule = []
-    for r in rules:
-        spans = _match_spans(ft, r.regex)
-        per_rule.append(F.transform(spans, _tag_span(r.rule_id)))
-    return F.concat(*per_rule) if per_rule else F.array()
+def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text", out: str = "flags") -> DataFrame:
+    """Add ``out``: every match of every rule (rule order, then position) with [start, end) code points.
+
+    Offsets come from the matches (``regexp_extract_all``) and the gaps between them
+    (``split``): start_i = sum of (gap + match) lengths before i + gap_i.  The prefix sums use
+    blocks of ``BLOCK`` pieces, so a document with n matches of one rule costs
+    O(n * BLOCK + (n / BLOCK)^2) instead of O(n^2).  Each array is built in its own projection
+    (see ``pinned``) because higher-order functions recompute inline inputs per element.
+    """
+    cols = d.columns
+    text = F.col(ft)
+    ks = range(len(rules))
+    d = d.select("*", *[F.when(text.rlike(r.regex), F.regexp_extract_all(text, F.lit(r.regex), 0))
+                        .otherwise(F.array().cast("array<string>")).alias(f"_fm{k}") for k, r in zip(ks, rules)])
+    d = d.select("*", *[F.when(F.size(f"_fm{k}") > 0, F.slice(F.split(text, r.regex, -1), 1, F.size(f"_fm{k}")))
+                        .otherwise(F.array().cast("array<string>")).alias(f"_fg{k}") for k, r in zip(ks, rules)])
+    d = d.select("*", *[F.zip_with(f"_fg{k}", f"_fm{k}", lambda g, x: F.length(g) + F.length(x)).alias(f"_fl{k}")
+                        for k in ks])
+
+    def n_blocks(k):
+        return F.floor((F.size(f"_fl{k}") + F.lit(BLOCK - 1)) / F.lit(BLOCK)).cast("int")
+
+    def block_sums(k):
+        lens = F.col(f"_fl{k}")
+        return F.transform(X.seq0(n_blocks(k)), lambda b: F.aggregate(
+            F.slice(lens, b * BLOCK + 1, BLOCK), F.lit(0), lambda a, x: a + x))
+
+    d = d.select("*", *[block_sums(k).alias(f"_fb{k}") for k in ks])
+
+    def block_starts(k):
+        sums = F.col(f"_fb{k}")
+        return F.transform(X.seq0(F.size(sums)), lambda b: F.aggregate(F.slice(sums, 1, b), F.lit(0), lambda a, x: a + x))
+
+    d = d.select("*", *[block_starts(k).alias(f"_fs{k}") for k in ks])
+
+    def spans(k, r):
+        m, g, lens, starts = (F.col(f"_f{c}{k}") for c in "mgls")
+
+        def one(x, i):
+            q = F.floor(i / F.lit(BLOCK)).cast("int")
+            start = (F.element_at(starts, q + 1)
+                     + F.aggregate(F.slice(lens, q * BLOCK + 1, i - q * BLOCK), F.lit(0), lambda a, y: a + y)
+                     + F.length(F.element_at(g, i + 1)))
+            return F.struct(
+                F.lit(r.rule_id).alias("rule_id"), (i + 1).alias("occurrence"), x.alias("matched_text"),
+                start.alias("start"), (start + F.length(x)).alias("end"),
+            )
+
+        return F.when(X.pinned(g, lens, starts), F.transform(m, one))
+
+    flags = F.concat(*[spans(k, r) for k, r in zip(ks, rules)]) if rules else F.array()
+    return d.select(*cols, flags.alias(out))
 
 
 def _rule_meta(rules: list[FlagRule], rule_id: Column, field: str) -> Column:
@@ -108,8 +126,8 @@ def scan_flags(docs: DataFrame, flag_rules: DataFrame | None = None, key: str =
                text_col: str = "text") -> DataFrame:
     """every match of every rule in ``full_text`` (rule order, then position)."""
     rules = load_flag_rules(flag_rules, docs.sparkSession)
-    d = _with_full_text(docs, text_col)
-    f = X.inline_rows(d, [key], _flag_struct_array(F.col("full_text"), rules), "rule_id")
+    d = with_flag_array(_with_full_text(docs, text_col).select(key, "full_text"), rules)
+    f = X.inline_rows(d, [key], F.col("flags"), "rule_id")
     rid = F.col("rule_id")
     return f.select(
         key,

@@ -165,7 +165,7 @@ def tables_from(lines: Column, starts: Column, ends: Column, min_rows: int = 1)
             ).alias("rows"),
         ),
     )
-    kept = F.filter(islands, lambda t: F.size(t["rows"]) >= min_rows)
+    kept = F.filter(F.when(X.pinned(ends), islands), lambda t: F.size(t["rows"]) >= min_rows)
     return F.transform(
         kept,
         lambda t, k: F.struct(k.alias("table_idx"), t["first_line"].alias("first_line"), t["rows"].alias("rows")),

@@ -27,10 +27,8 @@ def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame |
     spark = docs.sparkSession
     trules = C.load_type_rules(type_rules, spark)
     frules = FL.load_flag_rules(flag_rules, spark)
-    d = S.with_structure(docs, text_col)
-    ft = F.col("full_text")
-    flags = FL._flag_struct_array(ft, frules)
-    d = d.select(key, *(keep or []), "paras", "full_text", "sections", "tables", flags.alias("flags"))
+    d = S.with_structure(docs, text_col).select(key, *(keep or []), "paras", "full_text", "sections", "tables")
+    d = FL.with_flag_array(d, frules)
     d = d.withColumn("flag_severities",
                      F.transform(F.col("flags"), lambda f: FL._rule_meta(frules, f["rule_id"], "severity")))
     return C.with_classification(d, trules, method)

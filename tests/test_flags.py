@@ -79,3 +79,12 @@ def test_issue_excerpt(docs):
     t81 = t80 + "y"
     rows = FL.issue_table(FL.review_comments(docs(t80, t81), mode="reference")).orderBy("doc_id").collect()
     assert rows[0].excerpt == t80 and rows[1].excerpt == t80 + "..."
+
+
+def test_many_matches_in_one_document(docs):
+    import re
+    text = " ".join(f"w{i} UAE law" for i in range(5000))
+    f = FL.scan_flags(docs(text)).where("rule_id = 2").orderBy("start").collect()
+    want = [m.start() for m in re.finditer(r"UAE\s+(?:law|laws|legal system)", text, re.IGNORECASE)]
+    assert [r.start for r in f] == want and len(want) == 5000
+    assert all(text[r.start:r.end] == r.matched_text for r in f)
