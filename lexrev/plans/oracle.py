@@ -549,7 +549,7 @@ _SEV_ROW = (
     "nmiss AS (SELECT source, count(*) AS n FROM missing GROUP BY source)"
 )
 ORACLE_SQL["summary_report"] = with_(*COMP_BASE, RULES, FLAGS, _NFLAGS, _COMPLIANCE_ROW, _SEV_ROW) + (
-    "SELECT s.source, '# ADGM Document Analysis Summary' || chr(10) || chr(10) || '## Overview' || chr(10) || "
+    f"SELECT s.source, {sq(RP.REPORT_TITLE)} || chr(10) || chr(10) || '## Overview' || chr(10) || "
     "printf('- **Documents Processed**: %d', s.documents) || chr(10) || "
     "printf('- **Total Issues Identified**: %d', s.total_issues) || chr(10) || "
     f"'- **Average Classification Confidence**: ' || {percent1('s.avg_confidence')} || chr(10) || "

@@ -113,7 +113,7 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataF
     )).otherwise("")
 
     report = F.concat(
-        F.lit("# ADGM Document Analysis Summary\n\n## Overview\n"),
+        F.lit(RP.REPORT_TITLE + "\n\n## Overview\n"),
         F.format_string("- **Documents Processed**: %d\n", F.col("documents")),
         F.format_string("- **Total Issues Identified**: %d\n", F.col("total_issues")),
         F.concat(F.lit("- **Average Classification Confidence**: "), X.percent1(F.col("avg_confidence")), F.lit("\n")),

@@ -19,7 +19,8 @@ def test_review_job_writes_every_output(spark):
     b = spark.read.parquet(paths["batches"])
     assert b.count() == docs.select("source").distinct().count()
     row = b.first()
-    assert row.report.startswith("# ADGM Document Analysis Summary") and set(row.issues_by_severity) >= {"High", "Medium", "Low"}
+    from lexrev import rulepacks as RP
+    assert row.report.startswith(RP.REPORT_TITLE) and set(row.issues_by_severity) >= {"High", "Medium", "Low"}
     assert spark.read.parquet(paths["log"]).count() == n_docs
     assert spark.read.text(paths["documents"] + "_json").count() == n_docs
     assert os.path.isdir(paths["suggestions"])
