@@ -7,6 +7,7 @@ reviewed application: Unicode whitespace for ``split``/``strip``, Unicode
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -155,3 +156,31 @@ def pinned(*arrays: Column) -> Column:
 def seq0(n: Column) -> Column:
     """0 .. n-1 as an int array (empty when n <= 0)."""
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def literal_prefix(pattern: str) -> str:
+    """The literal text every match of ``pattern`` starts with ('' when there is none).
+
+    Read from Python's own regex parse tree: the leading LITERAL nodes of a pattern without
+    a top-level alternation.  Only ASCII letters, digits and spaces are kept.
+    """
+    import re._parser as sre_parse  # stdlib regex parser
+
+    try:
+        tree = sre_parse.parse(pattern)
+    except re.error:
+        return ""
+    out = []
+    for op, arg in tree:
+        if op is not sre_parse.LITERAL:
+            break
+        ch = chr(arg)
+        if not (ch.isascii() and (ch.isalnum() or ch == " ")):
+            break
+        out.append(ch)
+    return "".join(out)
+
+
+def is_ascii(c: Column) -> Column:
+    """True when every character is ASCII (bytes = characters)."""
+    return F.octet_length(c) == F.length(c)

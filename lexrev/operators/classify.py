@@ -37,9 +37,18 @@ def _types(rules) -> "OrderedDict[str, int]":
 
 
 def _hit(lt: Column, r) -> Column:
-    """A rule fires once per document: substring of the lower-cased text, or a regex search (any case)."""
+    """A rule fires once per document: substring of the lower-cased text, or a regex search (any case).
+
+    A pattern whose matches all start with a literal word cannot match an ASCII lower-cased
+    text that lacks that word, so the regex is skipped there (exact: non-ASCII texts, where
+    Unicode case folding could match other characters, always run the regex).
+    """
     if r.is_regex:
-        return F.coalesce(lt.rlike(X.py_regex(r.term, ignore_case=True)), F.lit(False))
+        full = F.coalesce(lt.rlike(X.py_regex(r.term, ignore_case=True)), F.lit(False))
+        prefix = X.literal_prefix(r.term).lower()
+        if prefix:
+            return F.when(X.is_ascii(lt) & ~lt.contains(prefix), F.lit(False)).otherwise(full)
+        return full
     return lt.contains(r.term.lower())
 
 

@@ -68,3 +68,23 @@ def test_rule_pack_is_data(spark, docs):
     assert [x.predicted_type for x in r] == ["alpha", "beta"]
     hits = C.rule_hits(docs("a quick zebra"), type_rules=rules).count()
     assert hits == 2
+
+
+def test_literal_prefix():
+    from lexrev.functions.text import literal_prefix
+    assert literal_prefix(r"objects?\s+of\s+(?:the\s+)?company") == "object"
+    assert literal_prefix(r"UBO\s+declaration") == "UBO"
+    assert literal_prefix(r"\d+%\s+(?:ownership|interest)") == ""
+    assert literal_prefix("ab|c") == "" and literal_prefix("(a|b)c") == "" and literal_prefix(r"a\|b") == "a"
+
+
+def test_prefilter_keeps_unicode_case_folding(spark, docs):
+    import re
+    rules = spark.createDataFrame([("t", 0, "pattern", 0, r"article\s+\d+", 2.5, True),
+                                   ("t", 0, "pattern", 1, r"share\s+capital", 2.5, True)],
+                                  "type string, type_order int, kind string, ord int, term string, weight double, is_regex boolean")
+    texts = ["artıcle 5 here", "ſhare capital", "article 7", "plain words", "ARTICLE 9"]
+    hits = {(r.doc_id, r.ord) for r in C.rule_hits(docs(*texts), type_rules=rules).collect()}
+    for i, t in enumerate(texts):
+        for o, p in enumerate([r"article\s+\d+", r"share\s+capital"]):
+            assert ((i, o) in hits) == bool(re.search(p, t.lower(), re.IGNORECASE)), (t, p)
