@@ -66,8 +66,20 @@ def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text",
     cols = d.columns
     text = F.col(ft)
     ks = range(len(rules))
-    d = d.select("*", *[F.when(text.rlike(r.regex), F.regexp_extract_all(text, F.lit(r.regex), 0))
-                        .otherwise(F.array().cast("array<string>")).alias(f"_fm{k}") for k, r in zip(ks, rules)])
+    prefixes = [X.literal_prefix(r.pattern).lower() for r in rules]
+    if any(prefixes):
+        # exact prefilter: on ASCII text a case-insensitive match of a pattern that starts with a
+        # literal word needs that word in the lower-cased text (non-ASCII texts run every regex)
+        d = d.select("*", F.lower(text).alias("_flow"), X.is_ascii(text).alias("_fascii"))
+
+    def matches(r, prefix):
+        found = F.when(text.rlike(r.regex), F.regexp_extract_all(text, F.lit(r.regex), 0))
+        if prefix:
+            found = F.when(F.col("_fascii") & ~F.col("_flow").contains(prefix), F.array().cast("array<string>")) \
+                .otherwise(found)
+        return F.coalesce(found, F.array().cast("array<string>"))
+
+    d = d.select("*", *[matches(r, pre).alias(f"_fm{k}") for k, r, pre in zip(ks, rules, prefixes)])
     d = d.select("*", *[F.when(F.size(f"_fm{k}") > 0, F.slice(F.split(text, r.regex, -1), 1, F.size(f"_fm{k}")))
                         .otherwise(F.array().cast("array<string>")).alias(f"_fg{k}") for k, r in zip(ks, rules)])
     d = d.select("*", *[F.zip_with(f"_fg{k}", f"_fm{k}", lambda g, x: F.length(g) + F.length(x)).alias(f"_fl{k}")

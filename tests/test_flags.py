@@ -88,3 +88,13 @@ def test_many_matches_in_one_document(docs):
     want = [m.start() for m in re.finditer(r"UAE\s+(?:law|laws|legal system)", text, re.IGNORECASE)]
     assert [r.start for r in f] == want and len(want) == 5000
     assert all(text[r.start:r.end] == r.matched_text for r in f)
+
+
+def test_prefilter_keeps_unicode_case_folding(docs):
+    import re
+    from lexrev import rulepacks as RP
+    texts = ["it ſhall be void", "UAE LAW applies", "Ünited: uae law", "nothing here", "registered in uae."]
+    got = sorted((r.doc_id, r.rule_id, r.start, r.end) for r in FL.scan_flags(docs(*texts)).collect())
+    want = sorted((i, k, m.start(), m.end()) for i, t in enumerate(texts)
+                  for k, rule in enumerate(RP.FLAG_RULES) for m in re.finditer(rule[0], t, re.IGNORECASE))
+    assert got == want and len(want) == 4
