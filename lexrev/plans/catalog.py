@@ -295,6 +295,45 @@ def q_related_passages(spark, sf):
     return R.related_passages(documents(spark, sf), bench, k=3)
 
 
+# The same operators on the unmodified documents table (no fixture clauses).
+def q_paragraphs_raw(spark, sf):
+    return S.paragraphs(documents(spark, sf))
+
+
+def q_sections_raw(spark, sf):
+    return S.sections(documents(spark, sf)).drop("paragraphs")
+
+
+def q_text_tables_raw(spark, sf):
+    t = S.text_tables(documents(spark, sf))
+    cells = F.array_join(F.transform(F.col("rows"), lambda r: F.array_join(r, "\t")), "\n")
+    return t.select("doc_id", "table_idx", "first_line", cells.alias("cells"), "row_count", "column_count",
+                    "has_headers", "table_type")
+
+
+def q_document_stats_raw(spark, sf):
+    return M.document_stats(documents(spark, sf))
+
+
+def q_text_analysis_raw(spark, sf):
+    return M.text_analysis(documents(spark, sf))
+
+
+def q_key_phrases_raw(spark, sf):
+    k = M.key_phrase_table(documents(spark, sf))
+    return k.select("doc_id", F.size("key_phrases").cast("long").alias("n_phrases"),
+                    _join(F.col("key_phrases")).alias("key_phrases"))
+
+
+def q_classification_raw(spark, sf):
+    c = C.classify(documents(spark, sf), method="ensemble")
+    ev = F.col("best_matches")
+    return c.select("doc_id", "predicted_type", "confidence", "method_used", "evidence_types", "has_evidence",
+                    "reasoning", _join(ev["primary"]).alias("primary_hits"),
+                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["pattern"]).alias("pattern_hits"),
+                    _join(ev["section"]).alias("section_hits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flags_by_severity": q_flags_by_severity,
     "red_flags": q_red_flags,
@@ -338,4 +377,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunks": q_chunks,
     "knn_centroids": q_knn_centroids,
     "related_passages": q_related_passages,
+    "paragraphs_raw": q_paragraphs_raw,
+    "sections_raw": q_sections_raw,
+    "text_tables_raw": q_text_tables_raw,
+    "document_stats_raw": q_document_stats_raw,
+    "text_analysis_raw": q_text_analysis_raw,
+    "key_phrases_raw": q_key_phrases_raw,
+    "classification_raw": q_classification_raw,
 }

@@ -650,3 +650,17 @@ ORACLE_SQL["compliance_wide"] = with_(*CLS_BASE_WIDE, COMP, _COMPLIANCE_ROW) + (
     "AS completeness_percentage, CAST(tr AS BIGINT) AS total_required, CAST(provided AS BIGINT) AS documents_provided, "
     "CAST(dm AS BIGINT) AS documents_matched, missing_documents, extra_documents, recommendations FROM crow"
 )
+
+
+# ------------------------------------------------------------------ the unmodified corpus
+RAW_SEEDED = "seeded AS (SELECT doc_id, source, text FROM documents)"
+
+
+def _raw(sql: str) -> str:
+    assert SEEDED in sql
+    return sql.replace(SEEDED, RAW_SEEDED)
+
+
+for _name in ("paragraphs", "sections", "text_tables", "document_stats", "text_analysis", "key_phrases",
+              "classification"):
+    ORACLE_SQL[_name + "_raw"] = _raw(ORACLE_SQL[_name])
