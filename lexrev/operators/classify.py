@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexrev.functions import text as X
 from lexrev.operators import segment as S
-from lexrev.session import bounded_rows
+from lexrev.session import MAX_COMPILED_RULES, bounded_rows
 from lexrev.sources.rules import KINDS, default_rulepack
 
 RULE_FIELDS = ["type", "type_order", "kind", "ord", "term", "weight", "is_regex"]
@@ -24,7 +24,7 @@ RULE_FIELDS = ["type", "type_order", "kind", "ord", "term", "weight", "is_regex"
 def load_type_rules(type_rules: DataFrame | None = None, spark=None) -> list:
     if type_rules is None:
         type_rules = default_rulepack(spark, "type_rules")
-    rows = bounded_rows(type_rules.select(*RULE_FIELDS), what="type rule pack")
+    rows = bounded_rows(type_rules.select(*RULE_FIELDS), MAX_COMPILED_RULES, what="type rule pack")
     kind_rank = {k: i for i, k in enumerate(KINDS)}
     return sorted(rows, key=lambda r: (r.type_order, kind_rank.get(r.kind, 9), r.ord))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
 from lexrev.operators import segment as S
-from lexrev.session import bounded_rows, broadcast_if_small
+from lexrev.session import MAX_COMPILED_RULES, bounded_rows, broadcast_if_small
 from lexrev.sources.rules import default_rulepack
 
 
@@ -43,7 +43,7 @@ class FlagRule:
 def load_flag_rules(flag_rules: DataFrame | None = None, spark=None) -> list[FlagRule]:
     if flag_rules is None:
         flag_rules = default_rulepack(spark, "flag_rules")
-    rows = bounded_rows(flag_rules.orderBy("rule_id"), what="flag rule pack")
+    rows = bounded_rows(flag_rules.orderBy("rule_id"), MAX_COMPILED_RULES, what="flag rule pack")
     return [
         FlagRule(r.rule_id, r.pattern, r.issue or "Unknown issue", r.severity or "Medium",
                  r.suggestion or "Review required", r.reference or "", r.category or "general")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Upper bound for any side we broadcast on purpose (rule packs, query sets,
 # reference libraries).  Anything larger goes through a shuffle join instead.
 MAX_BROADCAST_ROWS = 100_000
+# Rule packs are compiled into one expression per rule; beyond this a pack is refused
+# (a lexicon of this size belongs in a join-based index, not in a projection).
+MAX_COMPILED_RULES = 5_000
 
 
 def get_spark(master: str | None = None, app: str = "lexrev", shuffle_partitions: int | None = None) -> SparkSession:
