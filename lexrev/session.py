@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +53,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into spark.checkpoint.dir (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a parquet table under spark.checkpoint.dir and continue from it.
+
+    One job (an eager ``checkpoint()`` computes its input twice unless it is cached), a
+    durable copy on the shared folder (survives executor loss), and exact size statistics
+    for the planner's broadcast decisions on the read-back table.
+    """
+    path = os.path.join(checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS, what: str = "table") -> list:
