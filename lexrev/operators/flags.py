@@ -169,22 +169,45 @@ def _comment_struct(r: FlagRule, p: Column, copies: Column) -> Column:
     )
 
 
-def _comment_array(paras: Column, ft: Column, rules: list[FlagRule], mode: str) -> Column:
-    def rule_comments(r: FlagRule) -> Column:
-        none = F.filter(F.transform(paras, lambda p: _comment_struct(r, p, F.lit(0))), lambda c: F.lit(False))
-        if mode == "reference":
-            n_doc = F.when(ft.rlike(r.regex), F.size(F.regexp_extract_all(ft, F.lit(r.regex), 0))).otherwise(0)
+COMMENT_TYPE = ("array<struct<rule_id:int,paragraph_index:int,text:string,comment:string,severity:string,"
+                "reference:string,copies:int>>")
+
+
+def _with_comment_array(d: DataFrame, rules: list[FlagRule], mode: str, out: str = "cm") -> DataFrame:
+    """Add ``out``: one comment struct per (rule, paragraph) with its ``copies``.
+
+    Reference mode needs the number of flags of each rule in the whole document; those counts
+    are taken from the staged flag array in their own projection, so the per-paragraph lambda
+    reads a column instead of re-running a full-text regex per paragraph.
+    """
+    cols = d.columns
+    paras = F.col("paras")
+    empty = F.array().cast(COMMENT_TYPE)
+    if mode == "reference":
+        d = with_flag_array(d, rules, out="_flags")
+        d = d.select(*cols, *[F.size(F.filter("_flags", _rule_is(r.rule_id))).alias(f"_n{k}")
+                              for k, r in enumerate(rules)])
+
+        def rule_comments(k: int, r: FlagRule) -> Column:
+            n = F.col(f"_n{k}")
             hits = F.filter(paras, lambda p: p["text"].rlike(r.regex))
-            return F.when(n_doc > 0, F.transform(hits, lambda p: _comment_struct(r, p, n_doc))).otherwise(none)
-        counted = F.transform(
-            paras,
-            lambda p: _comment_struct(
-                r, p, F.when(p["text"].rlike(r.regex),
-                             F.size(F.regexp_extract_all(p["text"], F.lit(r.regex), 0))).otherwise(0)),
-        )
-        return F.filter(counted, lambda c: c["copies"] > 0)
+            return F.when(n > 0, F.transform(hits, lambda p: _comment_struct(r, p, n))).otherwise(empty)
+    else:
+        def rule_comments(k: int, r: FlagRule) -> Column:
+            counted = F.transform(
+                paras,
+                lambda p: _comment_struct(
+                    r, p, F.when(p["text"].rlike(r.regex),
+                                 F.size(F.regexp_extract_all(p["text"], F.lit(r.regex), 0))).otherwise(0)),
+            )
+            return F.filter(counted, lambda c: c["copies"] > 0)
+
+    comments = F.concat(*[rule_comments(k, r) for k, r in enumerate(rules)]) if rules else empty
+    return d.select(*cols, comments.alias(out))
+
 
-    return F.concat(*[rule_comments(r) for r in rules])
+def _rule_is(rule_id: int):
+    return lambda f: f["rule_id"] == F.lit(rule_id)
 
 
 def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "paragraph",
@@ -201,7 +224,8 @@ def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode:
         raise ValueError("mode must be 'reference' or 'paragraph'")
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    c = X.inline_rows(d, [key], _comment_array(F.col("paras"), F.col("full_text"), rules, mode), "rule_id")
+    d = _with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
+    c = X.inline_rows(d, [key], F.col("cm"), "rule_id")
     return c.select(
         key,
         F.col("rule_id").cast("long").alias("rule_id"),
@@ -248,8 +272,7 @@ def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "
     unchanged with a null highlight."""
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    cm = _comment_array(F.col("paras"), F.col("full_text"), rules, mode)
-    d = d.select(key, "paras", cm.alias("cm"))
+    d = _with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
 
     def render(c):
         ref = F.when(c["reference"] != "", F.concat(F.lit(RP.ANNOTATION_REFERENCE), c["reference"])).otherwise("")
