@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
+from lexrev.functions.joins import join_keys
 from lexrev.session import broadcast_if_small, cut_lineage
 from lexrev.sources.rules import default_rulepack
 
@@ -41,7 +42,7 @@ def determine_process(classified: DataFrame, batch_col: str, process_rules: Data
         .agg(F.min_by("process", "priority").alias("process"))
     )
     batches = present.select(batch_col).distinct()
-    return batches.join(per_proc, batch_col, "left").select(
+    return join_keys(batches, per_proc, batch_col, "left").select(
         batch_col, F.coalesce(F.col("process"), F.lit(RP.DEFAULT_PROCESS)).alias("process")
     )
 
@@ -56,21 +57,21 @@ def missing_documents(process: DataFrame, present: DataFrame, batch_col: str,
                       requirements: DataFrame | None = None, req: DataFrame | None = None) -> DataFrame:
     """K3: required types not present in the batch."""
     req = req if req is not None else _required(process, batch_col, requirements)
-    return req.join(present.select(batch_col, "doc_type"), [batch_col, "doc_type"], "left_anti")
+    return join_keys(req, present.select(batch_col, "doc_type"), [batch_col, "doc_type"], "left_anti")
 
 
 def extra_documents(process: DataFrame, present: DataFrame, batch_col: str,
                     requirements: DataFrame | None = None, req: DataFrame | None = None) -> DataFrame:
     """K4: present types the process does not require."""
     req = req if req is not None else _required(process, batch_col, requirements)
-    return present.select(batch_col, "doc_type").join(req, [batch_col, "doc_type"], "left_anti")
+    return join_keys(present.select(batch_col, "doc_type"), req, [batch_col, "doc_type"], "left_anti")
 
 
 def matched_documents(process: DataFrame, present: DataFrame, batch_col: str,
                       requirements: DataFrame | None = None, req: DataFrame | None = None) -> DataFrame:
     """K5: present types the process requires."""
     req = req if req is not None else _required(process, batch_col, requirements)
-    return present.select(batch_col, "doc_type").join(req, [batch_col, "doc_type"], "left_semi")
+    return join_keys(present.select(batch_col, "doc_type"), req, [batch_col, "doc_type"], "left_semi")
 
 
 def recommendations(missing: DataFrame, batch_col: str) -> DataFrame:
@@ -108,10 +109,9 @@ def compliance(classified: DataFrame | None, batch_col: str, process_rules: Data
     )
     extra = extra_documents(process, present, batch_col, req=req).groupBy(batch_col).agg(
         F.sort_array(F.collect_list("doc_type")).alias("extra_documents"))
-    out = (
-        process.join(n_req, batch_col, "left").join(matched, batch_col, "left").join(provided, batch_col, "left")
-        .join(recs, batch_col, "left").join(extra, batch_col, "left")
-    )
+    out = process
+    for part in (n_req, matched, provided, recs, extra):
+        out = join_keys(out, part, batch_col, "left")
     tr = F.coalesce(F.col("total_required"), F.lit(0)).cast("long")
     dm = F.coalesce(F.col("documents_matched"), F.lit(0)).cast("long")
     empty = F.array().cast("array<string>")

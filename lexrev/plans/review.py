@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
+from lexrev.functions.joins import join_keys
 from lexrev.operators import classify as C
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
@@ -102,7 +103,7 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataF
         F.sort_array(F.collect_list(F.struct("first_doc", "doc_type", "n"))).alias("types"),
     )
     comp = K.compliance(None, batch_col, present=bt.select(batch_col, "doc_type", "n", "first_doc"))
-    j = summ.join(comp, batch_col)
+    j = join_keys(summ, comp, batch_col)
     type_lines = F.array_join(
         F.transform(F.col("types"), lambda t: F.format_string(
             "- **%s**: %d document(s)\n", X.title_words(t["doc_type"]), t["n"])), "")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexrev.functions import text as X
+from lexrev.functions.joins import join_keys
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.plans import review as RV
@@ -61,7 +62,7 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
     sev = RV.severity_counts(per_doc, batch_col).groupBy(batch_col).agg(
         F.map_from_entries(F.collect_list(F.struct("severity", "issues"))).alias("issues_by_severity"))
     summary = RV.summary_report(per_doc, batch_col)
-    comp.join(sev, batch_col).join(summary, batch_col).write.mode("overwrite").parquet(paths["batches"])
+    join_keys(join_keys(comp, sev, batch_col), summary, batch_col).write.mode("overwrite").parquet(paths["batches"])
     RV.processing_log(per_doc).write.mode("overwrite").parquet(paths["log"])
     return paths
 

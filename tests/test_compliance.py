@@ -40,3 +40,11 @@ def test_set_operators_partition_required(spark):
     match = K.matched_documents(proc, present, "source").count()
     assert miss + match == 5
     assert [r.doc_type for r in K.extra_documents(proc, present, "source").collect()] == ["ubo_declaration"]
+
+
+def test_null_batch_is_one_batch(spark):
+    df = spark.createDataFrame([(0, None, "articles_of_association"), (1, None, "memorandum_of_association"),
+                                (2, "b", "ubo_declaration")], "doc_id long, source string, predicted_type string")
+    rows = {r.source: r for r in K.compliance(df, "source").collect()}
+    assert rows[None].process == "company_incorporation" and rows[None].documents_matched == 2
+    assert rows[None].completeness_percentage == 40.0 and rows["b"].process == "general_submission"
