@@ -28,3 +28,7 @@ def test_each_upload_is_reviewed(spark):
     assert sev[(first, "High")] == 3 and sev[(first, "Medium")] == 0
     comp = spark.read.parquet(os.path.join(out, "compliance"))
     assert comp.count() == 2
+    # replaying the uploads (a fresh checkpoint re-runs batch ids 0 and 1) replaces, never duplicates
+    q = review_uploads(spark, inbox, out, name=os.path.basename(out) + "-replay")
+    q.awaitTermination(300)
+    assert spark.read.parquet(os.path.join(out, "documents")).count() == 4
