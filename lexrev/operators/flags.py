@@ -177,16 +177,14 @@ def _with_comment_array(d: DataFrame, rules: list[FlagRule], mode: str, out: str
     """Add ``out``: one comment struct per (rule, paragraph) with its ``copies``.
 
     Reference mode needs the number of flags of each rule in the whole document; those counts
-    are taken from the staged flag array in their own projection, so the per-paragraph lambda
-    reads a column instead of re-running a full-text regex per paragraph.
+    are computed in their own projection, so the per-paragraph lambda reads a column instead
+    of re-running a full-text regex per paragraph.
     """
     cols = d.columns
     paras = F.col("paras")
     empty = F.array().cast(COMMENT_TYPE)
     if mode == "reference":
-        d = with_flag_array(d, rules, out="_flags")
-        d = d.select(*cols, *[F.size(F.filter("_flags", _rule_is(r.rule_id))).alias(f"_n{k}")
-                              for k, r in enumerate(rules)])
+        d = d.select(*cols, *[match_count(F.col("full_text"), r).alias(f"_n{k}") for k, r in enumerate(rules)])
 
         def rule_comments(k: int, r: FlagRule) -> Column:
             n = F.col(f"_n{k}")
@@ -206,8 +204,13 @@ def _with_comment_array(d: DataFrame, rules: list[FlagRule], mode: str, out: str
     return d.select(*cols, comments.alias(out))
 
 
-def _rule_is(rule_id: int):
-    return lambda f: f["rule_id"] == F.lit(rule_id)
+def match_count(text: Column, r: FlagRule) -> Column:
+    """Number of matches of one rule in a text (0 without the rule's literal prefix on ASCII text)."""
+    n = F.when(text.rlike(r.regex), F.size(F.regexp_extract_all(text, F.lit(r.regex), 0))).otherwise(F.lit(0))
+    prefix = X.literal_prefix(r.pattern).lower()
+    if prefix:
+        n = F.when(X.is_ascii(text) & ~F.lower(text).contains(prefix), F.lit(0)).otherwise(n)
+    return n
 
 
 def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "paragraph",

@@ -38,7 +38,7 @@ def content_type(c: Column) -> Column:
         F.when(lt == "", "empty")
         .when(is_header(lt), "header")
         .when(is_list_item(lt), "list_item")
-        .when(X.word_count(lt) < 5, "short_text")
+        .when(X.word_count(c) < 5, "short_text")  # lower-casing never changes the word count
         .when(X.contains_any(lt, RP.OBLIGATION_WORDS), "legal_obligation")
         .when(X.contains_any(lt, RP.DEFINITION_WORDS), "definition")
         .otherwise("body_paragraph")
