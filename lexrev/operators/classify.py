@@ -19,6 +19,8 @@ from lexrev.session import MAX_COMPILED_RULES, bounded_rows
 from lexrev.sources.rules import KINDS, default_rulepack
 
 RULE_FIELDS = ["type", "type_order", "kind", "ord", "term", "weight", "is_regex"]
+# Output names of the evidence lists per rule kind (the reviewed application's result keys).
+EVIDENCE_KEYS = {"primary": "primary", "secondary": "secondary", "pattern": "patterns", "section": "sections"}
 
 
 def load_type_rules(type_rules: DataFrame | None = None, spark=None) -> list:
@@ -103,7 +105,7 @@ def _score_array(hits: Column, words: Column, rules) -> Column:
         structs.append(F.struct(
             F.lit(typ).alias("type"), F.lit(t_ord).alias("type_order"), raw.alias("raw_score"),
             (raw / denom).alias("score"),
-            F.struct(*[ev[k].alias(k) for k in KINDS]).alias("evidence"),
+            F.struct(*[ev[k].alias(EVIDENCE_KEYS[k]) for k in KINDS]).alias("evidence"),
         ))
     return F.array(*structs)
 
@@ -148,7 +150,7 @@ def columns_from_scores(scores: Column, n_types: int, method: str = "ensemble")
         conf = conf + F.least(F.lit(0.4), (best["score"] - second["score"]) / F.lit(10.0))
     conf = X.round_half_up(F.least(F.lit(1.0), conf), 3)
     ev = best["evidence"]
-    kinds_present = sum((F.size(ev[k]) > 0).cast("int") for k in KINDS)
+    kinds_present = sum((F.size(ev[EVIDENCE_KEYS[k]]) > 0).cast("int") for k in KINDS)
     method_used = "ensemble" if method == "ensemble" else "rule_based"
     if method == "ensemble":
         boosted = (
@@ -171,7 +173,7 @@ def columns_from_scores(scores: Column, n_types: int, method: str = "ensemble")
         kinds_present.cast("long").alias("evidence_types"),
         (best["raw_score"] > 0).alias("has_evidence"),
         F.format_string("Matched %d primary keywords, %d patterns", F.size(ev["primary"]),
-                        F.size(ev["pattern"])).alias("reasoning"),
+                        F.size(ev["patterns"])).alias("reasoning"),
     ]
 
 
@@ -204,8 +206,8 @@ def explain_classification(classified: DataFrame, key: str = "doc_id") -> DataFr
     )
     prim = F.when(F.size(ev["primary"]) > 0, F.concat(
         F.lit("Primary indicators: "), F.array_join(F.slice(ev["primary"], 1, 3), ", "), F.lit("\n"))).otherwise("")
-    pat = F.when(F.size(ev["pattern"]) > 0, F.format_string("Legal patterns: %d patterns matched\n",
-                                                            F.size(ev["pattern"]))).otherwise("")
+    pat = F.when(F.size(ev["patterns"]) > 0, F.format_string("Legal patterns: %d patterns matched\n",
+                                                             F.size(ev["patterns"]))).otherwise("")
     sec = F.when(F.size(ev["secondary"]) > 0, F.format_string("Secondary indicators: %d found\n",
                                                               F.size(ev["secondary"]))).otherwise("")
     return classified.select(key, F.concat(head, prim, pat, sec, F.lit("\n"), F.col("reasoning")).alias("explanation"))

@@ -138,8 +138,8 @@ def _classified(spark, sf, method):
     ev = F.col("best_matches")
     return c.select("doc_id", "predicted_type", "confidence", "method_used", "evidence_types", "has_evidence",
                     "reasoning", _join(ev["primary"]).alias("primary_hits"),
-                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["pattern"]).alias("pattern_hits"),
-                    _join(ev["section"]).alias("section_hits"))
+                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["patterns"]).alias("pattern_hits"),
+                    _join(ev["sections"]).alias("section_hits"))
 
 
 def q_classification(spark, sf):
@@ -160,8 +160,8 @@ def q_classification_wide(spark, sf):
     ev = F.col("best_matches")
     return c.select("doc_id", "predicted_type", "confidence", "method_used", "evidence_types", "has_evidence",
                     "reasoning", _join(ev["primary"]).alias("primary_hits"),
-                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["pattern"]).alias("pattern_hits"),
-                    _join(ev["section"]).alias("section_hits"))
+                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["patterns"]).alias("pattern_hits"),
+                    _join(ev["sections"]).alias("section_hits"))
 
 
 def q_explanations(spark, sf):
@@ -330,8 +330,8 @@ def q_classification_raw(spark, sf):
     ev = F.col("best_matches")
     return c.select("doc_id", "predicted_type", "confidence", "method_used", "evidence_types", "has_evidence",
                     "reasoning", _join(ev["primary"]).alias("primary_hits"),
-                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["pattern"]).alias("pattern_hits"),
-                    _join(ev["section"]).alias("section_hits"))
+                    _join(ev["secondary"]).alias("secondary_hits"), _join(ev["patterns"]).alias("pattern_hits"),
+                    _join(ev["sections"]).alias("section_hits"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

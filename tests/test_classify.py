@@ -14,7 +14,7 @@ def test_mock_document_rule_based(docs):
     assert scores["articles_of_association"].raw_score == 4.0
     assert scores["articles_of_association"].normalized_score == 40.0
     assert scores["memorandum_of_association"].raw_score == 0.0 and scores["ubo_declaration"].raw_score == 0.0
-    assert r.best_matches["primary"] == ["articles of association"] and r.best_matches["section"] == ["governance"]
+    assert r.best_matches["primary"] == ["articles of association"] and r.best_matches["sections"] == ["governance"]
     assert r.reasoning == "Matched 1 primary keywords, 0 patterns"
 
 
@@ -37,11 +37,11 @@ def test_no_evidence_gives_first_type(docs):
 def _boost(spark, kinds, conf_score):
     # a best score s with no runner-up difference: confidence = min(1, s/15) when all types tie
     ev = {"primary": ["a"] if kinds >= 1 else [], "secondary": ["b"] if kinds >= 2 else [],
-          "pattern": ["c"] if kinds >= 3 else [], "section": []}
+          "patterns": ["c"] if kinds >= 3 else [], "sections": []}
     s = conf_score * 15.0
     row = [(t, o, 1.0, s, ev) for o, t in enumerate(["x", "y"])]
     ddl = ("_scores array<struct<type:string,type_order:int,raw_score:double,score:double,evidence:struct<"
-           "primary:array<string>,secondary:array<string>,pattern:array<string>,section:array<string>>>>")
+           "primary:array<string>,secondary:array<string>,patterns:array<string>,sections:array<string>>>>")
     df = spark.createDataFrame([(row,)], ddl)
     return df.select(*C.columns_from_scores(F.col("_scores"), 2, "ensemble")).first().confidence
 
