@@ -197,12 +197,13 @@ def classify(docs: DataFrame, type_rules: DataFrame | None = None, method: str =
     return with_classification(d, rules, method, [key, *(keep or [])])
 
 
-def explain_classification(classified: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The explanation text of a classification."""
-    ev = F.col("best_matches")
+def explanation_column(predicted_type: Column, confidence: Column, method_used: Column, best_matches: Column,
+                       reasoning: Column) -> Column:
+    """C7 as a column: title-cased type, percent, up to three primary hits, counts, reasoning."""
+    ev = best_matches
     head = F.concat(
-        F.lit("Document classified as '"), X.title_words(F.col("predicted_type")), F.lit("' with "),
-        X.percent1(F.col("confidence")), F.lit(" confidence using "), F.col("method_used"), F.lit(" method.\n\n"),
+        F.lit("Document classified as '"), X.title_words(predicted_type), F.lit("' with "),
+        X.percent1(confidence), F.lit(" confidence using "), method_used, F.lit(" method.\n\n"),
     )
     prim = F.when(F.size(ev["primary"]) > 0, F.concat(
         F.lit("Primary indicators: "), F.array_join(F.slice(ev["primary"], 1, 3), ", "), F.lit("\n"))).otherwise("")
@@ -210,4 +211,11 @@ def explain_classification(classified: DataFrame, key: str = "doc_id") -> DataFr
                                                              F.size(ev["patterns"]))).otherwise("")
     sec = F.when(F.size(ev["secondary"]) > 0, F.format_string("Secondary indicators: %d found\n",
                                                               F.size(ev["secondary"]))).otherwise("")
-    return classified.select(key, F.concat(head, prim, pat, sec, F.lit("\n"), F.col("reasoning")).alias("explanation"))
+    return F.concat(head, prim, pat, sec, F.lit("\n"), reasoning)
+
+
+def explain_classification(classified: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The explanation text of a classification."""
+    return classified.select(key, explanation_column(
+        F.col("predicted_type"), F.col("confidence"), F.col("method_used"), F.col("best_matches"),
+        F.col("reasoning")).alias("explanation"))

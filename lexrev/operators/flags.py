@@ -248,6 +248,58 @@ def issue_table(comments: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def load_clauses(clauses: DataFrame | None = None, spark=None) -> list[tuple[str, str, str]]:
+    if clauses is None:
+        clauses = default_rulepack(spark, "clauses")
+    rows = bounded_rows(clauses.select("category", "template", "reference"), MAX_COMPILED_RULES, "clause catalogue")
+    return [(r.category, r.template, r.reference) for r in rows]
+
+
+def suggestion_array(flags: Column, rules: list[FlagRule], clauses: list[tuple[str, str, str]]) -> Column:
+    """F4 inside the document row: a clause for every flag whose category has a template."""
+    by_cat = {c: (t, ref) for c, t, ref in clauses}
+
+    def lookup(cat: Column, i: int) -> Column:
+        expr = None
+        for c, vals in by_cat.items():
+            v = F.lit(vals[i])
+            expr = F.when(cat == c, v) if expr is None else expr.when(cat == c, v)
+        return expr
+
+    def category(f):
+        return _rule_meta(rules, f["rule_id"], "category")
+
+    if not by_cat or not rules:
+        return F.array().cast("array<struct<category:string,suggested_clause:string,legal_reference:string,"
+                              "context_note:string>>")
+    kept = F.filter(flags, lambda f: category(f).isin(*by_cat.keys()))
+    return F.transform(kept, lambda f: F.struct(
+        category(f).alias("category"),
+        lookup(category(f), 0).alias("suggested_clause"),
+        lookup(category(f), 1).alias("legal_reference"),
+        F.when(F.coalesce(f["matched_text"], F.lit("")) != "",
+               F.concat(F.lit("Suggested replacement for: "), f["matched_text"])).otherwise(F.lit("")).alias(
+            "context_note"),
+    ))
+
+
+def comment_count(paras: Column, flags: Column, rules: list[FlagRule]) -> Column:
+    """Number of review comments in reference mode: per rule, flags x paragraphs the rule matches."""
+    total = F.lit(0).cast("long")
+    for r in rules:
+        n = F.size(F.filter(flags, _rule_equals(r.rule_id)))
+        total = total + F.when(n > 0, n * _paras_matching(paras, r.regex)).otherwise(0)
+    return total
+
+
+def _rule_equals(rule_id: int):
+    return lambda f: f["rule_id"] == F.lit(rule_id)
+
+
+def _paras_matching(paras: Column, regex: str) -> Column:
+    return F.size(F.filter(paras, lambda p: p["text"].rlike(regex)))
+
+
 def suggest_clauses(flags: DataFrame, clauses: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """a replacement clause for every flag whose category has a template."""
     if clauses is None:

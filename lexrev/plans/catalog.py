@@ -258,8 +258,11 @@ def q_document_report(spark, sf):
         ca["readability"]["complexity_score"].alias("complexity_score"),
         ca["readability"]["readability_level"].alias("readability_level"),
         _join(ca["key_phrases"]).alias("key_phrases"),
-        _join(ca["named_entities"]).alias("named_entities"),
+        _join(F.transform(ca["named_entities"], lambda e: e["text"])).alias("named_entities"),
         rep["review"]["issues"].alias("issues"),
+        F.size(rep["review"]["legal_suggestions"]).cast("long").alias("suggestions"),
+        rep["review"]["review_comments_count"].alias("review_comments_count"),
+        rep["explanation"].alias("explanation"),
     )
 
 

@@ -571,7 +571,22 @@ ORACLE_SQL["summary_report"] = with_(*COMP_BASE, RULES, FLAGS, _NFLAGS, _COMPLIA
     "LEFT JOIN nmiss nm ON nm.source = s.source"
 )
 
-ORACLE_SQL["document_report"] = (with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _NSEC, _FTX) + (
+_CLAUSE_CATS = "(" + ", ".join(sq(c) for c, _, _ in RP.CLAUSE_TEMPLATES) + ")"
+_DOC_EXTRA = (
+    "rc AS (SELECT ph.doc_id, sum(nd.n_doc) AS n FROM ph JOIN nd ON nd.doc_id = ph.doc_id AND nd.rule_id = ph.rule_id "
+    "WHERE ph.n_in_para > 0 GROUP BY ph.doc_id), "
+    f"sg AS (SELECT doc_id, count(*) AS n FROM flags WHERE category IN {_CLAUSE_CATS} GROUP BY doc_id)"
+)
+_EXPLAIN = (
+    "'Document classified as ''' || " + title_words("c.predicted_type") + " || ''' with ' || "
+    + percent1("c.conf_ens") + " || ' confidence using ensemble method.' || chr(10) || chr(10) || "
+    "CASE WHEN c.n_primary > 0 THEN 'Primary indicators: ' || array_to_string(string_split(c.primary_hits, '|')[1:3], ', ') "
+    "|| chr(10) ELSE '' END || "
+    "CASE WHEN c.n_pattern > 0 THEN printf('Legal patterns: %d patterns matched', c.n_pattern) || chr(10) ELSE '' END || "
+    "CASE WHEN c.n_secondary > 0 THEN printf('Secondary indicators: %d found', c.n_secondary) || chr(10) ELSE '' END || "
+    "chr(10) || printf('Matched %d primary keywords, %d patterns', c.n_primary, c.n_pattern)"
+)
+ORACLE_SQL["document_report"] = (with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _NSEC, _FTX, PARA_HITS, _DOC_EXTRA) + (
     "kp AS (SELECT ftx.doc_id, u.p, u.i FROM ftx, unnest(regexp_extract_all(full_text, "
     f"{sq(RP.KEY_PHRASE_PATTERN)})) WITH ORDINALITY AS u(p, i)), "
     "kf AS (SELECT doc_id, p, min(i) AS i FROM kp GROUP BY doc_id, p), "
@@ -591,8 +606,10 @@ ORACLE_SQL["document_report"] = (with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _
     f"{rhu(wc('x.full_text') + '::DOUBLE / ' + sc('x.full_text') + '::DOUBLE * 2.0::DOUBLE', 2)} < 30 THEN 'moderate' "
     "ELSE 'complex' END AS readability_level, coalesce(kr.kps, '') AS key_phrases, "
     f"array_to_string(regexp_extract_all(x.full_text, {sq(RP.ORGANISATION_PATTERN)})[1:5], '|') AS named_entities, "
-    "CAST(coalesce(nf.n, 0) AS BIGINT) AS issues "
-    "FROM cls c JOIN ftx x ON x.doc_id = c.doc_id LEFT JOIN nf ON nf.doc_id = c.doc_id LEFT JOIN kr ON kr.doc_id = c.doc_id"
+    "CAST(coalesce(nf.n, 0) AS BIGINT) AS issues, CAST(coalesce(sg.n, 0) AS BIGINT) AS suggestions, "
+    "CAST(coalesce(rc.n, 0) AS BIGINT) AS review_comments_count, " + _EXPLAIN + " AS explanation "
+    "FROM cls c JOIN ftx x ON x.doc_id = c.doc_id LEFT JOIN nf ON nf.doc_id = c.doc_id LEFT JOIN kr ON kr.doc_id = c.doc_id "
+    "LEFT JOIN rc ON rc.doc_id = c.doc_id LEFT JOIN sg ON sg.doc_id = c.doc_id"
 )).replace(") kp AS", "), kp AS")
 
 ORACLE_SQL["quarantine"] = (

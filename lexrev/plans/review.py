@@ -136,17 +136,23 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataF
 
 
 def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None = None,
-                    carry: list[str] | None = None) -> DataFrame:
-    """The nested result record of each document (flat key columns + one struct)."""
+                    carry: list[str] | None = None, clauses: DataFrame | None = None) -> DataFrame:
+    """The nested result record of each document (flat key columns + one struct), built in-row."""
+    spark = rev.sparkSession
+    frules = FL.load_flag_rules(None, spark)
+    catalogue = FL.load_clauses(clauses, spark)
     ft = F.col("full_text")
+    lower = F.lower(ft)
     score, level = M.readability(ft)
     flags = F.col("flags")
     comp_words = M.complexity_columns(ft, F.col("sections"))
     record = F.struct(
-        F.struct(F.col(key).alias("document"), *( [F.col(batch_col).alias("batch")] if batch_col else [])
+        F.struct(F.col(key).alias("document"), *([F.col(batch_col).alias("batch")] if batch_col else [])
                  ).alias("file_info"),
         F.struct("predicted_type", "confidence", "method_used", "all_scores", "best_matches",
                  "reasoning").alias("classification"),
+        C.explanation_column(F.col("predicted_type"), F.col("confidence"), F.col("method_used"),
+                             F.col("best_matches"), F.col("reasoning")).alias("explanation"),
         F.struct(
             X.word_count(ft).alias("word_count"),
             F.size("paras").cast("long").alias("paragraph_count"),
@@ -155,15 +161,28 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
         ).alias("structure_analysis"),
         F.struct(
             F.struct(
-                F.regexp_count(F.lower(ft), F.lit("shall")).cast("long").alias("obligations"),
+                F.regexp_count(lower, F.lit("shall")).cast("long").alias("obligations"),
                 M.compliance_references(ft).alias("compliance_indicators"),
+                F.struct(
+                    (lower.contains("party") | lower.contains("parties")).alias("parties"),
+                    lower.contains("terms").alias("terms"),
+                    lower.contains("conditions").alias("conditions"),
+                    lower.contains("consideration").alias("consideration"),
+                ).alias("contract_elements"),
                 M.risk_terms(ft).alias("risk_indicators"),
             ).alias("legal_elements"),
             F.struct(score.alias("complexity_score"), level.alias("readability_level")).alias("readability"),
             M.key_phrases(ft, 5).alias("key_phrases"),
-            M.organisation_matches(ft, 5).alias("named_entities"),
+            F.transform(M.organisation_matches(ft, 5),
+                        lambda t: F.struct(t.alias("text"), F.lit("ORGANIZATION").alias("label"))).alias(
+                "named_entities"),
         ).alias("content_analysis"),
-        F.struct(flags.alias("red_flags"), F.size(flags).cast("long").alias("issues")).alias("review"),
+        F.struct(
+            flags.alias("red_flags"),
+            F.size(flags).cast("long").alias("issues"),
+            FL.suggestion_array(flags, frules, catalogue).alias("legal_suggestions"),
+            FL.comment_count(F.col("paras"), flags, frules).alias("review_comments_count"),
+        ).alias("review"),
     )
     return rev.select(key, *([batch_col] if batch_col else []), record.alias("report"), *(carry or []))
 
