@@ -4,7 +4,10 @@ The flag-rule table is small and fixed-size (checked by ``bounded_rows``);
 it is compiled into one literal regex expression per rule, so scanning is a
 map-only projection: no join with the corpus, no shuffle, each pattern is
 compiled once per task.  Offsets are code points of ``full_text``, computed
-from ``regexp_extract_all`` (matches) and ``split`` (gaps between them).
+from ``regexp_extract_all`` (matches) and ``split`` (gaps between them) with
+block prefix sums; an exact literal-prefix test skips a rule's regex on ASCII
+texts that lack the word every match starts with.  Comments, suggestions and
+annotations stay inside the document row as well.
 """
 
 from __future__ import annotations
