@@ -176,7 +176,7 @@ COMMENT_TYPE = ("array<struct<rule_id:int,paragraph_index:int,text:string,commen
                 "reference:string,copies:int>>")
 
 
-def _with_comment_array(d: DataFrame, rules: list[FlagRule], mode: str, out: str = "cm") -> DataFrame:
+def with_comment_array(d: DataFrame, rules: list[FlagRule], mode: str, out: str = "cm") -> DataFrame:
     """Add ``out``: one comment struct per (rule, paragraph) with its ``copies``.
 
     Reference mode needs the number of flags of each rule in the whole document; those counts
@@ -230,7 +230,7 @@ def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode:
         raise ValueError("mode must be 'reference' or 'paragraph'")
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    d = _with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
+    d = with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
     c = X.inline_rows(d, [key], F.col("cm"), "rule_id")
     return c.select(
         key,
@@ -323,30 +323,38 @@ def _style(sev: Column) -> Column:
     return F.when(s.isin(*RP.ANNOTATION_STYLES.keys()), s).otherwise(F.lit("medium"))
 
 
-def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "reference",
-             key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """per paragraph, the text with its review comments appended in order, and the
-    highlight style (the last comment decides it).  Paragraphs without comments are kept
-    unchanged with a null highlight."""
-    rules = load_flag_rules(flag_rules, docs.sparkSession)
-    d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    d = _with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
+def _render(c: Column) -> Column:
+    ref = F.when(c["reference"] != "", F.concat(F.lit(RP.ANNOTATION_REFERENCE), c["reference"])).otherwise("")
+    one = F.concat(F.lit(RP.ANNOTATION_PREFIX), c["comment"], ref, F.lit("]"))
+    return F.repeat(one, c["copies"])
 
-    def render(c):
-        ref = F.when(c["reference"] != "", F.concat(F.lit(RP.ANNOTATION_REFERENCE), c["reference"])).otherwise("")
-        one = F.concat(F.lit(RP.ANNOTATION_PREFIX), c["comment"], ref, F.lit("]"))
-        return F.repeat(one, c["copies"])
+
+def annotated_paragraphs(paras: Column, comments: Column, only_commented: bool = False) -> Column:
+    """F5 in-row: each paragraph's text with its comments appended in order, the number of comments
+    and the highlight style (the last comment decides it; null without comments)."""
 
     def per_para(p):
-        mine = F.filter(F.col("cm"), lambda c: c["paragraph_index"] == p["idx"])
+        mine = F.filter(comments, lambda c: c["paragraph_index"] == p["idx"])
         return F.struct(
             p["idx"].alias("idx"),
             p["text"].alias("text"),
-            F.concat(p["text"], F.array_join(F.transform(mine, render), "")).alias("annotated_text"),
+            F.concat(p["text"], F.array_join(F.transform(mine, _render), "")).alias("annotated_text"),
             F.aggregate(mine, F.lit(0).cast("long"), lambda a, c: a + c["copies"]).alias("n_comments"),
             F.when(F.size(mine) > 0, _style(F.element_at(mine, -1)["severity"])).alias("highlight"),
         )
 
-    out = X.inline_rows(d, [key], F.transform(F.col("paras"), per_para), "idx")
+    out = F.transform(paras, per_para)
+    return F.filter(out, lambda a: a["n_comments"] > 0) if only_commented else out
+
+
+def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "reference",
+             key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """per paragraph, the text with its review comments appended in order, and the
+    highlight style (the last comment decides it).  Paragraphs without comments are kept
+    unchanged with a null highlight."""
+    rules = load_flag_rules(flag_rules, docs.sparkSession)
+    d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
+    d = with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
+    out = X.inline_rows(d, [key], annotated_paragraphs(F.col("paras"), F.col("cm")), "idx")
     return out.select(key, F.col("idx").cast("long").alias("idx"), "text", "annotated_text", "n_comments",
                       "highlight")

@@ -11,6 +11,8 @@ cut at a durable table:
 * ``suggestions/`` replacement clauses for flags whose category has a template
 * ``batches/``    per batch: compliance, severity counts and the Markdown summary
 * ``log/``        the processing log line of every document
+* ``issues/``     the review table: one row per (rule, paragraph) comment with its excerpt
+* ``annotations/`` commented paragraphs with their appended comments and highlight
 """
 
 from __future__ import annotations
@@ -31,9 +33,15 @@ from lexrev.sources.corpus import read_documents
 
 def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col: str = "source",
                   method: str = "ensemble", json: bool = False) -> dict[str, str]:
-    paths = {k: os.path.join(out_dir, k) for k in ("documents", "flags", "suggestions", "batches", "log")}
+    paths = {k: os.path.join(out_dir, k)
+             for k in ("documents", "flags", "suggestions", "batches", "log", "issues", "annotations")}
     rev = RV.reviewed(docs, method=method, keep=[batch_col])
-    report = RV.document_report(rev, batch_col=batch_col, carry=["flag_severities"])
+    # review comments (reference mode) and the annotated paragraphs travel with the document record,
+    # so the issue table and the marked-up paragraphs are derived without reading the text again
+    rules = FL.load_flag_rules(None, spark)
+    rev = FL.with_comment_array(rev, rules, "reference", out="comments")
+    rev = rev.withColumn("annotated", FL.annotated_paragraphs(F.col("paras"), F.col("comments"), only_commented=True))
+    report = RV.document_report(rev, batch_col=batch_col, carry=["flag_severities", "comments", "annotated"])
     report.write.mode("overwrite").parquet(paths["documents"])
     if json:
         spark.read.parquet(paths["documents"]).select(F.to_json(F.struct("*")).alias("value")).write.mode(
@@ -64,6 +72,11 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
     summary = RV.summary_report(per_doc, batch_col)
     join_keys(join_keys(comp, sev, batch_col), summary, batch_col).write.mode("overwrite").parquet(paths["batches"])
     RV.processing_log(per_doc).write.mode("overwrite").parquet(paths["log"])
+    issues = X.inline_rows(done, ["doc_id", batch_col], F.col("comments"), "rule_id")
+    FL.issue_table(issues.withColumn("rule_id", F.col("rule_id").cast("long"))).write.mode("overwrite").parquet(
+        paths["issues"])
+    X.inline_rows(done, ["doc_id", batch_col], F.col("annotated"), "idx").write.mode("overwrite").parquet(
+        paths["annotations"])
     return paths
 
 

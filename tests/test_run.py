@@ -24,3 +24,7 @@ def test_review_job_writes_every_output(spark):
     assert spark.read.parquet(paths["log"]).count() == n_docs
     assert spark.read.text(paths["documents"] + "_json").count() == n_docs
     assert os.path.isdir(paths["suggestions"])
+    issues = spark.read.parquet(paths["issues"])
+    assert issues.count() > 0 and set(issues.columns) >= {"excerpt", "comment", "severity", "reference", "copies"}
+    ann = spark.read.parquet(paths["annotations"])
+    assert ann.where("n_comments = 0").count() == 0 and ann.count() > 0
