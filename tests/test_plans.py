@@ -31,6 +31,7 @@ def test_per_document_queries_are_map_only(plans):
     for name in MAP_ONLY:
         exchanges = [ln for ln in plans[name].splitlines() if "Exchange " in ln and "Broadcast" not in ln]
         assert all("hashpartitioning(doc_id" in ln and "REPARTITION_BY_NUM" in ln for ln in exchanges), (name, exchanges)
+        assert all("text" in ln for ln in exchanges), (name, exchanges)
         assert len(exchanges) <= 1, name
 
 

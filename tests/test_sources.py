@@ -39,3 +39,13 @@ def test_rule_pack_from_json(spark):
     docs = spark.createDataFrame([(1, "A Force  Majeure event.")], "doc_id long, text string")
     f = FL.scan_flags(docs, rules).first()
     assert (f.matched_text, f.start, f.end, f.severity) == ("Force  Majeure", 2, 16, "Low")
+
+
+def test_spread_keeps_copies_apart(spark):
+    from pyspark.sql import functions as F
+
+    from lexrev.sources.corpus import spread_documents
+    rows = [(1, f"copy {i}") for i in range(300)] + [(i, "same text") for i in range(2, 302)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sizes = [r["count"] for r in spread_documents(df).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < len(rows) / 4
