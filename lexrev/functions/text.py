@@ -26,9 +26,11 @@ def _ascii_ws(c: Column) -> Column:
     return F.when(c.rlike(EXOTIC_WS), F.translate(c, EXOTIC_WS_CHARS, " " * len(EXOTIC_WS_CHARS))).otherwise(c)
 
 
-CASED_UPPER = "[\\p{Lu}\\p{Lt}]"
-CASED_LOWER = "\\p{Ll}"
-UNCASED_NON_WS = "[^\\p{Lu}\\p{Ll}\\p{Lt}\\s]"
+# Python's cased-character tests use Unicode's derived Uppercase/Lowercase properties
+# (categories Lu/Ll plus Other_Uppercase/Other_Lowercase) and Titlecase (Lt).
+CASED_UPPER = "[\\p{IsUppercase}\\p{IsTitlecase}]"
+CASED_LOWER = "\\p{IsLowercase}"
+UNCASED_NON_WS = "[^\\p{IsUppercase}\\p{IsLowercase}\\p{IsTitlecase}\\s]"
 
 
 def py_regex(pattern: str, ignore_case: bool = False) -> str:
@@ -96,7 +98,7 @@ def is_upper(c: Column | str) -> Column:
     """``str.isupper()``: some cased character and no lower/title-case one."""
     c = col_of(c)
     return F.coalesce(
-        c.rlike("\\p{Lu}") & ~c.rlike("[\\p{Ll}\\p{Lt}]"), F.lit(False)
+        c.rlike("\\p{IsUppercase}") & ~c.rlike("[\\p{IsLowercase}\\p{IsTitlecase}]"), F.lit(False)
     )
 
 

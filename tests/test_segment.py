@@ -72,3 +72,11 @@ def test_document_structure(docs):
     assert r.has_title and r.has_definitions and r.has_conclusion
     assert r.total_levels == 3 and r.structural_completeness == 1.0
     assert abs(r.organization_score - 1.0) < 1e-12
+
+
+def test_cased_properties_follow_python(spark):
+    from lexrev.functions import text as X
+    for t in ["Ⅻ", "ABCª", "ÉTÉ", "ǅX", "123", "ß"]:
+        assert one(spark, X.is_upper, t) == t.isupper(), t
+    for t in ["Ⅻ Ab", "Ⓐbc", "ǅungla x", "abc", "A1b", "O'Neil"]:
+        assert one(spark, X.has_title_word, t) == any(w.istitle() for w in t.split()), t
