@@ -337,6 +337,19 @@ def q_classification_raw(spark, sf):
                     _join(ev["sections"]).alias("section_hits"))
 
 
+def q_conversation_turns(spark, sf):
+    """Second corpus: every conversation turn reviewed as a short document (key = (conv_id, turn))."""
+    conv = read_table(spark, sf, "conversations").select(
+        F.struct("conv_id", "turn").alias("turn_key"), "role", "text")
+    stats = M.document_stats(conv, key="turn_key")
+    analysis = M.text_analysis(conv, key="turn_key")
+    j = stats.join(analysis.select("turn_key", "complexity_score", "readability_level", "average_word_length",
+                                   "passive_voice_count"), "turn_key")
+    return j.select(F.col("turn_key.conv_id").alias("conv_id"), F.col("turn_key.turn").alias("turn"),
+                    "word_count", "sentence_count", "character_count", "unique_words", "complexity_score",
+                    "readability_level", "average_word_length", "passive_voice_count")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flags_by_severity": q_flags_by_severity,
     "red_flags": q_red_flags,
@@ -387,4 +400,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_analysis_raw": q_text_analysis_raw,
     "key_phrases_raw": q_key_phrases_raw,
     "classification_raw": q_classification_raw,
+    "conversation_turns": q_conversation_turns,
 }

@@ -681,3 +681,26 @@ def _raw(sql: str) -> str:
 for _name in ("paragraphs", "sections", "text_tables", "document_stats", "text_analysis", "key_phrases",
               "classification"):
     ORACLE_SQL[_name + "_raw"] = _raw(ORACLE_SQL[_name])
+
+
+# ------------------------------------------------------------------ second corpus: conversation turns
+_TURN_FT = (
+    "tl AS (SELECT c.conv_id, c.turn, u.ord, regexp_replace(u.line, '^\\s+|\\s+$', '', 'g') AS line FROM conversations c, "
+    "unnest(string_split(coalesce(c.text, ''), chr(10))) WITH ORDINALITY AS u(line, ord)), "
+    "tft AS (SELECT c.conv_id, c.turn, coalesce(string_agg(t.line, ' ' ORDER BY t.ord) FILTER (WHERE t.line <> ''), '') "
+    "AS ft FROM conversations c LEFT JOIN tl t ON t.conv_id = c.conv_id AND t.turn = c.turn GROUP BY c.conv_id, c.turn)"
+)
+_TW = wc("ft")
+_TS = sc("ft")
+_TSCORE = f"(CASE WHEN {_TS} = 0 THEN 0.0::DOUBLE ELSE {rhu(_TW + '::DOUBLE / ' + _TS + '::DOUBLE * 2.0::DOUBLE', 2)} END)"
+ORACLE_SQL["conversation_turns"] = "WITH " + _TURN_FT + " " + (
+    f"SELECT conv_id, turn, {_TW} AS word_count, {_TS} AS sentence_count, CAST(length(ft) AS BIGINT) AS character_count, "
+    "CAST(len(list_distinct(regexp_extract_all(lower(ft), '\\S+'))) AS BIGINT) AS unique_words, "
+    f"{_TSCORE} AS complexity_score, "
+    f"CASE WHEN {_TS} = 0 THEN 'unknown' WHEN {_TSCORE} < 20 THEN 'easy' WHEN {_TSCORE} < 30 THEN 'moderate' "
+    "ELSE 'complex' END AS readability_level, "
+    f"CASE WHEN {_TW} > 0 THEN {rhu('length(regexp_replace(ft, chr(92) || ' + chr(39) + 's' + chr(39) + ', ' + chr(39) + chr(39) + ', ' + chr(39) + 'g' + chr(39) + '))::DOUBLE / ' + _TW + '::DOUBLE', 2)} "
+    "ELSE 0.0::DOUBLE END AS average_word_length, "
+    "CAST(len(regexp_extract_all(ft, '\\b(?:is|was|are|were|been|being)\\s+\\w+ed\\b')) AS BIGINT) AS passive_voice_count "
+    "FROM tft"
+)
