@@ -338,16 +338,19 @@ def q_classification_raw(spark, sf):
 
 
 def q_conversation_turns(spark, sf):
-    """Second corpus: every conversation turn reviewed as a short document (key = (conv_id, turn))."""
-    conv = read_table(spark, sf, "conversations").select(
-        F.struct("conv_id", "turn").alias("turn_key"), "role", "text")
-    stats = M.document_stats(conv, key="turn_key")
-    analysis = M.text_analysis(conv, key="turn_key")
-    j = stats.join(analysis.select("turn_key", "complexity_score", "readability_level", "average_word_length",
-                                   "passive_voice_count"), "turn_key")
-    return j.select(F.col("turn_key.conv_id").alias("conv_id"), F.col("turn_key.turn").alias("turn"),
-                    "word_count", "sentence_count", "character_count", "unique_words", "complexity_score",
-                    "readability_level", "average_word_length", "passive_voice_count")
+    """Second corpus: every conversation turn reviewed as a short document, in one projection."""
+    conv = read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    d = S.with_structure(conv)
+    ft = F.col("full_text")
+    score, level = M.readability(ft)
+    out = d.select(
+        "conv_id", "turn", *M.stats_columns(F.col("paras"), F.col("sections"), F.col("tables"), ft),
+        score.alias("complexity_score"), level.alias("readability_level"),
+        M.average_word_length(ft).alias("average_word_length"),
+        F.regexp_count(ft, F.lit(M.PASSIVE_REGEX)).cast("long").alias("passive_voice_count"),
+    )
+    return out.select("conv_id", "turn", "word_count", "sentence_count", "character_count", "unique_words",
+                      "complexity_score", "readability_level", "average_word_length", "passive_voice_count")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
