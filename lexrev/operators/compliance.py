@@ -9,13 +9,13 @@ requirement tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
 from lexrev.functions.joins import join_keys
-from lexrev.session import broadcast_if_small, cut_lineage
+from lexrev.session import MAX_COMPILED_RULES, bounded_rows, broadcast_if_small, cut_lineage
 from lexrev.sources.rules import default_rulepack
 
 
@@ -26,25 +26,54 @@ def present_types(classified: DataFrame, batch_col: str, type_col: str = "predic
     )
 
 
+def _process_table(process_rules: DataFrame | None, spark) -> list[tuple[str, list[str], int]]:
+    """Bounded process indicators as (process, indicator types, threshold), by priority."""
+    if process_rules is None:
+        process_rules = default_rulepack(spark, "process_rules")
+    rows = bounded_rows(process_rules, MAX_COMPILED_RULES, "process rules")
+    by_proc: dict[str, tuple[int, int, list[str]]] = {}
+    for r in rows:
+        prio, thr, types = by_proc.get(r.process, (r.priority, r.threshold, []))
+        by_proc[r.process] = (prio, thr, types + [r.doc_type])
+    return [(p, types, thr) for p, (prio, thr, types) in sorted(by_proc.items(), key=lambda kv: kv[1][0])]
+
+
+def _requirement_table(requirements: DataFrame | None, spark) -> dict[str, list[str]]:
+    if requirements is None:
+        requirements = default_rulepack(spark, "requirements")
+    out: dict[str, list[str]] = {}
+    for r in bounded_rows(requirements, MAX_COMPILED_RULES, "requirements"):
+        out.setdefault(r.process, []).append(r.doc_type)
+    return out
+
+
+def _per_batch(present: DataFrame, batch_col: str) -> DataFrame:
+    """One row per batch: its document types as a map type -> count (bounded by the type list)."""
+    return present.groupBy(batch_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("doc_type", "n"))).alias("_types"),
+        F.sum("n").cast("long").alias("documents_provided"),
+    )
+
+
+def _process_column(types: Column, table: list[tuple[str, list[str], int]]) -> Column:
+    """K1 in-row: the first process (by priority) whose indicator documents reach its threshold."""
+    expr = None
+    for proc, indicators, threshold in table:
+        cnt = F.lit(0).cast("long")
+        for t in indicators:
+            cnt = cnt + F.coalesce(F.try_element_at(types, F.lit(t)), F.lit(0)).cast("long")
+        cond = cnt >= F.lit(threshold)
+        expr = F.when(cond, F.lit(proc)) if expr is None else expr.when(cond, F.lit(proc))
+    return F.lit(RP.DEFAULT_PROCESS) if expr is None else expr.otherwise(F.lit(RP.DEFAULT_PROCESS))
+
+
 def determine_process(classified: DataFrame, batch_col: str, process_rules: DataFrame | None = None,
                       type_col: str = "predicted_type", present: DataFrame | None = None) -> DataFrame:
-    """K1: first process (by priority) whose indicator documents reach its threshold."""
+    """K1: first process (by priority) whose indicator documents reach its threshold (duplicates count)."""
     spark = classified.sparkSession
-    if process_rules is None:
-        process_rules = default_rulepack(spark, "process_rules")
     present = present if present is not None else present_types(classified, batch_col, type_col)
-    per_proc = (
-        present.join(broadcast_if_small(process_rules), "doc_type")
-        .groupBy(batch_col, "process", "threshold", "priority")
-        .agg(F.sum("n").alias("cnt"))
-        .where(F.col("cnt") >= F.col("threshold"))
-        .groupBy(batch_col)
-        .agg(F.min_by("process", "priority").alias("process"))
-    )
-    batches = present.select(batch_col).distinct()
-    return join_keys(batches, per_proc, batch_col, "left").select(
-        batch_col, F.coalesce(F.col("process"), F.lit(RP.DEFAULT_PROCESS)).alias("process")
-    )
+    table = _process_table(process_rules, spark)
+    return _per_batch(present, batch_col).select(batch_col, _process_column(F.col("_types"), table).alias("process"))
 
 
 def _required(process: DataFrame, batch_col: str, requirements: DataFrame | None) -> DataFrame:
@@ -88,42 +117,42 @@ def recommendations(missing: DataFrame, batch_col: str) -> DataFrame:
 def compliance(classified: DataFrame | None, batch_col: str, process_rules: DataFrame | None = None,
                requirements: DataFrame | None = None, type_col: str = "predicted_type",
                present: DataFrame | None = None) -> DataFrame:
-    """K2 (+K1, K3-K6 folded in): one row per batch.
+    """K2 with K1 and K3-K6 folded in: one row per batch.
 
-    The (batch, type) counts are computed once and checkpointed: they are small, and every
-    branch below reads them, so the classification of the corpus runs a single time.
+    The (batch, type) counts are computed once and written to the checkpoint folder; one
+    ``groupBy(batch)`` then gathers each batch's types (a map bounded by the type list) and the
+    process, required, missing, extra and matched sets are computed in that row from the
+    bounded rule tables (``array_except`` / ``array_intersect``), without further shuffles.
     """
+    spark = (classified if classified is not None else present).sparkSession
     if present is None:
-        present = cut_lineage(present_types(classified, batch_col, type_col))
-    classified = classified if classified is not None else present
-    process = determine_process(classified, batch_col, process_rules, type_col, present)
-    req = _required(process, batch_col, requirements)
-    n_req = req.groupBy(batch_col).agg(F.count(F.lit(1)).alias("total_required"))
-    matched = matched_documents(process, present, batch_col, req=req).groupBy(batch_col).agg(
-        F.count(F.lit(1)).alias("documents_matched"))
-    provided = present.groupBy(batch_col).agg(F.sum("n").alias("documents_provided"))
-    missing = missing_documents(process, present, batch_col, req=req)
-    recs = recommendations(missing, batch_col).groupBy(batch_col).agg(
-        F.sort_array(F.collect_list("recommendation")).alias("recommendations"),
-        F.sort_array(F.collect_list("doc_type")).alias("missing_documents"),
-    )
-    extra = extra_documents(process, present, batch_col, req=req).groupBy(batch_col).agg(
-        F.sort_array(F.collect_list("doc_type")).alias("extra_documents"))
-    out = process
-    for part in (n_req, matched, provided, recs, extra):
-        out = join_keys(out, part, batch_col, "left")
-    tr = F.coalesce(F.col("total_required"), F.lit(0)).cast("long")
-    dm = F.coalesce(F.col("documents_matched"), F.lit(0)).cast("long")
+        present = cut_lineage(present_types(classified, batch_col, type_col), "present")
+    table = _process_table(process_rules, spark)
+    reqs = _requirement_table(requirements, spark)
+    b = _per_batch(present, batch_col).withColumn("process", _process_column(F.col("_types"), table))
+    req = None
+    for proc, types in reqs.items():
+        arr = F.array(*[F.lit(t) for t in types])
+        req = F.when(F.col("process") == proc, arr) if req is None else req.when(F.col("process") == proc, arr)
     empty = F.array().cast("array<string>")
-    return out.select(
+    b = b.withColumn("_req", empty if req is None else req.otherwise(empty))
+    b = b.withColumn("_have", F.map_keys("_types"))
+    missing = F.array_sort(F.array_except(F.col("_req"), F.col("_have")))
+    extra = F.array_sort(F.array_except(F.col("_have"), F.col("_req")))
+    matched = F.size(F.array_intersect(F.array_distinct(F.col("_req")), F.col("_have"))).cast("long")
+    n_set = F.size(F.array_distinct(F.col("_req")))
+    recs = F.transform(missing, lambda t: F.concat(
+        F.lit("Please provide "), X.title_words(t), F.lit(" to complete your "),
+        F.regexp_replace(F.col("process"), "_", " "), F.lit(" submission")))
+    return b.select(
         batch_col, "process",
-        F.when(tr - dm == 0, "Complete").otherwise("Incomplete").alias("status"),
-        F.when(tr > 0, X.round_half_up(dm.cast("double") / tr.cast("double") * F.lit(100.0), 1))
+        F.when(F.size(missing) == 0, "Complete").otherwise("Incomplete").alias("status"),
+        F.when(n_set > 0, X.round_half_up(matched.cast("double") / n_set.cast("double") * F.lit(100.0), 1))
         .otherwise(F.lit(100.0)).alias("completeness_percentage"),
-        tr.alias("total_required"),
-        F.col("documents_provided").cast("long").alias("documents_provided"),
-        dm.alias("documents_matched"),
-        F.coalesce(F.col("missing_documents"), empty).alias("missing_documents"),
-        F.coalesce(F.col("extra_documents"), empty).alias("extra_documents"),
-        F.coalesce(F.col("recommendations"), empty).alias("recommendations"),
+        F.size("_req").cast("long").alias("total_required"),
+        "documents_provided",
+        matched.alias("documents_matched"),
+        missing.alias("missing_documents"),
+        extra.alias("extra_documents"),
+        F.array_sort(recs).alias("recommendations"),
     )
