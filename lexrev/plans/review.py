@@ -52,15 +52,20 @@ def confidence_summary(rev: DataFrame, batch_col: str) -> DataFrame:
     )
 
 
-def severity_counts(rev: DataFrame, batch_col: str) -> DataFrame:
-    """A3 + A4: flags per severity, High/Medium/Low always present, per batch."""
-    zero = rev.select(batch_col).distinct().select(
-        batch_col, F.explode(F.array(*[F.lit(s) for s in RP.SEVERITIES])).alias("severity"),
-        F.lit(0).cast("long").alias("n"),
-    )
-    hits = X.explode_rows(rev, [batch_col], F.col("flag_severities"), "severity").groupBy(batch_col, "severity").agg(
-        F.count(F.lit(1)).alias("n"))
-    return zero.unionByName(hits).groupBy(batch_col, "severity").agg(F.sum("n").cast("long").alias("issues"))
+def severity_counts(rev: DataFrame, batch_col: str, severities: list[str] | None = None) -> DataFrame:
+    """A3 + A4: flags per severity and batch; High/Medium/Low (and every rule severity) always present.
+
+    Each document contributes one counter per severity; a single ``groupBy(batch)`` with
+    map-side partial sums gives every batch its zero-filled counts (one exchange).
+    """
+    if severities is None:
+        severities = [r.severity for r in FL.load_flag_rules(None, rev.sparkSession)]
+    sevs = list(dict.fromkeys(RP.SEVERITIES + list(severities)))
+    per_doc = rev.select(batch_col, *[F.size(F.filter("flag_severities", _equals(v))).alias(f"_s{i}")
+                                      for i, v in enumerate(sevs)])
+    sums = per_doc.groupBy(batch_col).agg(*[F.sum(f"_s{i}").cast("long").alias(f"_s{i}") for i in range(len(sevs))])
+    rows = F.array(*[F.struct(F.lit(v).alias("severity"), F.col(f"_s{i}").alias("issues")) for i, v in enumerate(sevs)])
+    return X.inline_rows(sums, [batch_col], rows, "severity")
 
 
 def batch_summary(rev: DataFrame, batch_col: str) -> DataFrame:
