@@ -27,8 +27,8 @@ from lexrev.sources.seeds import seeded_documents
 BATCH = "source"
 
 
-def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_documents(spark, f"{sf}/documents.parquet", ["doc_id", "text", BATCH])
+def documents(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+    return read_documents(spark, f"{sf}/documents.parquet", ["doc_id", "text", BATCH], spread=spread)
 
 
 def seeded(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,7 +277,7 @@ def q_file_metadata(spark, sf):
 
 
 def q_quarantine(spark, sf):
-    good, errors = split_quarantine(documents(spark, sf))
+    good, errors = split_quarantine(documents(spark, sf, spread=False))  # no CPU-heavy work to balance
     return errors
 
 
