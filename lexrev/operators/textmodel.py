@@ -11,8 +11,8 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
-from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, \
-    StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import (IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer,
+                                StopWordsRemover)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
