@@ -8,7 +8,9 @@ SF = "/root/testdata/sf0.001"
 MAP_ONLY = ["red_flags", "paragraphs", "sections", "text_tables", "document_structure", "document_stats",
             "text_analysis", "legal_elements", "key_phrases", "organisations", "features", "rule_hits",
             "type_scores", "classification", "classification_rule_based", "explanations", "review_comments",
-            "review_comments_paragraph", "issue_table", "annotations", "processing_log", "document_report", "chunks"]
+            "review_comments_paragraph", "issue_table", "annotations", "processing_log", "document_report", "chunks",
+            "paragraphs_raw", "sections_raw", "text_tables_raw", "document_stats_raw", "text_analysis_raw",
+            "key_phrases_raw", "classification_raw", "conversation_turns"]
 
 
 def plan(df):
