@@ -53,8 +53,19 @@ def average_word_length(ft: Column) -> Column:
 
 
 def compliance_references(ft: Column) -> Column:
-    """All citation matches, pattern by pattern."""
-    return F.concat(*[F.regexp_extract_all(F.coalesce(ft, F.lit("")), F.lit(p), 0) for p in CITATION_REGEXES])
+    """All citation matches, pattern by pattern.
+
+    The patterns are case-sensitive, so a match contains its literal prefix verbatim: the
+    regex only runs on texts that hold it (exact for every text).
+    """
+    text = F.coalesce(ft, F.lit(""))
+    parts = []
+    for raw, rx in zip(RP.CITATION_PATTERNS, CITATION_REGEXES):
+        found = F.regexp_extract_all(text, F.lit(rx), 0)
+        prefix = X.literal_prefix(raw)
+        parts.append(F.when(text.contains(prefix), found).otherwise(F.array().cast("array<string>"))
+                     if prefix else found)
+    return F.concat(*parts)
 
 
 def risk_terms(ft: Column) -> Column:
