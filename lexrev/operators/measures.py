@@ -21,10 +21,15 @@ def structured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 # ----------------------------------------------------------------- T2-T8 column forms
-def readability(ft: Column) -> tuple[Column, Column]:
+def counted(d: DataFrame, ft: str = "full_text") -> DataFrame:
+    """Add ``_wc`` and ``_sc`` (words, sentences of the full text) once, for the measures that reuse them."""
+    return d.withColumn("_wc", X.word_count(F.col(ft))).withColumn("_sc", X.sentence_count(F.col(ft)))
+
+
+def readability(ft: Column, w: Column | None = None, s: Column | None = None) -> tuple[Column, Column]:
     """T4: (complexity_score, readability_level); thresholds test the rounded score."""
-    w = X.word_count(ft)
-    s = X.sentence_count(ft)
+    w = X.word_count(ft) if w is None else w
+    s = X.sentence_count(ft) if s is None else s
     score = F.when(s == 0, F.lit(0.0)).otherwise(X.round_half_up(w.cast("double") / s.cast("double") * F.lit(2.0), 2))
     level = (
         F.when(s == 0, "unknown").when(score < 20, "easy").when(score < 30, "moderate").otherwise("complex")
@@ -38,15 +43,15 @@ def lexicon_share(ft: Column, terms: list[str], divisor: float) -> Column:
     return F.least(F.lit(1.0), n.cast("double") / F.lit(float(divisor)))
 
 
-def lexicon_density(ft: Column, terms: list[str]) -> Column:
+def lexicon_density(ft: Column, terms: list[str], w: Column | None = None) -> Column:
     """Distinct lexicon hits per 100 words, 2 decimals; 0 without words."""
     n = X.contains_count(F.lower(F.coalesce(ft, F.lit(""))), terms)
-    w = X.word_count(ft)
+    w = X.word_count(ft) if w is None else w
     return F.when(w > 0, X.round_half_up(n.cast("double") / w.cast("double") * F.lit(100.0), 2)).otherwise(F.lit(0.0))
 
 
-def average_word_length(ft: Column) -> Column:
-    w = X.word_count(ft)
+def average_word_length(ft: Column, w: Column | None = None) -> Column:
+    w = X.word_count(ft) if w is None else w
     return F.when(w > 0, X.round_half_up(X.non_ws_chars(ft).cast("double") / w.cast("double"), 2)).otherwise(
         F.lit(0.0)
     )
@@ -91,10 +96,11 @@ def organisation_matches(ft: Column, n: int = 20) -> Column:
 
 
 # ----------------------------------------------------------------- T1, T3, T5
-def stats_columns(paras: Column, secs: Column, tables: Column, ft: Column) -> list[Column]:
+def stats_columns(paras: Column, secs: Column, tables: Column, ft: Column, w: Column | None = None,
+                  s: Column | None = None) -> list[Column]:
     n_par = F.size(paras)
-    w = X.word_count(ft)
-    s = X.sentence_count(ft)
+    w = X.word_count(ft) if w is None else w
+    s = X.sentence_count(ft) if s is None else s
     denom = F.greatest(F.lit(1), n_par).cast("double")
     return [
         w.alias("word_count"),
@@ -109,9 +115,9 @@ def stats_columns(paras: Column, secs: Column, tables: Column, ft: Column) -> li
     ]
 
 
-def complexity_columns(ft: Column, secs: Column) -> list[Column]:
+def complexity_columns(ft: Column, secs: Column, total: Column | None = None) -> list[Column]:
     """T5: overall complexity from total words and mean section length."""
-    total = X.word_count(ft)
+    total = X.word_count(ft) if total is None else total
     n_sec = F.size(secs)
     avg = F.when(n_sec > 0, total.cast("double") / n_sec.cast("double")).otherwise(total.cast("double"))
     level = (
@@ -125,26 +131,27 @@ def complexity_columns(ft: Column, secs: Column) -> list[Column]:
 
 def document_stats(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """T1 + T3: the nine statistics per document."""
-    d = structured(docs, text_col)
-    return d.select(key, *stats_columns(F.col("paras"), F.col("sections"), F.col("tables"), F.col("full_text")))
+    d = counted(structured(docs, text_col))
+    return d.select(key, *stats_columns(F.col("paras"), F.col("sections"), F.col("tables"), F.col("full_text"),
+                                        F.col("_wc"), F.col("_sc")))
 
 
 def text_analysis(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """T2, T4, T5, T6 (+T7, T8 parser versions): readability, complexity and language per document."""
-    d = structured(docs, text_col)
-    ft = F.col("full_text")
-    score, level = readability(ft)
+    d = counted(structured(docs, text_col))
+    ft, w, s = F.col("full_text"), F.col("_wc"), F.col("_sc")
+    score, level = readability(ft, w, s)
     lower = F.lower(ft)
     return d.select(
         key,
-        X.sentence_count(ft).alias("sentence_count"),
+        s.alias("sentence_count"),
         score.alias("complexity_score"),
         level.alias("readability_level"),
-        *complexity_columns(ft, F.col("sections")),
-        average_word_length(ft).alias("average_word_length"),
+        *complexity_columns(ft, F.col("sections"), w),
+        average_word_length(ft, w).alias("average_word_length"),
         lexicon_share(ft, RP.FORMALITY_WORDS, 10.0).alias("formal_language_score"),
         F.regexp_count(ft, F.lit(PASSIVE_REGEX)).cast("long").alias("passive_voice_count"),
-        lexicon_density(ft, RP.JARGON_WORDS).alias("legal_jargon_density"),
+        lexicon_density(ft, RP.JARGON_WORDS, w).alias("legal_jargon_density"),
         F.regexp_count(lower, F.lit("shall")).cast("long").alias("obligation_count"),
     )
 

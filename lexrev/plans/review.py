@@ -146,11 +146,12 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
     spark = rev.sparkSession
     frules = FL.load_flag_rules(None, spark)
     catalogue = FL.load_clauses(clauses, spark)
-    ft = F.col("full_text")
+    rev = M.counted(rev)
+    ft, w = F.col("full_text"), F.col("_wc")
     lower = F.lower(ft)
-    score, level = M.readability(ft)
+    score, level = M.readability(ft, w, F.col("_sc"))
     flags = F.col("flags")
-    comp_words = M.complexity_columns(ft, F.col("sections"))
+    comp_words = M.complexity_columns(ft, F.col("sections"), w)
     record = F.struct(
         F.struct(F.col(key).alias("document"), *([F.col(batch_col).alias("batch")] if batch_col else [])
                  ).alias("file_info"),
@@ -159,7 +160,7 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
         C.explanation_column(F.col("predicted_type"), F.col("confidence"), F.col("method_used"),
                              F.col("best_matches"), F.col("reasoning")).alias("explanation"),
         F.struct(
-            X.word_count(ft).alias("word_count"),
+            w.alias("word_count"),
             F.size("paras").cast("long").alias("paragraph_count"),
             F.size("sections").cast("long").alias("section_count"),
             comp_words[0].alias("complexity"),
