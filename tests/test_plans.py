@@ -48,3 +48,12 @@ def test_scans_are_pruned(plans):
 def test_top_k_is_limited_before_the_shuffle(spark):
     p = E.queries()["knn_centroids"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p
+
+
+def test_batch_aggregates_are_partial_before_the_exchange(plans):
+    # a batch holding a third of all documents is reduced per task before any shuffle
+    for name in ("flags_by_severity", "type_distribution", "confidence_summary", "batch_summary"):
+        p = plans[name]
+        assert "partial_" in p, name
+        first_exchange = p.find("Exchange hashpartitioning(source")
+        assert first_exchange > 0 and "partial_" in p[first_exchange:], name
