@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexrev.functions.text import py_strip
 from lexrev.session import broadcast_if_small
 
 DOC_COLUMNS = ["doc_id", "text", "lang", "source"]
@@ -73,7 +74,7 @@ def split_quarantine(docs: DataFrame, key: str = "doc_id", text_col: str = "text
         F.when(F.col(key).isNull(), "missing id")
         .when(F.col("_dup"), "duplicate id")
         .when(F.col(text_col).isNull(), "missing text")
-        .when(F.trim(F.regexp_replace(F.col(text_col), "\\s+", " ")) == "", "blank text")
+        .when(py_strip(F.col(text_col)) == "", "blank text")
     )
     tagged = tagged.withColumn("error", reason).drop("_dup")
     good = tagged.where(F.col("error").isNull()).drop("error")
