@@ -343,7 +343,14 @@ def annotated_paragraphs(paras: Column, comments: Column, only_commented: bool =
             F.when(F.size(mine) > 0, _style(F.element_at(mine, -1)["severity"])).alias("highlight"),
         )
 
-    out = F.transform(paras, per_para)
+    def with_color(a):
+        color = None
+        for style, (hl, _font) in RP.ANNOTATION_STYLES.items():
+            color = F.when(a["highlight"] == style, F.lit(hl)) if color is None else \
+                color.when(a["highlight"] == style, F.lit(hl))
+        return a.withField("highlight_color", color)
+
+    out = F.transform(F.transform(paras, per_para), with_color)
     return F.filter(out, lambda a: a["n_comments"] > 0) if only_commented else out
 
 
@@ -357,4 +364,4 @@ def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "
     d = with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
     out = X.inline_rows(d, [key], annotated_paragraphs(F.col("paras"), F.col("cm")), "idx")
     return out.select(key, F.col("idx").cast("long").alias("idx"), "text", "annotated_text", "n_comments",
-                      "highlight")
+                      "highlight", "highlight_color")

@@ -239,7 +239,9 @@ ORACLE_SQL["annotations"] = (with_(*FLAG_BASE, PARA_HITS) + (
     "SELECT doc_id, idx, text, text || string_agg(rendered, '' ORDER BY rule_id) AS annotated_text, "
     "CAST(sum(n_doc) AS BIGINT) AS n_comments, "
     "CASE WHEN arg_max(sev, rule_id) IN ('high', 'medium', 'low') THEN arg_max(sev, rule_id) ELSE 'medium' END "
-    "AS highlight FROM cm GROUP BY doc_id, idx, text"
+    "AS highlight, CASE CASE WHEN arg_max(sev, rule_id) IN ('high', 'medium', 'low') THEN arg_max(sev, rule_id) "
+    "ELSE 'medium' END " + " ".join(f"WHEN {sq(k)} THEN {sq(v[0])}" for k, v in RP.ANNOTATION_STYLES.items()) +
+    " END AS highlight_color FROM cm GROUP BY doc_id, idx, text"
 )).replace(") cm AS", "), cm AS")
 
 # ------------------------------------------------------------------ segmentation
