@@ -341,14 +341,19 @@ def annotated_paragraphs(paras: Column, comments: Column, only_commented: bool =
             F.concat(p["text"], F.array_join(F.transform(mine, _render), "")).alias("annotated_text"),
             F.aggregate(mine, F.lit(0).cast("long"), lambda a, c: a + c["copies"]).alias("n_comments"),
             F.when(F.size(mine) > 0, _style(F.element_at(mine, -1)["severity"])).alias("highlight"),
+            # each appended comment is written in the font colour of its own severity
+            F.flatten(F.transform(mine, lambda c: F.array_repeat(style_value(_style(c["severity"]), 1),
+                                                                 c["copies"]))).alias("comment_colors"),
         )
 
+    def style_value(style: Column, i: int) -> Column:
+        out = None
+        for name, values in RP.ANNOTATION_STYLES.items():
+            out = F.when(style == name, F.lit(values[i])) if out is None else out.when(style == name, F.lit(values[i]))
+        return out
+
     def with_color(a):
-        color = None
-        for style, (hl, _font) in RP.ANNOTATION_STYLES.items():
-            color = F.when(a["highlight"] == style, F.lit(hl)) if color is None else \
-                color.when(a["highlight"] == style, F.lit(hl))
-        return a.withField("highlight_color", color)
+        return a.withField("highlight_color", style_value(a["highlight"], 0))
 
     out = F.transform(F.transform(paras, per_para), with_color)
     return F.filter(out, lambda a: a["n_comments"] > 0) if only_commented else out
@@ -364,4 +369,4 @@ def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "
     d = with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
     out = X.inline_rows(d, [key], annotated_paragraphs(F.col("paras"), F.col("cm")), "idx")
     return out.select(key, F.col("idx").cast("long").alias("idx"), "text", "annotated_text", "n_comments",
-                      "highlight", "highlight_color")
+                      "highlight", "highlight_color", "comment_colors")

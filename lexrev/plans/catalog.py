@@ -70,7 +70,8 @@ def q_clause_suggestions(spark, sf):
 
 
 def q_annotations(spark, sf):
-    return FL.annotate(seeded(spark, sf), mode="reference").where(F.col("n_comments") > 0)
+    a = FL.annotate(seeded(spark, sf), mode="reference").where(F.col("n_comments") > 0)
+    return a.withColumn("comment_colors", _join(F.col("comment_colors"), ","))
 
 
 # ------------------------------------------------------------------ segmentation (P)

@@ -233,7 +233,10 @@ ORACLE_SQL["annotations"] = (with_(*FLAG_BASE, PARA_HITS) + (
     "cm AS (SELECT ph.doc_id, ph.idx, ph.text, ph.rule_id, nd.n_doc, "
     f"repeat({sq(RP.ANNOTATION_PREFIX)} || r.issue || ' - ' || r.suggestion || "
     f"CASE WHEN r.reference <> '' THEN {sq(RP.ANNOTATION_REFERENCE)} || r.reference ELSE '' END || ']', "
-    "CAST(nd.n_doc AS BIGINT)) AS rendered, lower(r.severity) AS sev "
+    "CAST(nd.n_doc AS BIGINT)) AS rendered, lower(r.severity) AS sev, "
+    "repeat(CASE CASE WHEN lower(r.severity) IN ('high', 'medium', 'low') THEN lower(r.severity) ELSE 'medium' END "
+    + " ".join(f"WHEN {sq(k)} THEN {sq(v[1])}" for k, v in RP.ANNOTATION_STYLES.items()) +
+    " END || ',', CAST(nd.n_doc AS BIGINT)) AS fonts "
     "FROM ph JOIN nd ON nd.doc_id = ph.doc_id AND nd.rule_id = ph.rule_id JOIN rules r ON r.rule_id = ph.rule_id "
     "WHERE ph.n_in_para > 0) "
     "SELECT doc_id, idx, text, text || string_agg(rendered, '' ORDER BY rule_id) AS annotated_text, "
@@ -241,7 +244,8 @@ ORACLE_SQL["annotations"] = (with_(*FLAG_BASE, PARA_HITS) + (
     "CASE WHEN arg_max(sev, rule_id) IN ('high', 'medium', 'low') THEN arg_max(sev, rule_id) ELSE 'medium' END "
     "AS highlight, CASE CASE WHEN arg_max(sev, rule_id) IN ('high', 'medium', 'low') THEN arg_max(sev, rule_id) "
     "ELSE 'medium' END " + " ".join(f"WHEN {sq(k)} THEN {sq(v[0])}" for k, v in RP.ANNOTATION_STYLES.items()) +
-    " END AS highlight_color FROM cm GROUP BY doc_id, idx, text"
+    " END AS highlight_color, rtrim(string_agg(fonts, '' ORDER BY rule_id), ',') AS comment_colors "
+    "FROM cm GROUP BY doc_id, idx, text"
 )).replace(") cm AS", "), cm AS")
 
 # ------------------------------------------------------------------ segmentation

@@ -98,3 +98,8 @@ def test_prefilter_keeps_unicode_case_folding(docs):
     want = sorted((i, k, m.start(), m.end()) for i, t in enumerate(texts)
                   for k, rule in enumerate(RP.FLAG_RULES) for m in re.finditer(rule[0], t, re.IGNORECASE))
     assert got == want and len(want) == 4
+
+
+def test_comment_font_colours(docs):
+    a = FL.annotate(docs("UAE law, and it shall be void.")).first()
+    assert a.comment_colors == ["8B0000", "B8860B"] and a.highlight_color == "YELLOW"
