@@ -63,7 +63,9 @@ def main() -> None:
         except Exception as e:  # noqa: BLE001 - record the failure, keep measuring the rest
             times[q] = None
             errors[q] = str(e).splitlines()[0][:200]
-    n_docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    size = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+        "count(*) AS n", "sum(octet_length(text)) AS b").first()
+    n_docs, text_mb = size["n"], round((size["b"] or 0) / 1e6, 1)
     total = round(sum(t for t in times.values() if t is not None), 3)
     review = times.get("document_report")
     out = {
@@ -74,6 +76,8 @@ def main() -> None:
         "sf": sf,
         "documents": n_docs,
         "review_docs_per_sec": round(n_docs / review, 1) if review else None,
+        "text_mb": text_mb,
+        "review_mb_per_sec": round(text_mb / review, 2) if review else None,
         "runs_per_query": RUNS,
     }
     if errors:
