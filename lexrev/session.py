@@ -42,17 +42,25 @@ def get_spark(master: str | None = None, app: str = "lexrev", shuffle_partitions
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch folder only when unset (tests)."""
+    """The shared folder named by spark.checkpoint.dir.
+
+    It must be named explicitly; only a local session (one machine, as in tests and the bench) may leave it
+    unset, and gets a scratch folder that goes with the process.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="lexrev-ckpt-")  # local runs and tests only
+        d = tempfile.mkdtemp(prefix="lexrev-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under this application's folder in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lexrev-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a parquet table under spark.checkpoint.dir and continue from it.
 
@@ -60,9 +68,18 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     durable copy on the shared folder (survives executor loss), and exact size statistics
     for the planner's broadcast decisions on the read-back table.
     """
-    path = os.path.join(checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables; a job calls it when its results are written."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/lexrev-{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS, what: str = "table") -> list:
