@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexrev.llm.radix_dedup import remove_repeats
+from lexrev.llm.records import default_tokenizer, record_digests
 from lexrev.llm.simhash import near_duplicates
 
 
@@ -19,6 +20,11 @@ def op6_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as framed binary records and read back."""
+    return record_digests(_table(spark, sf_dir, "documents"), default_tokenizer())
+
+
 def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -26,6 +32,7 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_radix": op6_suffix_radix,
+    "op9_binary_records": op9_binary_records,
     "op10_simhash_ball": op10_simhash_ball,
 }
 
