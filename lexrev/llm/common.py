@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexrev.session import cut_lineage
+
 ASCII_UPPER = bytes(range(65, 91))
 ASCII_LOWER = bytes(range(97, 123))
 LOWER_TABLE = bytes.maketrans(ASCII_UPPER, ASCII_LOWER)
@@ -56,6 +58,15 @@ def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k_hash")]
 
 
+def join_totals(rows: DataFrame, totals: DataFrame, on: list[str]) -> DataFrame:
+    """Join rows to what was aggregated over them, so that a hot key is not bound to one task.
+
+    Joined directly, the aggregate's own exchange would be reused and adaptive execution could not split
+    a hot key of the other side. A written table gives the join two exchanges of its own.
+    """
+    return rows.join(cut_lineage(totals, "totals"), on)
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Bijective mixing of unsigned 64-bit integers."""
     h = h ^ (h >> np.uint64(32))

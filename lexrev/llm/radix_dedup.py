@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexrev.llm.common import doc_key, map_batches, mix64, sha256_hex, utf8_rows
+from lexrev.llm.common import doc_key, join_totals, map_batches, mix64, sha256_hex, utf8_rows
 from lexrev.session import cut_lineage
 
 DEPTH = 200
@@ -195,12 +195,12 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, bloc
     runs = _runs(docs, depth, gram)
     by_lead = (runs.groupBy("lead").agg(F.count("*").alias("n"), F.min("hull").alias("h0"), F.max("hull").alias("h1"))
                .where("n > 1").selectExpr("lead", "h0 <> h1 AS mixed"))
-    found = cut_lineage(runs.join(by_lead, "lead"), "radix-runs")
+    found = cut_lineage(join_totals(runs, by_lead, ["lead"]), "radix-runs")
     mixed = found.where("mixed")
     hulls = (mixed.groupBy("lead", "hull")
              .agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_hash", "lo")).alias("rep")))
     judged = cut_lineage(
-        mixed.join(hulls, ["lead", "hull"])
+        join_totals(mixed, hulls, ["lead", "hull"])
         .select(*KEY, "lo", "hi", (F.col("n") > 1).alias("done"),
                 ((F.col("n") == 1) | (F.struct("k_id", "k_hash", "lo") == F.col("rep"))).alias("go")), "radix-judged")
     whole = found.where("NOT mixed").select(*KEY, "lo", "hi").unionByName(judged.where("done").select(*KEY, "lo", "hi"))
@@ -208,15 +208,21 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, bloc
     lists = judged.where("go").groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("iv"))
     blocks = cut_lineage(_blocks(_packed(docs).join(lists, KEY), depth, gram, block), "radix-blocks")
     core = ["lead", "off", "core"]
-    digit = F.xxhash64("lmargin", "rmargin", F.octet_length("lmargin"))
-    groups = (blocks.groupBy(*core).agg(F.count("*").alias("n"), F.min(digit).alias("d0"), F.max(digit).alias("d1"))
+    blocks = blocks.withColumn("digit", F.xxhash64("lmargin", "rmargin", F.octet_length("lmargin")))
+    groups = (blocks.groupBy(*core).agg(F.count("*").alias("n"), F.min("digit").alias("d0"), F.max("digit").alias("d1"))
               .where("n > 1").select(*core, F.expr("d0 <> d1").alias("mixed")))
-    live = cut_lineage(blocks.join(groups, core), "radix-live")
+    live = cut_lineage(join_totals(blocks, groups, core), "radix-live")
     even = live.where("NOT mixed").select(*KEY, "lo", "hi")
+    mixed = live.where("mixed")
+    kinds = (mixed.groupBy(*core, "digit")
+             .agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_hash", "lo")).alias("rep")))
+    judged = cut_lineage(join_totals(mixed, kinds, [*core, "digit"]), "radix-judged")
+    even = even.unionByName(judged.where("n > 1").select(*KEY, "lo", "hi"))
     # The last digit: each window's own part of both margins.
-    windows = _window_digits(live.where("mixed"), core)
+    go = judged.where((F.col("n") == 1) | (F.struct("k_id", "k_hash", "lo") == F.col("rep")))
+    windows = _window_digits(go, core)
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    single = windows.join(twice, ["w1", "w2"]).select(*KEY, F.col("s").alias("lo"), F.col("s").alias("hi"))
+    single = join_totals(windows, twice, ["w1", "w2"]).select(*KEY, F.col("s").alias("lo"), F.col("s").alias("hi"))
     return whole.unionByName(even).unionByName(single)
 
 
