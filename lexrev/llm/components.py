@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexrev.llm.common import join_totals
 from lexrev.session import cut_lineage
 
 MAX_ROUNDS = 60
@@ -13,7 +14,7 @@ MAX_ROUNDS = 60
 def _pairs_to_smallest(both: DataFrame) -> DataFrame:
     """Each (u, v) with the smallest member of u's neighbourhood, u included."""
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(low, "u")
+    return join_totals(both, low, ["u"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -32,7 +33,8 @@ def components(links: DataFrame) -> DataFrame:
         large = (_pairs_to_smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         # small star: rows point from the larger node to the smaller one
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut_lineage(large, "links")
+        low = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")), "links")
         pulled = large.join(low, "u")
         edges = cut_lineage(pulled.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                             .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
