@@ -36,15 +36,23 @@ def utf8_rows(col: pa.Array) -> Iterator[bytes]:
         yield (v.as_buffer().to_pybytes() if v.is_valid else b"")
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most about ``BATCH_BYTES`` (a longer row is a batch of its own)."""
+    for b in batches:
+        mean = max(1, b.nbytes // max(1, b.num_rows))
+        step = max(1, BATCH_BYTES // mean)
+        for i in range(0, b.num_rows, step):
+            yield b.slice(i, step)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` with one function call per Arrow batch; ``None`` yields nothing."""
 
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                out = fn(b)
-                if out is not None and out.num_rows:
-                    yield out
+        for b in slices(batches):
+            out = fn(b)
+            if out is not None and out.num_rows:
+                yield out
 
     return df.mapInArrow(run, schema)
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexrev.llm.deobfuscate import personal_data
+from lexrev.llm.positions import contamination
 from lexrev.llm.radix_dedup import remove_repeats
 from lexrev.llm.records import default_tokenizer, record_digests
 from lexrev.llm.simhash import near_duplicates
@@ -15,11 +18,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of the benchmark items found in every document by the positional index."""
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"))
+
+
 def op6_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in a 200-byte string found more than once."""
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, found as it stands and behind disguises."""
+    return personal_data(_table(spark, sf_dir, "documents")).drop("base")
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as framed binary records and read back."""
     return record_digests(_table(spark, sf_dir, "documents"), default_tokenizer())
@@ -31,7 +48,9 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_positional_index": op5_positional_index,
     "op6_suffix_radix": op6_suffix_radix,
+    "op8_deobfuscation": op8_deobfuscation,
     "op9_binary_records": op9_binary_records,
     "op10_simhash_ball": op10_simhash_ball,
 }
