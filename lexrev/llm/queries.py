@@ -11,6 +11,7 @@ from lexrev.llm.deobfuscate import personal_data
 from lexrev.llm.positions import contamination
 from lexrev.llm.radix_dedup import remove_repeats
 from lexrev.llm.records import default_tokenizer, record_digests
+from lexrev.llm.resample import resample
 from lexrev.llm.simhash import near_duplicates
 
 
@@ -18,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by Gumbel top-k with importance weights towards the good labelled ones."""
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark items found in every document by the positional index."""
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -48,6 +54,7 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_importance_resampling": op2_importance_resampling,
     "op5_positional_index": op5_positional_index,
     "op6_suffix_radix": op6_suffix_radix,
     "op8_deobfuscation": op8_deobfuscation,
