@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexrev.llm.deobfuscate import personal_data
+from lexrev.llm.edit_sketch import neighbour_fingerprints
+from lexrev.llm.packing import pack_documents
 from lexrev.llm.positions import contamination
+from lexrev.llm.quotes import link, quoting_messages
 from lexrev.llm.radix_dedup import remove_repeats
 from lexrev.llm.records import default_tokenizer, record_digests
 from lexrev.llm.resample import resample
+from lexrev.llm.revisits import captures, resolve_revisits
 from lexrev.llm.simhash import near_duplicates
 
 
@@ -19,11 +23,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-modified revisits of a crawl derived from pages, resolved as of their time; headers sorted, as text."""
+    found = resolve_revisits(captures(_table(spark, sf_dir, "pages")))
+    entries = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumn("headers", F.concat_ws(";", entries))
+
+
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents drawn by Gumbel top-k with importance weights towards the good labelled ones."""
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of every document in bins of four permitted lengths."""
+    return pack_documents(_table(spark, sf_dir, "documents"), default_tokenizer())
+
+
+def op4_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit-distance fingerprints of every document and of its edited text."""
+    return neighbour_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark items found in every document by the positional index."""
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -38,6 +59,12 @@ def op6_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt from quoting messages that are derived from the turns."""
+    linked = link(quoting_messages(_table(spark, sf_dir, "conversations")))
+    return linked.withColumn("own_sha256", F.sha2("own_text", 256)).drop("own_text")
+
+
 def op8_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, found as it stands and behind disguises."""
     return personal_data(_table(spark, sf_dir, "documents")).drop("base")
@@ -54,9 +81,13 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_revisit_resolution": op1_revisit_resolution,
     "op2_importance_resampling": op2_importance_resampling,
+    "op3_variable_best_fit": op3_variable_best_fit,
+    "op4_edit_embedding": op4_edit_embedding,
     "op5_positional_index": op5_positional_index,
     "op6_suffix_radix": op6_suffix_radix,
+    "op7_quotation_linking": op7_quotation_linking,
     "op8_deobfuscation": op8_deobfuscation,
     "op9_binary_records": op9_binary_records,
     "op10_simhash_ball": op10_simhash_ball,
