@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexrev.llm.common import doc_key, mix64, slices
+from lexrev.llm.common import doc_key, map_batches, mix64, slices
 from lexrev.session import cut_lineage
 
 BITS = 18
@@ -94,10 +94,14 @@ def ratios(docs: DataFrame, sample: Labels) -> np.ndarray:
             part = at[lo:lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total.ravel()[part])], names=["cell", "n"])
 
-    cells = (docs.select("doc_id", "text").mapInArrow(count, "cell int, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
+    def pack(b: pa.RecordBatch):
+        cells, n = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array([cells.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], names=["cells", "n"])
+
+    sums = docs.select("doc_id", "text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     flat = np.zeros(4 * _SIZE)
-    flat[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    for row in map_batches(sums, pack, "cells binary, n binary").toLocalIterator():  # 12 bytes a cell, 4 * 2**BITS cells at most
+        flat[np.frombuffer(row["cells"], np.int32)] = np.frombuffer(row["n"], np.int64)
     raw, good = flat.reshape(2, 2, _SIZE)
     if not good.any():
         return np.zeros((2, _SIZE), np.float32)
