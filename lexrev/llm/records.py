@@ -25,6 +25,7 @@ once each. An empty table gives no frames. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexrev.llm.common import map_batches, utf8_rows
+from lexrev.llm.common import LOWER_TABLE, map_batches, slices, utf8_rows
 from lexrev.session import scratch_path
 
 END_ID = 1
@@ -43,11 +44,14 @@ _MASK = 0xA282EAD8
 _HEAD = "<QI"
 _KEY = "<Bq"
 _KEY_SIZE = struct.calcsize(_KEY)
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 1_000_000
+_MARKS = b".,!?;:*%&$#"
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 @lru_cache(maxsize=2)
 def load_tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -56,9 +60,9 @@ def load_tokenizer(path: str):
 class WordEncoder:
     """Encodes texts by their white-space-separated words, each distinct word once.
 
-    Exact for tokenizers that never join across white space and drop it, as the default one (its normalizer and
-    splitter look at no character beyond it). Only space and \\x09-\\x0D split here, which every such tokenizer
-    takes for white space. The cache is emptied when it holds ``cache_words`` words.
+    Exact for tokenizers that fold case, drop white space, never join across it and part marks from letters, as the default one
+    (its normalizer and splitter look at no character beyond white space). Only space and \\x09-\\x0D split here, which every such tokenizer
+    takes for white space. The cache is emptied when it would hold over ``cache_words`` words and a batch.
     """
 
     def __init__(self, path: str, cache_words: int = _CACHE_WORDS):
@@ -69,19 +73,59 @@ class WordEncoder:
 
     def encode(self, raw: bytes) -> bytes:
         """Ids of a UTF-8 text, as packed integers of ``dtype``."""
-        words = raw.split()
+        return next(self.encode_all([raw]))
+
+    def encode_all(self, texts: list[bytes]) -> Iterator[bytes]:
+        """``encode`` for a batch, whose new words are encoded together."""
+        words = [raw.split() for raw in texts]
         cache = self.cache
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) > self.cache_words:
-                cache.clear()
-                new = list(set(words))
-            for i in range(0, len(new), 4096):
-                part = new[i:i + 4096]
-                found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-                for w, e in zip(part, found, strict=True):
-                    cache[w] = np.array(e.ids, self.dtype).tobytes()
-        return b"".join([cache[w] for w in words])
+        new = set().union(*words).difference(cache)
+        if len(cache) + len(new) > self.cache_words:
+            cache.clear()
+            new = set().union(*words)
+        parts = {w: self._parts(w) for w in new}
+        self._learn(list({p for two in parts.values() for p in two}.difference(cache)))
+        for w, (core, tail) in parts.items():
+            cache[w] = cache[core] + cache[tail]
+        for ws in words:
+            yield b"".join([cache[w] for w in ws])
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """A word as two that many words share: folded (the tokenizer folds case) and without the marks at its end.
+
+        Only marks after an ASCII letter or digit part, as others may join a mark before them; words that may spell
+        special tokens stay whole.
+        """
+        if b"<|" in word:
+            return word, b""
+        low = word.translate(LOWER_TABLE)
+        core = low.rstrip(_MARKS)
+        return (core, low[len(core):]) if core and core[-1] in _ALNUM else (low, b"")
+
+    def _learn(self, new: list[bytes]) -> None:
+        # Words in lists of 512: one encoding object a list instead of one a word.
+        for i in range(0, len(new), 512):
+            part = new[i:i + 512]
+            e, = self.tokenizer.encode_batch([[w.decode("utf-8", "replace") for w in part]],
+                                             is_pretokenized=True, add_special_tokens=False)
+            of = e.word_ids
+            if None in of:  # special tokens written out in the text belong to no word
+                for w in part:
+                    one = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False)
+                    self.cache[w] = np.array(one.ids, self.dtype).tobytes()
+                continue
+            ids = np.array(e.ids, self.dtype)
+            cuts = (np.searchsorted(np.array(of, np.int64), np.arange(len(part) + 1)) * ids.itemsize).tolist()
+            packed = ids.tobytes()
+            for w, x, y in zip(part, cuts, cuts[1:], strict=False):
+                self.cache[w] = packed[x:y]
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder a process: its cache outlives the task."""
+    return WordEncoder(path)
 
 
 def masked_crc(data: bytes) -> int:
@@ -129,18 +173,19 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
                .sortWithinPartitions(F.asc_nulls_first("doc_id"), "h", "text").select("doc_id", "text"))
 
     def encode(batches):
-        enc = WordEncoder(tokenizer)
+        enc = word_encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
-        for b in batches:
-            out = [frame(struct.pack(_KEY, i is not None, i or 0) + enc.encode(raw) + end)
-                   for i, raw in zip(b.column(0).to_pylist(), utf8_rows(b.column(1)), strict=True)]
+        for b in slices(batches):
+            out = [frame(struct.pack(_KEY, i is not None, i or 0) + ids + end)
+                   for i, ids in zip(b.column(0).to_pylist(), enc.encode_all(list(utf8_rows(b.column(1)))), strict=True)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            del out
 
     # cast() keeps the bytes as they are; the text writer writes them as they are.
     ordered.mapInArrow(encode, "value binary").select(F.col("value").cast("string")).write.text(f"{path}/data")
     spark = docs.sparkSession
-    width = WordEncoder(tokenizer).dtype.itemsize
+    width = word_encoder(tokenizer).dtype.itemsize
 
     def index(b: pa.RecordBatch):
         rows = []
@@ -179,7 +224,7 @@ def read_records(spark: SparkSession, path: str, tokenizer: str, wanted: DataFra
     base = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("base"))
     picked = index if wanted is None else index.join(wanted, ["file", "offset"], "left_semi")
     lists = picked.groupBy("file").agg(F.collect_list(F.struct("offset", "doc_id", "n_tokens", "before")).alias("frames"))
-    dtype = WordEncoder(tokenizer).dtype
+    dtype = word_encoder(tokenizer).dtype
 
     def fetch(b: pa.RecordBatch):
         rows = []

@@ -10,7 +10,8 @@ from lexrev.llm.records import (WordEncoder, default_tokenizer, frame, frames_of
 
 TEXTS = ["Hello  world's 3rd\ttest\n\n", "", None, "<|endoftext|> x<|startoftext|>y", "É é café ño ǅ İ ß Σίσυφος ΟΔΟΣ",
          "a b c\x1cd\x85e ̈f", "日本語 テキスト 😀👍🏽 end", "don't I'll we've 'S", "word " * 3000, "x" * 5000,
-         "tab\x0bvt\x0cff\r\nend", "1234567890 12 3.4", "…---!!! ???", "مرحبا بالعالم"]
+         "tab\x0bvt\x0cff\r\nend", "1234567890 12 3.4", "…---!!! ???", "مرحبا بالعالم",
+         "it's. it'S, end!'s a.…b.… x.' WORD.,; É. 5%*** <|ENDOFTEXT|>. <|endoftext|>. A\u0301. K. &&&& .. a|. b.> c.̈"]
 
 
 def whole(texts):
