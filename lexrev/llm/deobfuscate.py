@@ -37,6 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_IP_HINT = re.compile(r"\.[0-9]++\.[0-9]++\.[0-9]")  # starts with a fixed character, so most texts are passed over fast
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -58,6 +59,9 @@ def emails(t: str) -> list[tuple[int, int]]:
 
 
 def ips(t: str) -> list[tuple[int, int]]:
+    if not _IP_HINT.search(t):
+        return []
+
     def small(part: str) -> bool:
         part = part.lstrip("0")
         return len(part) < 3 or len(part) == 3 and part <= "255"
@@ -124,9 +128,9 @@ _SPELT_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0
 _NUMBER = "(?:" + "|".join(sorted(SPELLED, key=lambda w: (-len(w), w))) + r"|[0-9])"
 _RUN = re.compile(rf"(?:(?<!\w)plus[ -]{{1,2}}|\+ ?)?(?<!\w){_NUMBER}(?:[ -]{{0,2}}{_NUMBER}){{6,}}(?!\w)", re.IGNORECASE)
 _ONE = re.compile(rf"{_NUMBER}|plus[ -]{{1,2}}|[+]|[ -]+", re.IGNORECASE)
-#: What must occur for a transducer to have any work; cheap to search for.
-_HINT_AT = re.compile(r"(?i:[\[({<] {0,2}(?:at|@|dot|\.) {0,2}[\])}>]| dot )")
-_HINT_NUMBER = re.compile(r"(?i)(?<!\w)(?:" + "|".join(sorted(SPELLED)) + r")[ -]{1,2}(?:[0-9]|" + "|".join(sorted(SPELLED)) + r")(?!\w)")
+_BRACKETED = re.compile(r"[\[({<] {0,2}(?:at|@|dot|\.) {0,2}[\])}>]", re.IGNORECASE)
+#: A run must hold one of these ("un" alone is too common a word).
+_TELLING = frozenset(SPELLED) - {"un"}
 
 Edits = list[tuple[int, int, str]]
 
@@ -136,7 +140,7 @@ def odd_characters(t: str) -> Edits:
 
 
 def separators(t: str) -> Edits:
-    if not _HINT_AT.search(t):
+    if " dot " not in t.lower() and not (any(c in t for c in "[({<") and _BRACKETED.search(t)):
         return []
     out: Edits = []
     for m in _AT.finditer(t):
@@ -154,10 +158,12 @@ def separators(t: str) -> Edits:
 
 
 def spelled_digits(t: str) -> Edits:
-    if not _HINT_NUMBER.search(t):
+    if _TELLING.isdisjoint(t.lower().replace("-", " ").split()):
         return []
     out: Edits = []
     for m in _RUN.finditer(t):
+        if _TELLING.isdisjoint(m.group().lower().replace("-", " ").split()):
+            continue
         for p in _ONE.finditer(t, m.start(), m.end()):
             w = p.group().lower()
             if w in SPELLED:
