@@ -34,8 +34,13 @@ UNCASED_NON_WS = "[^\\p{IsUppercase}\\p{IsLowercase}\\p{IsTitlecase}\\s]"
 
 
 def py_regex(pattern: str, ignore_case: bool = False) -> str:
-    """Python ``re`` pattern -> Java pattern with Python's Unicode class semantics."""
-    return ("(?iU)" if ignore_case else "(?U)") + pattern
+    """Python ``re`` pattern -> Java pattern with Python's semantics.
+
+    Unicode classes, ``.`` and ``$`` that take only line feed for a line end (Java also takes carriage return, U+0085, U+2028
+    and U+2029), and Python's spelling of named groups.
+    """
+    pattern = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
+    return ("(?idU)" if ignore_case else "(?dU)") + pattern
 
 
 def col_of(c: Column | str) -> Column:

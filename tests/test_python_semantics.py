@@ -101,3 +101,15 @@ def test_classification_matches_python_scoring(corpus, sdocs):
         r = got[d]
         assert r.predicted_type == best[0]
         assert math.isclose(r.confidence, conf, abs_tol=0.0011)
+
+
+def test_line_ends_and_named_groups(spark):
+    from pyspark.sql import functions as F
+
+    from lexrev.functions.text import py_regex
+
+    texts = [f"liability is{c}limited" for c in ("\r", "\x85", " ", " ", "\n", " ")] + ["end\r", "end\n", "end", "aa penalty b", "abab"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for p in ("liability.*limited", "end$", "(?P<a>penalty)", "(?P<x>ab)(?P=x)"):
+        got = {r.i for r in df.where(F.col("t").rlike(py_regex(p, ignore_case=True))).collect()}
+        assert got == {i for i, t in enumerate(texts) if re.search(p, t, re.IGNORECASE)}, p
