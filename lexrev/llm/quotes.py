@@ -106,13 +106,17 @@ def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int = STRETCH
     parents = cut_lineage(quoted.where("msg_id IS NOT NULL"), "quotes-parents")
     # Pointer doubling: each round doubles the distance that (up, depth) spans.
     jump = cut_lineage(parents.where("parent_id IS NOT NULL").select("msg_id", F.col("parent_id").alias("up"), F.lit(1).cast("long").alias("depth")), "quotes-up")
+    done = jump.limit(0)
     for _ in range(MAX_ROUNDS):
-        further = jump.select(F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
+        # Only rows that still move are joined; those that have reached a first message serve as steps for them.
+        further = jump.unionByName(done).select(F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
         step = cut_lineage(jump.join(further, "up", "left").select(
             "msg_id", F.coalesce("up2", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("up2").isNotNull().alias("moved")), "quotes-up")
-        jump = step.drop("moved")
-        if step.where("moved").isEmpty():
+        done = done.unionByName(step.where("NOT moved").drop("moved"))
+        jump = step.where("moved").drop("moved")
+        if jump.isEmpty():
             break
+    jump = done.unionByName(jump)
     return (parsed.join(parents, "msg_id", "left").join(jump, "msg_id", "left").select(
         "msg_id", "time", "own_text", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "parent_id",
