@@ -30,6 +30,8 @@ from lexrev.session import cut_lineage
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 SHARD = 8192
+#: Words that a process keeps encoded; earlier stages of a pipeline have left their share of its memory taken.
+CACHE_WORDS = 600_000
 
 
 def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> list[tuple[int, int]]:
@@ -75,7 +77,7 @@ def downsized(contents: int, capacities: tuple[int, ...]) -> int:
 def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """k_id, k_hash, n_tokens (with an end id) of every row of ``docs(doc_id, text)``."""
     def fn(b: pa.RecordBatch):
-        enc = word_encoder(tokenizer)
+        enc = word_encoder(tokenizer, CACHE_WORDS)
         size = enc.dtype.itemsize
         n = [len(ids) // size + 1 for ids in enc.encode_all(list(utf8_rows(b.column(2))))]
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["k_id", "k_hash", "n_tokens"])

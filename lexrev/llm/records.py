@@ -123,9 +123,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, cache_words: int = _CACHE_WORDS) -> WordEncoder:
     """One encoder a process: its cache outlives the task."""
-    return WordEncoder(path)
+    return WordEncoder(path, cache_words)
 
 
 def masked_crc(data: bytes) -> int:

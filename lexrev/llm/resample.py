@@ -47,7 +47,7 @@ def buckets(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words and word pairs of a text."""
     pieces = _WORD.findall(text.lower())
     known = _HASHES
-    if len(known) > 400_000:
+    if len(known) > 150_000:
         known.clear()
     for w in set(pieces).difference(known):
         known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
