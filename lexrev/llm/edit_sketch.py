@@ -101,8 +101,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return 2 * share / (1 + share)
 
 
+def packed(s: np.ndarray) -> bytes:
+    return s.astype(">u2").tobytes()
+
+
 def to_hex(s: np.ndarray) -> str:
-    return s.astype(">u2").tobytes().hex()
+    return packed(s).hex()
 
 
 def fingerprint(text: str | None) -> str:
@@ -125,19 +129,19 @@ def edited_sketch(own: bytes, states: list[int], following: bytes) -> np.ndarray
     return sketch(own[:keep] + new, head + walk(new, head[-1] if head else 0))
 
 
-ROW = ("part int, place string, doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-       "edited_fingerprint string, near_edited double, near_next double, text string")
+ROW = ("part int, place string, doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
+       "edited_fingerprint binary, near_edited double, near_next double, text string")
 _NAMES = [c.split()[0] for c in ROW.split(", ")]
 
 
 def _result(doc_id, text: str, own: bytes, states: list[int], sk: np.ndarray, after: tuple[str, bytes, np.ndarray]) -> tuple:
     es = edited_sketch(own, states, after[1])
-    return (doc_id, len(text), sha256_hex(edited(text, after[0]).encode("utf-8", "surrogatepass")), to_hex(sk), to_hex(es),
+    return (doc_id, len(text), sha256_hex(edited(text, after[0]).encode("utf-8", "surrogatepass")), packed(sk), packed(es),
             likeness(sk, es), likeness(sk, after[2]))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.string()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=_NAMES)
 
 
@@ -192,7 +196,8 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
 
     closed = map_batches(ends.select("doc_id", "text", "following"), close, ROW)
     wanted = _NAMES[2:-1]
-    return table.where("place = 'done'").select(*wanted).unionByName(closed.select(*wanted))
+    both = table.where("place = 'done'").select(*wanted).unionByName(closed.select(*wanted))
+    return both.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def similar_texts(docs: DataFrame, alike: float = ALIKE, band: int = BAND) -> DataFrame:
