@@ -188,6 +188,29 @@ def literal_prefix(pattern: str) -> str:
     return "".join(out)
 
 
+def pattern_fault(spark, pattern: str, find_all: bool = False) -> str | None:
+    """Why a rule pattern cannot be used (``None``: it can).
+
+    It must compile in Python's syntax and, translated, in Java's. With ``find_all`` it must not match the
+    empty text: engines differ in where such matches start, so their offsets would be wrong.
+    """
+    import re._parser as sre_parse  # stdlib regex parser
+
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        least = sre_parse.parse(pattern, re.IGNORECASE).getwidth()[0]
+    except (re.error, OverflowError) as e:
+        return f"invalid pattern: {e}"
+    if find_all and least == 0:
+        return "the pattern can match the empty text"
+    try:
+        spark._jvm.java.util.regex.Pattern.compile(py_regex(pattern, ignore_case=True))
+    except Py4JJavaError as e:
+        return f"unsupported pattern: {e.java_exception.getDescription()}"
+    return None
+
+
 def is_ascii(c: Column) -> Column:
     """True when every character is ASCII (bytes = characters)."""
     return F.octet_length(c) == F.length(c)

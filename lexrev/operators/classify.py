@@ -23,11 +23,21 @@ RULE_FIELDS = ["type", "type_order", "kind", "ord", "term", "weight", "is_regex"
 EVIDENCE_KEYS = {"primary": "primary", "secondary": "secondary", "pattern": "patterns", "section": "sections"}
 
 
-def load_type_rules(type_rules: DataFrame | None = None, spark=None) -> list:
+def load_type_rules(type_rules: DataFrame | list | None = None, spark=None,
+                    rejected: list[tuple[str, str, str]] | None = None) -> list:
+    """The usable rules of a pack in order (a list that was loaded before passes through); a rule without a
+    usable term is left out and added to ``rejected`` as (pack, rule, reason)."""
+    if isinstance(type_rules, list):
+        return type_rules
     if type_rules is None:
         type_rules = default_rulepack(spark, "type_rules")
     rows = bounded_rows(type_rules.select(*RULE_FIELDS), MAX_COMPILED_RULES, what="type rule pack")
     kind_rank = {k: i for i, k in enumerate(KINDS)}
+    faults = [("no term" if not r.term else X.pattern_fault(type_rules.sparkSession, r.term) if r.is_regex else None)
+              for r in rows]
+    if rejected is not None:
+        rejected += [("type_rules", f"{r.type}/{r.kind}/{r.ord}", f) for r, f in zip(rows, faults) if f]
+    rows = [r for r, f in zip(rows, faults) if not f]
     return sorted(rows, key=lambda r: (r.type_order, kind_rank.get(r.kind, 9), r.ord))
 
 

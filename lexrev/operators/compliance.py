@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
 from lexrev.functions.joins import join_keys
-from lexrev.session import MAX_COMPILED_RULES, bounded_rows, broadcast_if_small, cut_lineage
+from lexrev.session import MAX_COMPILED_RULES, bounded_rows, broadcast_if_small
 from lexrev.sources.rules import default_rulepack
 
 
+COMPLIANCE_COLUMNS = ["process", "status", "completeness_percentage", "total_required", "documents_provided",
+                      "documents_matched", "missing_documents", "extra_documents", "recommendations"]
+
+
 def present_types(classified: DataFrame, batch_col: str, type_col: str = "predicted_type") -> DataFrame:
     """(batch, doc_type, n, first_doc): documents per type, duplicates counted."""
     return classified.groupBy(batch_col, F.col(type_col).alias("doc_type")).agg(
@@ -26,8 +30,10 @@ def present_types(classified: DataFrame, batch_col: str, type_col: str = "predic
     )
 
 
-def _process_table(process_rules: DataFrame | None, spark) -> list[tuple[str, list[str], int]]:
-    """Bounded process indicators as (process, indicator types, threshold), by priority."""
+def _process_table(process_rules: DataFrame | list | None, spark) -> list[tuple[str, list[str], int]]:
+    """Bounded process indicators as (process, indicator types, threshold), by priority (a loaded list passes through)."""
+    if isinstance(process_rules, list):
+        return process_rules
     if process_rules is None:
         process_rules = default_rulepack(spark, "process_rules")
     rows = bounded_rows(process_rules, MAX_COMPILED_RULES, "process rules")
@@ -38,7 +44,9 @@ def _process_table(process_rules: DataFrame | None, spark) -> list[tuple[str, li
     return [(p, types, thr) for p, (prio, thr, types) in sorted(by_proc.items(), key=lambda kv: kv[1][0])]
 
 
-def _requirement_table(requirements: DataFrame | None, spark) -> dict[str, list[str]]:
+def _requirement_table(requirements: DataFrame | dict | None, spark) -> dict[str, list[str]]:
+    if isinstance(requirements, dict):
+        return requirements
     if requirements is None:
         requirements = default_rulepack(spark, "requirements")
     out: dict[str, list[str]] = {}
@@ -106,53 +114,60 @@ def matched_documents(process: DataFrame, present: DataFrame, batch_col: str,
 def recommendations(missing: DataFrame, batch_col: str) -> DataFrame:
     """K6: one sentence per missing document type."""
     return missing.select(
-        batch_col, "doc_type",
-        F.concat(
-            F.lit("Please provide "), X.title_words(F.col("doc_type")), F.lit(" to complete your "),
-            F.regexp_replace(F.col("process"), "_", " "), F.lit(" submission"),
-        ).alias("recommendation"),
-    )
+        batch_col, "doc_type", _recommendation(F.col("doc_type"), F.col("process")).alias("recommendation"))
 
 
-def compliance(classified: DataFrame | None, batch_col: str, process_rules: DataFrame | None = None,
-               requirements: DataFrame | None = None, type_col: str = "predicted_type",
-               present: DataFrame | None = None) -> DataFrame:
-    """K2 with K1 and K3-K6 folded in: one row per batch.
+def _recommendation(doc_type: Column, process: Column) -> Column:
+    return F.concat(F.lit("Please provide "), X.title_words(doc_type), F.lit(" to complete your "),
+                    F.regexp_replace(process, "_", " "), F.lit(" submission"))
 
-    The (batch, type) counts are computed once and written to the checkpoint folder; one
-    ``groupBy(batch)`` then gathers each batch's types (a map bounded by the type list) and the
-    process, required, missing, extra and matched sets are computed in that row from the
-    bounded rule tables (``array_except`` / ``array_intersect``), without further shuffles.
+
+def with_compliance(b: DataFrame, process_rules=None, requirements=None) -> DataFrame:
+    """K1-K6 of rows that hold a batch's types (``_types``, ``documents_provided``), as further columns.
+
+    The process, required, missing, extra and matched sets are computed in the row from the bounded rule
+    tables (``array_except`` / ``array_intersect``), without shuffles.
     """
-    spark = (classified if classified is not None else present).sparkSession
-    if present is None:
-        present = cut_lineage(present_types(classified, batch_col, type_col), "present")
+    spark = b.sparkSession
     table = _process_table(process_rules, spark)
-    reqs = _requirement_table(requirements, spark)
-    b = _per_batch(present, batch_col).withColumn("process", _process_column(F.col("_types"), table))
+    b = b.withColumn("process", _process_column(F.col("_types"), table))
     req = None
-    for proc, types in reqs.items():
+    for proc, types in _requirement_table(requirements, spark).items():
         arr = F.array(*[F.lit(t) for t in types])
         req = F.when(F.col("process") == proc, arr) if req is None else req.when(F.col("process") == proc, arr)
     empty = F.array().cast("array<string>")
-    b = b.withColumn("_req", empty if req is None else req.otherwise(empty))
-    b = b.withColumn("_have", F.map_keys("_types"))
-    missing = F.array_sort(F.array_except(F.col("_req"), F.col("_have")))
-    extra = F.array_sort(F.array_except(F.col("_have"), F.col("_req")))
-    matched = F.size(F.array_intersect(F.array_distinct(F.col("_req")), F.col("_have"))).cast("long")
-    n_set = F.size(F.array_distinct(F.col("_req")))
-    recs = F.transform(missing, lambda t: F.concat(
-        F.lit("Please provide "), X.title_words(t), F.lit(" to complete your "),
-        F.regexp_replace(F.col("process"), "_", " "), F.lit(" submission")))
-    return b.select(
-        batch_col, "process",
-        F.when(F.size(missing) == 0, "Complete").otherwise("Incomplete").alias("status"),
-        F.when(n_set > 0, X.round_half_up(matched.cast("double") / n_set.cast("double") * F.lit(100.0), 1))
-        .otherwise(F.lit(100.0)).alias("completeness_percentage"),
-        F.size("_req").cast("long").alias("total_required"),
-        "documents_provided",
-        matched.alias("documents_matched"),
-        missing.alias("missing_documents"),
-        extra.alias("extra_documents"),
-        F.array_sort(recs).alias("recommendations"),
-    )
+    b = b.withColumns({"_req": empty if req is None else req.otherwise(empty), "_have": F.map_keys("_types")})
+    b = b.withColumns({
+        "missing_documents": F.array_sort(F.array_except("_req", "_have")),
+        "extra_documents": F.array_sort(F.array_except("_have", "_req")),
+        "matched_documents": F.array_sort(F.array_intersect(F.array_distinct("_req"), F.col("_have"))),
+    })
+    n_set = F.size(F.array_distinct("_req"))
+    matched = F.size("matched_documents").cast("long")
+    return b.withColumns({
+        "status": F.when(F.size("missing_documents") == 0, "Complete").otherwise("Incomplete"),
+        "completeness_percentage": F.when(n_set > 0, X.round_half_up(
+            matched.cast("double") / n_set.cast("double") * F.lit(100.0), 1)).otherwise(F.lit(100.0)),
+        "total_required": F.size("_req").cast("long"),
+        "documents_matched": matched,
+        "recommendations": F.array_sort(F.transform("missing_documents", lambda t: _recommendation(t, F.col("process")))),
+    })
+
+
+def compliance_sets(classified: DataFrame | None, batch_col: str, process_rules=None, requirements=None,
+                    type_col: str = "predicted_type", present: DataFrame | None = None) -> DataFrame:
+    """One row per batch with K1-K6, the missing, extra and matched types as arrays.
+
+    Documents are counted per (batch, type) with partial aggregation and then gathered per batch (a map
+    bounded by the type list): the documents are read once.
+    """
+    if present is None:
+        present = present_types(classified, batch_col, type_col)
+    return with_compliance(_per_batch(present, batch_col), process_rules, requirements)
+
+
+def compliance(classified: DataFrame | None, batch_col: str, process_rules=None, requirements=None,
+               type_col: str = "predicted_type", present: DataFrame | None = None) -> DataFrame:
+    """K2 with K1 and K3-K6 folded in: one row per batch."""
+    b = compliance_sets(classified, batch_col, process_rules, requirements, type_col, present)
+    return b.select(batch_col, *COMPLIANCE_COLUMNS)

@@ -43,18 +43,31 @@ class FlagRule:
         return f"{self.issue} - {self.suggestion}"
 
 
-def load_flag_rules(flag_rules: DataFrame | None = None, spark=None) -> list[FlagRule]:
+def load_flag_rules(flag_rules: DataFrame | list[FlagRule] | None = None, spark=None,
+                    rejected: list[tuple[str, str, str]] | None = None) -> list[FlagRule]:
+    """The usable rules of a pack (a list that was loaded before passes through).
+
+    A rule whose pattern cannot be used is left out, so that it does not stop the others, and is added
+    to ``rejected`` as (pack, rule, reason).
+    """
+    if isinstance(flag_rules, list):
+        return flag_rules
     if flag_rules is None:
         flag_rules = default_rulepack(spark, "flag_rules")
     rows = bounded_rows(flag_rules.orderBy("rule_id"), MAX_COMPILED_RULES, what="flag rule pack")
-    return [
-        FlagRule(r.rule_id, r.pattern, r.issue or "Unknown issue", r.severity or "Medium",
-                 r.suggestion or "Review required", r.reference or "", r.category or "general")
-        for r in rows if r.pattern
-    ]
+    out = []
+    for r in rows:
+        fault = X.pattern_fault(flag_rules.sparkSession, r.pattern, find_all=True) if r.pattern else "no pattern"
+        if fault is None:
+            out.append(FlagRule(r.rule_id, r.pattern, r.issue or "Unknown issue", r.severity or "Medium",
+                                r.suggestion or "Review required", r.reference or "", r.category or "general"))
+        elif rejected is not None:
+            rejected.append(("flag_rules", str(r.rule_id), fault))
+    return out
 
 
 BLOCK = 64
+FLAG_TYPE = "array<struct<rule_id:int,occurrence:int,matched_text:string,start:int,end:int>>"
 
 
 def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text", out: str = "flags") -> DataFrame:
@@ -119,12 +132,12 @@ def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text",
 
         return F.when(X.pinned(g, lens, starts), F.transform(m, one))
 
-    flags = F.concat(*[spans(k, r) for k, r in zip(ks, rules)]) if rules else F.array()
+    flags = F.concat(*[spans(k, r) for k, r in zip(ks, rules)]) if rules else F.array().cast(FLAG_TYPE)
     return d.select(*cols, flags.alias(out))
 
 
 def _rule_meta(rules: list[FlagRule], rule_id: Column, field: str) -> Column:
-    expr = None
+    expr = None if rules else F.lit(None).cast("string")
     for r in rules:
         v = F.lit(getattr(r, field))
         expr = F.when(rule_id == r.rule_id, v) if expr is None else expr.when(rule_id == r.rule_id, v)
@@ -176,35 +189,39 @@ COMMENT_TYPE = ("array<struct<rule_id:int,paragraph_index:int,text:string,commen
                 "reference:string,copies:int>>")
 
 
-def with_comment_array(d: DataFrame, rules: list[FlagRule], mode: str, out: str = "cm") -> DataFrame:
-    """Add ``out``: one comment struct per (rule, paragraph) with its ``copies``.
+def with_paragraph_comments(d: DataFrame, rules: list[FlagRule], mode: str, out: str = "commented") -> DataFrame:
+    """Add ``out``: every paragraph (idx, text) with its comment structs in rule order, each with its ``copies``.
 
-    Reference mode needs the number of flags of each rule in the whole document; those counts
-    are computed in their own projection, so the per-paragraph lambda reads a column instead
-    of re-running a full-text regex per paragraph.
+    Comments are built paragraph by paragraph, so the work is linear in the paragraphs.  Reference mode
+    needs the number of flags of each rule in the whole document; those counts (taken from ``flags`` where
+    the row has them) are computed in their own projection, so the per-paragraph lambda reads a column.
     """
     cols = d.columns
-    paras = F.col("paras")
     empty = F.array().cast(COMMENT_TYPE)
     if mode == "reference":
-        d = d.select(*cols, *[match_count(F.col("full_text"), r).alias(f"_n{k}") for k, r in enumerate(rules)])
-
-        def rule_comments(k: int, r: FlagRule) -> Column:
+        if "flags" in cols:
+            counts = [F.size(F.filter("flags", _rule_equals(r.rule_id))) for r in rules]
+        else:
+            counts = [match_count(F.col("full_text"), r) for r in rules]
+        d = d.select(*cols, *[n.alias(f"_n{k}") for k, n in enumerate(counts)])
+
+    def copies(k: int, r: FlagRule, text: Column) -> Column:
+        if mode == "reference":
             n = F.col(f"_n{k}")
-            hits = F.filter(paras, lambda p: p["text"].rlike(r.regex))
-            return F.when(n > 0, F.transform(hits, lambda p: _comment_struct(r, p, n))).otherwise(empty)
-    else:
-        def rule_comments(k: int, r: FlagRule) -> Column:
-            counted = F.transform(
-                paras,
-                lambda p: _comment_struct(
-                    r, p, F.when(p["text"].rlike(r.regex),
-                                 F.size(F.regexp_extract_all(p["text"], F.lit(r.regex), 0))).otherwise(0)),
-            )
-            return F.filter(counted, lambda c: c["copies"] > 0)
+            return F.when(n > 0, F.when(text.rlike(r.regex), n).otherwise(0)).otherwise(0)
+        return F.when(text.rlike(r.regex), F.size(F.regexp_extract_all(text, F.lit(r.regex), 0))).otherwise(0)
+
+    def per_para(p: Column) -> Column:
+        every = [_comment_struct(r, p, copies(k, r, p["text"])) for k, r in enumerate(rules)]
+        mine = F.filter(F.array(*every), lambda c: c["copies"] > 0) if rules else empty
+        return F.struct(p["idx"].alias("idx"), p["text"].alias("text"), mine.alias("comments"))
+
+    return d.select(*cols, F.transform("paras", per_para).alias(out))
+
 
-    comments = F.concat(*[rule_comments(k, r) for k, r in enumerate(rules)]) if rules else empty
-    return d.select(*cols, comments.alias(out))
+def all_comments(commented: Column) -> Column:
+    """The comments of all paragraphs in one array."""
+    return F.flatten(F.transform(commented, lambda p: p["comments"]))
 
 
 def match_count(text: Column, r: FlagRule) -> Column:
@@ -230,8 +247,8 @@ def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode:
         raise ValueError("mode must be 'reference' or 'paragraph'")
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    d = with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
-    c = X.inline_rows(d, [key], F.col("cm"), "rule_id")
+    d = with_paragraph_comments(d.select(key, "paras", "full_text"), rules, mode)
+    c = X.inline_rows(d, [key], all_comments(F.col("commented")), "rule_id")
     return c.select(
         key,
         F.col("rule_id").cast("long").alias("rule_id"),
@@ -251,7 +268,9 @@ def issue_table(comments: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def load_clauses(clauses: DataFrame | None = None, spark=None) -> list[tuple[str, str, str]]:
+def load_clauses(clauses: DataFrame | list | None = None, spark=None) -> list[tuple[str, str, str]]:
+    if isinstance(clauses, list):
+        return clauses
     if clauses is None:
         clauses = default_rulepack(spark, "clauses")
     rows = bounded_rows(clauses.select("category", "template", "reference"), MAX_COMPILED_RULES, "clause catalogue")
@@ -329,12 +348,12 @@ def _render(c: Column) -> Column:
     return F.repeat(one, c["copies"])
 
 
-def annotated_paragraphs(paras: Column, comments: Column, only_commented: bool = False) -> Column:
-    """F5 in-row: each paragraph's text with its comments appended in order, the number of comments
-    and the highlight style (the last comment decides it; null without comments)."""
+def annotated_paragraphs(commented: Column, only_commented: bool = False) -> Column:
+    """F5 in-row: the text of each paragraph of ``with_paragraph_comments`` with its comments appended in order,
+    the number of comments and the highlight style (the last comment decides it; null without comments)."""
 
     def per_para(p):
-        mine = F.filter(comments, lambda c: c["paragraph_index"] == p["idx"])
+        mine = p["comments"]
         return F.struct(
             p["idx"].alias("idx"),
             p["text"].alias("text"),
@@ -355,7 +374,7 @@ def annotated_paragraphs(paras: Column, comments: Column, only_commented: bool =
     def with_color(a):
         return a.withField("highlight_color", style_value(a["highlight"], 0))
 
-    out = F.transform(F.transform(paras, per_para), with_color)
+    out = F.transform(F.transform(commented, per_para), with_color)
     return F.filter(out, lambda a: a["n_comments"] > 0) if only_commented else out
 
 
@@ -366,7 +385,7 @@ def annotate(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "
     unchanged with a null highlight."""
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = docs if "paras" in docs.columns else S.with_structure(docs, text_col)
-    d = with_comment_array(d.select(key, "paras", "full_text"), rules, mode)
-    out = X.inline_rows(d, [key], annotated_paragraphs(F.col("paras"), F.col("cm")), "idx")
+    d = with_paragraph_comments(d.select(key, "paras", "full_text"), rules, mode)
+    out = X.inline_rows(d, [key], annotated_paragraphs(F.col("commented")), "idx")
     return out.select(key, F.col("idx").cast("long").alias("idx"), "text", "annotated_text", "n_comments",
                       "highlight", "highlight_color", "comment_colors")

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +24,26 @@ TOKEN_REGEX = "[\\p{L}\\p{N}]+"
 
 def chunk_text(docs: DataFrame, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHUNK_OVERLAP,
                key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Windows of ``size`` characters starting every ``size - overlap``; each keeps its source key."""
+    """Windows of ``size`` characters starting every ``size - overlap``; each keeps its source key.
+
+    The text is cut once into blocks of the greatest common divisor of size and step; a window is a run of
+    adjacent blocks.  That is linear in the text, which does not travel through the explode.
+    """
     step = size - overlap
+    block = math.gcd(size, step)
     t = F.coalesce(F.col(text_col), F.lit(""))
     n = F.length(t)
-    starts = F.sequence(F.lit(0), F.greatest(n - F.lit(overlap), F.lit(1)) - 1, F.lit(step))
-    c = docs.where(n > 0).select(key, t.alias("_t"), F.posexplode(starts).alias("chunk_no", "start"))
-    return c.select(
+    n_chunks = F.when(n > 0, F.ceil(F.greatest(n - F.lit(overlap), F.lit(1)) / F.lit(step)).cast("int")).otherwise(0)
+    d = docs.select(key, F.regexp_extract_all(t, F.lit(f"(?s).{{1,{block}}}"), F.lit(0)).alias("_blocks"),
+                    n_chunks.alias("_n"))
+    blocks = F.col("_blocks")
+    windows = F.when(X.pinned(blocks), F.transform(X.seq0(F.col("_n")), lambda i: F.array_join(
+        F.slice(blocks, i * (step // block) + 1, size // block), "")))
+    return X.explode_rows(d, [key], windows, "text", pos="chunk_no").select(
         key,
         F.col("chunk_no").cast("long").alias("chunk_no"),
-        F.col("start").cast("long").alias("start"),
-        F.substring(F.col("_t"), F.col("start") + 1, size).alias("text"),
+        (F.col("chunk_no").cast("long") * step).alias("start"),
+        "text",
     )
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexrev.functions import text as X
 from lexrev.operators import classify as C
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
@@ -21,8 +22,8 @@ from lexrev.operators import segment as S
 from lexrev.operators import textmodel as TM
 from lexrev.plans import review as RV
 from lexrev.sources.corpus import read_documents, read_table, split_quarantine, with_file_metadata
-from lexrev.sources.rules import default_rulepack
-from lexrev.sources.seeds import seeded_documents
+from lexrev.sources.rules import FLAG_RULES_SCHEMA, default_rulepack
+from lexrev.sources.seeds import CUSTOM_FLAG_RULES, faulty_documents, seeded_documents
 
 BATCH = "source"
 
@@ -45,7 +46,18 @@ def _reviewed(spark, sf, method="ensemble"):
 
 # ------------------------------------------------------------------ flags (F) and the flagship
 def q_flags_by_severity(spark, sf):
-    return RV.severity_counts(_reviewed(spark, sf), BATCH)
+    rules = FL.load_flag_rules(None, spark)
+    return RV.severity_counts(RV.flagged(seeded(spark, sf), rules, keep=[BATCH]), BATCH, rules)
+
+
+def custom_flag_rules(spark):
+    """A pack other than the default one, with a fourth severity, a named group and one unusable pattern."""
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(CUSTOM_FLAG_RULES)], FLAG_RULES_SCHEMA)
+
+
+def q_flags_by_severity_custom(spark, sf):
+    rules = FL.load_flag_rules(custom_flag_rules(spark))
+    return RV.severity_counts(RV.flagged(seeded(spark, sf), rules, keep=[BATCH]), BATCH, rules)
 
 
 def q_red_flags(spark, sf):
@@ -201,30 +213,25 @@ def q_compliance_wide(spark, sf):
                     _join(F.col("recommendations")).alias("recommendations"))
 
 
-def _proc_present(spark, sf):
-    cls = _cls(spark, sf)
-    present = K.present_types(cls, BATCH)
-    return K.determine_process(cls, BATCH, present=present), present
+def _sets(spark, sf, kind, *keep):
+    sets = K.compliance_sets(_cls(spark, sf), BATCH)
+    return X.explode_rows(sets, [BATCH, *keep], F.col(f"{kind}_documents"), "doc_type")
 
 
 def q_missing_documents(spark, sf):
-    p, pr = _proc_present(spark, sf)
-    return K.missing_documents(p, pr, BATCH)
+    return _sets(spark, sf, "missing", "process")
 
 
 def q_extra_documents(spark, sf):
-    p, pr = _proc_present(spark, sf)
-    return K.extra_documents(p, pr, BATCH)
+    return _sets(spark, sf, "extra")
 
 
 def q_matched_documents(spark, sf):
-    p, pr = _proc_present(spark, sf)
-    return K.matched_documents(p, pr, BATCH)
+    return _sets(spark, sf, "matched")
 
 
 def q_recommendations(spark, sf):
-    p, pr = _proc_present(spark, sf)
-    return K.recommendations(K.missing_documents(p, pr, BATCH), BATCH)
+    return K.recommendations(q_missing_documents(spark, sf), BATCH)
 
 
 # ------------------------------------------------------------------ batch analytics (A) and reports
@@ -278,7 +285,8 @@ def q_file_metadata(spark, sf):
 
 
 def q_quarantine(spark, sf):
-    good, errors = split_quarantine(documents(spark, sf, spread=False))  # no CPU-heavy work to balance
+    """S4 on documents of which some get a null, repeated or blank key or text."""
+    good, errors = split_quarantine(faulty_documents(documents(spark, sf, spread=False)))  # no CPU-heavy work
     return errors
 
 
@@ -356,6 +364,7 @@ def q_conversation_turns(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flags_by_severity": q_flags_by_severity,
+    "flags_by_severity_custom": q_flags_by_severity_custom,
     "red_flags": q_red_flags,
     "review_comments": q_review_comments,
     "review_comments_paragraph": q_review_comments_paragraph,

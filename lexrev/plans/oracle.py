@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from lexrev import rulepacks as RP
 from lexrev.sources.rules import flag_rule_rows, process_rule_rows, requirement_rows, type_rule_rows
-from lexrev.sources.seeds import SEED_CLAUSES, seeds_sql_values
+from lexrev.sources.seeds import CUSTOM_FLAG_RULES, SEED_CLAUSES, seeds_sql_values
 
 NL = "chr(10)"
 
@@ -130,10 +130,10 @@ BASE = [SEEDED, LINES, PARAS, FT]
 
 
 # ------------------------------------------------------------------ red flags
-def _flag_rule_sql():
+def _flag_rule_sql(rules):
     """Per rule: (rule_id, RE2 pattern used for extraction, suffix regex that voids a match or NULL)."""
     out = []
-    for rid, pat, issue, sev, sug, ref, cat in flag_rule_rows():
+    for rid, pat, issue, sev, sug, ref, cat in rules:
         neg = None
         if "(?!" in pat:
             base, rest = pat.split("(?!", 1)
@@ -144,19 +144,18 @@ def _flag_rule_sql():
     return out
 
 
-FLAG_RULES_SQL = _flag_rule_sql()
-
-
-def _rules_values() -> str:
+def _rules_values(rules) -> str:
     rows = ", ".join(
         f"({rid}, {sq(p)}, {sq('(?i)' + n + '$') if n else 'NULL'}, {sq(issue)}, {sq(sev)}, {sq(sug)}, {sq(ref)}, "
         f"{sq(cat)})"
-        for rid, p, n, issue, sev, sug, ref, cat in FLAG_RULES_SQL
+        for rid, p, n, issue, sev, sug, ref, cat in _flag_rule_sql(rules)
     )
     return f"(VALUES {rows}) AS r(rule_id, pat, voids, issue, severity, suggestion, reference, category)"
 
 
-RULES = f"rules AS (SELECT * FROM {_rules_values()})"
+RULES = f"rules AS (SELECT * FROM {_rules_values(flag_rule_rows())})"
+# the usable rules of the custom pack (its last one is rejected)
+CUSTOM_RULES = f"rules AS (SELECT * FROM {_rules_values([(i, *r) for i, r in enumerate(CUSTOM_FLAG_RULES[:-1])])})"
 FLAGS = (
     "fm AS (SELECT ft.doc_id, ft.source, r.rule_id, r.pat, r.voids, regexp_extract_all(ft.full_text, r.pat) AS m, "
     "string_split_regex(ft.full_text, r.pat) AS g FROM ft, rules r WHERE regexp_matches(ft.full_text, r.pat)), "
@@ -183,7 +182,11 @@ PARA_HITS = (
     "nd AS (SELECT doc_id, rule_id, count(*) AS n_doc FROM flags GROUP BY doc_id, rule_id)"
 )
 
-SEV_VALUES = "(VALUES " + ", ".join(f"({sq(s)})" for s in RP.SEVERITIES) + ") AS sv(severity)"
+
+
+def _sev_values(severities) -> str:
+    return "(VALUES " + ", ".join(f"({sq(s)})" for s in severities) + ") AS sv(severity)"
+
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -192,12 +195,18 @@ ORACLE_SQL["red_flags"] = with_(*FLAG_BASE) + (
     "FROM flags"
 )
 
-ORACLE_SQL["flags_by_severity"] = with_(*FLAG_BASE) + (
-    "SELECT b.source, sv.severity, CAST(coalesce(c.n, 0) AS BIGINT) AS issues "
-    f"FROM (SELECT DISTINCT source FROM documents) b CROSS JOIN {SEV_VALUES} "
-    "LEFT JOIN (SELECT source, severity, count(*) AS n FROM flags GROUP BY source, severity) c "
-    "ON c.source = b.source AND c.severity = sv.severity"
-)
+
+def _by_severity(rules: str, severities) -> str:
+    return with_(*BASE, rules, FLAGS) + (
+        "SELECT b.source, sv.severity, CAST(coalesce(c.n, 0) AS BIGINT) AS issues "
+        f"FROM (SELECT DISTINCT source FROM documents) b CROSS JOIN {_sev_values(severities)} "
+        "LEFT JOIN (SELECT source, severity, count(*) AS n FROM flags GROUP BY source, severity) c "
+        "ON c.source = b.source AND c.severity = sv.severity"
+    )
+
+
+ORACLE_SQL["flags_by_severity"] = _by_severity(RULES, RP.SEVERITIES)
+ORACLE_SQL["flags_by_severity_custom"] = _by_severity(CUSTOM_RULES, [*RP.SEVERITIES, "Critical"])
 
 ORACLE_SQL["review_comments"] = with_(*FLAG_BASE, PARA_HITS) + (
     "SELECT ph.doc_id, CAST(ph.rule_id AS BIGINT) AS rule_id, ph.idx AS paragraph_index, "
@@ -619,7 +628,9 @@ ORACLE_SQL["document_report"] = (with_(*CLS_BASE, RULES, FLAGS, _NFLAGS, SECS, _
 )).replace(") kp AS", "), kp AS")
 
 ORACLE_SQL["quarantine"] = (
-    "WITH d AS (SELECT doc_id, text, count(*) OVER (PARTITION BY doc_id) AS k FROM documents) "
+    "WITH f AS (SELECT CASE doc_id % 97 WHEN 1 THEN NULL WHEN 2 THEN doc_id - 2 ELSE doc_id END AS doc_id, "
+    "CASE doc_id % 97 WHEN 3 THEN NULL WHEN 4 THEN ' ' ELSE text END AS text FROM documents), "
+    "d AS (SELECT doc_id, text, count(*) OVER (PARTITION BY doc_id) AS k FROM f) "
     "SELECT doc_id, CASE WHEN doc_id IS NULL THEN 'missing id' WHEN k > 1 THEN 'duplicate id' "
     "WHEN text IS NULL THEN 'missing text' ELSE 'blank text' END AS error FROM d "
     "WHERE doc_id IS NULL OR k > 1 OR text IS NULL OR trim(regexp_replace(text, '\\s+', ' ', 'g')) = ''"

@@ -12,27 +12,35 @@ from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
-from lexrev.functions.joins import join_keys
 from lexrev.operators import classify as C
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.operators import measures as M
 from lexrev.operators import segment as S
-from lexrev.session import cut_lineage
 
 
-def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame | None = None,
-             flag_rules: DataFrame | None = None, key: str = "doc_id", text_col: str = "text",
+def _with_severities(d: DataFrame, frules: list[FL.FlagRule]) -> DataFrame:
+    d = FL.with_flag_array(d, frules)
+    return d.withColumn("flag_severities",
+                        F.transform(F.col("flags"), lambda f: FL._rule_meta(frules, f["rule_id"], "severity")))
+
+
+def flagged(docs: DataFrame, flag_rules: DataFrame | list | None = None, key: str = "doc_id", text_col: str = "text",
+            keep: list[str] | None = None) -> DataFrame:
+    """One row per document with its flags and their severities only (no sections, no classification)."""
+    d = docs.select(key, *(keep or []), S.full_text_from_text(F.col(text_col)).alias("full_text"))
+    return _with_severities(d, FL.load_flag_rules(flag_rules, docs.sparkSession))
+
+
+def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame | list | None = None,
+             flag_rules: DataFrame | list | None = None, key: str = "doc_id", text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
     """One row per document: structure arrays, classification and its flags."""
     spark = docs.sparkSession
     trules = C.load_type_rules(type_rules, spark)
     frules = FL.load_flag_rules(flag_rules, spark)
     d = S.with_structure(docs, text_col).select(key, *(keep or []), "paras", "full_text", "sections", "tables")
-    d = FL.with_flag_array(d, frules)
-    d = d.withColumn("flag_severities",
-                     F.transform(F.col("flags"), lambda f: FL._rule_meta(frules, f["rule_id"], "severity")))
-    return C.with_classification(d, trules, method)
+    return C.with_classification(_with_severities(d, frules), trules, method)
 
 
 def type_distribution(rev: DataFrame, batch_col: str) -> DataFrame:
@@ -52,15 +60,14 @@ def confidence_summary(rev: DataFrame, batch_col: str) -> DataFrame:
     )
 
 
-def severity_counts(rev: DataFrame, batch_col: str, severities: list[str] | None = None) -> DataFrame:
-    """A3 + A4: flags per severity and batch; High/Medium/Low (and every rule severity) always present.
+def severity_counts(rev: DataFrame, batch_col: str, flag_rules: DataFrame | list | None = None) -> DataFrame:
+    """A3 + A4: flags per severity and batch; High/Medium/Low (and every severity of the pack that the
+    documents were reviewed with, ``flag_rules``) always present.
 
     Each document contributes one counter per severity; a single ``groupBy(batch)`` with
     map-side partial sums gives every batch its zero-filled counts (one exchange).
     """
-    if severities is None:
-        severities = [r.severity for r in FL.load_flag_rules(None, rev.sparkSession)]
-    sevs = list(dict.fromkeys(RP.SEVERITIES + list(severities)))
+    sevs = list(dict.fromkeys(RP.SEVERITIES + [r.severity for r in FL.load_flag_rules(flag_rules, rev.sparkSession)]))
     per_doc = rev.select(batch_col, *[F.size(F.filter("flag_severities", _equals(v))).alias(f"_s{i}")
                                       for i, v in enumerate(sevs)])
     sums = per_doc.groupBy(batch_col).agg(*[F.sum(f"_s{i}").cast("long").alias(f"_s{i}") for i in range(len(sevs))])
@@ -98,17 +105,18 @@ def batch_type_counts(rev: DataFrame, batch_col: str, key: str = "doc_id") -> Da
     )
 
 
-def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataFrame:
-    """A5: the Markdown summary of each batch, from one checkpointed (batch, type) aggregate."""
-    bt = cut_lineage(batch_type_counts(rev, batch_col, key))
+def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id", process_rules=None,
+                   requirements=None) -> DataFrame:
+    """A5: the Markdown summary of each batch, from one (batch, type) aggregate that is gathered per batch."""
+    bt = batch_type_counts(rev, batch_col, key)
     summ = bt.groupBy(batch_col).agg(
-        F.sum("n").cast("long").alias("documents"), F.sum("n_flags").cast("long").alias("total_issues"),
+        F.sum("n").cast("long").alias("documents_provided"), F.sum("n_flags").cast("long").alias("total_issues"),
         (F.sum("conf_k").cast("double") / F.sum("n").cast("double") / F.lit(1000.0)).alias("avg_confidence"),
         *[F.sum(f"n_{s}").cast("long").alias(f"n_{s}") for s in RP.SEVERITIES],
         F.sort_array(F.collect_list(F.struct("first_doc", "doc_type", "n"))).alias("types"),
+        F.map_from_entries(F.collect_list(F.struct("doc_type", "n"))).alias("_types"),
     )
-    comp = K.compliance(None, batch_col, present=bt.select(batch_col, "doc_type", "n", "first_doc"))
-    j = join_keys(summ, comp, batch_col)
+    j = K.with_compliance(summ, process_rules, requirements)
     type_lines = F.array_join(
         F.transform(F.col("types"), lambda t: F.format_string(
             "- **%s**: %d document(s)\n", X.title_words(t["doc_type"]), t["n"])), "")
@@ -120,7 +128,7 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataF
 
     report = F.concat(
         F.lit(RP.REPORT_TITLE + "\n\n## Overview\n"),
-        F.format_string("- **Documents Processed**: %d\n", F.col("documents")),
+        F.format_string("- **Documents Processed**: %d\n", F.col("documents_provided")),
         F.format_string("- **Total Issues Identified**: %d\n", F.col("total_issues")),
         F.concat(F.lit("- **Average Classification Confidence**: "), X.percent1(F.col("avg_confidence")), F.lit("\n")),
         F.concat(F.lit("- **Compliance Status**: "), F.col("status"), F.lit("\n")),
@@ -141,10 +149,14 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataF
 
 
 def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None = None,
-                    carry: list[str] | None = None, clauses: DataFrame | None = None) -> DataFrame:
-    """The nested result record of each document (flat key columns + one struct), built in-row."""
+                    carry: list[str] | None = None, clauses: DataFrame | list | None = None,
+                    flag_rules: DataFrame | list | None = None) -> DataFrame:
+    """The nested result record of each document (flat key columns + one struct), built in-row.
+
+    ``flag_rules`` is the pack that the documents were reviewed with.
+    """
     spark = rev.sparkSession
-    frules = FL.load_flag_rules(None, spark)
+    frules = FL.load_flag_rules(flag_rules, spark)
     catalogue = FL.load_clauses(clauses, spark)
     rev = M.counted(rev)
     ft, w = F.col("full_text"), F.col("_wc")
@@ -193,6 +205,12 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
     return rev.select(key, *([batch_col] if batch_col else []), record.alias("report"), *(carry or []))
 
 
+def error_log(errors: DataFrame, key: str = "doc_id") -> DataFrame:
+    """S6 for quarantined rows: ``!! Error processing name: reason``."""
+    name = F.coalesce(F.col(key).cast("string"), F.lit("(no id)"))
+    return errors.select(key, F.concat(F.lit("!! Error processing "), name, F.lit(": "), F.col("error")).alias("log_line"))
+
+
 def processing_log(rev: DataFrame, key: str = "doc_id") -> DataFrame:
     """``>> name: type (p%) | n issues`` per document."""
     return rev.select(

@@ -13,6 +13,8 @@ cut at a durable table:
 * ``log/``        the processing log line of every document
 * ``issues/``     the review table: one row per (rule, paragraph) comment with its excerpt
 * ``annotations/`` commented paragraphs with their appended comments and highlight
+* ``errors/``     rows that cannot be reviewed (null or repeated id, null or blank text) with the reason
+* ``rejected_rules/`` rules of the packs that cannot be used, with the reason; the others still apply
 """
 
 from __future__ import annotations
@@ -28,20 +30,29 @@ from lexrev.functions.joins import join_keys
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.plans import review as RV
-from lexrev.sources.corpus import read_documents
+from lexrev.plans.packs import RulePacks, load_packs, read_packs
+from lexrev.sources.corpus import read_documents, split_quarantine
+from lexrev.sources.rules import CLAUSES_SCHEMA
 
 
 def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col: str = "source",
-                  method: str = "ensemble", json: bool = False) -> dict[str, str]:
-    paths = {k: os.path.join(out_dir, k)
-             for k in ("documents", "flags", "suggestions", "batches", "log", "issues", "annotations")}
-    rev = RV.reviewed(docs, method=method, keep=[batch_col])
-    # review comments (reference mode) and the annotated paragraphs travel with the document record,
-    # so the issue table and the marked-up paragraphs are derived without reading the text again
-    rules = FL.load_flag_rules(None, spark)
-    rev = FL.with_comment_array(rev, rules, "reference", out="comments")
-    rev = rev.withColumn("annotated", FL.annotated_paragraphs(F.col("paras"), F.col("comments"), only_commented=True))
-    report = RV.document_report(rev, batch_col=batch_col, carry=["flag_severities", "comments", "annotated"])
+                  method: str = "ensemble", json: bool = False, packs: RulePacks | None = None,
+                  comments: str = "paragraph") -> dict[str, str]:
+    paths = {k: os.path.join(out_dir, k) for k in ("documents", "flags", "suggestions", "batches", "log", "issues",
+                                                   "annotations", "errors", "rejected_rules")}
+    packs = packs or load_packs(spark)
+    rules = packs.flag_rules
+    packs.rejected_rules(spark).write.mode("overwrite").parquet(paths["rejected_rules"])
+    docs, errors = split_quarantine(docs)
+    errors.write.mode("overwrite").parquet(paths["errors"])
+    rev = RV.reviewed(docs, method, packs.type_rules, rules, keep=[batch_col])
+    # the commented paragraphs travel with the document record, so the issue table and the marked-up
+    # paragraphs are derived without reading the text again
+    rev = FL.with_paragraph_comments(rev, rules, comments)
+    rev = rev.withColumns({"comments": FL.all_comments(F.col("commented")),
+                           "annotated": FL.annotated_paragraphs(F.col("commented"), only_commented=True)})
+    report = RV.document_report(rev, batch_col=batch_col, carry=["flag_severities", "comments", "annotated"],
+                                clauses=packs.clauses, flag_rules=rules)
     report.write.mode("overwrite").parquet(paths["documents"])
     if json:
         spark.read.parquet(paths["documents"]).select(F.to_json(F.struct("*")).alias("value")).write.mode(
@@ -49,15 +60,15 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
 
     done = spark.read.parquet(paths["documents"])
     flags = X.inline_rows(done, ["doc_id", batch_col], F.col("report.review.red_flags"), "rule_id")
-    frules = FL.load_flag_rules(None, spark)
     rid = F.col("rule_id")
     flags = flags.select(
         "doc_id", batch_col, rid.cast("long").alias("rule_id"), F.col("occurrence").cast("long").alias("occurrence"),
-        *[FL._rule_meta(frules, rid, f).alias(f) for f in ("issue", "severity", "suggestion", "reference", "category")],
+        *[FL._rule_meta(rules, rid, f).alias(f) for f in ("issue", "severity", "suggestion", "reference", "category")],
         "matched_text", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"),
     )
     flags.write.mode("overwrite").parquet(paths["flags"])
-    FL.suggest_clauses(spark.read.parquet(paths["flags"])).write.mode("overwrite").parquet(paths["suggestions"])
+    clauses = spark.createDataFrame(packs.clauses, CLAUSES_SCHEMA)
+    FL.suggest_clauses(spark.read.parquet(paths["flags"]), clauses).write.mode("overwrite").parquet(paths["suggestions"])
 
     per_doc = done.select(
         "doc_id", batch_col,
@@ -66,12 +77,13 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
         F.col("report.review.red_flags").alias("flags"),
         "flag_severities",
     )
-    comp = K.compliance(per_doc, batch_col)
-    sev = RV.severity_counts(per_doc, batch_col).groupBy(batch_col).agg(
+    comp = K.compliance(per_doc, batch_col, packs.process_rules, packs.requirements)
+    sev = RV.severity_counts(per_doc, batch_col, rules).groupBy(batch_col).agg(
         F.map_from_entries(F.collect_list(F.struct("severity", "issues"))).alias("issues_by_severity"))
-    summary = RV.summary_report(per_doc, batch_col)
+    summary = RV.summary_report(per_doc, batch_col, process_rules=packs.process_rules, requirements=packs.requirements)
     join_keys(join_keys(comp, sev, batch_col), summary, batch_col).write.mode("overwrite").parquet(paths["batches"])
-    RV.processing_log(per_doc).write.mode("overwrite").parquet(paths["log"])
+    log = RV.processing_log(per_doc).unionByName(RV.error_log(spark.read.parquet(paths["errors"])))
+    log.write.mode("overwrite").parquet(paths["log"])
     issues = X.inline_rows(done, ["doc_id", batch_col], F.col("comments"), "rule_id")
     FL.issue_table(issues.withColumn("rule_id", F.col("rule_id").cast("long"))).write.mode("overwrite").parquet(
         paths["issues"])
@@ -87,10 +99,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--batch-col", default="source")
     ap.add_argument("--method", default="ensemble", choices=["ensemble", "rule_based", "ml"])
     ap.add_argument("--json", action="store_true")
+    ap.add_argument("--rules", help="folder of rule packs, <name>.json each (JSON lines); default packs for the rest")
+    ap.add_argument("--comments", default="paragraph", choices=["paragraph", "reference"])
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("lexrev-review").getOrCreate()
     docs = read_documents(spark, a.input, ["doc_id", "text", a.batch_col])
-    for name, path in review_corpus(spark, docs, a.output, a.batch_col, a.method, a.json).items():
+    packs = read_packs(spark, a.rules)
+    for name, path in review_corpus(spark, docs, a.output, a.batch_col, a.method, a.json, packs, a.comments).items():
         print(f"{name}: {path}")
 
 

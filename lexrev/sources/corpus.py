@@ -66,17 +66,18 @@ def split_quarantine(docs: DataFrame, key: str = "doc_id", text_col: str = "text
     Repeated keys are found on the key column alone (partial aggregation); the set of
     repeated keys is broadcast only when its measured size allows it.
     """
-    dup = docs.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).select(
+    keyed = docs.where(F.col(key).isNotNull())  # null keys stay out of the join, where they would meet in one task
+    dup = keyed.groupBy(key).count().where(F.col("count") > 1).select(
         key, F.lit(True).alias("_dup")
     )
-    tagged = docs.join(broadcast_if_small(dup), key, "left")
+    tagged = keyed.join(broadcast_if_small(dup), key, "left")
     reason = (
-        F.when(F.col(key).isNull(), "missing id")
-        .when(F.col("_dup"), "duplicate id")
+        F.when(F.col("_dup"), "duplicate id")
         .when(F.col(text_col).isNull(), "missing text")
         .when(py_strip(F.col(text_col)) == "", "blank text")
     )
     tagged = tagged.withColumn("error", reason).drop("_dup")
     good = tagged.where(F.col("error").isNull()).drop("error")
     errors = tagged.where(F.col("error").isNotNull()).select(key, "error")
-    return good, errors
+    unkeyed = docs.where(F.col(key).isNull()).select(key, F.lit("missing id").alias("error"))
+    return good, errors.unionByName(unkeyed)

@@ -57,6 +57,15 @@ SEED_CLAUSES: list[tuple[str | None, str | None]] = [
 ]
 # END FIXED VALUES
 
+# A pack other than the default one, with a fourth severity and a named group:
+# (pattern, issue, severity, suggestion, reference, category); the last pattern does not compile and is rejected.
+CUSTOM_FLAG_RULES = [
+    ("shall be (void|subject)", "Void clause", "Critical", "Rewrite the clause", "", "governing_law"),
+    ("(?P<who>company|party) must", "Duty", "Low", "Name the duty", "", "duty"),
+    ("board of directors", "Board", "Medium", "Check the board", "", "board"),
+    ("limited (", "Broken", "High", "None", "", "broken"),
+]
+
 SEED_SCHEMA = T.StructType([
     T.StructField("seed", T.IntegerType()),
     T.StructField("head", T.StringType()),
@@ -83,3 +92,13 @@ def seeds_sql_values() -> str:
 
     rows = ", ".join(f"({i}, {lit(h)}, {lit(t)})" for i, (h, t) in enumerate(SEED_CLAUSES))
     return f"(VALUES {rows}) AS s(seed, head, tail)"
+
+
+def faulty_documents(docs: DataFrame) -> DataFrame:
+    """Every document, with faults for the quarantine by ``pmod(doc_id, 97)``: 1 loses its id, 2 takes the
+    document's id two below, 3 loses its text, 4 has blank text."""
+    m = F.pmod(F.col("doc_id"), F.lit(97))
+    return docs.withColumns({
+        "doc_id": F.when(m == 1, F.lit(None)).when(m == 2, F.col("doc_id") - 2).otherwise(F.col("doc_id")),
+        "text": F.when(m == 3, F.lit(None)).when(m == 4, F.lit(" \t\n")).otherwise(F.col("text")),
+    })

@@ -57,3 +57,9 @@ def test_batch_aggregates_are_partial_before_the_exchange(plans):
         assert "partial_" in p, name
         first_exchange = p.find("Exchange hashpartitioning(source")
         assert first_exchange > 0 and "partial_" in p[first_exchange:], name
+
+
+def test_set_queries_read_the_documents_once(plans):
+    for name in ("missing_documents", "extra_documents", "matched_documents", "recommendations", "compliance",
+                 "summary_report"):
+        assert plans[name].count("documents.parquet") == 1, name

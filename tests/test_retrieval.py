@@ -69,3 +69,13 @@ def test_label_centroids(spark):
                               "vec_id long, embedding array<float>, label int")
     c = {r.query_id: r.query_vec for r in R.label_centroids(v).collect()}
     assert c == {1: [2.0, 3.0], 2: [5.0, 5.0]}
+
+
+def test_chunks_equal_slices_of_the_text(spark):
+    texts = ["", None, "a", "\U0001F600b" * 120, "line\r\nnext\u2028" * 30, "x" * 100, "y" * 101]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size, overlap in ((100, 20), (7, 3), (50, 0)):
+        got = {(r.doc_id, r.chunk_no): (r.start, r.text) for r in R.chunk_text(df, size, overlap).collect()}
+        want = {(d, i): (s, t[s:s + size]) for d, t in enumerate(texts) if t
+                for i, s in enumerate(range(0, max(len(t) - overlap, 1), size - overlap))}
+        assert got == want
