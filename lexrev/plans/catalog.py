@@ -287,7 +287,7 @@ def q_file_metadata(spark, sf):
 def q_quarantine(spark, sf):
     """S4 on documents of which some get a null, repeated or blank key or text."""
     good, errors = split_quarantine(faulty_documents(documents(spark, sf, spread=False)))  # no CPU-heavy work
-    return errors
+    return errors.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("(no id)")).alias("doc_id"), "error")
 
 
 # ------------------------------------------------------------------ retrieval (R)

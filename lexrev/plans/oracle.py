@@ -631,7 +631,7 @@ ORACLE_SQL["quarantine"] = (
     "WITH f AS (SELECT CASE doc_id % 97 WHEN 1 THEN NULL WHEN 2 THEN doc_id - 2 ELSE doc_id END AS doc_id, "
     "CASE doc_id % 97 WHEN 3 THEN NULL WHEN 4 THEN ' ' ELSE text END AS text FROM documents), "
     "d AS (SELECT doc_id, text, count(*) OVER (PARTITION BY doc_id) AS k FROM f) "
-    "SELECT doc_id, CASE WHEN doc_id IS NULL THEN 'missing id' WHEN k > 1 THEN 'duplicate id' "
+    "SELECT coalesce(CAST(doc_id AS VARCHAR), '(no id)') AS doc_id, CASE WHEN doc_id IS NULL THEN 'missing id' WHEN k > 1 THEN 'duplicate id' "
     "WHEN text IS NULL THEN 'missing text' ELSE 'blank text' END AS error FROM d "
     "WHERE doc_id IS NULL OR k > 1 OR text IS NULL OR trim(regexp_replace(text, '\\s+', ' ', 'g')) = ''"
 )
