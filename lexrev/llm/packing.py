@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexrev.llm.common import doc_key, map_batches, utf8_rows
-from lexrev.llm.records import word_encoder
+from lexrev.llm.records import WordCounter, word_encoder
 from lexrev.session import cut_lineage
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -77,9 +77,8 @@ def downsized(contents: int, capacities: tuple[int, ...]) -> int:
 def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """k_id, k_hash, n_tokens (with an end id) of every row of ``docs(doc_id, text)``."""
     def fn(b: pa.RecordBatch):
-        enc = word_encoder(tokenizer, CACHE_WORDS)
-        size = enc.dtype.itemsize
-        n = [len(ids) // size + 1 for ids in enc.encode_all(list(utf8_rows(b.column(2))))]
+        enc = word_encoder(tokenizer, CACHE_WORDS, WordCounter)
+        n = [ids + 1 for ids in enc.encode_all(list(utf8_rows(b.column(2))))]
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["k_id", "k_hash", "n_tokens"])
 
     return map_batches(docs.select(*doc_key(), "text"), fn, "k_id long, k_hash long, n_tokens long")

@@ -68,14 +68,14 @@ class WordEncoder:
     def __init__(self, path: str, cache_words: int = _CACHE_WORDS):
         self.tokenizer = load_tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
-        self.cache: dict[bytes, bytes] = {}
+        self.cache: dict = {}
         self.cache_words = cache_words
 
     def encode(self, raw: bytes) -> bytes:
         """Ids of a UTF-8 text, as packed integers of ``dtype``."""
         return next(self.encode_all([raw]))
 
-    def encode_all(self, texts: list[bytes]) -> Iterator[bytes]:
+    def encode_all(self, texts: list[bytes]) -> Iterator:
         """``encode`` for a batch, whose new words are encoded together."""
         words = [raw.split() for raw in texts]
         cache = self.cache
@@ -88,7 +88,14 @@ class WordEncoder:
         for w, (core, tail) in parts.items():
             cache[w] = cache[core] + cache[tail]
         for ws in words:
-            yield b"".join([cache[w] for w in ws])
+            yield self._whole([cache[w] for w in ws])
+
+    def _value(self, ids: list[int]):
+        """What is cached of a word: by ``+`` it joins what follows."""
+        return np.array(ids, self.dtype).tobytes()
+
+    def _whole(self, values: list):
+        return b"".join(values)
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
@@ -107,25 +114,41 @@ class WordEncoder:
         # Words in lists of 512: one encoding object a list instead of one a word.
         for i in range(0, len(new), 512):
             part = new[i:i + 512]
-            e, = self.tokenizer.encode_batch([[w.decode("utf-8", "replace") for w in part]],
-                                             is_pretokenized=True, add_special_tokens=False)
+            e, = self.tokenizer.encode_batch_fast([[w.decode("utf-8", "replace") for w in part]],  # no offsets are kept
+                                                  is_pretokenized=True, add_special_tokens=False)
             of = e.word_ids
             if None in of:  # special tokens written out in the text belong to no word
                 for w in part:
                     one = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False)
-                    self.cache[w] = np.array(one.ids, self.dtype).tobytes()
+                    self.cache[w] = self._value(one.ids)
                 continue
-            ids = np.array(e.ids, self.dtype)
-            cuts = (np.searchsorted(np.array(of, np.int64), np.arange(len(part) + 1)) * ids.itemsize).tolist()
-            packed = ids.tobytes()
-            for w, x, y in zip(part, cuts, cuts[1:], strict=False):
-                self.cache[w] = packed[x:y]
+            cuts = np.searchsorted(np.array(of, np.int64), np.arange(len(part) + 1))
+            self.cache.update(zip(part, self._values(e.ids, cuts), strict=True))
+
+    def _values(self, ids: list[int], cuts: np.ndarray) -> list:
+        """``_value`` of each stretch of ``ids`` between two cuts."""
+        packed = self._value(ids)
+        at = (cuts * self.dtype.itemsize).tolist()
+        return [packed[x:y] for x, y in zip(at, at[1:], strict=False)]
+
+
+class WordCounter(WordEncoder):
+    """Counts the ids of texts: as ``WordEncoder``, with numbers in place of ids."""
 
+    def _value(self, ids: list[int]):
+        return len(ids)
 
-@lru_cache(maxsize=1)
-def word_encoder(path: str, cache_words: int = _CACHE_WORDS) -> WordEncoder:
-    """One encoder a process: its cache outlives the task."""
-    return WordEncoder(path, cache_words)
+    def _whole(self, values: list):
+        return sum(values)
+
+    def _values(self, ids: list[int], cuts: np.ndarray) -> list:
+        return np.diff(cuts).tolist()
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str, cache_words: int = _CACHE_WORDS, kind: type[WordEncoder] = WordEncoder) -> WordEncoder:
+    """One encoder of a kind a process: its cache outlives the task."""
+    return kind(path, cache_words)
 
 
 def masked_crc(data: bytes) -> int:
