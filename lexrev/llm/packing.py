@@ -30,8 +30,8 @@ from lexrev.session import cut_lineage
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 SHARD = 8192
-#: Words that a process keeps encoded; earlier stages of a pipeline have left their share of its memory taken.
-CACHE_WORDS = 600_000
+#: Words whose token counts a process keeps, about 100 bytes each; earlier stages of a pipeline have left their share of its memory taken.
+CACHE_WORDS = 1_000_000
 
 
 def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> list[tuple[int, int]]:

@@ -77,14 +77,18 @@ class WordEncoder:
 
     def encode_all(self, texts: list[bytes]) -> Iterator:
         """``encode`` for a batch, whose new words are encoded together."""
-        words = [raw.split() for raw in texts]
+        # Folded, as the tokenizer folds case; texts that may spell special tokens stay as they are.
+        words = [(raw if b"<|" in raw else raw.translate(LOWER_TABLE)).split() for raw in texts]
         cache = self.cache
         new = set().union(*words).difference(cache)
         if len(cache) + len(new) > self.cache_words:
             cache.clear()
             new = set().union(*words)
-        parts = {w: self._parts(w) for w in new}
-        self._learn(list({p for two in parts.values() for p in two}.difference(cache)))
+        marked = [w for w in new if w[-1] in _MARKS]
+        parts = {w: two for w, two in zip(marked, map(self._parts, marked), strict=True) if two[1]}
+        new.difference_update(parts)
+        new.update(p for two in parts.values() for p in two if p not in cache)
+        self._learn(list(new))
         for w, (core, tail) in parts.items():
             cache[w] = cache[core] + cache[tail]
         for ws in words:
@@ -99,16 +103,13 @@ class WordEncoder:
 
     @staticmethod
     def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """A word as two that many words share: folded (the tokenizer folds case) and without the marks at its end.
+        """A word as two that many words share: without the marks at its end, and these.
 
         Only marks after an ASCII letter or digit part, as others may join a mark before them; words that may spell
         special tokens stay whole.
         """
-        if b"<|" in word:
-            return word, b""
-        low = word.translate(LOWER_TABLE)
-        core = low.rstrip(_MARKS)
-        return (core, low[len(core):]) if core and core[-1] in _ALNUM else (low, b"")
+        core = word.rstrip(_MARKS)
+        return (core, word[len(core):]) if core and core[-1] in _ALNUM and b"<|" not in word else (word, b"")
 
     def _learn(self, new: list[bytes]) -> None:
         # Words in lists of 512: one encoding object a list instead of one a word.
