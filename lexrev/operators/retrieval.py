@@ -1,25 +1,40 @@
 """Knowledge retrieval.
 
-* ``chunk_text``: fixed windows (size 1000, step size-overlap) with ``sequence`` + ``substring``.
-* ``knn``: exact nearest vectors for a bounded query set; the query side is broadcast only
-  after its size is checked, and top-k uses ``row_number() <= k`` which Catalyst runs as a
-  partial ``WindowGroupLimit`` before the shuffle, so a query never gathers all vectors.
-* ``related_passages``: TF-IDF cosine through an inverted index (equi-join on term), with
-  document tokens first reduced to the passage vocabulary (broadcast, size-checked).
+* ``chunk_text``: fixed windows (size 1000, step size-overlap) cut in one pass over the text.
+* ``knn``: exact nearest vectors of a stated query set, which is sent in blocks; each task keeps the k nearest of
+  every batch, so only those reach the shuffle that merges them.
+* ``related_passages``: TF-IDF cosine through an inverted index. The postings of the passage library are sent in
+  blocks of bounded size and every document is scored in the task that reads it: no shuffle, no pair rows.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import batched
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
-from lexrev.session import bounded_rows, broadcast_if_small, cut_lineage
+from lexrev.session import bounded_rows, cut_lineage
 
 TOKEN_REGEX = "[\\p{L}\\p{N}]+"
+#: Queries sent to the tasks at a time; further blocks take further passes over the vectors.
+QUERY_BLOCK = 1000
+#: Vectors whose distances to a block of queries are held at a time.
+VECTOR_ROWS = 1024
+#: Postings (12 bytes each) sent to the tasks at a time; further blocks take further passes over the documents.
+MAX_POSTINGS = 4_000_000
+#: Terms of a passage library; a larger vocabulary is refused.
+MAX_TERMS = 2_000_000
 
 
 def chunk_text(docs: DataFrame, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHUNK_OVERLAP,
@@ -47,30 +62,50 @@ def chunk_text(docs: DataFrame, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHU
     )
 
 
-def squared_l2(a, b):
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))),
-        F.lit(0.0), lambda acc, x: acc + x,
-    )
+def squared_l2(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Squared distances, a row per query; summed dimension by dimension, so that blocks of any shape agree."""
+    total = np.zeros((len(queries), len(vectors)))
+    for q, v in zip(queries.T, vectors.T, strict=True):
+        total += (q[:, None] - v[None, :]) ** 2
+    return total
+
+
+def _nearest(vectors: DataFrame, rows: list, k: int, names: list[str], schema: T.StructType) -> DataFrame:
+    """The k nearest vectors in each batch of every query of ``rows(id, vector)``."""
+    ids = pa.array([r[0] for r in rows], to_arrow_type(schema[0].dataType))
+    sent = vectors.sparkSession.sparkContext.broadcast(np.array([r[1] for r in rows], np.float64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = sent.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, VECTOR_ROWS):
+                b = whole.slice(at, VECTOR_ROWS)
+                b = b.take(pc.sort_indices(b.column(0)))  # ties go by id
+                v = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+                d = squared_l2(queries, v)
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                q = np.repeat(np.arange(len(queries)), best.shape[1])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(q)), b.column(0).take(pa.array(best.ravel())),
+                                                  pa.array(d[q, best.ravel()])], names=names)
+
+    return vectors.mapInArrow(run, schema)
 
 
 def knn(queries: DataFrame, vectors: DataFrame, k: int = RP.RETRIEVE_K, qid: str = "query_id",
         vid: str = "vec_id", qvec: str = "query_vec", vvec: str = "embedding",
-        max_queries: int = 1000) -> DataFrame:
+        block: int = QUERY_BLOCK) -> DataFrame:
     """The ``k`` nearest vectors (squared L2, ties by id) of every query; every hit is labelled 'high'.
 
-    The query set must be bounded (checked); it is compiled into the projection, so each
-    vector row computes its distance to every query without a join.  ``row_number() <= k``
-    runs as a partial ``WindowGroupLimit`` before the exchange on the query id.
+    Queries are sent ``block`` at a time, each block in one pass over the vectors; there is no limit to their number.
+    Vectors that are null or of another length than the queries have no distance.
     """
-    rows = bounded_rows(queries.select(qid, qvec), max_queries, "knn query set")
-    qs = F.array(*[
-        F.struct(F.lit(r[0]).alias("qid"), F.array(*[F.lit(float(x)) for x in r[1]]).alias("qv")) for r in rows
-    ])
-    d = X.inline_rows(vectors, [vid], F.transform(
-        qs, lambda q: F.struct(q["qid"].alias(qid), squared_l2(q["qv"], F.col(vvec)).alias("distance"))), qid)
+    schema = T.StructType([queries.schema[qid], vectors.schema[vid], T.StructField("distance", T.DoubleType())])
+    found = vectors.sparkSession.createDataFrame([], schema)
+    for rows in batched(queries.select(qid, qvec).where(F.col(qvec).isNotNull()).toLocalIterator(), block):
+        fit = vectors.select(vid, vvec).where(F.size(vvec) == len(rows[0][1]))
+        found = found.unionByName(_nearest(fit, list(rows), k, [qid, vid, "distance"], schema))
     w = Window.partitionBy(qid).orderBy("distance", vid)
-    return d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
         qid, F.col("rank").cast("long").alias("rank"), vid, "distance", F.lit("high").alias("relevance"))
 
 
@@ -98,26 +133,84 @@ def passage_vectors(passages: DataFrame, key: str = "chunk_id", text_col: str =
     return tf.join(idf, "term").select(key, "term", "idf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
+@dataclass
+class Postings:
+    """Inverted index of a block of passages: those of term i are at ``start[i]:start[i + 1]``."""
+
+    terms: pa.Array
+    idf: np.ndarray
+    start: np.ndarray
+    passage: np.ndarray
+    weight: np.ndarray
+    keys: pa.Array
+    norm: np.ndarray
+
+    def best(self, codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Passages (in key order) and scores of the k most alike ones to a document of these terms."""
+        ids, tf = np.unique(codes[codes >= 0], return_counts=True)
+        w = tf * self.idf[ids]
+        n = self.start[ids + 1] - self.start[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        dots = np.bincount(self.passage[at], weights=np.repeat(w, n) * self.weight[at], minlength=len(self.keys))
+        hit = np.flatnonzero(dots)
+        score = np.floor(dots[hit] / (math.sqrt((w * w).sum()) * self.norm[hit]) * 1e6 + 0.5) / 1e6
+        top = np.lexsort((hit, -score))[:k]
+        return hit[top], score[top]
+
+
+def _postings(rows: pa.Table, terms: pa.Array, idf: np.ndarray) -> Postings:
+    """Index of ``rows`` (passage key, term, weight)."""
+    keys = pc.unique(rows.column(0).combine_chunks())
+    keys = keys.take(pc.sort_indices(keys))
+    passage = pc.index_in(rows.column(0), value_set=keys).to_numpy()
+    term = pc.index_in(rows.column(1), value_set=terms).to_numpy()
+    weight = rows.column(2).to_numpy()
+    order = np.argsort(term, kind="stable")
+    start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
+    norm = np.sqrt(np.bincount(passage, weights=weight * weight, minlength=len(keys)))
+    return Postings(terms, idf, start, passage[order].astype(np.int32), weight[order], keys, norm)
+
+
 def related_passages(docs: DataFrame, passages: DataFrame, k: int = RP.RETRIEVE_K, key: str = "doc_id",
-                     text_col: str = "text", pkey: str = "chunk_id", ptext: str = "text") -> DataFrame:
-    """Top-k passages per document by TF-IDF cosine over the passage vocabulary."""
-    # the passage library is bounded and read three times (vocabulary, postings, norms):
-    # materialise its vectors once in the checkpoint folder
-    pv = cut_lineage(passage_vectors(passages, pkey, ptext))
-    pnorm = pv.groupBy(pkey).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("pnorm"))
-    vocab = broadcast_if_small(pv.select("term", "idf").distinct())
-    dt = _terms(docs, key, text_col).join(vocab, "term").groupBy(key, "term", "idf").agg(
-        F.count(F.lit(1)).alias("tf"))
-    # one exchange on the document key; norms, dot products, their join and the top-k window
-    # below are all keyed by the document (or document + passage) and reuse this partitioning
-    dv = dt.select(key, "term", (F.col("tf") * F.col("idf")).alias("w")).repartition(key)
-    dv = dv.withColumn("dnorm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key))))
-    dots = (
-        dv.join(broadcast_if_small(pv.select(pkey, "term", F.col("w").alias("pw"))), "term")
-        .groupBy(key, pkey).agg(F.sum(F.col("w") * F.col("pw")).alias("dot"), F.max("dnorm").alias("dnorm"))
-    )
-    scored = dots.join(broadcast_if_small(pnorm), pkey).select(
-        key, pkey, X.round_half_up(F.col("dot") / (F.col("dnorm") * F.col("pnorm")), 6).alias("score"))
-    w = Window.partitionBy(key).orderBy(F.desc("score"), pkey)
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
-        key, F.col("rank").cast("long").alias("rank"), pkey, "score")
+                     text_col: str = "text", pkey: str = "chunk_id", ptext: str = "text",
+                     max_postings: int = MAX_POSTINGS) -> DataFrame:
+    """Top-k passages of every document row by TF-IDF cosine over the passage vocabulary.
+
+    All terms count, however frequent. Passages are dealt into blocks of about ``max_postings`` postings; every block
+    takes one pass over the documents, and only the k best of each pass are merged.
+    """
+    pv = cut_lineage(passage_vectors(passages.where(F.col(pkey).isNotNull()), pkey, ptext))
+    schema = T.StructType([docs.schema[key], T.StructField("rank", T.LongType()), pv.schema[pkey],
+                           T.StructField("score", T.DoubleType())])
+    vocabulary = bounded_rows(pv.select("term", "idf").distinct(), MAX_TERMS, "passage vocabulary")
+    terms = pa.array([r["term"] for r in vocabulary], pa.string())
+    idf = np.array([r["idf"] for r in vocabulary], np.float64)
+    tokens = docs.select(key, F.regexp_extract_all(
+        F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(X.py_regex(TOKEN_REGEX)), 0).alias("tokens"))
+    blocks = max(1, math.ceil(pv.count() / max_postings))
+    found = None
+    for i in range(blocks):
+        rows = pv.where(F.pmod(F.xxhash64(pkey), F.lit(blocks)) == i).select(pkey, "term", "w").toArrow()
+        sent = docs.sparkSession.sparkContext.broadcast(_postings(rows, terms, idf))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            p = sent.value
+            for b in batches:
+                codes = pc.fill_null(pc.index_in(b.column(1).flatten(), value_set=p.terms), -1).to_numpy()
+                ends = np.cumsum(pc.list_value_length(b.column(1)).to_numpy())
+                best = [p.best(c, k) for c in np.split(codes, ends[:-1])] if b.num_rows else []
+                n = [len(hit) for hit, _ in best]
+                if sum(n):
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))),
+                         pa.array(np.concatenate([np.arange(1, m + 1) for m in n])),
+                         p.keys.take(pa.array(np.concatenate([hit for hit, _ in best]))),
+                         pa.array(np.concatenate([score for _, score in best]))],
+                        names=[key, "rank", pkey, "score"])
+
+        part = tokens.mapInArrow(run, schema)
+        found = part if found is None else found.unionByName(part)
+    if blocks > 1:
+        w = Window.partitionBy(key).orderBy(F.desc("score"), pkey)
+        found = found.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+    return found

@@ -79,3 +79,22 @@ def test_chunks_equal_slices_of_the_text(spark):
         want = {(d, i): (s, t[s:s + size]) for d, t in enumerate(texts) if t
                 for i, s in enumerate(range(0, max(len(t) - overlap, 1), size - overlap))}
         assert got == want
+
+
+def test_knn_in_blocks_with_ties_and_gaps(spark):
+    vecs = [(5, [0.0, 0.0]), (3, [0.0, 0.0]), (4, [1.0, 0.0]), (6, None), (7, [1.0])]
+    vdf = spark.createDataFrame(vecs, "vec_id long, embedding array<float>")
+    qdf = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(5)], "query_id long, query_vec array<double>")
+    rows = [R.knn(qdf, vdf, k=2, block=n).orderBy("query_id", "rank").collect() for n in (2, 100)]
+    assert rows[0] == rows[1] and len(rows[0]) == 10
+    assert [(r.query_id, r.vec_id, r.distance) for r in rows[0][:4]] == [(0, 3, 0.0), (0, 5, 0.0), (1, 4, 0.0), (1, 3, 1.0)]
+    assert R.knn(qdf.limit(0), vdf, k=2).count() == R.knn(qdf, vdf.limit(0), k=2).count() == 0
+
+
+def test_related_passages_in_blocks(spark, docs):
+    passages = spark.createDataFrame(
+        [(i, f"common word{i % 4} " + "x " * (i % 3)) for i in range(9)] + [(9, None), (None, "common")], "chunk_id long, text string")
+    d = docs("common word1 x", "word2 word2 common", None, "", "nothing here")
+    one, many = (R.related_passages(d, passages, k=3, max_postings=n).orderBy("doc_id", "rank").collect() for n in (1000, 4))
+    assert one == many and {r.doc_id for r in one} == {0, 1}
+    assert R.related_passages(d, passages.limit(0), k=3).count() == R.related_passages(d.limit(0), passages, k=3).count() == 0
