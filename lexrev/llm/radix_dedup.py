@@ -10,6 +10,8 @@ order that the window's own content fixes, so that equal windows take equal digi
    share their lead, so one row stands for the whole run of them (about one row per 90 bytes).
    A run whose bytes from the first window's start to the last one's end (its hull) occur twice is
    done: all its windows repeat. One run of each such group goes on as a partner for other runs.
+   A run without a partner goes on if its lead stands at two or more places in it, as in a passage
+   that repeats itself back to back.
 2. *Core*: runs go on in blocks of ``BLOCK`` windows, by the distance from window start to lead.
    The digit is what all windows of the block share.
 3. *Margins*: the bytes left and right of the core, which complete each window to ``depth``.
@@ -89,25 +91,36 @@ def stretch_hash(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray
     return mix64(h).view(np.int64)
 
 
-def window_min(v: np.ndarray, width: int) -> np.ndarray:
+def window_min(v: np.ndarray, width: int, least: np.ufunc = np.minimum) -> np.ndarray:
     n = 1
     while 2 * n <= width:
-        v, n = np.minimum(v[:-n], v[n:]), 2 * n
+        v, n = least(v[:-n], v[n:]), 2 * n
     rest = width - n
-    return np.minimum(v[:-rest], v[rest:]) if rest else v
+    return least(v[:-rest], v[rest:]) if rest else v
+
+
+def lead_places(g: np.ndarray, low: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """How often the lead of each run lo..hi stands in it; ``low`` are the leads of all windows of grams ``g``."""
+    width = len(g) - len(low) + 1
+    pad = np.zeros(width - 1, np.uint64)
+    at = np.flatnonzero(g == window_min(np.concatenate([pad, low, pad]), width, np.maximum))
+    leads, rank = np.unique(low[lo], return_inverse=True)
+    keys = np.sort(np.searchsorted(leads, g[at]) * len(g) + at)
+    return np.searchsorted(keys, rank * len(g) + hi + width - 1, "right") - np.searchsorted(keys, rank * len(g) + lo)
 
 
 def runs_of(b: np.ndarray, depth: int, gram: int):
-    """Runs of window starts with one lead: first and last start, lead hash, hash of the hull."""
-    low = window_min(mix64(rolling_hash(b, gram)), depth - gram + 1)
+    """Runs of window starts with one lead: first and last start, lead hash, hash of the hull, whether the lead stands in it twice."""
+    g = mix64(rolling_hash(b, gram))
+    low = window_min(g, depth - gram + 1)
     cut = np.flatnonzero(low[1:] != low[:-1]) + 1
     lo = np.concatenate([[0], cut])
     hi = np.concatenate([cut - 1, [len(low) - 1]])
     hull = stretch_hash(prefix_hash(b), lo, hi + depth)
-    return lo, hi, low[lo].view(np.int64), hull
+    return lo, hi, low[lo].view(np.int64), hull, lead_places(g, low, lo, hi) > 1
 
 
-RUN_SCHEMA = "k_id long, k_hash long, lo int, hi int, lead long, hull long"
+RUN_SCHEMA = "k_id long, k_hash long, lo int, hi int, lead long, hull long, twice boolean"
 
 
 def _runs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
@@ -121,10 +134,10 @@ def _runs(docs: DataFrame, depth: int, gram: int) -> DataFrame:
         if not parts:
             return None
         rows = np.repeat(at, [len(p[0]) for p in parts])
-        lo, hi, lead, hull = (np.concatenate(x) for x in zip(*parts, strict=True))
+        lo, hi, lead, hull, twice = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (ids[rows], hashes[rows], lo.astype(np.int32), hi.astype(np.int32), lead, hull)],
-            names=["k_id", "k_hash", "lo", "hi", "lead", "hull"])
+            [pa.array(x) for x in (ids[rows], hashes[rows], lo.astype(np.int32), hi.astype(np.int32), lead, hull, twice)],
+            names=["k_id", "k_hash", "lo", "hi", "lead", "hull", "twice"])
 
     return map_batches(docs, fn, RUN_SCHEMA)
 
@@ -193,9 +206,10 @@ def _blocks(joined: DataFrame, depth: int, gram: int, block: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, block: int = BLOCK) -> DataFrame:
     """Starts of repeated windows of ``docs(k_id, k_hash, text)`` as runs: k_id, k_hash, lo, hi (inclusive)."""
     runs = _runs(docs, depth, gram)
-    by_lead = (runs.groupBy("lead").agg(F.count("*").alias("n"), F.min("hull").alias("h0"), F.max("hull").alias("h1"))
-               .where("n > 1").selectExpr("lead", "h0 <> h1 AS mixed"))
-    found = cut_lineage(join_totals(runs, by_lead, ["lead"]), "radix-runs")
+    by_lead = (runs.groupBy("lead").agg(F.count("*").alias("n"), F.min("hull").alias("h0"), F.max("hull").alias("h1"),
+                                        F.max("twice").alias("twice"))
+               .where("n > 1 OR twice").selectExpr("lead", "n = 1 OR h0 <> h1 AS mixed"))
+    found = cut_lineage(join_totals(runs.drop("twice"), by_lead, ["lead"]), "radix-runs")
     mixed = found.where("mixed")
     hulls = (mixed.groupBy("lead", "hull")
              .agg(F.count("*").alias("n"), F.min(F.struct("k_id", "k_hash", "lo")).alias("rep")))

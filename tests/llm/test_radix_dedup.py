@@ -59,6 +59,20 @@ def test_random_edits_at_small_depth(spark, seed):
     check(spark, texts, depth=24, gram=6, block=5)
 
 
+def test_passages_that_repeat_only_back_to_back(spark):
+    rng = random.Random(8)
+    phrase = noise(rng, 60)
+    check(spark, ["a" * 900, noise(rng, 400) + "=" * 300 + noise(rng, 400), phrase * 12, noise(rng, 500) + noise(rng, 169) * 3,
+                  "b" * 200, "c" * 201, noise(rng, 90) + "xy" * 100 + noise(rng, 90), noise(rng, 170) * 2])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lone_periods_at_small_depth(spark, seed):
+    rng = random.Random(seed)
+    check(spark, [noise(rng, rng.randint(0, 40)) + noise(rng, rng.randint(1, 25)) * rng.randint(2, 9) + noise(rng, rng.randint(0, 40))
+                  for _ in range(30)], depth=24, gram=6, block=5)
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeats(empty).count() == 0
