@@ -10,8 +10,8 @@ cover the disguise in the source. The transducers, in order:
    before a host whose dots are spelled too, as the word is common;
 3. digits: runs of spelled digits (four languages), ``plus`` before them becomes ``+``.
 
-A mapped span is added if it touches a replaced stretch and no base span of its kind. Every pattern
-is matched in time linear in the text: mail addresses are searched from their at signs, digit runs are taken whole.
+A mapped span is added if it touches a replaced stretch and no base span of its kind holds it; base spans, which may
+be fragments of added ones, stay. Every pattern is matched in time linear in the text: mail addresses are searched from their at signs, digit runs are taken whole.
 
 Nulls are empty texts; repeated rows give equal results; other columns are ignored; an empty table gives no rows.
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Callable
 
 import numpy as np
@@ -218,8 +218,8 @@ def find(t: str) -> tuple[list[list[tuple[int, int]]], list[list[tuple[int, int]
             starts = [a for a, _ in base[k]]
             for a, b in f(way.text):
                 lo, hi = int(way.lo[a]), int(way.hi[b - 1])
-                i = bisect_left(starts, hi)
-                if cuts[b] > cuts[a] and (i == 0 or base[k][i - 1][1] <= lo):
+                i = bisect_right(starts, lo)
+                if cuts[b] > cuts[a] and (i == 0 or base[k][i - 1][1] < hi):
                     added[k].append((lo, hi))
     return base, added
 

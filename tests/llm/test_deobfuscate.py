@@ -75,6 +75,17 @@ def test_disguises_map_back_to_the_source():
         assert added(t) == want, t
 
 
+def test_base_spans_that_are_fragments_of_a_disguise():
+    for t, want, masked in [
+            ("to jоhn@example.com now", "jоhn@example.com", "to [EMAIL] now"),
+            ("to john@mail.exаmple.com now", "john@mail.exаmple.com", "to [EMAIL] now"),
+            ("call +49 170 123456 seven eight nine", "+49 170 123456 seven eight nine", "call [PHONE]"),
+            ("a@b.cо.uk c@d.ef gо@x.yz", "a@b.cо.uk|gо@x.yz", "[EMAIL] [EMAIL] [EMAIL]")]:
+        assert added(t) == want.split("|"), t
+        assert mask_text(t) == masked
+    assert added("fｕll john@example.com") == []
+
+
 def test_masking(spark):
     t = "a b@c.de, +1 555 123 4567 and jo [at] ex [dot] org."
     assert mask_text(t) == "a [EMAIL], [PHONE] and [EMAIL]."
