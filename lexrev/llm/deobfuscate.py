@@ -6,8 +6,8 @@ stretch of the source it came from; spans found in the normalised text are mappe
 cover the disguise in the source. The transducers, in order:
 
 1. characters: look-alike letters, full-width and other compatibility forms of ASCII; invisible characters go;
-2. separators: ``[at]``, ``(at)``, `` at ``, ``[dot]``, `` dot `` between the parts of an address; `` at `` counts only
-   before a host whose dots are spelled too, as the word is common;
+2. separators: ``[at]``, ``(at)``, `` at ``, ``[dot]``, `` dot `` between the parts of an address; `` at `` and a plain ``@``
+   count only before a host whose dots are spelled too, as the word is common and the sign needs no change;
 3. digits: runs of spelled digits (four languages), ``plus`` before them becomes ``+``.
 
 A mapped span is added if it touches a replaced stretch and no base span of its kind holds it; base spans, which may
@@ -120,7 +120,7 @@ def _character_table() -> dict[int, str]:
 _TABLE = _character_table()
 _ODD = re.compile("[" + "".join(f"\\U{c:08x}" for c in sorted(_TABLE)) + "]")
 _OPEN, _CLOSE = r" {0,3}[\[({<] {0,2}", r" {0,2}[\])}>] {0,3}"
-_AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}| {{1,3}}at {{1,3}}", re.IGNORECASE)
+_AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}| {{1,3}}at {{1,3}}|@", re.IGNORECASE)
 _DOT = rf"(?:{_OPEN}(?:dot|\.){_CLOSE}| {{1,3}}dot {{1,3}}|\.)"
 _HOST = re.compile(rf"[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+)+", re.IGNORECASE)
 _DOTS = re.compile(_DOT, re.IGNORECASE)
@@ -132,6 +132,23 @@ _BRACKETED = re.compile(r"[\[({<] {0,2}(?:at|@|dot|\.) {0,2}[\])}>]", re.IGNOREC
 #: A run must hold one of these ("un" alone is too common a word).
 _TELLING = frozenset(SPELLED) - {"un"}
 
+
+def _rests(words: frozenset[str]) -> dict[str, str]:
+    """What follows each first letter of the words."""
+    return {c: "|".join(sorted((w[1:] for w in words if w[0] == c), key=lambda w: (-len(w), w))) for c in sorted({w[0] for w in words})}
+
+
+def _by_first(words: frozenset[str]) -> str:
+    return "(?:" + "|".join(f"{c}(?:{r})" for c, r in _rests(words).items()) + ")"
+
+
+# Cheap searches in the folded text: without both there is no run. The class in front lets the search pass over other letters.
+_WORD = re.compile(_by_first(_TELLING))
+_SEVEN = re.compile(
+    "[0-9" + "".join(_rests(frozenset(SPELLED))) + r"](?<!\w.)(?:(?<=[0-9])|"
+    + "|".join(f"(?<={c})(?:{r})" for c, r in _rests(frozenset(SPELLED)).items())
+    + rf")(?:[ -]{{0,2}}(?:[0-9]|{_by_first(frozenset(SPELLED))})){{6}}", re.DOTALL)
+
 Edits = list[tuple[int, int, str]]
 
 
@@ -150,7 +167,8 @@ def separators(t: str) -> Edits:
         dots = [(d.start(), d.end(), ".") for d in _DOTS.finditer(t, host.start(), host.end())]
         spelled = [d for d in dots if d[1] - d[0] > 1]
         if spelled or m.group().strip()[0] in "[({<":
-            out.append((m.start(), m.end(), "@"))
+            if m.group() != "@":
+                out.append((m.start(), m.end(), "@"))
             out += spelled
     for m in _SPELT_IP.finditer(t):
         out += [(d.start(), d.end(), ".") for d in _DOTS.finditer(t, m.start(), m.end()) if d.end() - d.start() > 1]
@@ -158,14 +176,15 @@ def separators(t: str) -> Edits:
 
 
 def spelled_digits(t: str) -> Edits:
-    if _TELLING.isdisjoint(t.lower().replace("-", " ").split()):
+    low = t.casefold()
+    if not _SEVEN.search(low) or not _WORD.search(low):
         return []
     out: Edits = []
     for m in _RUN.finditer(t):
-        if _TELLING.isdisjoint(m.group().lower().replace("-", " ").split()):
+        parts = [(p, p.group().lower()) for p in _ONE.finditer(t, m.start(), m.end())]
+        if _TELLING.isdisjoint(w for _, w in parts):
             continue
-        for p in _ONE.finditer(t, m.start(), m.end()):
-            w = p.group().lower()
+        for p, w in parts:
             if w in SPELLED:
                 out.append((p.start(), p.end(), str(SPELLED[w])))
             elif w.startswith("plus"):

@@ -86,6 +86,18 @@ def test_base_spans_that_are_fragments_of_a_disguise():
     assert added("fｕll john@example.com") == []
 
 
+def test_runs_written_together_and_plain_at_signs():
+    for t, want in {
+            "call plus fourninethreezero onetwothreefour fivesixseven please": ["plus fourninethreezero onetwothreefour fivesixseven"],
+            "call +49 170 123 six.": ["+49 170 123 six"], "+49 170 123 SIX, or not": ["+49 170 123 SIX"],
+            "achtNULLfünf 1 2 3 4 5 6 7 8 9": [], "+1 555 1234 un un un": [],
+            "to john@example [dot] com now": ["john@example [dot] com"], "to john@example dot com now": ["john@example dot com"],
+            "to john@mail.example dot com now": ["john@mail.example dot com"], "see @example dot com": [],
+            "a@b.de, x@y and dot . [dot] it": [], "money at phones seven, one@two dot": []}.items():
+        assert added(t) == want, t
+    assert mask_text("+49 170 123 six. john@example dot com") == "[PHONE]. [EMAIL]"
+
+
 def test_masking(spark):
     t = "a b@c.de, +1 555 123 4567 and jo [at] ex [dot] org."
     assert mask_text(t) == "a [EMAIL], [PHONE] and [EMAIL]."
