@@ -3,8 +3,8 @@
 A message's lines are parsed into nested quote levels (leading ``>`` marks). Runs of lines of one level are blocks, and
 blank lines part blocks into passages. A passage is normalised (case, white space) and hashed, as are every
 message's own words (level 0), as a whole and by passage. Quotes are joined on the hash, as of the message's time, to the latest
-earlier message with these own words. The parent of a message is the message linked by its shallowest linked quote (the latest
-of them); following parents gives the conversation (its first message), by pointer doubling.
+earlier message with these own words. The parent of a message is the message linked by its shallowest linked quote (there a block
+as a whole before a single passage, then the latest); following parents gives the conversation (its first message), by pointer doubling.
 
 Passages shorter than ``min_words`` words link nothing. A message is never its own parent, as parents are earlier (by time, then
 id), so conversations are trees. Messages without a linked quote start a conversation. Nulls are empty texts; a null time counts as the first;
@@ -63,19 +63,27 @@ def digest(words: list[str]) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - 2**63
 
 
-def parse(text: str, min_words: int) -> tuple[str, list[tuple[int, int]]]:
-    """Own text, and (level, hash) of every own and quoted passage."""
-    own, found = [], []
+def parse(text: str, min_words: int) -> tuple[str, list[tuple[int, int, bool]]]:
+    """Own text, and (level, hash, whether it is a whole block) of every own and quoted passage."""
+    own: list[str] = []
+    found: dict[tuple[int, int], bool] = {}
+
+    def add(level: int, lines: list[str]) -> None:
+        for k, words in enumerate(passages(lines)):
+            if len(words) >= min_words:
+                at = (level, digest(words))
+                found[at] = found.get(at, False) or k == 0
+
     for level, lines in blocks(text):
         if level == 0:
             own += lines
         else:
-            found += [(level, digest(w)) for w in passages(lines) if len(w) >= min_words]
-    found += [(0, digest(w)) for w in passages(own) if len(w) >= min_words]
-    return "\n".join(own).strip(), sorted(set(found))
+            add(level, lines)
+    add(0, own)
+    return "\n".join(own).strip(), sorted((*at, whole) for at, whole in found.items())
 
 
-PARSED = "msg_id long, time long, own_text string, found array<struct<level:int,hash:long>>"
+PARSED = "msg_id long, time long, own_text string, found array<struct<level:int,hash:long,whole:boolean>>"
 
 
 def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int = STRETCH) -> DataFrame:
@@ -90,18 +98,18 @@ def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int = STRETCH
         rows = []
         for i, t, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
             own, found = parse(text, min_words)
-            rows.append((i, t, own, [{"level": a, "hash": h} for a, h in found]))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64())]))]
+            rows.append((i, t, own, [{"level": a, "hash": h, "whole": w} for a, h, w in found]))
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64()), ("whole", pa.bool_())]))]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
                                           names=["msg_id", "time", "own_text", "found"])
 
     parsed = cut_lineage(map_batches(one.select("msg_id", "m.time", "m.text"), fn, PARSED), "quotes-parsed")
-    events = parsed.select("msg_id", "time", F.explode("found").alias("f")).select("msg_id", "time", "f.level", "f.hash")
+    events = parsed.select("msg_id", "time", F.explode("found").alias("f")).select("msg_id", "time", "f.level", "f.hash", "f.whole")
     source = F.when(F.col("level") == 0, F.struct(F.col("time").alias("time"), F.col("msg_id").alias("msg_id")))
     # A null id can't be told from others: it quotes, but is not quoted.
     known = events.where("msg_id IS NOT NULL OR level > 0")
     linked = last_before(known, "hash", "time", "msg_id", source, stretch, "original").where("level > 0")
-    met = F.when(F.col("original").isNotNull(), F.struct((-F.col("level")).alias("near"), "original"))
+    met = F.when(F.col("original").isNotNull(), F.struct((-F.col("level")).alias("near"), "whole", "original"))
     quoted = linked.groupBy("msg_id").agg(F.count("*").alias("n_quotes"), F.count("original").alias("n_linked"), F.max(met)["original"]["msg_id"].alias("parent_id"))
     parents = cut_lineage(quoted.where("msg_id IS NOT NULL"), "quotes-parents")
     # Pointer doubling: each round doubles the distance that (up, depth) spans.

@@ -31,6 +31,17 @@ def test_last_before_against_brute_force(spark, width):
         assert got[i] == (max(before)[2] if before else None)
 
 
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_equal_events_do_not_see_each_other(spark, width):
+    rng = random.Random(width)
+    rows = [(i, rng.choice("ab"), rng.randrange(12), rng.randrange(3), rng.random() < 0.6) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, k string, t long, tie long, has boolean")
+    value = F.expr("IF(has, t * 10 + tie, NULL)")
+    got = {r.id: r.p for r in last_before(df, "k", "t", "tie", value, width, "p").collect()}
+    for i, k, t, tie, _ in rows:
+        assert got[i] == max((u * 10 + e for _, kk, u, e, has in rows if kk == k and has and (u, e) < (t, tie)), default=None)
+
+
 def test_revisits(spark):
     h = {"etag": '"1"', "last-modified": "m", "server": "o", "date": "0"}
     rows = [(1, "http://a.com/x", 10, "response", "d1", h, "z"), (2, "https://a.com/x/", 20, "response", "d2", {**h, "etag": '"2"'}, "z"),
@@ -67,6 +78,17 @@ def test_quotes(spark):
     assert link(df.limit(0)).count() == 0
 
 
+def test_replies_that_repeat_their_quote_and_shared_passages(spark):
+    first, sign, asks = "first message of some words", "kind regards from the whole team", "a question about the old house"
+    rows = [(1, 1, first), (2, 2, f"{first}\n\nyes I repeat it\n> {first}"), (3, 3, f"{asks}\n\n{sign}"), (4, 4, f"another thing in a new talk\n\n{sign}"),
+            (5, 5, f"an answer to that question\n\n{sign}\n> {asks}\n>\n> {sign}")]
+    rows += [(i, i, f"{first}\n> {first}") for i in range(6, 20)]
+    got = {r.msg_id: (r.parent_id, r.root_id, r.depth) for r in link(spark.createDataFrame(rows, "msg_id long, time long, text string")).collect()}
+    assert {i: got[i] for i in range(1, 6)} == {1: (None, 1, 0), 2: (1, 1, 1), 3: (None, 3, 0), 4: (None, 4, 0), 5: (3, 3, 1)}
+    # Message 2's own words as a whole differ from the passage, but the passage is its own too: the latest earlier message with these words.
+    assert [got[i][:2] for i in range(6, 20)] == [(2, 1)] + [(i - 1, 1) for i in range(7, 20)]
+
+
 def test_conversations_are_rebuilt(spark):
     rng = random.Random(1)
     turns = [(c, t, " ".join(rng.choice("abcdefghijklmnop") for _ in range(30)), "user") for c in range(12) for t in range(9)]
