@@ -6,8 +6,8 @@ apart fall back into step soon after each edit, so that the Hamming distance of
 not with their length. The bits repeat every ``PERIOD`` steps.
 
 The written string is sampled: its steps are dealt into ``STRIPES`` stripes, and each stripe keeps 16 bits of the smallest
-hash of (step, symbol). Two stripes agree with the share of (step, symbol) pairs that both strings have of all that either
-has, whatever the lengths; likeness is that share turned into the share of equal steps. Fingerprints are the stripes in hexadecimal.
+hash of (step, symbol), 0 if no step falls into it. Two stripes agree with the share of (step, symbol) pairs that both strings have
+of all that either has, whatever the lengths; stripes that are empty in both say nothing and do not count. Likeness is that share turned into the share of equal steps. Fingerprints are the stripes in hexadecimal.
 
 Similar texts are sought by bands of stripes. In each band bucket every text is compared to the smallest fingerprint; those
 that are not alike stay for the next round, with another leader, until none is left. Every link is verified on the whole
@@ -93,11 +93,14 @@ def sketch(own: bytes, states: list[int]) -> np.ndarray:
             best = np.minimum(best, h[:full].reshape(-1, STRIPES).min(axis=0))
         rest = h[full:]
         best[:len(rest)] = np.minimum(best[:len(rest)], rest)
-    return ((best ^ (best >> np.uint32(16))) & np.uint32(0xFFFF)).astype(np.uint16)
+    out = ((best ^ (best >> np.uint32(16))) & np.uint32(0xFFFF)).astype(np.uint16)
+    out[(out == 0) & (best != 2**32 - 1)] = 1  # 0 stands for an empty stripe only
+    return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    share = float((a == b).mean())
+    filled = (a != 0) | (b != 0)
+    share = float((a == b)[filled].mean()) if filled.any() else 1.0
     return 2 * share / (1 + share)
 
 
@@ -212,6 +215,7 @@ def similar_texts(docs: DataFrame, alike: float = ALIKE, band: int = BAND) -> Da
     stripes = F.transform(F.sequence(F.lit(0), F.lit(STRIPES // band - 1)), lambda i: F.struct(
         i.alias("i"), F.substring(F.col("fingerprint"), i * (4 * band) + 1, F.lit(4 * band)).alias("v")))
     left = prints.select("fingerprint", F.explode(stripes).alias("b")).select("fingerprint", "b.i", "b.v")
+    left = left.where(F.col("v") != "0" * (4 * band))  # empty stripes are no likeness
 
     @F.pandas_udf("double")
     def near(a, b):

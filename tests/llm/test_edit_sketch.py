@@ -45,6 +45,22 @@ def test_few_edits_stay_near_and_others_far():
     assert 0.4 < np.mean(half) < 0.65
 
 
+def test_short_texts_that_have_nothing_in_common():
+    rng = random.Random(6)
+    for n in range(1, 61):
+        a, b = (parse(fingerprint("".join(rng.choice(letters) for _ in range(n)))) for letters in ("abcdefgh", "qrstuvwx"))
+        assert likeness(a, b) < 0.2 and likeness(a, parse(fingerprint(""))) == 0 and likeness(a, a) == 1, n
+    assert likeness(parse(fingerprint("")), parse(fingerprint(None))) == 1
+    mean = np.mean([likeness(parse(fingerprint(noise(rng, n))), parse(fingerprint(noise(rng, n)))) for n in range(5, 61) for _ in range(10)])
+    assert mean < 0.35
+
+
+def test_short_texts_are_not_one_group(spark):
+    rows = [(1, "ab"), (2, "xy"), (3, "longer one"), (4, "nothing so"), (5, ""), (6, "ab"), (7, "z")]
+    got = {r.doc_id: r.group for r in similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 1, 7: 7}
+
+
 def test_neighbours_against_brute_force(spark):
     rng = random.Random(3)
     rows = [(i * 2, noise(rng, rng.choice([0, 1, 2, 5, 50, 400])), "k") for i in range(60)] + [(1, None, "k"), (3, "", "k"), (None, "xyz", "k")]
