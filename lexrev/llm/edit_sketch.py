@@ -9,9 +9,9 @@ The written string is sampled: its steps are dealt into ``STRIPES`` stripes, and
 hash of (step, symbol), 0 if no step falls into it. Two stripes agree with the share of (step, symbol) pairs that both strings have
 of all that either has, whatever the lengths; stripes that are empty in both say nothing and do not count. Likeness is that share turned into the share of equal steps. Fingerprints are the stripes in hexadecimal.
 
-Similar texts are sought by bands of stripes. In each band bucket every text is compared to the smallest fingerprint; those
-that are not alike stay for the next round, with another leader, until none is left. Every link is verified on the whole
-fingerprint.
+Similar texts are sought by bands of stripes. In each band bucket every text is compared to the smallest fingerprint. Then
+all pairs of a bucket that these links leave in different groups are compared, so that no link between groups is lost;
+large buckets are dealt in pairs of blocks. Every link is verified on the whole fingerprint.
 
 Nulls are empty texts, whose fingerprint is all zero; repeated rows and equal texts have equal fingerprints; other columns are
 ignored; an empty table gives no rows.
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexrev.llm.common import map_batches, sha256_hex
+from lexrev.llm.common import join_totals, map_batches, sha256_hex
 from lexrev.llm.components import components
 from lexrev.session import cut_lineage
 
@@ -35,6 +35,8 @@ PERIOD = 1024
 STRIPES = 128
 BAND = 4
 ALIKE = 0.8
+#: Members of a band bucket in a block; the pairs of blocks are dealt over tasks.
+BUCKET_BLOCK = 1000
 _CLASSES = 256
 
 
@@ -224,16 +226,22 @@ def similar_texts(docs: DataFrame, alike: float = ALIKE, band: int = BAND) -> Da
         return pd.Series([likeness(np.frombuffer(bytes.fromhex(x), ">u2"), np.frombuffer(bytes.fromhex(y), ">u2"))
                           for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    links = None
-    while True:
-        leader = F.min("fingerprint").over(Window.partitionBy("i", "v"))
-        judged = cut_lineage(left.withColumn("leader", leader).where("leader <> fingerprint")
-                             .withColumn("near", near("fingerprint", "leader")), "edit-judged")
-        found = judged.where(F.col("near") >= alike).select(F.col("leader").alias("a"), F.col("fingerprint").alias("b"))
-        links = found if links is None else links.unionByName(found)
-        left = judged.where(F.col("near") < alike).select("fingerprint", "i", "v")
-        if left.isEmpty():
-            break
+    left = cut_lineage(left, "edit-bands")
+    leaders = left.groupBy("i", "v").agg(F.min("fingerprint").alias("leader"))
+    stars = cut_lineage(join_totals(left, leaders, ["i", "v"]).where("leader <> fingerprint").select("leader", "fingerprint").distinct()
+                        .where(near("fingerprint", "leader") >= alike).select(F.col("leader").alias("a"), F.col("fingerprint").alias("b")), "edit-stars")
+    first = components(stars)
+    grouped = left.join(first, left.fingerprint == first.node, "left").select("i", "v", "fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+    grouped = cut_lineage(grouped, "edit-grouped")
+    # Pairs within a group change nothing; a bucket of one group is done.
+    mixed = (grouped.groupBy("i", "v").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+             .where("r0 <> r1").select("i", "v", F.ceil(F.col("n") / BUCKET_BLOCK).alias("blocks")))
+    dealt = cut_lineage(join_totals(grouped, mixed, ["i", "v"]).withColumn("block", F.pmod(F.xxhash64("fingerprint"), "blocks")), "edit-dealt")
+    other = dealt.select("i", "v", F.col("fingerprint").alias("a"), F.col("root").alias("root_a"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    pairs = (dealt.join(other, ["i", "v", "block"]).where("a < fingerprint AND root <> root_a")
+             .select("a", F.col("fingerprint").alias("b")).distinct())
+    links = stars.unionByName(pairs.where(near("a", "b") >= alike))
     ids = prints.select(F.col("fingerprint"), "rep")
     comp = components(links.distinct())
     rooted = ids.join(comp, ids.fingerprint == comp.node, "left").select("fingerprint", "rep", F.coalesce("root", "fingerprint").alias("root"))

@@ -95,3 +95,25 @@ def test_similar_texts_and_edges(spark):
     assert neighbour_fingerprints(one.limit(0)).count() == 0
     assert sketch(b"", []).sum() == 0
     assert fingerprint("ab " * 300_000) == fingerprint("ab " * 300_000)
+
+
+def test_chains_of_edited_copies_against_brute_force(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(3):
+        t = noise(rng, 500)
+        for _ in range(25):
+            texts.append(t)
+            for _ in range(2):
+                i = rng.randrange(len(t))
+                t = t[:i] + rng.choice(["", "z", "yx"]) + t[i + 1:]
+    prints = [parse(fingerprint(t)) for t in texts]
+    group = list(range(len(texts)))
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            bands = ((a == b).reshape(-1, 2).all(axis=1) & (a != 0).reshape(-1, 2).any(axis=1)).any()
+            if bands and likeness(a, b) >= 0.8 and group[i] != group[j]:
+                lo, hi = sorted((group[i], group[j]))
+                group = [lo if g == hi else g for g in group]
+    got = {r.doc_id: r.group for r in similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), band=2).collect()}
+    assert [got[i] for i in range(len(texts))] == group
