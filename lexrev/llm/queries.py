@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexrev.llm.deobfuscate import personal_data
 from lexrev.llm.edit_sketch import neighbour_fingerprints
+from lexrev.llm.oracle import ORACLE_SQL
 from lexrev.llm.packing import pack_documents
 from lexrev.llm.positions import contamination
 from lexrev.llm.quotes import link, quoting_messages
@@ -17,6 +18,14 @@ from lexrev.llm.records import default_tokenizer, record_digests
 from lexrev.llm.resample import resample
 from lexrev.llm.revisits import captures, resolve_revisits
 from lexrev.llm.simhash import near_duplicates
+from lexrev.llm.tile_ranking import rank
+from lexrev.llm.turn_repair import damaged, digests, repair
+from lexrev.llm.url_trie import judge
+
+__all__ = ["ORACLE_SQL", "QUERIES", "URL_RULES"]
+
+#: Rules of the URL filter query: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +89,28 @@ def op10_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the URL filter on every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge(_table(spark, sf_dir, "pages"), rules)
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least repairs of damaged conversations; ids, faults, repairs and checksums meet in one grouping, so null ids do too."""
+    turns = _table(spark, sf_dir, "conversations")
+    summary, messages = repair(damaged(turns))
+    rows = turns.select("conv_id").unionByName(summary, True).unionByName(digests(messages), True)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return rows.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts], F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_tile_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisit_resolution": op1_revisit_resolution,
     "op2_importance_resampling": op2_importance_resampling,
@@ -91,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_deobfuscation": op8_deobfuscation,
     "op9_binary_records": op9_binary_records,
     "op10_simhash_ball": op10_simhash_ball,
+    "op11_url_trie": op11_url_trie,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_tile_ranking": op13_tile_ranking,
 }
-
-ORACLE_SQL: dict[str, str] = {}
