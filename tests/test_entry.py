@@ -1,4 +1,6 @@
 import __spark_entry__ as E
+from lexrev.plans.catalog import QUERIES
+from lexrev.plans.oracle import ORACLE_SQL
 
 
 def test_entry_smoke(spark):
@@ -12,5 +14,5 @@ def test_entry_smoke(spark):
 def test_registry_names():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"text_model", "file_metadata"}
-    assert not any(k.startswith("op") for k in q)
+    assert set(QUERIES) <= set(q)
+    assert set(QUERIES) - set(ORACLE_SQL) == {"text_model", "file_metadata"}
