@@ -57,6 +57,45 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+class WordCache:
+    """Values of words, bounded in bytes: two generations, of which the older goes when the younger is full.
+
+    Words in use move to the younger one, so frequent words stay and words seen once go. A task makes its own
+    cache, which ends with it. ``WORD_BYTES`` is what an entry takes beside its word's letters.
+    """
+
+    WORD_BYTES = 220
+
+    def __init__(self, limit: int):
+        self.limit = limit // 2
+        self.young: dict = {}
+        self.old: dict = {}
+        self.used = 0
+
+    def _count(self, words) -> None:
+        self.used += sum(map(len, words)) + self.WORD_BYTES * len(words)
+
+    def values(self, words: list) -> tuple[list, list[int]]:
+        """The values of distinct words (``None`` without one), and the places of those without."""
+        if self.used > self.limit:
+            self.old, self.young, self.used = self.young, {}, 0
+        out = list(map(self.young.get, words))
+        without = [i for i, v in enumerate(out) if v is None]
+        if self.old and without:
+            back = []
+            for i in without:
+                out[i] = self.old.get(words[i])
+                if out[i] is not None:
+                    back.append(i)
+            self.add([words[i] for i in back], [out[i] for i in back])
+            without = [i for i in without if out[i] is None]
+        return out, without
+
+    def add(self, words: list, values) -> None:
+        self.young.update(zip(words, values, strict=True))
+        self._count(words)
+
+
 def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """A key of a document row that is never null: its id (null: the smallest long) and a hash of its text.
 

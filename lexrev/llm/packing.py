@@ -23,15 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexrev.llm.common import doc_key, map_batches, utf8_rows
-from lexrev.llm.records import WordCounter, word_encoder
+from lexrev.llm.common import doc_key, slices
+from lexrev.llm.records import WordEncoder
 from lexrev.session import cut_lineage
 
 CAPACITIES = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 SHARD = 8192
-#: Words whose token counts a process keeps, about 100 bytes each; earlier stages of a pipeline have left their share of its memory taken.
-CACHE_WORDS = 1_000_000
 
 
 def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> list[tuple[int, int]]:
@@ -76,12 +74,13 @@ def downsized(contents: int, capacities: tuple[int, ...]) -> int:
 
 def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """k_id, k_hash, n_tokens (with an end id) of every row of ``docs(doc_id, text)``."""
-    def fn(b: pa.RecordBatch):
-        enc = word_encoder(tokenizer, CACHE_WORDS, WordCounter)
-        n = [ids + 1 for ids in enc.encode_all(list(utf8_rows(b.column(2))))]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["k_id", "k_hash", "n_tokens"])
+    def run(batches):
+        counter = WordEncoder(tokenizer)
+        for b in slices(batches):
+            n = counter.count_all(b.column(2)) + 1
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["k_id", "k_hash", "n_tokens"])
 
-    return map_batches(docs.select(*doc_key(), "text"), fn, "k_id long, k_hash long, n_tokens long")
+    return docs.select(*doc_key(), "text").mapInArrow(run, "k_id long, k_hash long, n_tokens long")
 
 
 PACKED = "k_id long, k_hash long, piece long, start long, length long, bin_id long, capacity long, offset long"
