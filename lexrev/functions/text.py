@@ -197,6 +197,7 @@ def pattern_fault(spark, pattern: str, find_all: bool = False) -> str | None:
     import re._parser as sre_parse  # stdlib regex parser
 
     from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
 
     try:
         least = sre_parse.parse(pattern, re.IGNORECASE).getwidth()[0]
@@ -206,8 +207,8 @@ def pattern_fault(spark, pattern: str, find_all: bool = False) -> str | None:
         return "the pattern can match the empty text"
     try:
         spark._jvm.java.util.regex.Pattern.compile(py_regex(pattern, ignore_case=True))
-    except Py4JJavaError as e:
-        return f"unsupported pattern: {e.java_exception.getDescription()}"
+    except (Py4JJavaError, PySparkException) as e:
+        return f"unsupported pattern: {str(e).splitlines()[0]}"
     return None
 
 

@@ -1,7 +1,8 @@
 """Lexicon classification.
 
-The type-rule table is a bounded rule pack (size checked); it is compiled to
-one boolean expression per rule on the lower-cased ``full_text``.  Scores,
+A type-rule pack of up to ``MAX_COMPILED_RULES`` rules is compiled to one boolean expression
+per rule on the lower-cased ``full_text``; a larger one, or one with a pattern that Java cannot
+run as Python does, goes to the keyword automaton of ``matcher``, with the same rows.  Scores,
 arg-max, runner-up and confidence are then computed inside each document's
 row (sorting an array of a few types), so classifying a corpus is map-only.
 """
@@ -9,13 +10,18 @@ row (sorting an array of a few types), so classifying a corpus is map-only.
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexrev.functions import text as X
 from lexrev.operators import segment as S
-from lexrev.session import MAX_COMPILED_RULES, bounded_rows
+from lexrev.operators.matcher import RULE_BLOCK, java_differs, matchers, pattern_error
+from lexrev.session import MAX_COMPILED_RULES
 from lexrev.sources.rules import KINDS, default_rulepack
 
 RULE_FIELDS = ["type", "type_order", "kind", "ord", "term", "weight", "is_regex"]
@@ -31,16 +37,22 @@ def load_type_rules(type_rules: DataFrame | list | None = None, spark=None,
         return type_rules
     if type_rules is None:
         type_rules = default_rulepack(spark, "type_rules")
-    rows = bounded_rows(type_rules.select(*RULE_FIELDS), MAX_COMPILED_RULES, what="type rule pack")
+    # the pack itself is configuration: a row a rule, of which the driver holds the list
+    rows = list(type_rules.select(*RULE_FIELDS).toLocalIterator())
     kind_rank = {k: i for i, k in enumerate(KINDS)}
-    faults = [("no term" if not r.term else X.pattern_fault(type_rules.sparkSession, r.term) if r.is_regex else None)
-              for r in rows]
+    faults = [("no term" if not r.term else pattern_error(r.term) if r.is_regex else None) for r in rows]
     if rejected is not None:
         rejected += [("type_rules", f"{r.type}/{r.kind}/{r.ord}", f) for r, f in zip(rows, faults) if f]
     rows = [r for r, f in zip(rows, faults) if not f]
     return sorted(rows, key=lambda r: (r.type_order, kind_rank.get(r.kind, 9), r.ord))
 
 
+def needs_automaton(spark, rules: list) -> bool:
+    """Whether a pack is too large for expressions, or has a pattern that Java refuses or takes otherwise."""
+    return len(rules) > MAX_COMPILED_RULES or any(
+        r.is_regex and (java_differs(r.term) or X.pattern_fault(spark, r.term) is not None) for r in rules)
+
+
 def _types(rules) -> "OrderedDict[str, int]":
     out: OrderedDict[str, int] = OrderedDict()
     for r in rules:
@@ -86,12 +98,76 @@ def rule_hits(docs: DataFrame, type_rules: DataFrame | None = None, key: str = "
               text_col: str = "text") -> DataFrame:
     """One row per (document, rule) that fires."""
     rules = load_type_rules(type_rules, docs.sparkSession)
+    if needs_automaton(docs.sparkSession, rules):
+        return _automaton_hits(_ft(docs, text_col), key, rules)
     d = _staged_hits(_ft(docs, text_col), [key], rules)
     h = X.inline_rows(d, [key], _hits_array(F.col("_hits"), rules), "type")
     return h.select(key, "type", F.col("type_order").cast("long").alias("type_order"), "kind",
                     F.col("ord").cast("long").alias("ord"), "term", "weight")
 
 
+def _automaton_hits(d: DataFrame, key: str, rules: list, block: int = RULE_BLOCK) -> DataFrame:
+    """``rule_hits`` by the keyword automaton: one pass over the documents per block of rules."""
+    meta_type = [("type", pa.string()), ("type_order", pa.int64()), ("kind", pa.string()), ("ord", pa.int64()),
+                 ("term", pa.string()), ("weight", pa.float64())]
+    schema = T.StructType([d.schema[key], *[T.StructField(n, t) for n, t in zip(
+        [n for n, _ in meta_type], [T.StringType(), T.LongType(), T.StringType(), T.LongType(), T.StringType(),
+                                    T.DoubleType()])]])
+    lowered = d.select(key, F.lower(F.col("full_text")).alias("_lt"))
+    found = None
+    for first, m in matchers([(r.term, bool(r.is_regex)) for r in rules], block):
+        own = rules[first:first + block]
+        meta = [pa.array([getattr(r, n) for r in own], t) for n, t in meta_type]
+        sent = d.sparkSession.sparkContext.broadcast((m, meta))  # at most ``block`` rules
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            matcher, columns = sent.value
+            for b in batches:
+                hits = [matcher.hits(t or "") for t in b.column(1).to_pylist()]
+                rule = pa.array([i for own in hits for i in own], pa.int64())
+                row = pa.array([k for k, own in enumerate(hits) for _ in own], pa.int64())
+                if len(rule):
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(row), *(c.take(rule) for c in columns)],
+                                                     names=schema.fieldNames())
+
+        part = lowered.mapInArrow(run, schema)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _automaton_scores(d: DataFrame, cols: list[str], rules: list, ft: str) -> DataFrame:
+    """(cols, _scores): the sorted scores of every document, its evidence found by the keyword automaton."""
+    types = list(_types(rules).items())
+    parts = matchers([(r.term, bool(r.is_regex)) for r in rules])
+    sent = d.sparkSession.sparkContext.broadcast((parts, rules, types))
+    evidence = ",".join(f"{EVIDENCE_KEYS[k]}:array<string>" for k in KINDS)
+
+    @F.pandas_udf(f"array<struct<type:string,type_order:int,raw_score:double,score:double,evidence:struct<{evidence}>>>")
+    def scores(texts: pd.Series, words: pd.Series) -> pd.Series:
+        parts, rules, types = sent.value
+
+        def one(text: str, n: int) -> list[dict]:
+            mine: dict[str, list] = {}
+            for first, m in parts:
+                for i in m.hits(text or ""):
+                    mine.setdefault(rules[first + i].type, []).append(rules[first + i])
+            denom = max(n / 1000.0 if n > 0 else 1.0, 0.1)
+            out = []
+            for name, order in types:
+                own = mine.get(name, [])
+                raw = 0.0
+                for r in own:
+                    raw += float(r.weight)
+                out.append({"type": name, "type_order": order, "raw_score": raw, "score": raw / denom, "evidence": {
+                    EVIDENCE_KEYS[k]: [r.term for r in own if r.kind == k] for k in KINDS}})
+            return sorted(out, key=lambda s: (-s["score"], s["type_order"]))
+
+        return pd.Series([one(t, n) for t, n in zip(texts, words)], dtype=object)
+
+    staged = d.select(*cols, F.lower(F.col(ft)).alias("_lt"), X.word_count(F.col(ft)).alias("_w"))
+    return staged.select(*cols, scores("_lt", "_w").alias("_scores"))
+
+
 def hit_flags(lt: Column, rules) -> Column:
     """One boolean per rule (rule order), evaluated in a code-generated projection."""
     return F.array(*[_hit(lt, r) for r in rules])
@@ -137,8 +213,11 @@ def type_scores(docs: DataFrame, type_rules: DataFrame | None = None, key: str =
                 text_col: str = "text") -> DataFrame:
     """Raw and length-normalised score of every type for every document."""
     rules = load_type_rules(type_rules, docs.sparkSession)
-    d = _staged_hits(_ft(docs, text_col), [key], rules)
-    s = X.inline_rows(d, [key], _score_array(F.col("_hits"), F.col("_w"), rules), "type")
+    if needs_automaton(docs.sparkSession, rules):
+        s = X.inline_rows(_automaton_scores(_ft(docs, text_col), [key], rules, "full_text"), [key], F.col("_scores"), "type")
+    else:
+        d = _staged_hits(_ft(docs, text_col), [key], rules)
+        s = X.inline_rows(d, [key], _score_array(F.col("_hits"), F.col("_w"), rules), "type")
     return s.select(key, "type", F.col("type_order").cast("long").alias("type_order"), "raw_score",
                     X.round_half_up(F.col("score"), 3).alias("normalized_score"))
 
@@ -194,6 +273,8 @@ def with_classification(d: DataFrame, rules, method: str = "ensemble", passthrou
     n = len(_types(rules))
     if not n:
         return d.select(*cols, *columns_from_scores(F.lit(None), 0, method))
+    if needs_automaton(d.sparkSession, rules):
+        return _automaton_scores(d, cols, rules, ft).select(*cols, *columns_from_scores(F.col("_scores"), n, method))
     staged = _staged_hits(d, cols, rules, ft)
     staged = staged.select(*cols, sorted_scores(F.col("_hits"), F.col("_w"), rules).alias("_scores"))
     return staged.select(*cols, *columns_from_scores(F.col("_scores"), n, method))

@@ -1,9 +1,10 @@
 """Red flags, review comments, suggestions and annotation.
 
-The flag-rule table is small and fixed-size (checked by ``bounded_rows``);
-it is compiled into one literal regex expression per rule, so scanning is a
+A flag-rule pack is compiled into one literal regex expression per rule, so scanning is a
 map-only projection: no join with the corpus, no shuffle, each pattern is
-compiled once per task.  Offsets are code points of ``full_text``, computed
+compiled once per task.  Rules that Java cannot run as Python does (or that match the empty
+text), and packs of over ``MAX_COMPILED_RULES`` rules, are searched by the keyword automaton
+of ``matcher`` and Python's ``re`` in Arrow batches, with the same rows.  Offsets are code points of ``full_text``, computed
 from ``regexp_extract_all`` (matches) and ``split`` (gaps between them) with
 block prefix sums; an exact literal-prefix test skips a rule's regex on ASCII
 texts that lack the word every match starts with.  Comments, suggestions and
@@ -14,13 +15,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
 from lexrev.operators import segment as S
-from lexrev.session import MAX_COMPILED_RULES, bounded_rows, broadcast_if_small
+from lexrev.operators.matcher import java_differs, matchers, pattern_error
+from lexrev.session import MAX_COMPILED_RULES, broadcast_if_small
 from lexrev.sources.rules import default_rulepack
 
 
@@ -33,6 +36,8 @@ class FlagRule:
     suggestion: str
     reference: str
     category: str
+    #: whether the pattern runs as an expression; otherwise the automaton and Python's ``re`` run it
+    compiled: bool = True
 
     @property
     def regex(self) -> str:
@@ -54,13 +59,17 @@ def load_flag_rules(flag_rules: DataFrame | list[FlagRule] | None = None, spark=
         return flag_rules
     if flag_rules is None:
         flag_rules = default_rulepack(spark, "flag_rules")
-    rows = bounded_rows(flag_rules.orderBy("rule_id"), MAX_COMPILED_RULES, what="flag rule pack")
+    # the pack itself is configuration: a row a rule, of which the driver holds the list
+    rows = list(flag_rules.orderBy("rule_id").toLocalIterator())
+    few = len(rows) <= MAX_COMPILED_RULES
     out = []
     for r in rows:
-        fault = X.pattern_fault(flag_rules.sparkSession, r.pattern, find_all=True) if r.pattern else "no pattern"
+        fault = pattern_error(r.pattern) if r.pattern else "no pattern"
         if fault is None:
+            compiled = few and not java_differs(r.pattern) and X.pattern_fault(
+                flag_rules.sparkSession, r.pattern, find_all=True) is None
             out.append(FlagRule(r.rule_id, r.pattern, r.issue or "Unknown issue", r.severity or "Medium",
-                                r.suggestion or "Review required", r.reference or "", r.category or "general"))
+                                r.suggestion or "Review required", r.reference or "", r.category or "general", compiled))
         elif rejected is not None:
             rejected.append(("flag_rules", str(r.rule_id), fault))
     return out
@@ -70,9 +79,41 @@ BLOCK = 64
 FLAG_TYPE = "array<struct<rule_id:int,occurrence:int,matched_text:string,start:int,end:int>>"
 
 
+def _searched_spans(spark, rules: list[FlagRule]):
+    """A function of a text column: every match of these rules by the automaton, in rule order."""
+    sent = spark.sparkContext.broadcast((matchers([(r.pattern, True) for r in rules]), [r.rule_id for r in rules]))
+
+    @F.pandas_udf(FLAG_TYPE)
+    def spans(texts: pd.Series) -> pd.Series:
+        parts, ids = sent.value
+        return pd.Series([[
+            {"rule_id": ids[first + i], "occurrence": k, "matched_text": m, "start": start, "end": end}
+            for first, matcher in parts for i, k, m, start, end in matcher.spans(t or "")] for t in texts], dtype=object)
+
+    return spans
+
+
 def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text", out: str = "flags") -> DataFrame:
     """Add ``out``: every match of every rule (rule order, then position) with [start, end) code points.
 
+    Rules that are not compiled are searched by the automaton, then merged in rule order.
+    """
+    searched = [r for r in rules if not r.compiled]
+    if not searched:
+        return _compiled_flag_array(d, rules, ft, out)
+    cols = d.columns
+    compiled = [r for r in rules if r.compiled]
+    d = d.withColumn("_searched", _searched_spans(d.sparkSession, searched)(F.coalesce(F.col(ft), F.lit(""))))
+    if not compiled:
+        return d.select(*cols, F.col("_searched").alias(out))
+    d = _compiled_flag_array(d, compiled, ft, "_found")
+    both = F.array_sort(F.concat("_searched", "_found"))  # by rule id, then occurrence
+    return d.select(*cols, both.alias(out))
+
+
+def _compiled_flag_array(d: DataFrame, rules: list[FlagRule], ft: str, out: str) -> DataFrame:
+    """The flags of rules that run as expressions.
+
     Offsets come from the matches (``regexp_extract_all``) and the gaps between them
     (``split``): start_i = sum of (gap + match) lengths before i + gap_i.  The prefix sums use
     blocks of ``BLOCK`` pieces, so a document with n matches of one rule costs
@@ -137,6 +178,9 @@ def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text",
 
 
 def _rule_meta(rules: list[FlagRule], rule_id: Column, field: str) -> Column:
+    if len(rules) > MAX_COMPILED_RULES:  # one literal map instead of a branch a rule
+        pairs = F.map_from_arrays(F.lit([r.rule_id for r in rules]), F.lit([getattr(r, field) for r in rules]))
+        return F.element_at(pairs, rule_id)
     expr = None if rules else F.lit(None).cast("string")
     for r in rules:
         v = F.lit(getattr(r, field))
@@ -144,6 +188,15 @@ def _rule_meta(rules: list[FlagRule], rule_id: Column, field: str) -> Column:
     return expr
 
 
+META = ["pattern", "issue", "severity", "suggestion", "reference", "category"]
+
+
+def rule_table(spark, rules: list[FlagRule]) -> DataFrame:
+    """The pack as a table: rule_id and its fields."""
+    frame = pd.DataFrame([[r.rule_id, *(getattr(r, f) for f in META)] for r in rules], columns=["rule_id", *META])
+    return spark.createDataFrame(frame, "rule_id int, " + ", ".join(f"{f} string" for f in META))
+
+
 def _with_full_text(docs: DataFrame, text_col: str) -> DataFrame:
     if "full_text" in docs.columns:
         return docs
@@ -156,6 +209,10 @@ def scan_flags(docs: DataFrame, flag_rules: DataFrame | None = None, key: str =
     rules = load_flag_rules(flag_rules, docs.sparkSession)
     d = with_flag_array(_with_full_text(docs, text_col).select(key, "full_text"), rules)
     f = X.inline_rows(d, [key], F.col("flags"), "rule_id")
+    if len(rules) > MAX_COMPILED_RULES:  # flag rows join the pack's table
+        return f.join(broadcast_if_small(rule_table(docs.sparkSession, rules)), "rule_id").select(
+            key, F.col("rule_id").cast("long").alias("rule_id"), F.col("occurrence").cast("long").alias("occurrence"), *META,
+            "matched_text", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
     rid = F.col("rule_id")
     return f.select(
         key,
@@ -197,6 +254,8 @@ def with_paragraph_comments(d: DataFrame, rules: list[FlagRule], mode: str, out:
     the row has them) are computed in their own projection, so the per-paragraph lambda reads a column.
     """
     cols = d.columns
+    if not all(r.compiled for r in rules):
+        return _searched_comments(d, rules, mode, out)
     empty = F.array().cast(COMMENT_TYPE)
     if mode == "reference":
         if "flags" in cols:
@@ -219,6 +278,48 @@ def with_paragraph_comments(d: DataFrame, rules: list[FlagRule], mode: str, out:
     return d.select(*cols, F.transform("paras", per_para).alias(out))
 
 
+def _searched_comments(d: DataFrame, rules: list[FlagRule], mode: str, out: str) -> DataFrame:
+    """``with_paragraph_comments`` by the automaton, for all rules of the pack."""
+    sent = d.sparkSession.sparkContext.broadcast((matchers([(r.pattern, True) for r in rules]), rules))
+    fields = "rule_id:int,comment:string,severity:string,reference:string,copies:int"
+
+    @F.pandas_udf(f"array<array<struct<{fields}>>>")
+    def found(paragraphs: pd.Series, full: pd.Series) -> pd.Series:
+        parts, rules = sent.value
+
+        def counts(text: str) -> dict[int, int]:
+            n: dict[int, int] = {}
+            for first, matcher in parts:
+                for i, k, *_ in matcher.spans(text):
+                    n[first + i] = k
+            return n
+
+        def one(texts: list[str], whole: str) -> list[list[dict]]:
+            total = counts(whole or "") if mode == "reference" else None
+            mine = []
+            for t in texts:
+                n = counts(t)
+                if total is not None:
+                    n = {i: total[i] for i in n if i in total}
+                mine.append([{"rule_id": rules[i].rule_id, "comment": rules[i].comment, "severity": rules[i].severity,
+                              "reference": rules[i].reference, "copies": k} for i, k in sorted(n.items())])
+            return mine
+
+        return pd.Series([one(list(p), t) for p, t in zip(paragraphs, full)], dtype=object)
+
+    cols = d.columns
+    d = d.select(*cols, found(F.transform("paras", lambda p: p["text"]), F.col("full_text")).alias("_rows"))
+
+    def per_para(p: Column, rows: Column) -> Column:
+        mine = F.transform(rows, lambda c: F.struct(
+            c["rule_id"].alias("rule_id"), p["idx"].alias("paragraph_index"), p["text"].alias("text"),
+            c["comment"].alias("comment"), c["severity"].alias("severity"), c["reference"].alias("reference"),
+            c["copies"].alias("copies")))
+        return F.struct(p["idx"].alias("idx"), p["text"].alias("text"), mine.alias("comments"))
+
+    return d.select(*cols, F.zip_with("paras", "_rows", per_para).alias(out))
+
+
 def all_comments(commented: Column) -> Column:
     """The comments of all paragraphs in one array."""
     return F.flatten(F.transform(commented, lambda p: p["comments"]))
@@ -273,7 +374,7 @@ def load_clauses(clauses: DataFrame | list | None = None, spark=None) -> list[tu
         return clauses
     if clauses is None:
         clauses = default_rulepack(spark, "clauses")
-    rows = bounded_rows(clauses.select("category", "template", "reference"), MAX_COMPILED_RULES, "clause catalogue")
+    rows = clauses.select("category", "template", "reference").toLocalIterator()
     return [(r.category, r.template, r.reference) for r in rows]
 
 
@@ -282,6 +383,8 @@ def suggestion_array(flags: Column, rules: list[FlagRule], clauses: list[tuple[s
     by_cat = {c: (t, ref) for c, t, ref in clauses}
 
     def lookup(cat: Column, i: int) -> Column:
+        if len(by_cat) > MAX_COMPILED_RULES:  # one literal map instead of a branch a category
+            return F.element_at(F.map_from_arrays(F.lit(list(by_cat)), F.lit([v[i] for v in by_cat.values()])), cat)
         expr = None
         for c, vals in by_cat.items():
             v = F.lit(vals[i])
@@ -305,13 +408,28 @@ def suggestion_array(flags: Column, rules: list[FlagRule], clauses: list[tuple[s
     ))
 
 
-def comment_count(paras: Column, flags: Column, rules: list[FlagRule]) -> Column:
-    """Number of review comments in reference mode: per rule, flags x paragraphs the rule matches."""
+def with_comment_count(d: DataFrame, rules: list[FlagRule], out: str, commented: str | None = None) -> DataFrame:
+    """Add ``out``, the number of review comments in reference mode: per rule, flags x paragraphs the rule matches.
+
+    ``commented`` names the row's commented paragraphs (of either mode), if it has them: then no pattern is tested again.
+    """
+    cols = d.columns
+    if not all(r.compiled for r in rules):
+        d = _searched_comments(d, rules, "reference", "_counted")
+        n = F.aggregate(all_comments(F.col("_counted")), F.lit(0).cast("long"), lambda a, c: a + c["copies"])
+        return d.select(*cols, n.alias(out))
     total = F.lit(0).cast("long")
+    if commented:
+        d = d.select(*cols, F.transform(all_comments(F.col(commented)), lambda c: c["rule_id"]).alias("_of"))
     for r in rules:
-        n = F.size(F.filter(flags, _rule_equals(r.rule_id)))
-        total = total + F.when(n > 0, n * _paras_matching(paras, r.regex)).otherwise(0)
-    return total
+        n = F.size(F.filter("flags", _rule_equals(r.rule_id)))
+        many = F.size(F.filter("_of", _is(r.rule_id))) if commented else _paras_matching(F.col("paras"), r.regex)
+        total = total + F.when(n > 0, n * many).otherwise(0)
+    return d.select(*cols, total.alias(out))
+
+
+def _is(value: int):
+    return lambda x: x == F.lit(value)
 
 
 def _rule_equals(rule_id: int):

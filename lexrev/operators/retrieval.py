@@ -3,15 +3,14 @@
 * ``chunk_text``: fixed windows (size 1000, step size-overlap) cut in one pass over the text.
 * ``knn``: exact nearest vectors of a stated query set, which is sent in blocks; each task keeps the k nearest of
   every batch, so only those reach the shuffle that merges them.
-* ``related_passages``: TF-IDF cosine through an inverted index. The postings of the passage library are sent in
-  blocks of bounded size and every document is scored in the task that reads it: no shuffle, no pair rows.
+* ``split_text``: pieces between separators (blank lines, lines, blanks), merged up to the size with overlap.
+* ``related_passages``: TF-IDF cosine through the inverted index of ``passage_index``: no shuffle, no pair rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import batched
 
 import numpy as np
@@ -24,17 +23,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
-from lexrev.session import bounded_rows, cut_lineage
+from lexrev.operators import passage_index as PI
+from lexrev.session import scratch_path
 
-TOKEN_REGEX = "[\\p{L}\\p{N}]+"
 #: Queries sent to the tasks at a time; further blocks take further passes over the vectors.
 QUERY_BLOCK = 1000
 #: Vectors whose distances to a block of queries are held at a time.
 VECTOR_ROWS = 1024
-#: Postings (12 bytes each) sent to the tasks at a time; further blocks take further passes over the documents.
-MAX_POSTINGS = 4_000_000
-#: Terms of a passage library; a larger vocabulary is refused.
-MAX_TERMS = 2_000_000
 
 
 def chunk_text(docs: DataFrame, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHUNK_OVERLAP,
@@ -62,6 +57,97 @@ def chunk_text(docs: DataFrame, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHU
     )
 
 
+#: From the coarsest on; the last one parts characters.
+SEPARATORS = ("\n\n", "\n", " ", "")
+
+
+def _pieces(text: str, start: int, end: int, separator: str) -> Iterator[tuple[int, int]]:
+    """Spans of ``text[start:end]`` that begin with the separator (but for the first), none of them empty."""
+    if not separator:
+        yield from ((i, i + 1) for i in range(start, end))
+        return
+    at = start
+    while True:
+        found = text.find(separator, at + len(separator) if at > start or text.startswith(separator, start) else at, end)
+        if found < 0:
+            break
+        if found > at:
+            yield at, found
+        at = found
+    if end > at:
+        yield at, end
+
+
+def _merged(pieces: list[tuple[int, int]], size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Adjacent spans merged up to ``size``; the next one goes back over whole pieces of at most ``overlap`` together."""
+    first = 0
+    for i, (start, end) in enumerate(pieces):
+        if first < i and end - pieces[first][0] > size:
+            yield pieces[first][0], start
+            while first < i and (start - pieces[first][0] > overlap or end - pieces[first][0] > size):
+                first += 1
+    if pieces:
+        yield pieces[first][0], pieces[-1][1]
+
+
+def split_spans(text: str, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHUNK_OVERLAP,
+                separators: tuple[str, ...] = SEPARATORS) -> Iterator[tuple[int, int]]:
+    """Spans of the chunks of a text, before white space at their ends is left out.
+
+    A text is cut at the coarsest separator that it holds. Pieces below ``size`` are merged; a longer one is cut
+    at the next finer separators by itself. Linear in the text, as every separator is searched for once in a piece.
+    """
+    def spans(start: int, end: int, level: int) -> Iterator[tuple[int, int]]:
+        while separators[level] and text.find(separators[level], start, end) < 0 and level + 1 < len(separators):
+            level += 1
+        small: list[tuple[int, int]] = []
+        for piece in _pieces(text, start, end, separators[level]):
+            if piece[1] - piece[0] < size:
+                small.append(piece)
+                continue
+            yield from _merged(small, size, overlap)
+            small = []
+            if level + 1 < len(separators):
+                yield from spans(*piece, level + 1)
+            else:
+                yield piece
+        yield from _merged(small, size, overlap)
+
+    if text:
+        yield from spans(0, len(text), 0)
+
+
+def split_text(docs: DataFrame, size: int = RP.CHUNK_SIZE, overlap: int = RP.CHUNK_OVERLAP, key: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Chunks cut at separators, coarsest first; each keeps its source key: key, chunk_no, start, text.
+
+    White space at a chunk's ends is left out, and chunks of nothing else are; ``start`` is where the rest begins (code points).
+    """
+    schema = T.StructType([docs.schema[key], T.StructField("chunk_no", T.LongType()), T.StructField("start", T.LongType()),
+                           T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, number, start, chunks = [], [], [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                n = 0
+                for lo, hi in split_spans(text or "", size, overlap):
+                    whole = text[lo:hi]
+                    chunk = whole.strip()
+                    if chunk:
+                        row.append(i)
+                        number.append(n)
+                        start.append(lo + len(whole) - len(whole.lstrip()))
+                        chunks.append(chunk)
+                        n += 1
+            if row:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(row)), pa.array(number), pa.array(start), pa.array(chunks, pa.string())],
+                    names=[key, "chunk_no", "start", "text"])
+
+    return docs.select(key, text_col).mapInArrow(run, schema)
+
+
 def squared_l2(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Squared distances, a row per query; summed dimension by dimension, so that blocks of any shape agree."""
     total = np.zeros((len(queries), len(vectors)))
@@ -118,99 +204,14 @@ def label_centroids(vectors: DataFrame, label: str = "label", vvec: str = "embed
     ).withColumnRenamed(label, "query_id")
 
 
-def _terms(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    toks = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(X.py_regex(TOKEN_REGEX)), 0)
-    return X.explode_rows(df, [key], toks, "term")
-
-
-def passage_vectors(passages: DataFrame, key: str = "chunk_id", text_col: str = "text") -> DataFrame:
-    """TF-IDF weights of a (bounded) passage library: idf = 1 + ln((1+N)/(1+df))."""
-    n_pass = passages.select(key).distinct().count()
-    tf = _terms(passages, key, text_col).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.select("term", (F.lit(1.0) + F.log((F.lit(1.0) + F.lit(float(n_pass))) / (F.lit(1.0) + F.col("df"))))
-                    .alias("idf"))
-    return tf.join(idf, "term").select(key, "term", "idf", (F.col("tf") * F.col("idf")).alias("w"))
-
-
-@dataclass
-class Postings:
-    """Inverted index of a block of passages: those of term i are at ``start[i]:start[i + 1]``."""
-
-    terms: pa.Array
-    idf: np.ndarray
-    start: np.ndarray
-    passage: np.ndarray
-    weight: np.ndarray
-    keys: pa.Array
-    norm: np.ndarray
-
-    def best(self, codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Passages (in key order) and scores of the k most alike ones to a document of these terms."""
-        ids, tf = np.unique(codes[codes >= 0], return_counts=True)
-        w = tf * self.idf[ids]
-        n = self.start[ids + 1] - self.start[ids]
-        at = np.repeat(self.start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        dots = np.bincount(self.passage[at], weights=np.repeat(w, n) * self.weight[at], minlength=len(self.keys))
-        hit = np.flatnonzero(dots)
-        score = np.floor(dots[hit] / (math.sqrt((w * w).sum()) * self.norm[hit]) * 1e6 + 0.5) / 1e6
-        top = np.lexsort((hit, -score))[:k]
-        return hit[top], score[top]
-
-
-def _postings(rows: pa.Table, terms: pa.Array, idf: np.ndarray) -> Postings:
-    """Index of ``rows`` (passage key, term, weight)."""
-    keys = pc.unique(rows.column(0).combine_chunks())
-    keys = keys.take(pc.sort_indices(keys))
-    passage = pc.index_in(rows.column(0), value_set=keys).to_numpy()
-    term = pc.index_in(rows.column(1), value_set=terms).to_numpy()
-    weight = rows.column(2).to_numpy()
-    order = np.argsort(term, kind="stable")
-    start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
-    norm = np.sqrt(np.bincount(passage, weights=weight * weight, minlength=len(keys)))
-    return Postings(terms, idf, start, passage[order].astype(np.int32), weight[order], keys, norm)
-
-
 def related_passages(docs: DataFrame, passages: DataFrame, k: int = RP.RETRIEVE_K, key: str = "doc_id",
                      text_col: str = "text", pkey: str = "chunk_id", ptext: str = "text",
-                     max_postings: int = MAX_POSTINGS) -> DataFrame:
+                     max_postings: int = PI.MAX_POSTINGS, max_terms: int = PI.MAX_TERMS) -> DataFrame:
     """Top-k passages of every document row by TF-IDF cosine over the passage vocabulary.
 
-    All terms count, however frequent. Passages are dealt into blocks of about ``max_postings`` postings; every block
-    takes one pass over the documents, and only the k best of each pass are merged.
+    All terms count, however frequent, in libraries of any size: the index is written as a scratch table here
+    (``passage_index`` keeps one between jobs) and searched a block at a time.
     """
-    pv = cut_lineage(passage_vectors(passages.where(F.col(pkey).isNotNull()), pkey, ptext))
-    schema = T.StructType([docs.schema[key], T.StructField("rank", T.LongType()), pv.schema[pkey],
-                           T.StructField("score", T.DoubleType())])
-    vocabulary = bounded_rows(pv.select("term", "idf").distinct(), MAX_TERMS, "passage vocabulary")
-    terms = pa.array([r["term"] for r in vocabulary], pa.string())
-    idf = np.array([r["idf"] for r in vocabulary], np.float64)
-    tokens = docs.select(key, F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(X.py_regex(TOKEN_REGEX)), 0).alias("tokens"))
-    blocks = max(1, math.ceil(pv.count() / max_postings))
-    found = None
-    for i in range(blocks):
-        rows = pv.where(F.pmod(F.xxhash64(pkey), F.lit(blocks)) == i).select(pkey, "term", "w").toArrow()
-        sent = docs.sparkSession.sparkContext.broadcast(_postings(rows, terms, idf))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            p = sent.value
-            for b in batches:
-                codes = pc.fill_null(pc.index_in(b.column(1).flatten(), value_set=p.terms), -1).to_numpy()
-                ends = np.cumsum(pc.list_value_length(b.column(1)).to_numpy())
-                best = [p.best(c, k) for c in np.split(codes, ends[:-1])] if b.num_rows else []
-                n = [len(hit) for hit, _ in best]
-                if sum(n):
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))),
-                         pa.array(np.concatenate([np.arange(1, m + 1) for m in n])),
-                         p.keys.take(pa.array(np.concatenate([hit for hit, _ in best]))),
-                         pa.array(np.concatenate([score for _, score in best]))],
-                        names=[key, "rank", pkey, "score"])
-
-        part = tokens.mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
-    if blocks > 1:
-        w = Window.partitionBy(key).orderBy(F.desc("score"), pkey)
-        found = found.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
-    return found
+    library = passages.select(F.col(pkey), F.col(ptext).alias("text"))
+    index = PI.build_index(library, scratch_path(docs.sparkSession, "passage-index"), pkey, "text", max_postings, max_terms)
+    return PI.related(docs, index, k, key, text_col)

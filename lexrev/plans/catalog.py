@@ -17,13 +17,17 @@ from lexrev.operators import classify as C
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.operators import measures as M
+from lexrev.operators import passage_index as PI
 from lexrev.operators import retrieval as R
 from lexrev.operators import segment as S
 from lexrev.operators import textmodel as TM
+from lexrev.operators import vector_index as VI
 from lexrev.plans import review as RV
-from lexrev.sources.corpus import read_documents, read_table, split_quarantine, with_file_metadata
+from lexrev.session import broadcast_if_small, scratch_path
+from lexrev.sources.corpus import (FILE_INFO, read_documents, read_table, split_quarantine, with_file_metadata,
+                                   with_processing_order)
 from lexrev.sources.rules import FLAG_RULES_SCHEMA, default_rulepack
-from lexrev.sources.seeds import CUSTOM_FLAG_RULES, faulty_documents, seeded_documents
+from lexrev.sources.seeds import CUSTOM_FLAG_RULES, SEARCHED_FLAG_RULES, faulty_documents, phrase_rules, seeded_documents
 
 BATCH = "source"
 
@@ -60,6 +64,13 @@ def q_flags_by_severity_custom(spark, sf):
     return RV.severity_counts(RV.flagged(seeded(spark, sf), rules, keep=[BATCH]), BATCH, rules)
 
 
+def q_red_flags_searched(spark, sf):
+    """F1 with rules that Java cannot run as Python does, beside a compiled one."""
+    rules = spark.createDataFrame([(i, *r[:-1]) for i, r in enumerate(SEARCHED_FLAG_RULES)], FLAG_RULES_SCHEMA)
+    return FL.scan_flags(seeded(spark, sf), rules).select(
+        "doc_id", "rule_id", "occurrence", "matched_text", "start", "end", "severity", "category")
+
+
 def q_red_flags(spark, sf):
     return FL.scan_flags(seeded(spark, sf)).select(
         "doc_id", "rule_id", "occurrence", "matched_text", "start", "end", "severity", "category")
@@ -142,6 +153,11 @@ def q_rule_hits(spark, sf):
     return C.rule_hits(seeded(spark, sf))
 
 
+def q_rule_hits_large(spark, sf):
+    """C1 with a pack of thousands of rules, keywords and patterns, that the benchmark passages give."""
+    return C.rule_hits(seeded(spark, sf), phrase_rules(read_table(spark, sf, "benchmark")))
+
+
 def q_type_scores(spark, sf):
     return C.type_scores(seeded(spark, sf))
 
@@ -307,6 +323,63 @@ def q_related_passages(spark, sf):
     return R.related_passages(documents(spark, sf), bench, k=3)
 
 
+def q_split_chunks(spark, sf):
+    """R1 cut at separators."""
+    c = R.split_text(documents(spark, sf))
+    return c.select("doc_id", "chunk_no", "start", F.length("text").cast("long").alias("chunk_len"), "text")
+
+
+KNN_K = 10
+
+
+def _knn_queries(emb):
+    """The stated query set of vector searches: every vector whose id is divisible by 20."""
+    return emb.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+
+
+def q_knn_queries(spark, sf):
+    """R3, exact, for a corpus of queries."""
+    emb = read_table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    return R.knn(_knn_queries(emb), emb, k=KNN_K).withColumn("distance", F.round("distance", 6))
+
+
+def q_knn_index(spark, sf):
+    """R3 by the cell index."""
+    emb = read_table(spark, sf, "embeddings")
+    index = VI.build_index(emb, scratch_path(spark, "vector-index"))
+    return VI.search(_knn_queries(emb), index, k=KNN_K)
+
+
+def knowledge_index(spark, sf):
+    """A passage index of the benchmark texts, cut at separators."""
+    chunks = R.split_text(read_table(spark, sf, "benchmark"), key="item_id")
+    return PI.build_index(chunks.select(F.concat_ws("#", "item_id", "chunk_no").alias("chunk_id"), "text"),
+                          scratch_path(spark, "knowledge"))
+
+
+def q_document_report_references(spark, sf):
+    """S5 with file information, processing order and related references in the record."""
+    scan = with_file_metadata(spark.read.parquet(f"{sf}/documents.parquet")).select(
+        "doc_id", "text", BATCH, "filename", "file_size")
+    docs = RV.with_references(seeded_documents(with_processing_order(scan)), knowledge_index(spark, sf))
+    rev = RV.reviewed(docs, keep=[BATCH, *FILE_INFO, "related_references"])
+    rep = F.col("report")
+    refs = rep["review"]["related_references"]
+    return RV.document_report(rev, batch_col=BATCH).select(
+        "doc_id", rep["file_info"]["filename"].alias("filename"), rep["file_info"]["processing_order"].alias("processing_order"),
+        rep["classification"]["predicted_type"].alias("predicted_type"), rep["review"]["issues"].alias("issues"),
+        _join(F.transform(refs, lambda r: F.format_string("%s %.6f %s", r["passage"], r["score"], r["relevance"]))).alias("related_references"),
+        F.sha2(F.coalesce(F.get(refs, F.lit(0))["content"], F.lit("")), 256).alias("best_sha256"))
+
+
+def q_processing_order(spark, sf):
+    """S3: every document's file and place in the processing order, with the number of documents of its file."""
+    scan = with_file_metadata(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"))
+    numbered = with_processing_order(scan.select("doc_id", "lang", "filename"))
+    per_file = numbered.groupBy("filename").agg(F.count("*").alias("file_rows"))
+    return numbered.join(broadcast_if_small(per_file), "filename").select("doc_id", "filename", "processing_order", "file_rows")
+
+
 # The same operators on the unmodified documents table (no fixture clauses).
 def q_paragraphs_raw(spark, sf):
     return S.paragraphs(documents(spark, sf))
@@ -366,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flags_by_severity": q_flags_by_severity,
     "flags_by_severity_custom": q_flags_by_severity_custom,
     "red_flags": q_red_flags,
+    "red_flags_searched": q_red_flags_searched,
     "review_comments": q_review_comments,
     "review_comments_paragraph": q_review_comments_paragraph,
     "issue_table": q_issue_table,
@@ -382,6 +456,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "organisations": q_organisations,
     "features": q_features,
     "rule_hits": q_rule_hits,
+    "rule_hits_large": q_rule_hits_large,
     "type_scores": q_type_scores,
     "classification": q_classification,
     "classification_rule_based": q_classification_rule_based,
@@ -406,6 +481,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunks": q_chunks,
     "knn_centroids": q_knn_centroids,
     "related_passages": q_related_passages,
+    "split_chunks": q_split_chunks,
+    "knn_queries": q_knn_queries,
+    "knn_index": q_knn_index,
+    "document_report_references": q_document_report_references,
+    "processing_order": q_processing_order,
     "paragraphs_raw": q_paragraphs_raw,
     "sections_raw": q_sections_raw,
     "text_tables_raw": q_text_tables_raw,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from lexrev import rulepacks as RP
 from lexrev.sources.rules import flag_rule_rows, process_rule_rows, requirement_rows, type_rule_rows
-from lexrev.sources.seeds import CUSTOM_FLAG_RULES, SEED_CLAUSES, seeds_sql_values
+from lexrev.sources.seeds import CUSTOM_FLAG_RULES, SEARCHED_FLAG_RULES, SEED_CLAUSES, seeds_sql_values
 
 NL = "chr(10)"
 
@@ -196,6 +196,14 @@ ORACLE_SQL["red_flags"] = with_(*FLAG_BASE) + (
 )
 
 
+SEARCHED_RULES = "rules AS (SELECT * FROM " + _rules_values(
+    [(i, twin or pat, *rest) for i, (pat, *rest, twin) in enumerate(SEARCHED_FLAG_RULES)]) + ")"
+ORACLE_SQL["red_flags_searched"] = with_(*BASE, SEARCHED_RULES, FLAGS) + (
+    "SELECT doc_id, CAST(rule_id AS BIGINT) AS rule_id, occurrence, matched_text, start, \"end\", severity, category "
+    "FROM flags"
+)
+
+
 def _by_severity(rules: str, severities) -> str:
     return with_(*BASE, rules, FLAGS) + (
         "SELECT b.source, sv.severity, CAST(coalesce(c.n, 0) AS BIGINT) AS issues "
@@ -453,6 +461,19 @@ ORACLE_SQL["rule_hits"] = with_(*CLS_BASE) + (
     "SELECT doc_id, type, CAST(type_order AS BIGINT) AS type_order, kind, CAST(ord AS BIGINT) AS ord, term, weight "
     "FROM hits"
 )
+ORACLE_SQL["rule_hits_large"] = with_(*BASE).rstrip() + ", " + (
+    "bw AS (SELECT CAST(item_id AS INTEGER) AS type_order, list_filter(string_split_regex(lower(text), '[ \\n]+'), lambda w: w <> '') AS w "
+    "FROM benchmark), "
+    "bn AS (SELECT type_order, w, n FROM bw, (VALUES (2), (3), (4), (5)) AS v(n) WHERE len(w) >= n), "
+    "br AS (SELECT type_order, n, i AS ord, w[i:i + n - 1] AS run FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM bn)), "
+    "pack AS (SELECT 'item_' || type_order AS type, type_order, n, ord, array_to_string(run, CASE WHEN n = 2 THEN '[ ,.]+' ELSE ' ' END) AS term "
+    "FROM br WHERE n > 2 OR len(list_filter(run, lambda w: NOT regexp_full_match(w, '[a-z]+'))) = 0) "
+    "SELECT f.doc_id, p.type, CAST(p.type_order AS BIGINT) AS type_order, "
+    "CASE n WHEN 2 THEN 'pattern' WHEN 3 THEN 'primary' WHEN 4 THEN 'secondary' ELSE 'section' END AS kind, "
+    "CAST(p.ord AS BIGINT) AS ord, p.term, CAST(n AS DOUBLE) AS weight "
+    "FROM (SELECT doc_id, lower(full_text) AS lt FROM ft) f, pack p "
+    "WHERE CASE WHEN n = 2 THEN regexp_matches(f.lt, p.term) ELSE contains(f.lt, p.term) END"
+)
 ORACLE_SQL["type_scores"] = with_(*CLS_BASE) + (
     f"SELECT doc_id, type, CAST(type_order AS BIGINT) AS type_order, raw_score, {rhu('score', 3)} AS normalized_score "
     "FROM scores"
@@ -677,6 +698,34 @@ ORACLE_SQL["related_passages"] = (
     "SELECT doc_id, CAST(rank AS BIGINT) AS rank, chunk_id, score FROM r WHERE rank <= 3"
 )
 
+ORACLE_SQL["knn_queries"] = (
+    "WITH ev AS (SELECT vec_id, u.x::DOUBLE AS x, u.d FROM embeddings, unnest(embedding) WITH ORDINALITY AS u(x, d)), "
+    "dist AS (SELECT q.vec_id AS query_id, ev.vec_id, sum((ev.x - q.x) * (ev.x - q.x)) AS distance "
+    "FROM ev JOIN ev q ON q.d = ev.d AND q.vec_id % 20 = 0 GROUP BY q.vec_id, ev.vec_id), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM dist) "
+    "SELECT query_id, CAST(rank AS BIGINT) AS rank, vec_id, round(distance, 6) AS distance, 'high' AS relevance "
+    "FROM r WHERE rank <= 10"
+)
+
+ORACLE_SQL["processing_order"] = (
+    "SELECT doc_id, 'documents.parquet' AS filename, row_number() OVER (ORDER BY doc_id) AS processing_order, "
+    "count(*) OVER () AS file_rows FROM documents"
+)
+
+# Benchmark texts are shorter than a chunk, so each is its only one.
+_REL_CTES, _, _REL_ROWS = ORACLE_SQL["related_passages"].rpartition("SELECT doc_id, CAST(rank")
+ORACLE_SQL["document_report_references"] = with_(*CLS_BASE, RULES, FLAGS, _NFLAGS).rstrip() + ", " + (
+    _REL_CTES.removeprefix("WITH ").replace("SELECT item_id AS chunk_id", "SELECT item_id || '#0' AS chunk_id")
+    .replace("FROM documents", "FROM seeded").replace("sc AS (", "rsc AS (").replace("FROM sc)", "FROM rsc)").replace("r AS (SELECT *,", "rel AS (SELECT *,").rstrip()
+    + ", refs AS (SELECT doc_id, string_agg(chunk_id || ' ' || printf('%.6f', score) || ' high', '|' ORDER BY rank) AS related_references, "
+    "arg_min(chunk_id, rank) AS best FROM rel WHERE rank <= 3 GROUP BY doc_id) "
+    "SELECT c.doc_id, 'documents.parquet' AS filename, row_number() OVER (ORDER BY c.doc_id) AS processing_order, c.predicted_type, "
+    "CAST(coalesce(nf.n, 0) AS BIGINT) AS issues, coalesce(refs.related_references, '') AS related_references, "
+    "sha256(coalesce(regexp_replace(b.text, '^\\s+|\\s+$', '', 'g'), '')) AS best_sha256 "
+    "FROM cls c LEFT JOIN nf ON nf.doc_id = c.doc_id LEFT JOIN refs ON refs.doc_id = c.doc_id "
+    "LEFT JOIN benchmark b ON b.item_id || '#0' = refs.best"
+)
+
 ORACLE_SQL["classification_wide"] = with_(*CLS_BASE_WIDE) + _cls_select("conf_ens", "ensemble")
 ORACLE_SQL["compliance_wide"] = with_(*CLS_BASE_WIDE, COMP, _COMPLIANCE_ROW) + (
     "SELECT source, process, CASE WHEN tr - dm = 0 THEN 'Complete' ELSE 'Incomplete' END AS status, "

@@ -17,6 +17,9 @@ from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.operators import measures as M
 from lexrev.operators import segment as S
+from lexrev.operators.passage_index import REFERENCES_TYPE, PassageIndex, references
+from lexrev.session import broadcast_if_small, cut_lineage
+from lexrev.sources.corpus import FILE_INFO
 
 
 def _with_severities(d: DataFrame, frules: list[FL.FlagRule]) -> DataFrame:
@@ -43,6 +46,16 @@ def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame |
     return C.with_classification(_with_severities(d, frules), trules, method)
 
 
+def with_references(docs: DataFrame, index: PassageIndex, k: int = RP.RETRIEVE_K, key: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """R4 in the record: ``docs`` with the array ``related_references`` (null without any), joined on the document's key.
+
+    Found in the whole text; its tokens are those of ``full_text``, which only joins its lines by blanks.
+    """
+    found = cut_lineage(references(docs.select(key, text_col), index, k, key, text_col), "references")
+    return docs.join(broadcast_if_small(found), key, "left")
+
+
 def type_distribution(rev: DataFrame, batch_col: str) -> DataFrame:
     """A1: documents per predicted type in each batch."""
     return rev.groupBy(batch_col, "predicted_type").agg(F.count(F.lit(1)).alias("documents"))
@@ -67,7 +80,7 @@ def severity_counts(rev: DataFrame, batch_col: str, flag_rules: DataFrame | list
     Each document contributes one counter per severity; a single ``groupBy(batch)`` with
     map-side partial sums gives every batch its zero-filled counts (one exchange).
     """
-    sevs = list(dict.fromkeys(RP.SEVERITIES + [r.severity for r in FL.load_flag_rules(flag_rules, rev.sparkSession)]))
+    sevs = severities(FL.load_flag_rules(flag_rules, rev.sparkSession))
     per_doc = rev.select(batch_col, *[F.size(F.filter("flag_severities", _equals(v))).alias(f"_s{i}")
                                       for i, v in enumerate(sevs)])
     sums = per_doc.groupBy(batch_col).agg(*[F.sum(f"_s{i}").cast("long").alias(f"_s{i}") for i in range(len(sevs))])
@@ -90,29 +103,40 @@ def _equals(value: str):
     return lambda x: x == F.lit(value)
 
 
-def batch_type_counts(rev: DataFrame, batch_col: str, key: str = "doc_id") -> DataFrame:
+def severities(flag_rules: list[FL.FlagRule]) -> list[str]:
+    """High, Medium and Low, then every other severity of the pack."""
+    return list(dict.fromkeys(RP.SEVERITIES + [r.severity for r in flag_rules]))
+
+
+def batch_type_counts(rev: DataFrame, batch_col: str, key: str = "doc_id", sevs: list[str] | None = None) -> DataFrame:
     """(batch, type) rows with document, issue and severity counts: the one shuffle of the batch outputs."""
+    sevs = sevs or RP.SEVERITIES
     sev = F.col("flag_severities")
     per_doc = rev.select(
         batch_col, key, F.col("predicted_type").alias("doc_type"),
         F.round(F.col("confidence") * 1000).cast("long").alias("conf_k"),
         F.size("flags").cast("long").alias("n_flags"),
-        *[F.size(F.filter(sev, _equals(s))).cast("long").alias(f"n_{s}") for s in RP.SEVERITIES],
+        *[F.size(F.filter(sev, _equals(s))).cast("long").alias(f"n_{i}") for i, s in enumerate(sevs)],
     )
     return per_doc.groupBy(batch_col, "doc_type").agg(
         F.count(F.lit(1)).alias("n"), F.min(key).alias("first_doc"), F.sum("conf_k").alias("conf_k"),
-        F.sum("n_flags").alias("n_flags"), *[F.sum(f"n_{s}").alias(f"n_{s}") for s in RP.SEVERITIES],
+        F.sum("n_flags").alias("n_flags"), *[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(sevs))],
     )
 
 
 def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id", process_rules=None,
-                   requirements=None) -> DataFrame:
-    """A5: the Markdown summary of each batch, from one (batch, type) aggregate that is gathered per batch."""
-    bt = batch_type_counts(rev, batch_col, key)
+                   requirements=None, flag_rules: DataFrame | list | None = None) -> DataFrame:
+    """A5: the Markdown summary of each batch, from one (batch, type) aggregate that is gathered per batch.
+
+    The breakdown has a line for High, Medium and Low and for every other severity of the pack that the documents were
+    reviewed with (``flag_rules``).
+    """
+    sevs = severities(FL.load_flag_rules(flag_rules, rev.sparkSession))
+    bt = batch_type_counts(rev, batch_col, key, sevs)
     summ = bt.groupBy(batch_col).agg(
         F.sum("n").cast("long").alias("documents_provided"), F.sum("n_flags").cast("long").alias("total_issues"),
         (F.sum("conf_k").cast("double") / F.sum("n").cast("double") / F.lit(1000.0)).alias("avg_confidence"),
-        *[F.sum(f"n_{s}").cast("long").alias(f"n_{s}") for s in RP.SEVERITIES],
+        *[F.sum(f"n_{i}").cast("long").alias(f"n_{i}") for i in range(len(sevs))],
         F.sort_array(F.collect_list(F.struct("first_doc", "doc_type", "n"))).alias("types"),
         F.map_from_entries(F.collect_list(F.struct("doc_type", "n"))).alias("_types"),
     )
@@ -135,9 +159,9 @@ def summary_report(rev: DataFrame, batch_col: str, key: str = "doc_id", process_
         F.lit("\n## Document Types Identified\n"),
         type_lines,
         F.lit("\n## Issue Breakdown by Severity\n"),
-        F.format_string("- **High Severity**: %d issues\n", F.col("n_High")),
-        F.format_string("- **Medium Severity**: %d issues  \n", F.col("n_Medium")),
-        F.format_string("- **Low Severity**: %d issues\n", F.col("n_Low")),
+        # the line of Medium ends in two blanks, as in the reviewed application's report
+        *[F.format_string(f"- **{v.replace('%', '%%')} Severity**: %d issues{'  ' if v == 'Medium' else ''}\n", F.col(f"n_{i}"))
+          for i, v in enumerate(sevs)],
         F.lit("\n## Compliance Analysis\n"),
         F.concat(F.lit("- **Process**: "), X.title_words(F.col("process")), F.lit("\n")),
         F.concat(F.lit("- **Completeness**: "),
@@ -153,11 +177,13 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
                     flag_rules: DataFrame | list | None = None) -> DataFrame:
     """The nested result record of each document (flat key columns + one struct), built in-row.
 
-    ``flag_rules`` is the pack that the documents were reviewed with.
+    ``flag_rules`` is the pack that the documents were reviewed with. The columns of ``FILE_INFO`` and ``related_references``
+    (see ``with_references``) enter the record where the documents carry them.
     """
     spark = rev.sparkSession
     frules = FL.load_flag_rules(flag_rules, spark)
     catalogue = FL.load_clauses(clauses, spark)
+    rev = FL.with_comment_count(rev, frules, "_comment_count", "commented" if "commented" in rev.columns else None)
     rev = M.counted(rev)
     ft, w = F.col("full_text"), F.col("_wc")
     lower = F.lower(ft)
@@ -165,8 +191,8 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
     flags = F.col("flags")
     comp_words = M.complexity_columns(ft, F.col("sections"), w)
     record = F.struct(
-        F.struct(F.col(key).alias("document"), *([F.col(batch_col).alias("batch")] if batch_col else [])
-                 ).alias("file_info"),
+        F.struct(F.col(key).alias("document"), *([F.col(batch_col).alias("batch")] if batch_col else []),
+                 *[c for c in FILE_INFO if c in rev.columns]).alias("file_info"),
         F.struct("predicted_type", "confidence", "method_used", "all_scores", "best_matches",
                  "reasoning").alias("classification"),
         C.explanation_column(F.col("predicted_type"), F.col("confidence"), F.col("method_used"),
@@ -199,7 +225,9 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
             flags.alias("red_flags"),
             F.size(flags).cast("long").alias("issues"),
             FL.suggestion_array(flags, frules, catalogue).alias("legal_suggestions"),
-            FL.comment_count(F.col("paras"), flags, frules).alias("review_comments_count"),
+            F.col("_comment_count").alias("review_comments_count"),
+            *([F.coalesce("related_references", F.array().cast(REFERENCES_TYPE)).alias("related_references")]
+              if "related_references" in rev.columns else []),
         ).alias("review"),
     )
     return rev.select(key, *([batch_col] if batch_col else []), record.alias("report"), *(carry or []))
@@ -211,6 +239,12 @@ def error_log(errors: DataFrame, key: str = "doc_id") -> DataFrame:
     return errors.select(key, F.concat(F.lit("!! Error processing "), name, F.lit(": "), F.col("error")).alias("log_line"))
 
 
+def knowledge_line(index: PassageIndex) -> str:
+    """The log's line on the knowledge base."""
+    sources = index.passages.select("source_name").distinct().count() if "source_name" in index.passages.columns else index.n_passages
+    return RP.LOG_KNOWLEDGE % sources
+
+
 def processing_log(rev: DataFrame, key: str = "doc_id") -> DataFrame:
     """``>> name: type (p%) | n issues`` per document."""
     return rev.select(

@@ -29,23 +29,38 @@ from lexrev.functions import text as X
 from lexrev.functions.joins import join_keys
 from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
+from lexrev.operators.passage_index import PassageIndex, build_index, open_index
+from lexrev.operators.retrieval import split_text
 from lexrev.plans import review as RV
 from lexrev.plans.packs import RulePacks, load_packs, read_packs
-from lexrev.sources.corpus import read_documents, split_quarantine
+from lexrev.session import clear_scratch
+from lexrev.sources.corpus import (FILE_INFO, read_document_files, read_reference_texts, split_quarantine, spread_documents,
+                                   with_file_metadata, with_processing_order)
 from lexrev.sources.rules import CLAUSES_SCHEMA
 
 
 def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col: str = "source",
                   method: str = "ensemble", json: bool = False, packs: RulePacks | None = None,
-                  comments: str = "paragraph") -> dict[str, str]:
+                  comments: str = "paragraph", knowledge: str | None = None,
+                  unreadable: DataFrame | None = None) -> dict[str, str]:
+    """Review ``docs(doc_id, text, <batch_col>)``; ``FILE_INFO`` columns that they carry enter the records and errors.
+
+    ``knowledge`` names a passage index (``passage_index.build_index``) whose related passages enter the records; ``unreadable``
+    are errors found when the documents were read.
+    """
     paths = {k: os.path.join(out_dir, k) for k in ("documents", "flags", "suggestions", "batches", "log", "issues",
                                                    "annotations", "errors", "rejected_rules")}
     packs = packs or load_packs(spark)
     rules = packs.flag_rules
     packs.rejected_rules(spark).write.mode("overwrite").parquet(paths["rejected_rules"])
     docs, errors = split_quarantine(docs)
+    if unreadable is not None:
+        errors = errors.unionByName(unreadable)
     errors.write.mode("overwrite").parquet(paths["errors"])
-    rev = RV.reviewed(docs, method, packs.type_rules, rules, keep=[batch_col])
+    if knowledge:
+        docs = RV.with_references(docs, open_index(spark, knowledge))
+    carried = [c for c in [*FILE_INFO, "related_references"] if c in docs.columns]
+    rev = RV.reviewed(docs, method, packs.type_rules, rules, keep=[batch_col, *carried])
     # the commented paragraphs travel with the document record, so the issue table and the marked-up
     # paragraphs are derived without reading the text again
     rev = FL.with_paragraph_comments(rev, rules, comments)
@@ -80,9 +95,12 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
     comp = K.compliance(per_doc, batch_col, packs.process_rules, packs.requirements)
     sev = RV.severity_counts(per_doc, batch_col, rules).groupBy(batch_col).agg(
         F.map_from_entries(F.collect_list(F.struct("severity", "issues"))).alias("issues_by_severity"))
-    summary = RV.summary_report(per_doc, batch_col, process_rules=packs.process_rules, requirements=packs.requirements)
+    summary = RV.summary_report(per_doc, batch_col, process_rules=packs.process_rules, requirements=packs.requirements,
+                                flag_rules=rules)
     join_keys(join_keys(comp, sev, batch_col), summary, batch_col).write.mode("overwrite").parquet(paths["batches"])
     log = RV.processing_log(per_doc).unionByName(RV.error_log(spark.read.parquet(paths["errors"])))
+    if knowledge:
+        log = log.unionByName(spark.createDataFrame([(None, RV.knowledge_line(open_index(spark, knowledge)))], log.schema))
     log.write.mode("overwrite").parquet(paths["log"])
     issues = X.inline_rows(done, ["doc_id", batch_col], F.col("comments"), "rule_id")
     FL.issue_table(issues.withColumn("rule_id", F.col("rule_id").cast("long"))).write.mode("overwrite").parquet(
@@ -92,6 +110,14 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
     return paths
 
 
+def build_knowledge(spark: SparkSession, folder: str, path: str) -> PassageIndex:
+    """S2, R1 and R4 as one plan: reference texts of a folder, cut at separators, indexed to ``path``."""
+    texts = read_reference_texts(spark, folder)
+    chunks = split_text(texts, key="source_name").select(
+        F.concat_ws("#", "source_name", "chunk_no").alias("chunk_id"), "source_name", "chunk_no", "start", "text")
+    return build_index(chunks, path)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="Review a corpus of documents (parquet with doc_id, text).")
     ap.add_argument("input")
@@ -101,12 +127,27 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--json", action="store_true")
     ap.add_argument("--rules", help="folder of rule packs, <name>.json each (JSON lines); default packs for the rest")
     ap.add_argument("--comments", default="paragraph", choices=["paragraph", "reference"])
+    ap.add_argument("--files", action="store_true", help="IN is a folder of text files, a document each; they are one batch")
+    ap.add_argument("--knowledge", help="folder of a passage index whose related passages enter the records")
+    ap.add_argument("--references", help="folder of *.txt reference texts, from which the index is built first")
     a = ap.parse_args(argv)
+    if a.references and not a.knowledge:
+        ap.error("--references needs --knowledge, the folder to keep the index in")
     spark = SparkSession.builder.appName("lexrev-review").getOrCreate()
-    docs = read_documents(spark, a.input, ["doc_id", "text", a.batch_col])
+    unreadable = None
+    if a.files:
+        docs, unreadable = read_document_files(spark, a.input)
+        docs = docs.withColumn(a.batch_col, F.lit(a.input))
+    else:
+        scan = with_file_metadata(spark.read.parquet(a.input))
+        docs = spread_documents(with_processing_order(scan.select("doc_id", "text", a.batch_col, "filename", "file_size")))
+    if a.references:
+        build_knowledge(spark, a.references, a.knowledge)
     packs = read_packs(spark, a.rules)
-    for name, path in review_corpus(spark, docs, a.output, a.batch_col, a.method, a.json, packs, a.comments).items():
+    for name, path in review_corpus(spark, docs, a.output, a.batch_col, a.method, a.json, packs, a.comments, a.knowledge,
+                                    unreadable).items():
         print(f"{name}: {path}")
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

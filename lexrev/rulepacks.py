@@ -218,6 +218,7 @@ KEY_PHRASE_PATTERN = r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*"
 ORGANISATION_PATTERN = r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:Limited|Ltd|Corporation|Corp|Company|Co)\b"
 
 SEVERITIES = ["High", "Medium", "Low"]
+LOG_KNOWLEDGE = "Knowledge base built from %d ADGM reference documents"
 REPORT_TITLE = "# ADGM Document Analysis Summary"
 ANNOTATION_PREFIX = " [ADGM Review: "
 ANNOTATION_REFERENCE = " | Legal Reference: "

@@ -66,6 +66,15 @@ CUSTOM_FLAG_RULES = [
     ("limited (", "Broken", "High", "None", "", "broken"),
 ]
 
+# Rules with their RE2 twins (None: the same). All but the last need Python's engine: a conditional group, the end of the
+# text, and brackets and ampersands in a class, which Java takes otherwise.
+SEARCHED_FLAG_RULES = [
+    ("(board of )?directors(?(1)\\b| shall)", "Board", "High", "Name the board", "", "board", "board of directors\\b|directors shall"),
+    ("full\\.\\Z", "Last word", "Low", "Check the end", "", "end", "full\\.\\z"),
+    ("[a&&y]greement", "Agreement", "Medium", "Name the contract", "", "contract", "[a&y]greement"),
+    ("shareholders", "Members", "Medium", "Name the members", "", "members", None),
+]
+
 SEED_SCHEMA = T.StructType([
     T.StructField("seed", T.IntegerType()),
     T.StructField("head", T.StringType()),
@@ -84,6 +93,25 @@ def seeded_documents(docs: DataFrame, key: str = "doc_id", text_col: str = "text
     )
 
 
+def phrase_rules(passages: DataFrame, key: str = "item_id", text_col: str = "text") -> DataFrame:
+    """A type-rule pack that grows with its passages: their runs of two to five words, a type a passage.
+
+    Pairs of plain words are patterns (any run of blanks, commas and stops between them); the longer runs are keywords.
+    """
+    words = F.filter(F.split(F.lower(F.col(text_col)), "[ \\n]+"), lambda w: w != "")
+    at = passages.select(F.col(key).cast("int").alias("type_order"), words.alias("w")).select(
+        "type_order", "w", F.explode(F.sequence(F.lit(2), F.lit(5))).alias("n")).where("size(w) >= n").select(
+        "type_order", "w", "n", F.explode(F.expr("sequence(1, size(w) - n + 1)")).alias("ord"))
+    run = F.slice("w", F.col("ord"), F.col("n"))
+    plain = F.forall(run, lambda w: w.rlike("^[a-z]+$"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("pattern", "primary", "secondary", "section")]), F.col("n") - 1)
+    weight = F.element_at(F.array(*[F.lit(x) for x in (2.0, 3.0, 4.0, 5.0)]), F.col("n") - 1)
+    return at.where((F.col("n") > 2) | plain).select(
+        F.concat(F.lit("item_"), "type_order").alias("type"), "type_order", kind.alias("kind"), "ord",
+        F.when(F.col("n") == 2, F.array_join(run, "[ ,.]+")).otherwise(F.array_join(run, " ")).alias("term"),
+        weight.alias("weight"), (F.col("n") == 2).alias("is_regex"))
+
+
 def seeds_sql_values() -> str:
     """The seed table as a DuckDB VALUES list (for the oracle queries)."""
 

@@ -15,4 +15,4 @@ def test_registry_names():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(QUERIES) <= set(q)
-    assert set(QUERIES) - set(ORACLE_SQL) == {"text_model", "file_metadata"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"text_model", "file_metadata", "knn_index", "split_chunks"}

@@ -37,7 +37,7 @@ def _custom_rules(folder):
         {"rule_id": 0, "pattern": "company shall", "issue": "Duty", "severity": "Critical", "suggestion": "Soften",
          "category": "own"},
         {"rule_id": 1, "pattern": "company (", "issue": "Broken", "severity": "High"},
-        {"rule_id": 2, "pattern": "x*", "issue": "Empty", "severity": "High"},
+        {"rule_id": 2, "pattern": "x**", "issue": "Repeat", "severity": "High"},
     ]
     clauses = [{"category": "own", "template": "The company may.", "reference": "Own Act"}]
     for name, rows in (("flag_rules", rules), ("clauses", clauses)):
@@ -68,7 +68,7 @@ def test_review_job_with_custom_packs_and_faulty_rows(spark):
     log = [r.log_line for r in spark.read.parquet(paths["log"]).collect()]
     assert len(log) == 7 and "!! Error processing 3: missing text" in log
     rejected = {r.rule: r.reason for r in spark.read.parquet(paths["rejected_rules"]).collect()}
-    assert set(rejected) == {"1", "2"} and "invalid pattern" in rejected["1"] and "empty text" in rejected["2"]
+    assert set(rejected) == {"1", "2"} and "invalid pattern" in rejected["1"] and "invalid pattern" in rejected["2"]
     note = spark.read.parquet(paths["issues"]).first()
     assert (note.paragraph_index, note.copies, note.severity) == (0, 2, "Critical")
 
