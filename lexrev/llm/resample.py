@@ -22,15 +22,17 @@ both kinds the weight is the plain mean log ratio per n-gram (zero without targe
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexrev.llm.common import doc_key, map_batches, mix64, slices
+from lexrev.llm.common import WordCache, doc_key, map_batches, mix64, slices
 from lexrev.session import cut_lineage
 
 BITS = 18
@@ -39,19 +41,19 @@ LOWEST = 8
 SEED = 1
 _SIZE = 1 << BITS
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
-_HASHES: dict[str, int] = {}
+#: Bytes of words and their hashes that a task keeps.
+CACHE_BYTES = 64 << 20
 FEATURES = ("mean_word", "mean_pair", "low", "lowest", "log_words", "low_share")
 
 
-def buckets(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words and word pairs of a text."""
+def buckets(text: str, known: WordCache) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words and word pairs of a text; ``known`` keeps the hashes of words seen before."""
     pieces = _WORD.findall(text.lower())
-    known = _HASHES
-    if len(known) > 150_000:
-        known.clear()
-    for w in set(pieces).difference(known):
-        known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-    h = np.array([known[w] for w in pieces], np.uint64)
+    words = list(set(pieces))
+    _, new = known.values(words)
+    new = [words[i] for i in new]
+    known.add(new, [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new])
+    h = np.array(list(map(known.young.__getitem__, pieces)), np.uint64)
     pairs = mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
     return (h & np.uint64(_SIZE - 1)).astype(np.int64), (pairs & np.uint64(_SIZE - 1)).astype(np.int64)
 
@@ -78,11 +80,12 @@ def ratios(docs: DataFrame, sample: Labels) -> np.ndarray:
     target = docs.sparkSession.sparkContext.broadcast(sample.target)
 
     def count(batches):
+        known = WordCache(CACHE_BYTES)
         total = np.zeros((2, 2, _SIZE), np.int64)
         for b in slices(batches):
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if t:
-                    for order, g in enumerate(buckets(t)):
+                    for order, g in enumerate(buckets(t, known)):
                         n = np.bincount(g, minlength=_SIZE) if len(g) > _SIZE // 64 else None
                         for model in ((0, 1) if i in target.value else (0,)):
                             if n is None:
@@ -109,8 +112,8 @@ def ratios(docs: DataFrame, sample: Labels) -> np.ndarray:
     return (share[0] - share[1]).astype(np.float32)
 
 
-def features(text: str | None, ratio: np.ndarray) -> tuple[float, ...] | None:
-    words, pairs = buckets(text or "")
+def features(text: str | None, ratio: np.ndarray, known: WordCache) -> tuple[float, ...] | None:
+    words, pairs = buckets(text or "", known)
     if not len(words):
         return None
     u = ratio[0][words]
@@ -141,11 +144,11 @@ def scored(docs: DataFrame, ratio: np.ndarray, carry: list[str]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(ratio)  # fixed size: 2 * 2**BITS floats
 
     @F.pandas_udf(", ".join(f"{f} double" for f in FEATURES))
-    def udf(s):
-        import pandas as pd
-
-        rows = [features(t, sent.value) or (None,) * len(FEATURES) for t in s]
-        return pd.DataFrame(rows, columns=list(FEATURES), dtype="float64")
+    def udf(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = WordCache(CACHE_BYTES)
+        for s in parts:
+            rows = [features(t, sent.value, known) or (None,) * len(FEATURES) for t in s]
+            yield pd.DataFrame(rows, columns=list(FEATURES), dtype="float64")
 
     return docs.select(*carry, udf("text").alias("f")).select(*carry, "f.*")
 
