@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexrev.session import cut_lineage
@@ -17,7 +17,7 @@ ASCII_LOWER = bytes(range(97, 123))
 LOWER_TABLE = bytes.maketrans(ASCII_UPPER, ASCII_LOWER)
 
 #: Documents are handed to Python in batches of at most about this many bytes of text.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ascii_lower(s: str) -> str:
@@ -36,6 +36,16 @@ def utf8_rows(col: pa.Array) -> Iterator[bytes]:
         yield (v.as_buffer().to_pybytes() if v.is_valid else b"")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Have Spark cut its Arrow batches at ``BATCH_BYTES``.
+
+    At its default (64 MB) each task holds several such buffers, in the JVM beside its heap and in Python, which texts fill.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, str(1 << 62))) > BATCH_BYTES or int(spark.conf.get(name, "-1")) <= 0:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about ``BATCH_BYTES`` (a longer row is a batch of its own)."""
     for b in batches:

@@ -5,10 +5,13 @@ chain of transducers makes. Each transducer replaces stretches and keeps, for ev
 stretch of the source it came from; spans found in the normalised text are mapped back through the chain, so that they
 cover the disguise in the source. The transducers, in order:
 
-1. characters: look-alike letters, full-width and other compatibility forms of ASCII; invisible characters go;
-2. separators: ``[at]``, ``(at)``, `` at ``, ``[dot]``, `` dot `` between the parts of an address; `` at `` and a plain ``@``
-   count only before a host whose dots are spelled too, as the word is common and the sign needs no change;
-3. digits: runs of spelled digits (four languages), ``plus`` before them becomes ``+``.
+1. characters: look-alike letters, full-width and other compatibility forms of ASCII, decimal digits of all scripts; invisible
+   characters go;
+2. separators: ``[at]``, ``(at)``, `` at ``, ``[dot]``, `` dot `` (and ``arroba``, ``arobase``, ``punto``, ``punkt``) between the parts of an
+   address, in any white space; `` at `` and a plain ``@`` count only before a host whose dots are spelled too, as the word is common and the
+   sign needs no change: ``john at example.com`` stays. Spelled dots before the sign count with it. Four numbers between spelled dots,
+   spelled digit by digit or not, are an IP address;
+3. digits: runs of spelled digits (four languages), round brackets in them, ``plus`` before them becomes ``+``.
 
 A mapped span is added if it touches a replaced stretch and no base span of its kind holds it; base spans, which may
 be fragments of added ones, stay. Every pattern is matched in time linear in the text: mail addresses are searched from their at signs, digit runs are taken whole.
@@ -114,21 +117,27 @@ def _character_table() -> dict[int, str]:
             form = unicodedata.normalize("NFKC", chr(cp))
             if len(form) == 1 and "!" <= form <= "~":
                 table[cp] = form
-    return table
+    digits = {cp: str(unicodedata.decimal(chr(cp))) for cp in range(0x80, 0x20000) if unicodedata.category(chr(cp)) == "Nd"}
+    return digits | table
 
 
 _TABLE = _character_table()
 _ODD = re.compile("[" + "".join(f"\\U{c:08x}" for c in sorted(_TABLE)) + "]")
-_OPEN, _CLOSE = r" {0,3}[\[({<] {0,2}", r" {0,2}[\])}>] {0,3}"
-_AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}| {{1,3}}at {{1,3}}|@", re.IGNORECASE)
-_DOT = rf"(?:{_OPEN}(?:dot|\.){_CLOSE}| {{1,3}}dot {{1,3}}|\.)"
-_HOST = re.compile(rf"[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+)+", re.IGNORECASE)
+# Runs of white space are taken whole, from their first character on: linear however long they are.
+_OPEN, _CLOSE = r"(?<!\s)\s*+[\[({<]\s*+", r"\s*+[\])}>]\s*+"
+_AT_WORD, _DOT_WORD = "(?:at|arroba|arobase)", "(?:dot|punto|punkt)"
+_AT = re.compile(rf"{_OPEN}(?:{_AT_WORD}|@){_CLOSE}|(?<!\s)\s++{_AT_WORD}\s++|@", re.IGNORECASE)
+_DOT = rf"(?:{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}|(?<!\s)\s++{_DOT_WORD}\s++|\.)"
+_HOST = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.IGNORECASE)
 _DOTS = re.compile(_DOT, re.IGNORECASE)
-_SPELT_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
+_SPELT_IP = re.compile(rf"(?<![0-9])[0-9]++(?:{_DOT}[0-9]++){{3}}(?![0-9])", re.IGNORECASE)
+_SPELLED_DOT = re.compile(rf"\s{_DOT_WORD}\s", re.IGNORECASE)
 _NUMBER = "(?:" + "|".join(sorted(SPELLED, key=lambda w: (-len(w), w))) + r"|[0-9])"
-_RUN = re.compile(rf"(?:(?<!\w)plus[ -]{{1,2}}|\+ ?)?(?<!\w){_NUMBER}(?:[ -]{{0,2}}{_NUMBER}){{6,}}(?!\w)", re.IGNORECASE)
-_ONE = re.compile(rf"{_NUMBER}|plus[ -]{{1,2}}|[+]|[ -]+", re.IGNORECASE)
-_BRACKETED = re.compile(r"[\[({<] {0,2}(?:at|@|dot|\.) {0,2}[\])}>]", re.IGNORECASE)
+_RUN = re.compile(rf"(?:(?<!\w)plus[ -]{{1,2}}|\+ ?)?(?<!\w)\(?{_NUMBER}(?:[ ()-]{{0,3}}{_NUMBER}){{6,}}(?!\w)", re.IGNORECASE)
+_ONE = re.compile(rf"{_NUMBER}|plus[ -]{{1,2}}|[+()]|[ -]+", re.IGNORECASE)
+_BRACKETED = re.compile(rf"[\[({{<]\s*+(?:{_AT_WORD}|@|{_DOT_WORD}|\.)\s*+[\])}}>]", re.IGNORECASE)
+_WORD_PART = rf"(?:(?<!\w){_NUMBER}(?:[ -]?{_NUMBER}){{0,2}}(?!\w))"
+_WORD_IP = re.compile(rf"{_WORD_PART}(?:{_DOT}{_WORD_PART}){{3}}", re.IGNORECASE)
 #: A run must hold one of these ("un" alone is too common a word).
 _TELLING = frozenset(SPELLED) - {"un"}
 
@@ -147,7 +156,7 @@ _WORD = re.compile(_by_first(_TELLING))
 _SEVEN = re.compile(
     "[0-9" + "".join(_rests(frozenset(SPELLED))) + r"](?<!\w.)(?:(?<=[0-9])|"
     + "|".join(f"(?<={c})(?:{r})" for c, r in _rests(frozenset(SPELLED)).items())
-    + rf")(?:[ -]{{0,2}}(?:[0-9]|{_by_first(frozenset(SPELLED))})){{6}}", re.DOTALL)
+    + rf")(?:[ ()-]{{0,3}}(?:[0-9]|{_by_first(frozenset(SPELLED))})){{6}}", re.DOTALL)
 
 Edits = list[tuple[int, int, str]]
 
@@ -157,21 +166,38 @@ def odd_characters(t: str) -> Edits:
 
 
 def separators(t: str) -> Edits:
-    if " dot " not in t.lower() and not (any(c in t for c in "[({<") and _BRACKETED.search(t)):
+    if not _SPELLED_DOT.search(t) and not (any(c in t for c in "[({<") and _BRACKETED.search(t)):
         return []
     out: Edits = []
+    ends = {d.end(): d for d in _DOTS.finditer(t) if d.end() - d.start() > 1}  # spelled dots by where they end
     for m in _AT.finditer(t):
         host = _HOST.match(t, m.end())
         if not host or m.start() == 0 or t[m.start() - 1] not in _LOCAL:
             continue
-        dots = [(d.start(), d.end(), ".") for d in _DOTS.finditer(t, host.start(), host.end())]
-        spelled = [d for d in dots if d[1] - d[0] > 1]
+        spelled = [(d.start(), d.end(), ".") for d in _DOTS.finditer(t, host.start(), host.end()) if d.end() - d.start() > 1]
         if spelled or m.group().strip()[0] in "[({<":
             if m.group() != "@":
                 out.append((m.start(), m.end(), "@"))
             out += spelled
+            at = m.start()
+            while at > 0 and t[at - 1] in _LOCAL:
+                at -= 1
+                if at in ends and ends[at].start() > 0 and t[ends[at].start() - 1] in _LOCAL:
+                    d = ends.pop(at)  # once: the walks of many signs do not meet
+                    out.append((d.start(), d.end(), "."))
+                    at = d.start()
     for m in _SPELT_IP.finditer(t):
         out += [(d.start(), d.end(), ".") for d in _DOTS.finditer(t, m.start(), m.end()) if d.end() - d.start() > 1]
+    if ends and _WORD.search(t.casefold()):
+        for m in _WORD_IP.finditer(t):
+            at, dots = m.start(), [*_DOTS.finditer(t, m.start(), m.end()), None]
+            for d in dots:
+                stop = d.start() if d else m.end()
+                digits = "".join(str(SPELLED.get(p, p)) for p in (x.group().lower() for x in _ONE.finditer(t, at, stop)) if p.strip(" -"))
+                out.append((at, stop, digits))
+                if d:
+                    out.append((d.start(), d.end(), "."))
+                    at = d.end()
     return out
 
 
@@ -189,6 +215,8 @@ def spelled_digits(t: str) -> Edits:
                 out.append((p.start(), p.end(), str(SPELLED[w])))
             elif w.startswith("plus"):
                 out.append((p.start(), p.end(), "+"))
+            elif w in "()":
+                out.append((p.start(), p.end(), ""))
             elif w[0] in " -" and len(w) > 1:
                 out.append((p.start(), p.end(), " "))
             elif w == "+" and t[p.end():p.end() + 1] == " ":

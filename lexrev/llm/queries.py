@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexrev.llm.common import bounded_batches
 from lexrev.llm.deobfuscate import personal_data
 from lexrev.llm.edit_sketch import neighbour_fingerprints
 from lexrev.llm.oracle import ORACLE_SQL
@@ -29,6 +30,7 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -48,7 +48,7 @@ _HEAD = "<QI"
 _KEY = "<Bq"
 _KEY_SIZE = struct.calcsize(_KEY)
 #: Bytes of words and their ids that a task keeps.
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 96 << 20
 #: About the bytes of a record file.
 FILE_BYTES = 16 << 20
 #: Words that no normaliser changes and no splitter cuts.

@@ -159,7 +159,7 @@ def log_weight(weights: np.ndarray | None):
     total = F.lit(float(weights[0]))
     for w, f in zip(weights[1:], FEATURES, strict=True):
         total = total + F.lit(float(w)) * F.col(f)
-    return F.greatest(F.lit(-30.0), F.least(F.lit(30.0), total))
+    return F.when(total.isNotNull(), F.greatest(F.lit(-30.0), F.least(F.lit(30.0), total)))  # both would pass nulls over
 
 
 def gumbel(seed: int):

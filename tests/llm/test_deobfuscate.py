@@ -113,3 +113,64 @@ def test_long_texts_take_linear_time(spark):
         find(t)
     assert time.time() - began < 60
     assert personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_disguises_of_the_second_review():
+    for t, want in {
+            "john dot smith at example dot com": ["john dot smith at example dot com"],
+            "to john [dot] smith [at] example [dot] com x": ["john [dot] smith [at] example [dot] com"],
+            "john at example.com": [],
+            "ip one nine two dot one six eight dot one dot one end": ["one nine two dot one six eight dot one dot one"],
+            "192 dot one six eight dot 1 dot 1": ["192 dot one six eight dot 1 dot 1"],
+            "+1 (four one five) five five five one two three four": ["+1 (four one five) five five five one two three four"],
+            "\u0661\u0669\u0662.\u0661\u0666\u0668.\u0660.\u0661 x": ["\u0661\u0669\u0662.\u0661\u0666\u0668.\u0660.\u0661"],
+            "a john at\nexample  dot\u2009com b": ["john at\nexample  dot\u2009com"],
+            "juan arroba ejemplo punto com": ["juan arroba ejemplo punto com"], "jan arobase beispiel punkt de": ["jan arobase beispiel punkt de"],
+            "0000010 dot 0 dot 0 dot 1": ["0000010 dot 0 dot 0 dot 1"], "jo     at     ex     dot     org": ["jo     at     ex     dot     org"],
+            "one dot two dot three": [], "look at the point of it dot": [], "2999 dot 1 dot 1 dot 1": []}.items():
+        assert added(t) == want, t
+    assert mask_text("write john dot smith at example dot com now") == "write [EMAIL] now"
+
+
+def disguised(rng):
+    """A disguised identifier that each transducer has a part in, and its kind."""
+    name, host, tld = (rng.choice(x) for x in (["john.doe", "anna", "m.k.lee", "info"], ["example", "mail-1", "corp"], ["com", "org", "de"]))
+    words = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+    kind = rng.randrange(6)
+    if kind == 0:
+        return "email", f"{name}{rng.choice([' [at] ', '(at)', ' {at} ', ' <AT> '])}{host}{rng.choice([' [dot] ', '(dot)', '.'])}{tld}"
+    if kind == 1:
+        return "email", f"{name.replace('.', ' dot ')} {rng.choice(['at', 'arroba', 'arobase'])} {host} {rng.choice(['dot', 'punto', 'punkt'])} {tld}"
+    if kind == 2:
+        mail = f"{name}@{host}.{tld}"
+        at = rng.randrange(len(mail))
+        swap = {"a": "\u0430", "e": "\u0435", "o": "\u043e", "@": "\uff20", ".": "\uff0e"}
+        return "email", "".join(swap.get(c, c) if i >= at else c for i, c in enumerate(mail[:-1])) + "\u200b" + mail[-1]
+    if kind == 3:
+        return "ip", " dot ".join(rng.choice([str(n), " ".join(words[int(c)] for c in str(n))]) for n in (rng.randrange(256) for _ in range(4)))
+    if kind == 4:
+        digits = [rng.choice(words) for _ in range(rng.randint(9, 12))]
+        return "phone", f"{rng.choice(['plus', '+'])} {rng.choice([' ', '-']).join(digits)}"
+    n = [rng.randrange(10) for _ in range(15)]
+    total = sum(n[-2::-2]) + sum(sum(divmod(2 * d, 10)) for d in n[::-2])
+    n.append(-total % 10)
+    return "card", " ".join(words[d] if rng.random() < 0.7 else str(d) for d in n)
+
+
+def test_recall_on_planted_disguises():
+    rng = random.Random(11)
+    filler = ["the report was sent", "we met there", "Nothing else.", "see below", "and so on"]
+    found, kinds = 0, ("email", "ip", "card", "phone")
+    for _ in range(600):
+        kind, text = disguised(rng)
+        before = rng.choice(filler) + ": "
+        whole = before + text + rng.choice([", ", "; ", "\n"]) + rng.choice(filler)
+        base, more = find(whole)
+        found += any(a <= len(before) and b >= len(before) + len(text) for a, b in base[kinds.index(kind)] + more[kinds.index(kind)])
+    assert found / 600 >= 0.95, found / 600
+
+
+def test_null_ids_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "a@b.c"), (None, None), (3, "a@b.c"), (3, "a@b.c")], "doc_id long, text string")
+    rows = sorted(map(str, personal_data(df).select("doc_id", "n_email", "spans").collect()))
+    assert len(rows) == 4 and rows[0] == rows[1] and "email:0:5" in rows[0]

@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexrev.llm.resample import draw, gumbel, keep_drawn, kth_largest, label_sample, ratios, resample
+from lexrev.llm import resample as resample_module
+from lexrev.llm.common import WordCache
+from lexrev.llm.resample import buckets, draw, gumbel, keep_drawn, kth_largest, label_sample, ratios, regression, resample
 
 
 def corpus(n=900, seed=1):
@@ -65,3 +67,40 @@ def test_gumbel_and_edges(spark):
     df = spark.createDataFrame([(None, "x y"), (1, None), (2, ""), (3, "x y z"), (3, "x y z"), (4, "w " * 100_000)], "doc_id long, text string")
     d = draw(df, nolabels, k=10)
     assert sorted(str(r.doc_id) for r in resample(df, nolabels, k=10).collect()) == ["3", "3", "4", "None"] and d.weights is None
+
+
+def test_weights_and_draw_against_plain_python(spark):
+    """Both models, the ratios, every document's weight and noise, and the drawn set, recomputed with dictionaries."""
+    rows = corpus(240, seed=4) + [(1000, None, "good"), (1001, "", "good"), (1002, "word1", "good")]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(k != "junk"), int(k == "toxic")) for i, _, k in rows if i % 5 < 3], "doc_id long, quality int, toxic int")
+    d = draw(docs, labels, k=60)
+    sample = label_sample(labels)
+    counts = [[{}, {}], [{}, {}]]
+    known = WordCache(1 << 20)
+    grams = {i: buckets(t or "", known) for i, t, _ in rows}
+    for i, (words, pairs) in grams.items():
+        for order, own in enumerate((words, pairs)):
+            for g in own.tolist():
+                for model in (0, 1) if i in sample.target else (0,):
+                    counts[model][order][g] = counts[model][order].get(g, 0) + 1
+
+    def ratio(order, g):
+        return np.float32(np.log((counts[1][order].get(g, 0) + 1) / (sum(counts[1][order].values()) + resample_module._SIZE))
+                          - np.log((counts[0][order].get(g, 0) + 1) / (sum(counts[0][order].values()) + resample_module._SIZE)))
+
+    feats = {}
+    for i, (words, pairs) in grams.items():
+        if len(words):
+            u, b = [float(ratio(0, g)) for g in words], [float(ratio(1, g)) for g in pairs]
+            low = sum(sorted(float(ratio(0, g)) for g in set(words.tolist()))[:resample_module.LOWEST])
+            log_n = np.log1p(len(u))
+            feats[i] = (np.mean(u), np.mean(b) if b else 0.0, low, sum(sorted(u)[:3]), log_n, low / (1 + log_n))
+    held = [i for i in sample.held_out if i in feats]
+    w = regression(np.array([feats[i] for i in held]), np.array([sample.held_out[i] for i in held], float))
+    weight = {i: float(np.clip(w[0] + np.dot(w[1:], f), -30, 30)) for i, f in feats.items()}
+    got = {r["k_id"]: (r["log_weight"], r["score"] - r["log_weight"]) for r in d.table.where("score IS NOT NULL").collect()}
+    assert set(got) == set(weight) and all(abs(got[i][0] - weight[i]) < 0.05 for i in got)
+    drawn = {r.doc_id for r in resample(docs, labels, k=60).collect()}
+    order = sorted(got, key=lambda i: -(weight[i] + got[i][1]))
+    assert len(drawn) == 60 and len(drawn & set(order[:60])) >= 58  # the models' ratios are kept as 32-bit floats
