@@ -5,18 +5,26 @@ min_df 2, max_df 0.95) with naive Bayes (alpha 0.1), linear SVM and a
 100-tree random forest (seed 42) but never trains them.  Here they are
 trained on a labelled table and applied to a corpus; fitting is distributed
 by ``pyspark.ml`` (no driver-side loop over rows).
+
+``fit_bayes`` builds the TF-IDF and naive Bayes model from joins and grouping alone, so that each of its numbers is defined (ties
+in the vocabulary go by term) and has a SQL twin. It is saved as tables and applied in a review by ``method="ml"``.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import (IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer,
                                 StopWordsRemover)
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexrev import rulepacks as RP
+from lexrev.functions import text as X
+from lexrev.session import cut_lineage
 
 ALGOS = ("naive_bayes", "svm", "random_forest")
 
@@ -62,3 +70,100 @@ def train_text_model(docs: DataFrame, labels: DataFrame, label: str = "quality",
 def score_text_model(model: PipelineModel, docs: DataFrame, key: str = "doc_id") -> DataFrame:
     out = model.transform(docs)
     return out.select(key, F.col("prediction").cast("long").alias("prediction"))
+
+
+WORD_REGEX = "[\\p{L}\\p{N}_]{2,}"
+
+
+def ngram_counts(docs: DataFrame, key: str = "doc_id", text_col: str = "text", n_max: int | None = None,
+                 stop_words: tuple[str, ...] = ()) -> DataFrame:
+    """Runs of one to ``n_max`` words (two characters or more, lower case, without stop words) of every document with
+    their counts: key, term, tf. A document without words has a row with a null term."""
+    n_max = n_max or RP.TEXT_MODEL["ngram_max"]
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD_REGEX), 0)
+    if stop_words:
+        words = F.filter(words, lambda w: ~w.isin(*stop_words))
+    d = docs.select(key, words.alias("_w"))
+    w = F.col("_w")
+
+    def run_of(n: int):
+        return lambda i: F.array_join(F.slice(w, i + 1, n), " ")
+
+    runs = [w] + [F.transform(X.seq0(F.size(w) - (n - 1)), run_of(n)) for n in range(2, n_max + 1)]
+    grams = d.select(key, F.when(X.pinned(w), F.concat(*runs)).alias("_g"))
+    return grams.select(key, F.explode_outer("_g").alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+
+
+@dataclass(frozen=True)
+class BayesModel:
+    """Tables of a fitted model: ``terms`` (term, idf, deltas: label -> log probability above the label's default), at most
+    ``max_features`` rows, and ``labels`` (label, prior, base: the default log probability), a row a label."""
+
+    terms: DataFrame
+    labels: list[tuple[str, float, float]]
+
+    def save(self, path: str) -> None:
+        spark = self.terms.sparkSession
+        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
+        spark.createDataFrame(self.labels, "label string, prior double, base double").coalesce(1).write.mode("overwrite").parquet(f"{path}/labels")
+
+
+def load_bayes(spark: SparkSession, path: str) -> BayesModel:
+    rows = spark.read.parquet(f"{path}/labels").orderBy("label").collect()  # a row a label
+    return BayesModel(spark.read.parquet(f"{path}/terms"), [tuple(r) for r in rows])
+
+
+def fit_bayes(docs: DataFrame, labels: DataFrame, label: str = "label", key: str = "doc_id", text_col: str = "text",
+              stop_words: tuple[str, ...] = (), max_features: int | None = None) -> BayesModel:
+    """TF-IDF weights (idf = ln((1 + n) / (1 + df)) + 1, rows of length one) and multinomial naive Bayes on them.
+
+    The vocabulary is the ``max_features`` most frequent terms of at least ``min_df`` and at most the share ``max_df`` of the
+    documents. Documents without a label, and keys that are null, are left out.
+    """
+    cfg = RP.TEXT_MODEL
+    of = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, F.col(label).cast("string").alias("label"))
+    counts = cut_lineage(ngram_counts(docs.select(key, text_col).join(of, key).select(key, text_col), key, text_col,
+                                      stop_words=stop_words).join(of, key), "ngrams")
+    n = counts.select(key).distinct().count()
+    vocabulary = (counts.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+                  .where((F.col("df") >= cfg["min_df"]) & (F.col("df") <= cfg["max_df"] * n))
+                  .orderBy(F.desc("total"), "term").limit(max_features or cfg["max_features"])
+                  .select("term", (F.log(F.lit(1.0 + n) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
+    vocabulary = cut_lineage(vocabulary, "vocabulary")
+    size = vocabulary.count()
+    weighted = counts.join(F.broadcast(vocabulary), "term").withColumn("w", F.col("tf") * F.col("idf"))  # at most max_features rows are sent
+    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    sums = cut_lineage(weighted.join(norms, key).groupBy("term", "label").agg(F.sum(F.col("w") / F.col("norm")).alias("s")), "class-sums")
+    alpha = cfg["nb_alpha"]
+    per_label = {r["label"]: r["n"] for r in counts.select(key, "label").distinct().groupBy("label").agg(F.count("*").alias("n")).collect()}
+    totals = {r["label"]: r["s"] for r in sums.groupBy("label").agg(F.sum("s").alias("s")).collect()}  # a row a label
+    found = []
+    for name in sorted(per_label):
+        whole = totals.get(name, 0.0) + alpha * size
+        found.append((name, math.log(per_label[name] / n), math.log(alpha / whole) if whole else 0.0))
+    # ln((s + alpha) / whole) - ln(alpha / whole)
+    deltas = sums.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct(
+        "label", F.log((F.col("s") + alpha) / F.lit(alpha))))).alias("deltas"))
+    return BayesModel(cut_lineage(vocabulary.join(deltas, "term", "left"), "bayes-terms"), found)
+
+
+def score_bayes(model: BayesModel, docs: DataFrame, key: str = "doc_id", text_col: str = "text",
+                stop_words: tuple[str, ...] = ()) -> DataFrame:
+    """The most probable label of every document (ties: the first by name) and its probability: key, label, probability.
+
+    A document without terms of the vocabulary goes by the labels' frequencies. Repeated keys are one document.
+    """
+    counts = ngram_counts(docs, key, text_col, stop_words=stop_words)
+    rows = counts.join(F.broadcast(model.terms), "term", "left").withColumn("w", F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0)))
+
+    def delta(name: str) -> Column:
+        return F.sum(F.col("w") * F.coalesce(F.col("deltas")[name], F.lit(0.0)))
+
+    sums = rows.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("w").alias("all"),
+                                 *[delta(name).alias(f"_d{i}") for i, (name, _, _) in enumerate(model.labels)])
+    unit = F.when(F.col("norm") > 0, F.col("norm")).otherwise(F.lit(1.0))
+    scores = F.array(*[F.struct((-(F.lit(prior) + (F.col("all") * F.lit(base) + F.col(f"_d{i}")) / unit)).alias("score"), F.lit(name).alias("label"))
+                       for i, (name, prior, base) in enumerate(model.labels)])
+    best = sums.select(key, scores.alias("_s")).select(key, "_s", F.array_min("_s").alias("_b"))
+    share = F.aggregate("_s", F.lit(0.0), lambda a, s: a + F.exp(F.col("_b")["score"] - s["score"]))
+    return best.select(key, F.col("_b")["label"].alias("label"), (F.lit(1.0) / share).alias("probability"))

@@ -203,6 +203,28 @@ def q_text_model(spark, sf):
     return TM.score_text_model(model, docs)
 
 
+def _type_model(spark, docs):
+    """A model of document types, trained on the rules' types of documents with evidence and an odd id."""
+    by_rule = C.classify(docs, method="rule_based").where(F.col("has_evidence") & (F.col("doc_id") % 2 == 1))
+    return TM.fit_bayes(docs, by_rule.select("doc_id", F.col("predicted_type").alias("label")))
+
+
+def q_classification_ml(spark, sf):
+    """A trained model's types in the review (``method="ml"``)."""
+    docs = seeded(spark, sf)
+    rev = RV.reviewed(RV.with_model_types(docs, _type_model(spark, docs)), method="ml", keep=[BATCH])
+    return rev.select("doc_id", BATCH, "predicted_type", "confidence", "method_used")
+
+
+def q_text_model_terms(spark, sf):
+    """Vocabulary, idf and log probabilities (above the label's default) of the model of document quality."""
+    labels = read_table(spark, sf, "labels").groupBy("doc_id").agg(F.min("quality").cast("string").alias("label"))
+    m = TM.fit_bayes(documents(spark, sf), labels)
+    d = F.col("deltas")
+    return m.terms.select("term", F.round("idf", 6).alias("idf"), F.round(F.coalesce(d["0"], F.lit(0.0)), 6).alias("delta_0"),
+                          F.round(F.coalesce(d["1"], F.lit(0.0)), 6).alias("delta_1"))
+
+
 # ------------------------------------------------------------------ compliance (K)
 def _cls(spark, sf):
     return C.classify(seeded(spark, sf), method="ensemble", keep=[BATCH])
@@ -463,6 +485,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classification_wide": q_classification_wide,
     "explanations": q_explanations,
     "text_model": q_text_model,
+    "text_model_terms": q_text_model_terms,
+    "classification_ml": q_classification_ml,
     "process": q_process,
     "compliance": q_compliance,
     "compliance_wide": q_compliance_wide,

@@ -726,6 +726,51 @@ ORACLE_SQL["document_report_references"] = with_(*CLS_BASE, RULES, FLAGS, _NFLAG
     "LEFT JOIN benchmark b ON b.item_id || '#0' = refs.best"
 )
 
+# ------------------------------------------------------------------ trained text models
+_TM = RP.TEXT_MODEL
+
+
+def _bayes(docs: str, labels: str) -> str:
+    """CTEs of the model fitted on ``docs(doc_id, text)`` and ``labels(doc_id, label)``: n-grams, vocabulary, class sums, labels."""
+    run = " UNION ALL ".join(
+        f"SELECT doc_id, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS term FROM mw"
+        for n in range(1, _TM["ngram_max"] + 1))
+    return (
+        f"mw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS w FROM {docs}), "
+        f"mg AS (SELECT doc_id, term, count(*) AS tf FROM ({run}) GROUP BY doc_id, term), "
+        f"ml AS (SELECT doc_id, label FROM {labels} l WHERE doc_id IN (SELECT doc_id FROM {docs})), "
+        "mn AS (SELECT count(*) AS n FROM ml), "
+        "mv AS (SELECT term, ln(CAST(1 + (SELECT n FROM mn) AS DOUBLE) / (1 + count(*))) + 1.0::DOUBLE AS idf FROM mg JOIN ml USING (doc_id) "
+        f"GROUP BY term HAVING count(*) >= {_TM['min_df']} AND count(*) <= {_TM['max_df']} * (SELECT n FROM mn) "
+        f"ORDER BY sum(tf) DESC, term LIMIT {_TM['max_features']}), "
+        "mwt AS (SELECT g.doc_id, g.term, l.label, tf * idf AS w FROM mg g JOIN ml l USING (doc_id) JOIN mv USING (term)), "
+        "mno AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM mwt GROUP BY doc_id), "
+        "ms AS (SELECT label, term, sum(w / norm) AS s FROM mwt JOIN mno USING (doc_id) GROUP BY label, term), "
+        f"mt AS (SELECT l.label, ln(any_value(l.k) / CAST((SELECT n FROM mn) AS DOUBLE)) AS prior, "
+        f"ln({_TM['nb_alpha']} / (coalesce(sum(s), 0) + {_TM['nb_alpha']} * (SELECT count(*) FROM mv))) AS base "
+        "FROM (SELECT label, count(*) AS k FROM ml GROUP BY label) l LEFT JOIN ms USING (label) GROUP BY l.label)"
+    )
+
+
+_ALPHA = _TM["nb_alpha"]
+ORACLE_SQL["text_model_terms"] = "WITH " + _bayes(
+    "documents", "(SELECT doc_id, CAST(min(quality) AS VARCHAR) AS label FROM labels GROUP BY doc_id)") + (
+    f" SELECT mv.term, round(idf, 6) AS idf, round(coalesce(max(CASE WHEN label = '0' THEN ln((s + {_ALPHA}) / {_ALPHA}) END), 0), 6) AS delta_0, "
+    f"round(coalesce(max(CASE WHEN label = '1' THEN ln((s + {_ALPHA}) / {_ALPHA}) END), 0), 6) AS delta_1 "
+    "FROM mv LEFT JOIN ms USING (term) GROUP BY mv.term, idf"
+)
+ORACLE_SQL["classification_ml"] = with_(*CLS_BASE).rstrip() + ", " + _bayes(
+    "seeded", "(SELECT doc_id, predicted_type AS label FROM cls WHERE raw_score > 0 AND doc_id % 2 = 1)") + (
+    ", dw AS (SELECT g.doc_id, g.term, tf * idf AS w FROM mg g JOIN mv USING (term)), "
+    "dn AS (SELECT doc_id, sqrt(sum(w * w)) AS norm, sum(w) AS total FROM dw GROUP BY doc_id), "
+    f"dd AS (SELECT dw.doc_id, ms.label, sum(w * ln((s + {_ALPHA}) / {_ALPHA})) AS d FROM dw JOIN ms USING (term) GROUP BY dw.doc_id, ms.label), "
+    "sco AS (SELECT s.doc_id, s.source, mt.label, prior + coalesce((total * base + coalesce(d, 0)) / norm, 0) AS score FROM seeded s "
+    "CROSS JOIN mt LEFT JOIN dn ON dn.doc_id = s.doc_id LEFT JOIN dd ON dd.doc_id = s.doc_id AND dd.label = mt.label), "
+    "top AS (SELECT *, max(score) OVER (PARTITION BY doc_id) AS best, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS r FROM sco) "
+    f"SELECT doc_id, source, max(CASE WHEN r = 1 THEN label END) AS predicted_type, {rhu('1.0::DOUBLE / sum(exp(score - best))', 3)} AS confidence, "
+    "'ml' AS method_used FROM top GROUP BY doc_id, source"
+)
+
 ORACLE_SQL["classification_wide"] = with_(*CLS_BASE_WIDE) + _cls_select("conf_ens", "ensemble")
 ORACLE_SQL["compliance_wide"] = with_(*CLS_BASE_WIDE, COMP, _COMPLIANCE_ROW) + (
     "SELECT source, process, CASE WHEN tr - dm = 0 THEN 'Complete' ELSE 'Incomplete' END AS status, "

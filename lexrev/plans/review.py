@@ -18,6 +18,7 @@ from lexrev.operators import flags as FL
 from lexrev.operators import measures as M
 from lexrev.operators import segment as S
 from lexrev.operators.passage_index import REFERENCES_TYPE, PassageIndex, references
+from lexrev.operators.textmodel import BayesModel, score_bayes
 from lexrev.session import broadcast_if_small, cut_lineage
 from lexrev.sources.corpus import FILE_INFO
 
@@ -38,12 +39,21 @@ def flagged(docs: DataFrame, flag_rules: DataFrame | list | None = None, key: st
 def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame | list | None = None,
              flag_rules: DataFrame | list | None = None, key: str = "doc_id", text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
-    """One row per document: structure arrays, classification and its flags."""
+    """One row per document: structure arrays, classification and its flags.
+
+    ``method="ml"`` takes the types of a trained model where the documents carry them (``with_model_types``); the evidence
+    stays that of the rules. Without a model it is ``rule_based``.
+    """
     spark = docs.sparkSession
     trules = C.load_type_rules(type_rules, spark)
     frules = FL.load_flag_rules(flag_rules, spark)
-    d = S.with_structure(docs, text_col).select(key, *(keep or []), "paras", "full_text", "sections", "tables")
-    return C.with_classification(_with_severities(d, frules), trules, method)
+    types = [c for c in ("ml_type", "ml_confidence") if c in docs.columns]
+    d = S.with_structure(docs, text_col).select(key, *(keep or []), *types, "paras", "full_text", "sections", "tables")
+    out = C.with_classification(_with_severities(d, frules), trules, method)
+    if method == "ml" and types:
+        out = out.withColumns({"predicted_type": F.coalesce("ml_type", F.lit("unknown")),
+                               "confidence": F.coalesce("ml_confidence", F.lit(0.0)), "method_used": F.lit("ml")})
+    return out.drop(*types)
 
 
 def with_references(docs: DataFrame, index: PassageIndex, k: int = RP.RETRIEVE_K, key: str = "doc_id",
@@ -56,6 +66,13 @@ def with_references(docs: DataFrame, index: PassageIndex, k: int = RP.RETRIEVE_K
     return docs.join(broadcast_if_small(found), key, "left")
 
 
+def with_model_types(docs: DataFrame, model: BayesModel, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """C8 for ``method="ml"``: ``docs`` with the trained model's type and its probability (``ml_type``, ``ml_confidence``)."""
+    found = cut_lineage(score_bayes(model, docs, key, text_col).select(
+        key, F.col("label").alias("ml_type"), X.round_half_up(F.col("probability"), 3).alias("ml_confidence")), "model-types")
+    return docs.join(broadcast_if_small(found), key, "left")
+
+
 def type_distribution(rev: DataFrame, batch_col: str) -> DataFrame:
     """A1: documents per predicted type in each batch."""
     return rev.groupBy(batch_col, "predicted_type").agg(F.count(F.lit(1)).alias("documents"))

@@ -31,6 +31,7 @@ from lexrev.operators import compliance as K
 from lexrev.operators import flags as FL
 from lexrev.operators.passage_index import PassageIndex, build_index, open_index
 from lexrev.operators.retrieval import split_text
+from lexrev.operators.textmodel import load_bayes
 from lexrev.plans import review as RV
 from lexrev.plans.packs import RulePacks, load_packs, read_packs
 from lexrev.session import clear_scratch
@@ -42,11 +43,11 @@ from lexrev.sources.rules import CLAUSES_SCHEMA
 def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col: str = "source",
                   method: str = "ensemble", json: bool = False, packs: RulePacks | None = None,
                   comments: str = "paragraph", knowledge: str | None = None,
-                  unreadable: DataFrame | None = None) -> dict[str, str]:
+                  unreadable: DataFrame | None = None, model: str | None = None) -> dict[str, str]:
     """Review ``docs(doc_id, text, <batch_col>)``; ``FILE_INFO`` columns that they carry enter the records and errors.
 
     ``knowledge`` names a passage index (``passage_index.build_index``) whose related passages enter the records; ``unreadable``
-    are errors found when the documents were read.
+    are errors found when the documents were read; ``model`` names a saved text model, which ``method="ml"`` applies.
     """
     paths = {k: os.path.join(out_dir, k) for k in ("documents", "flags", "suggestions", "batches", "log", "issues",
                                                    "annotations", "errors", "rejected_rules")}
@@ -59,6 +60,8 @@ def review_corpus(spark: SparkSession, docs: DataFrame, out_dir: str, batch_col:
     errors.write.mode("overwrite").parquet(paths["errors"])
     if knowledge:
         docs = RV.with_references(docs, open_index(spark, knowledge))
+    if model:
+        docs = RV.with_model_types(docs, load_bayes(spark, model))
     carried = [c for c in [*FILE_INFO, "related_references"] if c in docs.columns]
     rev = RV.reviewed(docs, method, packs.type_rules, rules, keep=[batch_col, *carried])
     # the commented paragraphs travel with the document record, so the issue table and the marked-up
@@ -129,6 +132,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--comments", default="paragraph", choices=["paragraph", "reference"])
     ap.add_argument("--files", action="store_true", help="IN is a folder of text files, a document each; they are one batch")
     ap.add_argument("--knowledge", help="folder of a passage index whose related passages enter the records")
+    ap.add_argument("--model", help="folder of a saved text model, for --method ml")
     ap.add_argument("--references", help="folder of *.txt reference texts, from which the index is built first")
     a = ap.parse_args(argv)
     if a.references and not a.knowledge:
@@ -145,7 +149,7 @@ def main(argv: list[str] | None = None) -> None:
         build_knowledge(spark, a.references, a.knowledge)
     packs = read_packs(spark, a.rules)
     for name, path in review_corpus(spark, docs, a.output, a.batch_col, a.method, a.json, packs, a.comments, a.knowledge,
-                                    unreadable).items():
+                                    unreadable, a.model).items():
         print(f"{name}: {path}")
     clear_scratch(spark)
 
