@@ -41,9 +41,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
     At its default (64 MB) each task holds several such buffers, in the JVM beside its heap and in Python, which texts fill.
     """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name, str(1 << 62))) > BATCH_BYTES or int(spark.conf.get(name, "-1")) <= 0:
-        spark.conf.set(name, str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,10 +25,11 @@ from lexrev.llm.common import map_batches
 from lexrev.session import cut_lineage
 
 MIN_WORDS = 4
-#: Time units of a stretch of the as-of join.
-STRETCH = 50_000
+#: The as-of join cuts time into stretches that hold about so many events each, over all hashes.
+STRETCH_ROWS = 1000
 _MARKS = re.compile(r"(?: ?>)*")
-MAX_ROUNDS = 40
+MAX_ROUNDS = 64
+_NO_TIME = -(2**62)
 
 
 def blocks(text: str) -> list[tuple[int, list[str]]]:
@@ -86,13 +87,19 @@ def parse(text: str, min_words: int) -> tuple[str, list[tuple[int, int, bool]]]:
 PARSED = "msg_id long, time long, own_text string, found array<struct<level:int,hash:long,whole:boolean>>"
 
 
-def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int = STRETCH) -> DataFrame:
+def stretch_of(events: DataFrame, rows: int = STRETCH_ROWS) -> int:
+    """Time units of a stretch: the range of the events' times cut into equal parts, one for every ``rows`` events."""
+    first, last, n = events.where(F.col("time") > _NO_TIME).agg(F.min("time"), F.max("time"), F.count("*")).first()
+    return max(1, -(-(last - first + 1) * rows // n)) if n else 1
+
+
+def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int | None = None) -> DataFrame:
     """Link ``messages(msg_id long, time long, text)``.
 
     Returns one row per message: msg_id, time, own_text (without quotes), n_quotes (quoted passages), n_linked, parent_id, root_id (the
     conversation), depth. Ordered by root_id, time and msg_id, the rows are the conversations in reply order.
     """
-    one = messages.groupBy("msg_id").agg(F.min(F.struct(F.coalesce("time", F.lit(-(2**62))).alias("time"), F.coalesce("text", F.lit("")).alias("text"))).alias("m"))
+    one = messages.groupBy("msg_id").agg(F.min(F.struct(F.coalesce("time", F.lit(_NO_TIME)).alias("time"), F.coalesce("text", F.lit("")).alias("text"))).alias("m"))
 
     def fn(b: pa.RecordBatch):
         rows = []
@@ -108,7 +115,7 @@ def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int = STRETCH
     source = F.when(F.col("level") == 0, F.struct(F.col("time").alias("time"), F.col("msg_id").alias("msg_id")))
     # A null id can't be told from others: it quotes, but is not quoted.
     known = events.where("msg_id IS NOT NULL OR level > 0")
-    linked = last_before(known, "hash", "time", "msg_id", source, stretch, "original").where("level > 0")
+    linked = last_before(known, "hash", "time", "msg_id", source, stretch or stretch_of(events), "original").where("level > 0")
     met = F.when(F.col("original").isNotNull(), F.struct((-F.col("level")).alias("near"), "whole", "original"))
     quoted = linked.groupBy("msg_id").agg(F.count("*").alias("n_quotes"), F.count("original").alias("n_linked"), F.max(met)["original"]["msg_id"].alias("parent_id"))
     parents = cut_lineage(quoted.where("msg_id IS NOT NULL"), "quotes-parents")
@@ -124,7 +131,9 @@ def link(messages: DataFrame, min_words: int = MIN_WORDS, stretch: int = STRETCH
         jump = step.where("moved").drop("moved")
         if jump.isEmpty():
             break
-    jump = done.unionByName(jump)
+    else:
+        raise RuntimeError(f"parents lead over more than 2^{MAX_ROUNDS} messages")
+    jump = done
     return (parsed.join(parents, "msg_id", "left").join(jump, "msg_id", "left").select(
         "msg_id", "time", "own_text", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "parent_id",
