@@ -99,6 +99,17 @@ class WordCache:
             without = [i for i in without if out[i] is None]
         return out, without
 
+    def missing(self, words: set) -> set:
+        """The words without a value; all others are in ``young`` until the next call."""
+        if self.used > self.limit:
+            self.old, self.young, self.used = self.young, {}, 0
+        new = words.difference(self.young)
+        if self.old and new:
+            back = [w for w in new if w in self.old]
+            self.add(back, list(map(self.old.__getitem__, back)))
+            new.difference_update(back)
+        return new
+
     def add(self, words: list, values) -> None:
         self.young.update(zip(words, values, strict=True))
         self._count(words)

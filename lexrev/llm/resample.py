@@ -46,14 +46,18 @@ CACHE_BYTES = 64 << 20
 FEATURES = ("mean_word", "mean_pair", "low", "lowest", "log_words", "low_share")
 
 
+def _hashed(word: str) -> int:
+    h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return h - (h >> 63 << 64)  # signed
+
+
 def buckets(text: str, known: WordCache) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words and word pairs of a text; ``known`` keeps the hashes of words seen before."""
     pieces = _WORD.findall(text.lower())
-    words = list(set(pieces))
-    _, new = known.values(words)
-    new = [words[i] for i in new]
-    known.add(new, [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new])
-    h = np.array(list(map(known.young.__getitem__, pieces)), np.uint64)
+    new = list(known.missing(set(pieces)))
+    if new:
+        known.add(new, list(map(_hashed, new)))
+    h = np.fromiter(map(known.young.__getitem__, pieces), np.int64, len(pieces)).view(np.uint64)
     pairs = mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
     return (h & np.uint64(_SIZE - 1)).astype(np.int64), (pairs & np.uint64(_SIZE - 1)).astype(np.int64)
 
