@@ -466,7 +466,7 @@ ORACLE_SQL["rule_hits_large"] = with_(*BASE).rstrip() + ", " + (
     "FROM benchmark), "
     "bn AS (SELECT type_order, w, n FROM bw, (VALUES (2), (3), (4), (5)) AS v(n) WHERE len(w) >= n), "
     "br AS (SELECT type_order, n, i AS ord, w[i:i + n - 1] AS run FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM bn)), "
-    "pack AS (SELECT 'item_' || type_order AS type, type_order, n, ord, array_to_string(run, CASE WHEN n = 2 THEN '[ ,.]+' ELSE ' ' END) AS term "
+    "pack AS (SELECT 'item_' || type_order AS type, type_order, n, ord, CASE WHEN n = 2 THEN array_to_string(run, '[ ,.]+') ELSE array_to_string(run, ' ') END AS term "
     "FROM br WHERE n > 2 OR len(list_filter(run, lambda w: NOT regexp_full_match(w, '[a-z]+'))) = 0) "
     "SELECT f.doc_id, p.type, CAST(p.type_order AS BIGINT) AS type_order, "
     "CASE n WHEN 2 THEN 'pattern' WHEN 3 THEN 'primary' WHEN 4 THEN 'secondary' ELSE 'section' END AS kind, "
