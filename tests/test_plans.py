@@ -48,7 +48,7 @@ def test_scans_are_pruned(plans):
 
 
 def test_top_k_is_limited_before_the_shuffle(spark):
-    p = E.queries()["knn_centroids"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    p = QUERIES["knn_centroids"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p
 
 
