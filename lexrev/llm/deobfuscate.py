@@ -122,7 +122,8 @@ def _character_table() -> dict[int, str]:
 
 
 _TABLE = _character_table()
-_ODD = re.compile("[" + "".join(f"\\U{c:08x}" for c in sorted(_TABLE)) + "]")
+_ODD = frozenset(map(chr, _TABLE))
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]")
 # Runs of white space are taken whole, from their first character on: linear however long they are.
 _OPEN, _CLOSE = r"(?<!\s)\s*+[\[({<]\s*+", r"\s*+[\])}>]\s*+"
 _AT_WORD, _DOT_WORD = "(?:at|arroba|arobase)", "(?:dot|punto|punkt)"
@@ -162,7 +163,11 @@ Edits = list[tuple[int, int, str]]
 
 
 def odd_characters(t: str) -> Edits:
-    return [] if t.isascii() else [(m.start(), m.end(), _TABLE[ord(m.group())]) for m in _ODD.finditer(t)]
+    if t.isascii():
+        return []
+    if _ODD.isdisjoint(t):  # a set of characters is tested much faster than a class of the whole table
+        return []
+    return [(m.start(), m.end(), _TABLE[c]) for m in _BEYOND_ASCII.finditer(t) if (c := ord(m.group())) in _TABLE]
 
 
 def separators(t: str) -> Edits:

@@ -3,7 +3,7 @@ import random
 import re
 import time
 
-from lexrev.llm.deobfuscate import find, mask, mask_text, personal_data
+from lexrev.llm.deobfuscate import _TABLE, find, mask, mask_text, odd_characters, personal_data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -174,3 +174,15 @@ def test_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, "a@b.c"), (None, None), (3, "a@b.c"), (3, "a@b.c")], "doc_id long, text string")
     rows = sorted(map(str, personal_data(df).select("doc_id", "n_email", "spans").collect()))
     assert len(rows) == 4 and rows[0] == rows[1] and "email:0:5" in rows[0]
+
+
+def test_odd_characters_are_found_in_time_linear_in_the_text():
+    rng = random.Random(12)
+    letters = "abc \u4e2d\u00e9\u1e9e" + "".join(chr(c) for c in rng.sample(sorted(_TABLE), 40))
+    for _ in range(200):
+        t = "".join(rng.choices(letters, k=rng.randint(0, 60)))
+        assert odd_characters(t) == [(i, i + 1, _TABLE[ord(c)]) for i, c in enumerate(t) if ord(c) in _TABLE]
+    plain = "une page d\u2019\u00e9t\u00e9, " * 200_000
+    start = time.process_time()
+    assert odd_characters(plain) == []
+    assert time.process_time() - start < 1  # a class of the table's characters takes several seconds
