@@ -46,6 +46,28 @@ def test_random_keywords_and_patterns_against_single_tests():
             assert got == [i for i, (r, rx) in enumerate(rules) if (re.search(r, t, re.IGNORECASE) if rx else r.lower() in t)]
 
 
+CHAINS = [r"of[ ,.]+the", r"of[ ,.]+the[ ,.]+ab", r"of +the", r"of\s+the", r"of\s+?the", r"of[ ,]{2,}the", r"of[ ,]{1,2}the", r"of [ ,]+the", r"of t[ ,]+a", r" of[ ,]+the ",
+          r"of[ ,]+[.]+the", r"of[ ,]+\s+the", r"(of|ab)[ ,]+the[ ,]+", r"\bof[ ,]+the\b", r"of[ ,]*the", r"of[ ,]+the|x", r"of[ ,]+(the)+", r"of[ ,]++the",
+          r"of[^a]+the", r"of[ a]+the", r"(?a)of\s+k", r"of\s+k", r"of\s+is", r"[ ,]+of", r"of[ ,]+", r"of\x00+the", r"(?-i:of)[ ,]+the", r"a[ ,]+a[ ,]+a"]
+
+
+@pytest.mark.parametrize("pattern", CHAINS)
+def test_literals_joined_by_separators(pattern):
+    m, rnd = MT.RuleMatcher([(pattern, True)]), random.Random(4)
+    parts = ["of", "the", "ab", "a", "OF", "t", "k", "\u212a", "\u0131s", "is", "x", " ", " ", ",", "., ", "\u00a0", "\n", "\x00", "\x1c"]
+    for _ in range(3000):
+        t = "".join(rnd.choices(parts, k=rnd.randint(0, 9)))
+        assert [(s, e) for *_, s, e in m.spans(t)] == [x.span() for x in re.finditer(pattern, t, re.IGNORECASE)], t
+        assert m.hits(t.lower()) == ([0] if re.search(pattern, t.lower(), re.IGNORECASE) else []), t
+
+
+def test_patterns_of_common_words_name_few_candidates():
+    words = [a + b for a in "bcdfghjklm" for b in "aeiou"]
+    m = MT.RuleMatcher([(f"{a}[ ,.]+{b}", True) for a in words for b in words])
+    text = " ".join(words)  # holds every word, and 49 of the 2,500 pairs
+    assert len(m.candidates(text)) == len(m.hits(text)) == 49
+
+
 @pytest.mark.parametrize("pattern,differs", [("a\\Z", True), ("[a&&b]", True), ("[a[b]", True), ("[]a]", True), ("(?x)a b", True), ("\\v", True),
                                              ("[\\[a]", False), ("a&&b", False), ("(?i:a)", False), ("(?:a|x)", False), ("\\\\Z", False), ("(?P<ax>a)", False)])
 def test_where_java_differs(pattern, differs):
