@@ -70,7 +70,7 @@ def with_model_types(docs: DataFrame, model: BayesModel, key: str = "doc_id", te
     """C8 for ``method="ml"``: ``docs`` with the trained model's type and its probability (``ml_type``, ``ml_confidence``)."""
     found = cut_lineage(score_bayes(model, docs, key, text_col).select(
         key, F.col("label").alias("ml_type"), X.round_half_up(F.col("probability"), 3).alias("ml_confidence")), "model-types")
-    return docs.join(broadcast_if_small(found), key, "left")
+    return docs.join(found.hint("merge"), key, "left")  # grows with the corpus: never sent to the tasks
 
 
 def type_distribution(rev: DataFrame, batch_col: str) -> DataFrame:

@@ -66,6 +66,67 @@ def test_model_against_plain_python(spark, tmp_path):
     assert sorted(map(tuple, TM.score_bayes(again, docs).collect())) == sorted(map(tuple, TM.score_bayes(model, docs).collect()))
 
 
+def test_repeated_keys_and_labels(spark, monkeypatch):
+    """Documents of several rows are one, a document with several labels counts with each."""
+    rnd = random.Random(5)
+    words = [f"w{i:02}" for i in range(12)]
+    rows = [(i % 35 if i < 60 else i, " ".join(rnd.choices(words, weights=range(1, 13), k=rnd.randint(0, 12)))) for i in range(90)]
+    labels = [(i, "a" if i % 3 else "b") for i in range(90)] + [(i, rnd.choice("abc")) for i in (1, 2, 2, 61, 62)] + [(None, "a")]
+    docs = spark.createDataFrame([*rows, (None, "w01 w02")], "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, label string")
+    counts, of = {}, {}
+    for i, name in labels:
+        of.setdefault(i, []).append(name)
+    for i, t in rows:
+        own = counts.setdefault(i, {})
+        for g in grams(t):
+            own[g] = own.get(g, 0) + len(of[i])
+    total, df = {}, {}
+    for i, own in counts.items():
+        for g, tf in own.items():
+            total[g] = total.get(g, 0) + tf * len(of[i])
+            df[g] = df.get(g, 0) + len(of[i])
+    n = len(counts)
+    vocab = sorted((g for g in df if 2 <= df[g] <= 0.95 * n), key=lambda g: (-total[g], g))[:30]
+    idf = {g: math.log((1 + n) / (1 + df[g])) + 1 for g in vocab}
+    sums = {}
+    for i, own in counts.items():
+        w = {g: tf * idf[g] for g, tf in own.items() if g in idf}
+        norm = math.sqrt(len(of[i]) * sum(x * x for x in w.values()))
+        for name in of[i]:
+            for g, x in w.items():
+                sums[g, name] = sums.get((g, name), 0) + x / norm
+    want = {(g, name): round(math.log((s + 0.1) / 0.1), 9) for (g, name), s in sums.items()}
+    for most in (TM.MAX_FREQUENT, 3):  # 3: all runs are counted
+        monkeypatch.setattr(TM, "MAX_FREQUENT", most)
+        model = TM.fit_bayes(docs, lab, max_features=30)
+        terms = model.terms.collect()
+        assert {r.term: round(r.idf, 9) for r in terms} == {g: round(x, 9) for g, x in idf.items()}
+        assert {(r.term, name): round(d, 9) for r in terms for name, d in r.deltas.items()} == want
+    got = {r.doc_id: (r.label, r.probability) for r in TM.score_bayes(model, docs).collect()}
+    merged = spark.createDataFrame([(i, " . ".join(t for j, t in [*rows, (None, "w01 w02")] if j == i)) for i in got], "doc_id long, text string")
+    one = {r.doc_id: r.label for r in TM.score_bayes(model, merged.where("doc_id >= 60 OR doc_id IS NULL")).collect()}
+    assert len(got) == n + 1 and all(got[i][0] == label for i, label in one.items())
+
+
+def test_only_runs_of_frequent_words_are_counted(spark):
+    rnd = random.Random(6)
+    texts = [["the", "of"] * 30 + rnd.choices([f"rare{i}" for i in range(500)], k=40) + rnd.choices(["and", "to"], k=30) for _ in range(50)]
+    lists = spark.createDataFrame([(t,) for t in texts], "_w array<string>")
+    df, total = {}, {}
+    for t in texts:
+        own = grams(" ".join(t))
+        for g in own:
+            total[g] = total.get(g, 0) + 1
+        for g in set(own):
+            df[g] = df.get(g, 0) + 1
+    for size in (10, 100, 5000):
+        want = sorted(((g, df[g], total[g]) for g in df if 2 <= df[g] <= 0.95 * 50), key=lambda r: (-r[2], r[0]))[:size]
+        assert TM.vocabulary_runs(lists, 50, size=size) == want
+    pairs = TM._longer_runs(lists, TM.Runs(["the", "of", "and", "to"])).groupBy("term").sum("total").collect()
+    assert {r[0]: r[1] for r in pairs} == {g: c for g, c in total.items() if len(g.split()) == 2 and "rare" not in g}
+
+
 def test_saved_model_in_the_job(spark, tmp_path):
     docs = spark.createDataFrame([(i, ("board meeting of shareholders " if i % 2 else "lottery winner click here ") * 3, "s") for i in range(20)],
                                  "doc_id long, text string, source string")
