@@ -19,7 +19,7 @@ from lexrev.operators import measures as M
 from lexrev.operators import segment as S
 from lexrev.operators.passage_index import REFERENCES_TYPE, PassageIndex, references
 from lexrev.operators.textmodel import BayesModel, score_bayes
-from lexrev.session import broadcast_if_small, cut_lineage
+from lexrev.session import cut_lineage
 from lexrev.sources.corpus import FILE_INFO
 
 
@@ -63,7 +63,8 @@ def with_references(docs: DataFrame, index: PassageIndex, k: int = RP.RETRIEVE_K
     Found in the whole text; its tokens are those of ``full_text``, which only joins its lines by blanks.
     """
     found = cut_lineage(references(docs.select(key, text_col), index, k, key, text_col), "references")
-    return docs.join(broadcast_if_small(found), key, "left")
+    # Its contents repeat, so that the written table is far smaller than its rows: never sent to the tasks.
+    return docs.join(found.hint("merge"), key, "left")
 
 
 def with_model_types(docs: DataFrame, model: BayesModel, key: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from lexrev.operators import passage_index as PI
 from lexrev.operators import retrieval as R
+from lexrev.plans import review as RV
 
 
 def corpus(spark, n_docs=40, n_passages=120, seed=1):
@@ -160,3 +161,17 @@ def test_split_text_is_linear():
     began = time.time()
     spans = list(R.split_spans(text))
     assert time.time() - began < 10 and all(hi - lo <= 1000 for lo, hi in spans) and spans[0][0] == 0 and spans[-1][1] == len(text)
+
+
+def test_references_are_not_broadcast(spark, tmp_path):
+    """The written references are far smaller than their rows (contents repeat), so their file size says nothing."""
+    passages = spark.createDataFrame([("a", "board of directors " * 50), ("b", "share capital " * 50)], "chunk_id string, text string")
+    index = PI.build_index(passages, str(tmp_path / "index"))
+    docs = spark.createDataFrame([(i, "the board of directors and the capital") for i in range(20)] + [(None, "board"), (3, "capital"), (99, "x")],
+                                 "doc_id long, text string")
+    out = RV.with_references(docs, index)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    assert len(rows) == 23
+    assert {r.doc_id for r in rows if r.related_references is None} == {None, 99}
+    assert [x.passage for x in next(r for r in rows if r.doc_id == 5).related_references] == ["a", "b"]
