@@ -23,7 +23,7 @@ from lexrev.operators import segment as S
 from lexrev.operators import textmodel as TM
 from lexrev.operators import vector_index as VI
 from lexrev.plans import review as RV
-from lexrev.session import broadcast_if_small, scratch_path
+from lexrev.session import broadcast_if_small, cut_lineage, scratch_path
 from lexrev.sources.corpus import (FILE_INFO, read_documents, read_table, split_quarantine, with_file_metadata,
                                    with_processing_order)
 from lexrev.sources.rules import FLAG_RULES_SCHEMA, default_rulepack
@@ -205,7 +205,9 @@ def q_text_model(spark, sf):
 
 def _type_model(spark, docs):
     """A model of document types, trained on the rules' types of documents with evidence and an odd id."""
-    by_rule = C.classify(docs, method="rule_based").where(F.col("has_evidence") & (F.col("doc_id") % 2 == 1))
+    by_rule = C.classify(docs.where(F.col("doc_id") % 2 == 1), method="rule_based")
+    # Written before the filter, which would be pushed through the projections and carry the whole scoring with it.
+    by_rule = cut_lineage(by_rule.select("doc_id", "predicted_type", "has_evidence"), "rule-types").where("has_evidence")
     return TM.fit_bayes(docs, by_rule.select("doc_id", F.col("predicted_type").alias("label")))
 
 

@@ -138,3 +138,15 @@ def test_saved_model_in_the_job(spark, tmp_path):
     assert all(c.predicted_type == ("board_resolution" if i % 2 else "spam") and c.method_used == "ml" and c.confidence > 0.5 for i, c in types.items())
     plain = RV.reviewed(docs, method="ml").select("method_used").distinct().collect()
     assert [r.method_used for r in plain] == ["rule_based"]
+
+
+def test_filter_on_evidence_does_not_carry_the_scoring(spark, docs, monkeypatch):
+    from lexrev.plans import catalog as Q
+
+    written, cut = {}, Q.cut_lineage
+    monkeypatch.setattr(Q, "cut_lineage", lambda df, name: written.update({name: df}) or cut(df, name))
+    texts = ["Articles of Association, share capital, board of directors", "nothing", "ultimate beneficial owner", "Articles of Association"]
+    model = Q._type_model(spark, docs(*texts))
+    plan = written["rule-types"]._jdf.queryExecution().optimizedPlan().toString()
+    assert all("raw_score" not in line for line in plan.splitlines() if "Filter" in line)
+    assert {name for name, _, _ in model.labels} == {r.predicted_type for r in written["rule-types"].collect() if r.has_evidence}
