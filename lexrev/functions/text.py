@@ -8,6 +8,7 @@ reviewed application: Unicode whitespace for ``split``/``strip``, Unicode
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -19,6 +20,10 @@ PY_WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) f
 # ... of which Java's ASCII \s does not know these; a text holding one takes the slower, exact path.
 EXOTIC_WS_CHARS = "".join(ch for ch in PY_WS_CHARS if ch not in " \t\n\x0b\x0c\r")
 EXOTIC_WS = "[\\x1C-\\x1F\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+# A word of str.split(): printable ASCII is tested first, being what most characters are.
+WORD_REGEX = "[!-~[^\\t\\n\\x0B\\f\\r\\x1C\\x1D\\x1E\\x1F\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]]+"
+# The characters beyond ASCII that match an ASCII letter when case is ignored.
+FOLDED_CHARS = "\u0130\u0131\u017f\u212a"
 
 
 def _ascii_ws(c: Column) -> Column:
@@ -54,7 +59,10 @@ def py_strip(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """``len(s.split())`` as BIGINT; 0 for null or blank."""
-    return F.coalesce(F.regexp_count(_ascii_ws(col_of(c)), F.lit("\\S+")), F.lit(0)).cast("long")
+    c = col_of(c)
+    # most texts hold nothing but printable ASCII and white space: their words are runs of one range
+    n = F.when(c.rlike("[^\\t-\\r -~]"), F.regexp_count(c, F.lit(WORD_REGEX))).otherwise(F.regexp_count(c, F.lit("[!-~]+")))
+    return F.coalesce(n, F.lit(0)).cast("long")
 
 
 def words(c: Column | str) -> Column:
@@ -215,3 +223,57 @@ def pattern_fault(spark, pattern: str, find_all: bool = False) -> str | None:
 def is_ascii(c: Column) -> Column:
     """True when every character is ASCII (bytes = characters)."""
     return F.octet_length(c) == F.length(c)
+
+
+def is_plain(c: Column) -> Column:
+    """True when no character beyond ASCII matches an ASCII letter, case ignored: a literal of ASCII letters that
+    a pattern requires is then in the lower-cased text."""
+    folded = F.lit(False)
+    for ch in FOLDED_CHARS:
+        folded = folded | c.contains(ch)
+    return is_ascii(c) | ~folded
+
+
+def shared_parts(terms: Iterable[str], least: int = 3) -> dict[str, str]:
+    """Of each lower-case term that has one, the part that most terms hold: a word of some term, of ``least`` letters or more.
+
+    A term that is used twice counts twice.  Parts that only one use of a term would take are left out.
+    """
+    terms = list(terms)
+    words = {w for t in terms for w in t.split() if len(w) >= least}
+    held = {t: {w[i:j] for w in t.split() for i in range(len(w)) for j in range(i + least, len(w) + 1)} & words
+            for t in set(terms)}
+    uses = Counter(w for t in terms for w in held[t])
+    part = {t: max(ws, key=lambda w: (uses[w], len(w), w)) for t, ws in held.items() if ws}
+    taken = Counter(part[t] for t in terms if t in part)
+    return {t: w for t, w in part.items() if taken[w] > 1}
+
+
+def with_parts(d, lower: str, terms: Iterable[str], out: str):
+    """(``d`` with ``out``, a function): ``out`` tells which shared parts of the lower-case ``terms`` are in the text ``lower``;
+    the function of a term gives whether the text contains it, which is looked up only where its part is there."""
+    part = shared_parts(terms)
+    parts = sorted(set(part.values()))
+    at = {w: i for i, w in enumerate(parts)}
+    text = F.col(lower)
+    # the guard keeps the array a column: CollapseProject would inline the lookups of a bare one
+    d = d.select("*", F.when(F.octet_length(text) >= 0, F.array(*[text.contains(w) for w in parts]).cast("array<boolean>")).alias(out))
+
+    def contains(term: str) -> Column:
+        if term not in part:
+            return text.contains(term)
+        found = F.col(out)[at[part[term]]]
+        return found if part[term] == term else found & text.contains(term)
+
+    return d, contains
+
+
+def holds(required: Iterable[Iterable[str]], contains) -> Column:
+    """Whether a text holds one literal of each set, by a function of a literal (see ``with_parts``)."""
+    every = F.lit(True)
+    for literals in required:
+        one = F.lit(False)
+        for t in sorted(literals):
+            one = one | contains(t)
+        every = every & one
+    return every

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexrev.functions import text as X
+from lexrev.operators import flags as FL
 from lexrev.operators import segment as S
-from lexrev.operators.matcher import RULE_BLOCK, java_differs, matchers, pattern_error
+from lexrev.operators.matcher import RULE_BLOCK, java_differs, literals_of, matchers, pattern_error
 from lexrev.session import MAX_COMPILED_RULES
 from lexrev.sources.rules import KINDS, default_rulepack
 
@@ -60,20 +61,20 @@ def _types(rules) -> "OrderedDict[str, int]":
     return out
 
 
-def _hit(lt: Column, r) -> Column:
+def _hit(lt: Column, plain: Column, r, contains) -> Column:
     """A rule fires once per document: substring of the lower-cased text, or a regex search (any case).
 
-    A pattern whose matches all start with a literal word cannot match an ASCII lower-cased
-    text that lacks that word, so the regex is skipped there (exact: non-ASCII texts, where
-    Unicode case folding could match other characters, always run the regex).
+    A pattern whose matches all hold certain literals cannot match a lower-cased text that lacks
+    them, so the regex is skipped there (exact: texts that are not ``plain``, where Unicode case
+    folding could match other characters, always run the regex).
     """
     if r.is_regex:
         full = F.coalesce(lt.rlike(X.py_regex(r.term, ignore_case=True)), F.lit(False))
-        prefix = X.literal_prefix(r.term).lower()
-        if prefix:
-            return F.when(X.is_ascii(lt) & ~lt.contains(prefix), F.lit(False)).otherwise(full)
+        required = literals_of(r.term)
+        if required:
+            return F.when(plain & ~X.holds(required, contains), F.lit(False)).otherwise(full)
         return full
-    return lt.contains(r.term.lower())
+    return contains(r.term.lower())
 
 
 def _ft(docs: DataFrame, text_col: str) -> DataFrame:
@@ -168,15 +169,11 @@ def _automaton_scores(d: DataFrame, cols: list[str], rules: list, ft: str) -> Da
     return staged.select(*cols, scores("_lt", "_w").alias("_scores"))
 
 
-def hit_flags(lt: Column, rules) -> Column:
-    """One boolean per rule (rule order), evaluated in a code-generated projection."""
-    return F.array(*[_hit(lt, r) for r in rules])
-
-
 def _score_array(hits: Column, words: Column, rules) -> Column:
     """C2 from the rule hit flags: every type keeps an entry, also with zero evidence."""
     factor = F.when(words > 0, words.cast("double") / F.lit(1000.0)).otherwise(F.lit(1.0))
     denom = F.greatest(factor, F.lit(0.1))
+    none = F.array().cast("array<string>")
     structs = []
     for typ, t_ord in _types(rules).items():
         mine = [(i, r) for i, r in enumerate(rules) if r.type == typ]
@@ -186,8 +183,8 @@ def _score_array(hits: Column, words: Column, rules) -> Column:
         ev = {}
         for k in KINDS:
             terms = [(i, r) for i, r in mine if r.kind == k]
-            ev[k] = F.filter(F.array(*[F.when(hits[i], F.lit(r.term)) for i, r in terms]), lambda x: x.isNotNull()) \
-                if terms else F.array().cast("array<string>")
+            # concatenated, not filtered: a lambda's input is interpreted, not compiled
+            ev[k] = F.concat(*[F.when(hits[i], F.array(F.lit(r.term))).otherwise(none) for i, r in terms]) if terms else none
         structs.append(F.struct(
             F.lit(typ).alias("type"), F.lit(t_ord).alias("type_order"), raw.alias("raw_score"),
             (raw / denom).alias("score"),
@@ -197,9 +194,15 @@ def _score_array(hits: Column, words: Column, rules) -> Column:
 
 
 def _staged_hits(d: DataFrame, cols: list[str], rules, ft: str = "full_text") -> DataFrame:
-    """(cols, _w, _hits): lower-case once, then all rule tests in one code-generated projection."""
-    d1 = d.select(*cols, F.lower(F.col(ft)).alias("_lt"), X.word_count(F.col(ft)).alias("_w"))
-    return d1.select(*cols, "_w", hit_flags(F.col("_lt"), rules).alias("_hits"))
+    """(cols, _w, _hits): lower-case once (or take what ``with_case`` has added), look up what many rules
+    share, then all rule tests (a boolean per rule, in rule order) in one code-generated projection."""
+    d1 = (d if "_lt" in d.columns else FL.with_case(d, ft)).select(
+        *dict.fromkeys([*cols, "_lt", "_plain"]), (F.col("_wc") if "_wc" in d.columns else X.word_count(F.col(ft))).alias("_w"))
+    d2, contains = X.with_parts(d1, "_lt", [t for r in rules for t in (
+        (t for s in literals_of(r.term) for t in s) if r.is_regex else [r.term.lower()])], "_parts")
+    hits = F.array(*[_hit(F.col("_lt"), F.col("_plain"), r, contains) for r in rules])
+    # never null; the guard keeps the array a column: CollapseProject would inline the tests of a bare one
+    return d2.select(*cols, "_w", F.when(F.col("_w") >= 0, hits).alias("_hits"))
 
 
 def _by_score(a: Column, b: Column) -> Column:
@@ -222,9 +225,9 @@ def type_scores(docs: DataFrame, type_rules: DataFrame | None = None, key: str =
                     X.round_half_up(F.col("score"), 3).alias("normalized_score"))
 
 
-def sorted_scores(hits: Column, words: Column, rules) -> Column:
-    """All type scores of a document, best first (ties to the first declared type)."""
-    return F.array_sort(_score_array(hits, words, rules), _by_score)
+def sorted_scores(scores: Column) -> Column:
+    """All type scores of a document, best first (ties to the first declared type), from the column of ``_score_array``."""
+    return F.when(X.pinned(scores), F.array_sort(scores, _by_score))
 
 
 def columns_from_scores(scores: Column, n_types: int, method: str = "ensemble") -> list[Column]:
@@ -268,7 +271,7 @@ def columns_from_scores(scores: Column, n_types: int, method: str = "ensemble")
 
 def with_classification(d: DataFrame, rules, method: str = "ensemble", passthrough: list[str] | None = None,
                         ft: str = "full_text") -> DataFrame:
-    """Two projections: the score array once per row, then the result columns from it."""
+    """Three projections: the score array once per row, its order, then the result columns from it."""
     cols = passthrough if passthrough is not None else d.columns
     n = len(_types(rules))
     if not n:
@@ -276,7 +279,8 @@ def with_classification(d: DataFrame, rules, method: str = "ensemble", passthrou
     if needs_automaton(d.sparkSession, rules):
         return _automaton_scores(d, cols, rules, ft).select(*cols, *columns_from_scores(F.col("_scores"), n, method))
     staged = _staged_hits(d, cols, rules, ft)
-    staged = staged.select(*cols, sorted_scores(F.col("_hits"), F.col("_w"), rules).alias("_scores"))
+    staged = staged.select(*cols, _score_array(F.col("_hits"), F.col("_w"), rules).alias("_unsorted"))
+    staged = staged.select(*cols, sorted_scores(F.col("_unsorted")).alias("_scores"))
     return staged.select(*cols, *columns_from_scores(F.col("_scores"), n, method))
 
 

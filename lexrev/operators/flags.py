@@ -6,8 +6,8 @@ compiled once per task.  Rules that Java cannot run as Python does (or that matc
 text), and packs of over ``MAX_COMPILED_RULES`` rules, are searched by the keyword automaton
 of ``matcher`` and Python's ``re`` in Arrow batches, with the same rows.  Offsets are code points of ``full_text``, computed
 from ``regexp_extract_all`` (matches) and ``split`` (gaps between them) with
-block prefix sums; an exact literal-prefix test skips a rule's regex on ASCII
-texts that lack the word every match starts with.  Comments, suggestions and
+block prefix sums; an exact test skips a rule's regex on texts that lack
+the literals every match holds.  Comments, suggestions and
 annotations stay inside the document row as well.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lexrev import rulepacks as RP
 from lexrev.functions import text as X
 from lexrev.operators import segment as S
-from lexrev.operators.matcher import java_differs, matchers, pattern_error
+from lexrev.operators.matcher import java_differs, literals_of, matchers, pattern_error
 from lexrev.session import MAX_COMPILED_RULES, broadcast_if_small
 from lexrev.sources.rules import default_rulepack
 
@@ -111,6 +111,22 @@ def with_flag_array(d: DataFrame, rules: list[FlagRule], ft: str = "full_text",
     return d.select(*cols, both.alias(out))
 
 
+def with_case(d: DataFrame, ft: str = "full_text") -> DataFrame:
+    """Add ``_lt``, the lower-cased text, and ``_plain`` (see ``is_plain``), for all rule tests of a row."""
+    return d.select("*", F.lower(F.col(ft)).alias("_lt"), X.is_plain(F.col(ft)).alias("_plain"))
+
+
+def _with_lacking(d: DataFrame, rules: list[FlagRule], ft: str):
+    """(``d`` with what the test needs, a function): of a rule, whether the text lacks literals that all its matches hold.
+
+    Exact: a plain text without such a literal in lower case has no match; texts that are not plain run every regex.
+    """
+    required = {r.pattern: literals_of(r.pattern) for r in rules}
+    d, contains = X.with_parts(d if "_lt" in d.columns else with_case(d, ft), "_lt",
+                               [t for r in rules for s in required[r.pattern] for t in s], "_fparts")
+    return d, lambda r: F.col("_plain") & ~X.holds(required[r.pattern], contains)
+
+
 def _compiled_flag_array(d: DataFrame, rules: list[FlagRule], ft: str, out: str) -> DataFrame:
     """The flags of rules that run as expressions.
 
@@ -123,20 +139,13 @@ def _compiled_flag_array(d: DataFrame, rules: list[FlagRule], ft: str, out: str)
     cols = d.columns
     text = F.col(ft)
     ks = range(len(rules))
-    prefixes = [X.literal_prefix(r.pattern).lower() for r in rules]
-    if any(prefixes):
-        # exact prefilter: on ASCII text a case-insensitive match of a pattern that starts with a
-        # literal word needs that word in the lower-cased text (non-ASCII texts run every regex)
-        d = d.select("*", F.lower(text).alias("_flow"), X.is_ascii(text).alias("_fascii"))
-
-    def matches(r, prefix):
-        found = F.when(text.rlike(r.regex), F.regexp_extract_all(text, F.lit(r.regex), 0))
-        if prefix:
-            found = F.when(F.col("_fascii") & ~F.col("_flow").contains(prefix), F.array().cast("array<string>")) \
-                .otherwise(found)
-        return F.coalesce(found, F.array().cast("array<string>"))
-
-    d = d.select("*", *[matches(r, pre).alias(f"_fm{k}") for k, r, pre in zip(ks, rules, prefixes)])
+    d, lacks = _with_lacking(d, rules, ft)
+
+    def matches(r):
+        found = F.regexp_extract_all(text, F.lit(r.regex), 0)
+        return F.coalesce(F.when(lacks(r), F.array().cast("array<string>")).otherwise(found), F.array().cast("array<string>"))
+
+    d = d.select("*", *[matches(r).alias(f"_fm{k}") for k, r in zip(ks, rules)])
     d = d.select("*", *[F.when(F.size(f"_fm{k}") > 0, F.slice(F.split(text, r.regex, -1), 1, F.size(f"_fm{k}")))
                         .otherwise(F.array().cast("array<string>")).alias(f"_fg{k}") for k, r in zip(ks, rules)])
     d = d.select("*", *[F.zip_with(f"_fg{k}", f"_fm{k}", lambda g, x: F.length(g) + F.length(x)).alias(f"_fl{k}")
@@ -261,7 +270,8 @@ def with_paragraph_comments(d: DataFrame, rules: list[FlagRule], mode: str, out:
         if "flags" in cols:
             counts = [F.size(F.filter("flags", _rule_equals(r.rule_id))) for r in rules]
         else:
-            counts = [match_count(F.col("full_text"), r) for r in rules]
+            d, lacks = _with_lacking(d, rules, "full_text")
+            counts = [match_count(F.col("full_text"), r, lacks(r)) for r in rules]
         d = d.select(*cols, *[n.alias(f"_n{k}") for k, n in enumerate(counts)])
 
     def copies(k: int, r: FlagRule, text: Column) -> Column:
@@ -325,13 +335,10 @@ def all_comments(commented: Column) -> Column:
     return F.flatten(F.transform(commented, lambda p: p["comments"]))
 
 
-def match_count(text: Column, r: FlagRule) -> Column:
-    """Number of matches of one rule in a text (0 without the rule's literal prefix on ASCII text)."""
+def match_count(text: Column, r: FlagRule, lacks: Column) -> Column:
+    """Number of matches of one rule in a text (0 where it ``lacks`` the rule's literals)."""
     n = F.when(text.rlike(r.regex), F.size(F.regexp_extract_all(text, F.lit(r.regex), 0))).otherwise(F.lit(0))
-    prefix = X.literal_prefix(r.pattern).lower()
-    if prefix:
-        n = F.when(X.is_ascii(text) & ~F.lower(text).contains(prefix), F.lit(0)).otherwise(n)
-    return n
+    return F.when(lacks, F.lit(0)).otherwise(n)
 
 
 def review_comments(docs: DataFrame, flag_rules: DataFrame | None = None, mode: str = "paragraph",

@@ -14,6 +14,7 @@ LEGAL_TERM_REGEX = X.py_regex("\\b(?:" + "|".join(RP.LEGAL_TERMS) + ")\\b")
 CITATION_REGEXES = [X.py_regex(p) for p in RP.CITATION_PATTERNS]
 KEY_PHRASE_REGEX = X.py_regex(RP.KEY_PHRASE_PATTERN)
 ORGANISATION_REGEX = X.py_regex(RP.ORGANISATION_PATTERN)
+ORGANISATION_ENDINGS = RP.ORGANISATION_PATTERN.rpartition("(?:")[2].partition(")")[0].split("|")
 
 
 def structured(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -23,7 +24,9 @@ def structured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 # ----------------------------------------------------------------- T2-T8 column forms
 def counted(d: DataFrame, ft: str = "full_text") -> DataFrame:
     """Add ``_wc`` and ``_sc`` (words, sentences of the full text) once, for the measures that reuse them."""
-    return d.withColumn("_wc", X.word_count(F.col(ft))).withColumn("_sc", X.sentence_count(F.col(ft)))
+    if "_wc" not in d.columns:
+        d = d.withColumn("_wc", X.word_count(F.col(ft)))
+    return d.withColumn("_sc", X.sentence_count(F.col(ft)))
 
 
 def readability(ft: Column, w: Column | None = None, s: Column | None = None) -> tuple[Column, Column]:
@@ -73,9 +76,14 @@ def compliance_references(ft: Column) -> Column:
     return F.concat(*parts)
 
 
-def risk_terms(ft: Column) -> Column:
-    """Risk words present, in lexicon order."""
-    return X.terms_present(F.lower(F.coalesce(ft, F.lit(""))), RP.RISK_WORDS)
+def lowered(d: DataFrame, ft: str = "full_text") -> DataFrame:
+    """Add ``_lt``, the lower-cased full text, once, where the row has none yet."""
+    return d if "_lt" in d.columns else d.withColumn("_lt", F.lower(F.col(ft)))
+
+
+def risk_terms(lower: Column) -> Column:
+    """Risk words present in a lower-cased text (a column: it is read for every word), in lexicon order."""
+    return X.terms_present(F.coalesce(lower, F.lit("")), RP.RISK_WORDS)
 
 
 def legal_terms(ft: Column) -> Column:
@@ -91,8 +99,17 @@ def key_phrases(ft: Column, n: int = 15) -> Column:
 
 
 def organisation_matches(ft: Column, n: int = 20) -> Column:
-    """First ``n`` company-name matches, duplicates kept."""
-    return F.slice(F.regexp_extract_all(F.coalesce(ft, F.lit("")), F.lit(ORGANISATION_REGEX), 0), 1, n)
+    """First ``n`` company-name matches, duplicates kept.
+
+    The pattern is case-sensitive and ends in one of a few words: it only runs on texts that hold one.
+    """
+    text = F.coalesce(ft, F.lit(""))
+    endings = [w for w in ORGANISATION_ENDINGS if not any(v != w and v in w for v in ORGANISATION_ENDINGS)]
+    found = F.regexp_extract_all(text, F.lit(ORGANISATION_REGEX), 0)
+    ending = F.lit(False)
+    for w in endings:
+        ending = ending | text.contains(w)
+    return F.slice(F.when(ending, found).otherwise(F.array().cast("array<string>")), 1, n)
 
 
 # ----------------------------------------------------------------- T1, T3, T5
@@ -158,9 +175,8 @@ def text_analysis(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 def legal_elements(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Obligations, contract elements, citations, risk words, legal terms."""
-    d = structured(docs, text_col)
-    ft = F.col("full_text")
-    lower = F.lower(ft)
+    d = lowered(structured(docs, text_col))
+    ft, lower = F.col("full_text"), F.col("_lt")
     return d.select(
         key,
         F.regexp_count(lower, F.lit("shall")).cast("long").alias("obligations"),
@@ -169,7 +185,7 @@ def legal_elements(docs: DataFrame, key: str = "doc_id", text_col: str = "text")
         lower.contains("conditions").alias("conditions"),
         lower.contains("consideration").alias("consideration"),
         compliance_references(ft).alias("compliance_indicators"),
-        risk_terms(ft).alias("risk_indicators"),
+        risk_terms(lower).alias("risk_indicators"),
         legal_terms(ft).alias("legal_terms"),
     )
 

@@ -92,15 +92,11 @@ def paragraphs_from_lines(lines: Column) -> Column:
     """P1 as an array: non-empty stripped lines with their line index (empties counted)."""
     tagged = F.transform(lines, lambda l, i: F.struct(i.alias("idx"), l.alias("text")))
     kept = F.filter(tagged, lambda p: p["text"] != "")
-    return F.transform(
-        kept,
-        lambda p: F.struct(
-            p["idx"].alias("idx"),
-            p["text"].alias("text"),
-            is_header(p["text"]).alias("is_header"),
-            (is_header(p["text"]) | matches_section_pattern(p["text"])).alias("opens_section"),
-        ),
-    )
+    headed = F.transform(kept, lambda p: F.struct(
+        p["idx"].alias("idx"), p["text"].alias("text"), is_header(p["text"]).alias("is_header")))
+    return F.transform(headed, lambda p: F.struct(
+        p["idx"].alias("idx"), p["text"].alias("text"), p["is_header"].alias("is_header"),
+        (p["is_header"] | matches_section_pattern(p["text"])).alias("opens_section")))
 
 
 def full_text_from_text(text: Column) -> Column:

@@ -41,6 +41,8 @@ def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame |
              keep: list[str] | None = None) -> DataFrame:
     """One row per document: structure arrays, classification and its flags.
 
+    ``_lt`` and ``_wc``, the lower-cased text and its number of words, go along for the record.
+
     ``method="ml"`` takes the types of a trained model where the documents carry them (``with_model_types``); the evidence
     stays that of the rules. Without a model it is ``rule_based``.
     """
@@ -49,11 +51,12 @@ def reviewed(docs: DataFrame, method: str = "ensemble", type_rules: DataFrame |
     frules = FL.load_flag_rules(flag_rules, spark)
     types = [c for c in ("ml_type", "ml_confidence") if c in docs.columns]
     d = S.with_structure(docs, text_col).select(key, *(keep or []), *types, "paras", "full_text", "sections", "tables")
+    d = FL.with_case(d).withColumn("_wc", X.word_count("full_text"))  # once for flags, types and measures
     out = C.with_classification(_with_severities(d, frules), trules, method)
     if method == "ml" and types:
         out = out.withColumns({"predicted_type": F.coalesce("ml_type", F.lit("unknown")),
                                "confidence": F.coalesce("ml_confidence", F.lit(0.0)), "method_used": F.lit("ml")})
-    return out.drop(*types)
+    return out.drop(*types, "_plain")
 
 
 def with_references(docs: DataFrame, index: PassageIndex, k: int = RP.RETRIEVE_K, key: str = "doc_id",
@@ -202,9 +205,8 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
     frules = FL.load_flag_rules(flag_rules, spark)
     catalogue = FL.load_clauses(clauses, spark)
     rev = FL.with_comment_count(rev, frules, "_comment_count", "commented" if "commented" in rev.columns else None)
-    rev = M.counted(rev)
-    ft, w = F.col("full_text"), F.col("_wc")
-    lower = F.lower(ft)
+    rev = M.lowered(M.counted(rev))
+    ft, w, lower = F.col("full_text"), F.col("_wc"), F.col("_lt")
     score, level = M.readability(ft, w, F.col("_sc"))
     flags = F.col("flags")
     comp_words = M.complexity_columns(ft, F.col("sections"), w)
@@ -231,7 +233,7 @@ def document_report(rev: DataFrame, key: str = "doc_id", batch_col: str | None =
                     lower.contains("conditions").alias("conditions"),
                     lower.contains("consideration").alias("consideration"),
                 ).alias("contract_elements"),
-                M.risk_terms(ft).alias("risk_indicators"),
+                M.risk_terms(lower).alias("risk_indicators"),
             ).alias("legal_elements"),
             F.struct(score.alias("complexity_score"), level.alias("readability_level")).alias("readability"),
             M.key_phrases(ft, 5).alias("key_phrases"),

@@ -20,18 +20,20 @@ def read_documents(spark: SparkSession, path: str, columns: list[str] | None = N
     return spread_documents(df) if spread else df
 
 
-def spread_documents(df: DataFrame, key: str = "doc_id", per_core: int = 2, text_col: str = "text") -> DataFrame:
-    """Spread documents over all cores when the scan yields fewer splits than there are cores.
+def spread_documents(df: DataFrame, key: str = "doc_id", per_core: int = 4, text_col: str = "text") -> DataFrame:
+    """Spread documents over all cores when the scan yields fewer than ``per_core`` splits a core.
 
     The review is CPU-bound (regular expressions over whole texts, a few MB/s per core), so a
     file written as one row group would otherwise be reviewed by a single task.  One shuffle of
-    the text costs far less than the work it balances.  A large corpus already has many splits
-    and is left untouched (no shuffle).  The hash covers the key and the text (deterministic, so
+    the text costs far less than the work it balances.  Spark packs a scan's files in about a split
+    a core, of which a few are left for a second wave, and splits of a row group's file hold nothing
+    but in one of them: such a scan keeps part of the cores idle.  A corpus with many splits is left
+    untouched (no shuffle).  The hash covers the key and the text (deterministic, so
     a retried task routes rows the same way): copies of a document under one id, or one id
     reused for many texts, do not pile up in one task.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores * per_core:
         return df
     cols = [key] + ([text_col] if text_col in df.columns else [])
     return df.repartition(cores * per_core, *cols)
