@@ -13,10 +13,24 @@ PASSIVE_REGEX = X.py_regex(RP.PASSIVE_PATTERN)
 LEGAL_TERM_REGEX = X.py_regex("\\b(?:" + "|".join(RP.LEGAL_TERMS) + ")\\b")
 CITATION_REGEXES = [X.py_regex(p) for p in RP.CITATION_PATTERNS]
 KEY_PHRASE_REGEX = X.py_regex(RP.KEY_PHRASE_PATTERN)
-ORGANISATION_REGEX = X.py_regex(RP.ORGANISATION_PATTERN)
 ORGANISATION_ENDINGS = RP.ORGANISATION_PATTERN.rpartition("(?:")[2].partition(")")[0].split("|")
 
 
+def organisation_regex() -> str:
+    """ORGANISATION_PATTERN with loops that never go back; its matches are group 1.
+
+    Java takes stack for each round of a greedy loop over a group: a run of some 2,000 capitalised words overflowed it, which
+    ends the executor. A match goes from the run's first word to its last ending, so it is a series of other words and an
+    ending each. Runs without one are taken whole, without group 1: they are not searched again from each of their words.
+    """
+    word, ending = "[A-Z][a-z]++", "(?:" + "|".join(ORGANISATION_ENDINGS) + ")\\b"
+    named = f"{word}(?:(?:\\s++(?!{ending}){word})*+\\s++{ending})++"
+    return X.py_regex(f"(?=[A-Z])\\b(?:({named})|{word}(?:\\s++{word})++)")
+
+
+ORGANISATION_REGEX = organisation_regex()
+
+
 def structured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs if "full_text" in docs.columns else S.with_structure(docs, text_col)
 
@@ -105,7 +119,7 @@ def organisation_matches(ft: Column, n: int = 20) -> Column:
     """
     text = F.coalesce(ft, F.lit(""))
     endings = [w for w in ORGANISATION_ENDINGS if not any(v != w and v in w for v in ORGANISATION_ENDINGS)]
-    found = F.regexp_extract_all(text, F.lit(ORGANISATION_REGEX), 0)
+    found = F.filter(F.regexp_extract_all(text, F.lit(ORGANISATION_REGEX), 1), lambda m: m != "")
     ending = F.lit(False)
     for w in endings:
         ending = ending | text.contains(w)

@@ -73,3 +73,14 @@ def test_organisations_need_an_ending(docs):
     texts = ["Acme Holdings Limited and Beta Co", "Acme Holdings", "acme limited", "Gamma Corp. Delta Company Co", None]
     got = {r.doc_id: r.x for r in docs(*texts).select("doc_id", M.organisation_matches(F.col("text")).alias("x")).collect()}
     assert got == {i: [m.group() for m in re.finditer(RP.ORGANISATION_PATTERN, t or "")] for i, t in enumerate(texts)}
+
+
+def test_organisations_in_long_runs_of_capitalised_words(docs):
+    run = "De " * 20000  # far beyond what Java's stack takes when a loop may go back
+    long = [run + "end. Contract", "x " + run + "Company", run + "Co " + run + "Ltd " + run + "Corporate. Beta Co"]
+    short = ["Company Co Co2 Acme Companyé Beta\u00a0Co-op xGamma Delta\n Ltd Co_ Limited", "Acme Co Be Corp Be, Co Co", "Co"]
+    want = [[], [run + "Company"], [run + "Co " + run + "Ltd", "Beta Co"],
+            *([m.group() for m in re.finditer(RP.ORGANISATION_PATTERN, t)] for t in short)]
+    got = {r.doc_id: r.x for r in docs(*long, *short).select("doc_id", M.organisation_matches(F.col("text")).alias("x")).collect()}
+    assert got == dict(enumerate(want)) and [len(x) for x in want] == [0, 1, 2, 3, 2, 0]
+    assert [r.text for r in M.organisations(docs(*long)).orderBy("doc_id", "pos").collect()] == want[1] + want[2]
